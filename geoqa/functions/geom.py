@@ -197,7 +197,7 @@ def pt_on_boundary(px, py, rings: str) -> str:
     on = (f"({_cross(px, py, a + '.x', a + '.y', b + '.x', b + '.y')} = 0 AND "
           f"least({a}.x,{b}.x) <= ({px}) AND ({px}) <= greatest({a}.x,{b}.x) AND "
           f"least({a}.y,{b}.y) <= ({py}) AND ({py}) <= greatest({a}.y,{b}.y))")
-    return f"exists({rings}, r -> exists(sequence(1, size(r) - 1), i -> {on}))"
+    return f"exists({rings}, r -> exists(filter(sequence(1, greatest(size(r) - 1, 1)), i -> i < size(r)), i -> {on}))"
 
 
 def pt_crossings(px, py, rings: str) -> str:
@@ -211,7 +211,7 @@ def pt_crossings(px, py, rings: str) -> str:
              f"* sign({b}.y - {a}.y) > 0)")
     edge = f"CASE WHEN {straddle} AND {right} THEN 1 ELSE 0 END"
     return (f"aggregate({rings}, 0, (acc, r) -> acc + "
-            f"aggregate(sequence(1, size(r) - 1), 0, (n, i) -> n + {edge}))")
+            f"aggregate(filter(sequence(1, greatest(size(r) - 1, 1)), i -> i < size(r)), 0, (n, i) -> n + {edge}))")
 
 
 def pt_in_polygon(px, py, rings: str, boundary: bool = True) -> str:

@@ -55,3 +55,63 @@ def official_segments(spark: SparkSession, sf: str) -> DataFrame:
                      F.col("b.x").alias("x2"), F.col("b.y").alias("y2"),
                      F.col("a.nb_voies").alias("nb_voies"), F.col("a.num_route").alias("num_route"),
                      F.col("a.importance").alias("importance"), F.col("a.nature").alias("nature")))
+
+
+def official_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Official roads as lines: cleabs, pts (ordered vertices) and attributes."""
+    v = official_vertices(spark, sf)
+    return (v.groupBy("cleabs")
+             .agg(F.sort_array(F.collect_list(F.struct("k", "x", "y"))).alias("_p"),
+                  F.first("nb_voies").alias("nb_voies"), F.first("num_route").alias("num_route"),
+                  F.first("importance").alias("importance"), F.first("nature").alias("nature"))
+             .select("cleabs", F.expr("transform(_p, p -> named_struct('x', p.x, 'y', p.y))").alias("pts"),
+                     "nb_voies", "num_route", "importance", "nature"))
+
+
+def osm_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """OSM ways as lines: osm_id, pts, highway, name, ref."""
+    v = fx(spark, sf, "fx_vertex")
+    return (v.groupBy("osm_id")
+             .agg(F.sort_array(F.collect_list(F.struct("k", "x", "y"))).alias("_p"),
+                  F.first("highway").alias("highway"), F.first("name").alias("name"),
+                  F.first("ref").alias("ref"))
+             .select("osm_id", F.expr("transform(_p, p -> named_struct('x', p.x, 'y', p.y))").alias("pts"),
+                     "highway", "name", "ref"))
+
+
+# Houses: a pentagon per building (roof apex above the rectangle); every
+# fourth one has a 2x2 courtyard hole.
+HOUSE_RINGS = """
+case when osm_id % 4 = 0 then array(
+  array(named_struct('x', x0, 'y', y0), named_struct('x', x0 + w, 'y', y0), named_struct('x', x0 + w, 'y', y0 + h),
+        named_struct('x', x0 + osm_id % w, 'y', y0 + h + 1 + osm_id % 5), named_struct('x', x0, 'y', y0 + h),
+        named_struct('x', x0, 'y', y0)),
+  array(named_struct('x', x0 + 1, 'y', y0 + 1), named_struct('x', x0 + 3, 'y', y0 + 1),
+        named_struct('x', x0 + 3, 'y', y0 + 3), named_struct('x', x0 + 1, 'y', y0 + 3),
+        named_struct('x', x0 + 1, 'y', y0 + 1)))
+else array(
+  array(named_struct('x', x0, 'y', y0), named_struct('x', x0 + w, 'y', y0), named_struct('x', x0 + w, 'y', y0 + h),
+        named_struct('x', x0 + osm_id % w, 'y', y0 + h + 1 + osm_id % 5), named_struct('x', x0, 'y', y0 + h),
+        named_struct('x', x0, 'y', y0))) end"""
+
+# Same houses as vertex rows (ring, i) for SQL oracles.
+HOUSE_VERTEX_SQL = """
+select osm_id, 0 as ring, 0 as i, x0 as x, y0 as y from fx_building
+union all select osm_id, 0, 1, x0 + w, y0 from fx_building
+union all select osm_id, 0, 2, x0 + w, y0 + h from fx_building
+union all select osm_id, 0, 3, x0 + osm_id % w, y0 + h + 1 + osm_id % 5 from fx_building
+union all select osm_id, 0, 4, x0, y0 + h from fx_building
+union all select osm_id, 0, 5, x0, y0 from fx_building
+union all select osm_id, 1, 0, x0 + 1, y0 + 1 from fx_building where osm_id % 4 = 0
+union all select osm_id, 1, 1, x0 + 3, y0 + 1 from fx_building where osm_id % 4 = 0
+union all select osm_id, 1, 2, x0 + 3, y0 + 3 from fx_building where osm_id % 4 = 0
+union all select osm_id, 1, 3, x0 + 1, y0 + 3 from fx_building where osm_id % 4 = 0
+union all select osm_id, 1, 4, x0 + 1, y0 + 1 from fx_building where osm_id % 4 = 0"""
+
+HOUSE_EDGE_SQL = """
+select a.osm_id, a.ring, a.i, a.x as x1, a.y as y1, b.x as x2, b.y as y2
+from fx_house_v a join fx_house_v b on a.osm_id = b.osm_id and a.ring = b.ring and b.i = a.i + 1"""
+
+
+def houses(spark: SparkSession, sf: str) -> DataFrame:
+    return fx(spark, sf, "fx_building").select("osm_id", F.expr(HOUSE_RINGS).alias("rings"))
