@@ -193,11 +193,11 @@ def box_rings(xmin, ymin, xmax, ymax) -> str:
 
 def pt_on_boundary(px, py, rings: str) -> str:
     """Point lies on an edge of any ring (exact for integer coordinates)."""
-    a, b = "r[i-1]", "r[i]"
+    a, b = "rg_[i_-1]", "rg_[i_]"
     on = (f"({_cross(px, py, a + '.x', a + '.y', b + '.x', b + '.y')} = 0 AND "
           f"least({a}.x,{b}.x) <= ({px}) AND ({px}) <= greatest({a}.x,{b}.x) AND "
           f"least({a}.y,{b}.y) <= ({py}) AND ({py}) <= greatest({a}.y,{b}.y))")
-    return f"exists({rings}, r -> exists(filter(sequence(1, greatest(size(r) - 1, 1)), i -> i < size(r)), i -> {on}))"
+    return f"exists({rings}, rg_ -> exists(filter(sequence(1, greatest(size(rg_) - 1, 1)), i_ -> i_ < size(rg_)), i_ -> {on}))"
 
 
 def pt_crossings(px, py, rings: str) -> str:
@@ -205,13 +205,13 @@ def pt_crossings(px, py, rings: str) -> str:
 
     ``x_int > px`` is tested as a sign product, so no division is needed.
     """
-    a, b = "r[i-1]", "r[i]"
+    a, b = "rg_[i_-1]", "rg_[i_]"
     straddle = f"(({a}.y > ({py})) <> ({b}.y > ({py})))"
     right = (f"((({b}.x - {a}.x) * (({py}) - {a}.y) - (({px}) - {a}.x) * ({b}.y - {a}.y)) "
              f"* sign({b}.y - {a}.y) > 0)")
     edge = f"CASE WHEN {straddle} AND {right} THEN 1 ELSE 0 END"
-    return (f"aggregate({rings}, 0, (acc, r) -> acc + "
-            f"aggregate(filter(sequence(1, greatest(size(r) - 1, 1)), i -> i < size(r)), 0, (n, i) -> n + {edge}))")
+    return (f"aggregate({rings}, 0, (acc_, rg_) -> acc_ + "
+            f"aggregate(filter(sequence(1, greatest(size(rg_) - 1, 1)), i_ -> i_ < size(rg_)), 0, (n_, i_) -> n_ + {edge}))")
 
 
 def pt_in_polygon(px, py, rings: str, boundary: bool = True) -> str:

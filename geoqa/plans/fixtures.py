@@ -74,6 +74,22 @@ select osm_id as fantoir,
        case when osm_id%13=0 then upper(name) when osm_id%4=0 then name else concat('Rue ',name) end as voie,
        case when osm_id%7=0 then 'CADASTRE' else 'BAN' end as source,
        x+(k*7+osm_id)%19-9 as x, y+(k*5+osm_id)%17-8 as y from fx_vertex""",
+    # one row per OSM way with the tags the checks read (NULL = tag absent)
+    "fx_way": """
+select osm_id, highway,
+       case when highway is null then null when osm_id%6=0 then 'motorway' when osm_id%6=1 then 'primary'
+            when osm_id%6=2 then 'secondary_link' when osm_id%6=3 then 'residential'
+            when osm_id%6=4 then 'tertiary' else 'service' end as hw_class,
+       case when osm_id%9=0 then ref else name end as name, ref,
+       case when osm_id%3=1 then cast(1+osm_id%4 as varchar(2)) end as lanes,
+       case when osm_id%7=2 then concat('n ', substr(ref, 3, 9)) end as old_ref,
+       case when osm_id%11=3 then replace(ref, ' ', '-') end as nat_ref,
+       case when osm_id%2=0 then 'line' end as power,
+       case when osm_id%3=1 then 'stream' end as waterway,
+       case when osm_id%4=2 then 'hiking' end as route,
+       case when osm_id%13=5 then 'roundabout' end as junction,
+       case when osm_id%17=4 then 'private' when osm_id%17=8 then 'no' end as access
+from (select distinct osm_id, highway, name, ref from fx_vertex) v""",
 }
 
 _FX_RE = re.compile(r"\bfx_[a-z_]+\b")

@@ -115,3 +115,27 @@ from fx_house_v a join fx_house_v b on a.osm_id = b.osm_id and a.ring = b.ring a
 
 def houses(spark: SparkSession, sf: str) -> DataFrame:
     return fx(spark, sf, "fx_building").select("osm_id", F.expr(HOUSE_RINGS).alias("rings"))
+
+
+TAG_KEYS = ("lanes", "old_ref", "nat_ref", "power", "waterway", "route", "junction", "access")
+
+
+def osm_ways(spark: SparkSession, sf: str) -> DataFrame:
+    """OSM ways: osm_id, highway (class), name, ref, tags map, pts (line)."""
+    w = fx(spark, sf, "fx_way")
+    entries = ", ".join(f"named_struct('k', '{k}', 'v', {k})" for k in TAG_KEYS)
+    w = w.select("osm_id", F.col("hw_class").alias("highway"), "name", "ref",
+                 F.expr(f"map_from_entries(transform(filter(array({entries}), e -> e.v IS NOT NULL), "
+                        f"e -> struct(e.k, e.v)))").alias("tags"))
+    lines = osm_lines(spark, sf).select("osm_id", "pts")
+    return w.join(lines, "osm_id")
+
+
+def osm_way_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """Segment rows of the OSM ways with way attributes (osm_id, seg, x1..y2, highway, name, ref, tags)."""
+    w = osm_ways(spark, sf)
+    s = w.select("osm_id", "highway", "name", "ref", "tags", F.explode(F.expr(
+        "transform(sequence(1, size(pts) - 1), i -> named_struct('seg', i - 1, 'x1', pts[i-1].x, 'y1', pts[i-1].y, "
+        "'x2', pts[i].x, 'y2', pts[i].y))")).alias("s"))
+    return s.select("osm_id", F.col("s.seg").alias("seg"), "s.x1", "s.y1", "s.x2", "s.y2",
+                    "highway", "name", "ref", "tags")
