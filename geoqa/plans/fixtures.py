@@ -122,7 +122,8 @@ def with_fixtures(body: str, ctes: tuple[tuple[str, str], ...] = ()) -> str:
     parts += [f"{n} AS ({s.strip()})" for n, s in ctes]
     if not parts:
         return body.strip()
-    return "WITH " + ",\n".join(parts) + "\n" + body.strip()
+    recursive = any("USING KEY" in n.upper() for n, _ in ctes)
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n" + body.strip()
 
 
 _REGISTERED: dict[int, str] = {}
