@@ -6,6 +6,7 @@ from geoqa.plans import ops_geometry  # noqa: F401
 from geoqa.plans import ops_joins  # noqa: F401
 from geoqa.plans import ops_relational  # noqa: F401
 from geoqa.plans import ops_cluster  # noqa: F401
+from geoqa.plans import checks_attr  # noqa: F401
 
 QUERIES = registry.QUERIES
 ORACLES = registry.ORACLES
