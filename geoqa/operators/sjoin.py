@@ -317,6 +317,14 @@ def geo_pt_seg_d(px: str, py: str, seg: tuple, scales: tuple[str, str] | None =
                                  f"(({x2}) - ({px})) * {sx}", f"(({y2}) - ({py})) * {sy}") + ")"
 
 
+def geo_pt_box_d2(px: str, py: str, box: tuple, scales: tuple[str, str] | None = None) -> str:
+    """Squared ground distance (m^2) point-box in the local metric of the point."""
+    sx, sy = scales or geo_scales(py)
+    xmin, ymin, xmax, ymax = box
+    return G.pt_box_d2("0", "0", f"(({xmin}) - ({px})) * {sx}", f"(({ymin}) - ({py})) * {sy}",
+                       f"(({xmax}) - ({px})) * {sx}", f"(({ymax}) - ({py})) * {sy}")
+
+
 def geo_margin(metres: float, max_abs_lat: float = 60.0) -> float:
     """Planar (Mercator) distance that bounds ``metres`` on the ground for
     points within ``max_abs_lat`` degrees of the equator."""

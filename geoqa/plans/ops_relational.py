@@ -201,8 +201,8 @@ def ref_pretty(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ T3 name filter
-CADASTRE_NAME = """case when cleabs % 5 = 0 then concat('chemin de ', n) when cleabs % 5 = 1 then concat('Rue ', n)
-  when cleabs % 5 = 2 then upper(n) when cleabs % 5 = 3 then concat('sentier dit ', n, ' des bois')
+CADASTRE_NAME = """case when cleabs % 7 = 0 then concat('chemin de ', n) when cleabs % 7 = 1 then concat('Rue ', n)
+  when cleabs % 7 = 2 then upper(n) when cleabs % 7 = 3 then concat('sentier dit ', n, ' des bois')
   else concat('allée ', n) end"""
 CADASTRE_NAMES_SQL = f"""
 select o.cleabs, {CADASTRE_NAME} as nom from (select distinct cleabs from fx_official) o
