@@ -325,6 +325,17 @@ def geo_pt_box_d2(px: str, py: str, box: tuple, scales: tuple[str, str] | None =
                        f"(({xmax}) - ({px})) * {sx}", f"(({ymax}) - ({py})) * {sy}")
 
 
+def geo_len_to_closest(px: str, py: str, seg: tuple, scales: tuple[str, str] | None = None) -> str:
+    """Ground length (m) of the planar shortest line from a point to a
+    segment (PostGIS ``st_length(st_shortestline(...)::geography)``)."""
+    sx, sy = scales or geo_scales(py)
+    x1, y1, x2, y2 = seg
+    t = G.closest_t(px, py, x1, y1, x2, y2)
+    cx = f"(({x1}) + (({x2}) - ({x1})) * {t})"
+    cy = f"(({y1}) + (({y2}) - ({y1})) * {t})"
+    return f"sqrt(power(({cx} - ({px})) * {sx}, 2) + power(({cy} - ({py})) * {sy}, 2))"
+
+
 def geo_margin(metres: float, max_abs_lat: float = 60.0) -> float:
     """Planar (Mercator) distance that bounds ``metres`` on the ground for
     points within ``max_abs_lat`` degrees of the equator."""
