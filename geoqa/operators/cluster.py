@@ -64,37 +64,76 @@ def connected_components(edges: DataFrame, nodes: DataFrame, src: str = "src", d
     raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
 
 
+def _offsets(d: float, reach: float, size: float) -> list:
+    """Forward cell offsets whose cells can hold a partner: anchors of two
+    partners differ by at most ``d + reach`` along each axis."""
+    k = int(math.ceil((d + reach) / size))
+    out = []
+    for dx in range(-k, k + 1):
+        for dy in range(-k, k + 1):
+            if not (dx > 0 or (dx == 0 and dy > 0)):
+                continue
+            gx, gy = max(0, abs(dx) - 1) * size, max(0, abs(dy) - 1) * size
+            if gx <= d + reach and gy <= d + reach:
+                out.append((dx, dy))
+    return out
+
+
 def cluster_within(points: DataFrame, dist: float, *, id_col: str = "id", x: str = "x", y: str = "y",
-                   group_by: tuple[str, ...] = (), out: str = "cluster_id") -> DataFrame:
+                   group_by: tuple[str, ...] = (), out: str = "cluster_id",
+                   box: tuple[str, str, str, str] | None = None, reach: float = 0.0) -> DataFrame:
     """ST_ClusterWithin as a table operator: every input row gets the id of
-    its cluster (smallest member id).  Points are clustered separately per
-    ``group_by`` key (e.g. department, route)."""
+    its cluster (smallest member id).  Rows are clustered separately per
+    ``group_by`` key (e.g. department, route).
+
+    ``box=(xmin, ymin, xmax, ymax)`` clusters rectangles by their gap
+    distance instead of points; ``x, y`` must then be a point of each box
+    (its anchor) and ``reach`` bounds the box size (larger boxes would be
+    missed, so it is checked).
+    """
     d = float(dist)
     size = d / math.sqrt(2) * (1 - 1e-12)
     gcols = list(group_by)
-    p = points.select(*gcols, F.col(id_col).alias("_id"), F.col(x).alias("_x"), F.col(y).alias("_y"))
+    bcols = [F.col(c).alias(f"_b{i}") for i, c in enumerate(box)] if box else []
+    p = points.select(*gcols, F.col(id_col).alias("_id"), F.col(x).alias("_x"), F.col(y).alias("_y"), *bcols)
+    if box:
+        p = p.where(F.expr(f"assert_true(greatest(_b2 - _b0, _b3 - _b1) <= {float(reach)}, "
+                           f"'box larger than reach') IS NULL"))
     p = (p.withColumn("_gx", F.floor(F.col("_x").cast("double") / size))
           .withColumn("_gy", F.floor(F.col("_y").cast("double") / size)))
     cells = p.groupBy(*gcols, "_gx", "_gy").agg(F.min("_id").alias("_rep"))
 
-    offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _FORWARD])
-    probe = (p.select(*gcols, "_gx", "_gy", "_x", "_y", F.explode(offs).alias("_o"))
-              .select(*gcols, "_gx", "_gy", "_x", "_y",
+    fwd = _offsets(d, float(reach) if box else 0.0, size)
+    offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in fwd])
+    geo = ["_x", "_y"] + ([f"_b{i}" for i in range(4)] if box else [])
+    probe = (p.select(*gcols, "_gx", "_gy", *geo, F.explode(offs).alias("_o"))
+              .select(*gcols, "_gx", "_gy", *geo,
                       (F.col("_gx") + F.col("_o.dx")).alias("_tx"), (F.col("_gy") + F.col("_o.dy")).alias("_ty")))
     target = p.select(*[F.col(g).alias("t_" + g) for g in gcols], F.col("_gx").alias("_tx"),
-                      F.col("_gy").alias("_ty"), F.col("_x").alias("_qx"), F.col("_y").alias("_qy"))
+                      F.col("_gy").alias("_ty"), *[F.col(c).alias("q" + c) for c in geo])
     l, r = probe.alias("l"), target.alias("r")
     cond = (F.col("l._tx") == F.col("r._tx")) & (F.col("l._ty") == F.col("r._ty"))
     for g in gcols:
         cond = cond & (F.col(f"l.{g}") == F.col(f"r.t_{g}"))
-    cond = cond & F.expr(G.pt_pt_within("l._x", "l._y", "r._qx", "r._qy", repr(d)))
+    if box:
+        pair = (f"{G.box_box_d2(('l._b0', 'l._b1', 'l._b2', 'l._b3'), ('r.q_b0', 'r.q_b1', 'r.q_b2', 'r.q_b3'))} "
+                f"<= {d!r} * {d!r}")
+    else:
+        pair = G.pt_pt_within("l._x", "l._y", "r.q_x", "r.q_y", repr(d))
+    cond = cond & F.expr(pair)
     hits = l.join(r, cond, "left_semi").select(*gcols, "_gx", "_gy", "_tx", "_ty").distinct()
 
-    ca = cells.select(*gcols, "_gx", "_gy", F.col("_rep").alias("src"))
-    cb = cells.select(*gcols, F.col("_gx").alias("_tx"), F.col("_gy").alias("_ty"), F.col("_rep").alias("dst"))
+    # graph nodes are (group, representative id): ids only need to be unique within a group
+    def key(rep: str):
+        return F.struct(*[F.col(g) for g in gcols], F.col(rep).alias("_rep")) if gcols else F.col(rep)
+
+    ca = cells.select(*gcols, "_gx", "_gy", key("_rep").alias("src"))
+    cb = cells.select(*gcols, F.col("_gx").alias("_tx"), F.col("_gy").alias("_ty"), key("_rep").alias("dst"))
     edges = hits.join(ca, [*gcols, "_gx", "_gy"]).join(cb, [*gcols, "_tx", "_ty"]).select("src", "dst")
-    comp = connected_components(edges, cells.select(F.col("_rep").alias("node")))
-    cell_label = cells.join(comp, cells._rep == comp.node).select(*gcols, "_gx", "_gy", F.col("label").alias(out))
+    comp = connected_components(edges, cells.select(key("_rep").alias("node")))
+    label = F.col("label._rep") if gcols else F.col("label")
+    cell_label = (cells.withColumn("_node", key("_rep")).join(comp, F.col("_node") == comp.node)
+                  .select(*gcols, "_gx", "_gy", label.alias(out)))
     res = (points.withColumn("_gx", F.floor(F.col(x).cast("double") / size))
                  .withColumn("_gy", F.floor(F.col(y).cast("double") / size)))
     return res.join(cell_label, [*gcols, "_gx", "_gy"]).drop("_gx", "_gy")

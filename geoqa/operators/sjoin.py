@@ -291,6 +291,15 @@ def geo_scales(y: str) -> tuple[str, str]:
     return crs.scale_e(y), crs.scale_n(y)
 
 
+def with_geo_scales(df: DataFrame, y: str, sx: str = "_sx", sy: str = "_sy") -> DataFrame:
+    """Add the ground scale factors at ordinate ``y`` as columns, so join
+    residuals refer to two numbers instead of repeating the formula."""
+    return df.withColumn(sx, F.expr(crs.scale_e(y))).withColumn(sy, F.expr(crs.scale_n(y)))
+
+
+L_SCALES = ("l._sx", "l._sy")
+
+
 def geo_pt_seg_within(px: str, py: str, seg: tuple, metres, op: str = "<=",
                       scales: tuple[str, str] | None = None) -> str:
     """Geodesic ``distance(point, segment) <op> metres`` in the local metric

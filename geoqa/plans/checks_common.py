@@ -75,8 +75,10 @@ def two_stage_pairs(lines: DataFrame, way_segs: DataFrame, *, line_id: str, way_
     join is skipped.  ``residual``: extra SQL over ``l.``/``r.`` columns.
     """
     mids = SJ.guard_latitude(with_midpoint(lines, pts), "my", max_abs_lat).drop(pts)
+    mids = SJ.with_geo_scales(mids, "my")
     margin = SJ.geo_margin(fine_m, max_abs_lat)
-    fine = SJ.geo_pt_seg_within("l.mx", "l.my", ("r.x1", "r.y1", "r.x2", "r.y2"), str(fine_m), fine_op)
+    fine = SJ.geo_pt_seg_within("l.mx", "l.my", ("r.x1", "r.y1", "r.x2", "r.y2"), str(fine_m), fine_op,
+                                scales=SJ.L_SCALES)
     if residual:
         fine = f"({fine}) AND ({residual})"
     pairs = (SJ.dwithin_join(mids, way_segs, margin, left_geom=Point("mx", "my"), residual=fine,

@@ -148,11 +148,11 @@ def cadastre_name_without_road(cad: DataFrame, communes: DataFrame, ways: DataFr
     m = with_midpoint(c).select("cleabs", "nom", "mx", "my", *[F.expr(e).alias(n) for e, n in
                                                               zip(bx, ("lx0", "ly0", "lx1", "ly1"))])
     m = SJ.contains_join(m, communes, point=Point("mx", "my"), polygon=COMMUNE_POLY).select(*m.columns)
-    m = SJ.guard_latitude(m, "my", max_abs_lat)
+    m = SJ.with_geo_scales(SJ.guard_latitude(m, "my", max_abs_lat), "my")
     h = ways.where("highway IS NOT NULL")
     wb = h.select("osm_id", *[F.expr(e).alias(n) for e, n in zip(bx, ("wx0", "wy0", "wx1", "wy1"))])
     hs = line_segments(h.select("osm_id", "pts"))
-    geo = SJ.geo_pt_seg_within("l.mx", "l.my", ("r.x1", "r.y1", "r.x2", "r.y2"), str(fine_m))
+    geo = SJ.geo_pt_seg_within("l.mx", "l.my", ("r.x1", "r.y1", "r.x2", "r.y2"), str(fine_m), scales=SJ.L_SCALES)
     pairs = (SJ.dwithin_join(m, hs, SJ.geo_margin(fine_m, max_abs_lat), left_geom=Point("mx", "my"), residual=geo)
              .select("cleabs", "lx0", "ly0", "lx1", "ly1", "osm_id").distinct())
     pairs = pairs.join(wb, "osm_id").where(F.expr(G.box_overlap(("lx0", "ly0", "lx1", "ly1"), ("wx0", "wy0", "wx1", "wy1"))))
@@ -196,21 +196,22 @@ def cadastre_street_without_road(centres: DataFrame, register_: DataFrame, way_l
     drops the street) with no highway line (< dist_m m, or its centroid
     < dist_m m) and no highway area (< dist_m m)."""
     v = centres.join(register_.where(~F.col("mot").isin(*T.EXCLUDED_WORDS)), "fantoir")
-    v = SJ.guard_latitude(v, "y", max_abs_lat)
+    v = SJ.with_geo_scales(SJ.guard_latitude(v, "y", max_abs_lat), "y")
     margin = SJ.geo_margin(dist_m, max_abs_lat)
     segs = line_segments(way_lines.select("osm_id", "pts"))
-    geo_seg = SJ.geo_pt_seg_within("l.x", "l.y", ("r.x1", "r.y1", "r.x2", "r.y2"), str(dist_m), "<")
+    geo_seg = SJ.geo_pt_seg_within("l.x", "l.y", ("r.x1", "r.y1", "r.x2", "r.y2"), str(dist_m), "<", scales=SJ.L_SCALES)
     by_line = SJ.dwithin_join(v, segs, margin, residual=geo_seg).select("fantoir", "osm_id")
     if margin > line_coarse:  # the whole-line planar bound is not implied by the ground test
         by_line = by_line.join(SJ.dwithin_join(v, segs, line_coarse).select("fantoir", "osm_id"),
                                ["fantoir", "osm_id"], "left_semi")
     cen = way_lines.select("osm_id", F.expr(LN.centroid("pts")).alias("c")).select(
         "osm_id", F.col("c.x").alias("gx"), F.col("c.y").alias("gy"))
-    geo_cen = SJ.geo_pt_pt_within("l.x", "l.y", "r.gx", "r.gy", str(dist_m), "<")
+    geo_cen = SJ.geo_pt_pt_within("l.x", "l.y", "r.gx", "r.gy", str(dist_m), "<", scales=SJ.L_SCALES)
     by_cen = SJ.dwithin_join(v, cen, margin, right_geom=Point("gx", "gy"), residual=geo_cen).select("fantoir", "osm_id")
     by_cen = by_cen.join(SJ.dwithin_join(v, segs, line_coarse).select("fantoir", "osm_id"),
                          ["fantoir", "osm_id"], "left_semi")
-    geo_area = f"{SJ.geo_pt_box_d2('l.x', 'l.y', ('r.xmin', 'r.ymin', 'r.xmax', 'r.ymax'))} < {dist_m * dist_m}"
+    geo_area = (f"{SJ.geo_pt_box_d2('l.x', 'l.y', ('r.xmin', 'r.ymin', 'r.xmax', 'r.ymax'), scales=SJ.L_SCALES)} "
+                f"< {dist_m * dist_m}")
     by_area = SJ.dwithin_join(v, areas, min(margin, area_coarse), right_geom=Box(), residual=geo_area)
     matched = by_line.select("fantoir").unionByName(by_cen.select("fantoir")).unionByName(by_area.select("fantoir"))
     lonely = v.join(matched.distinct(), "fantoir", "left_anti")
@@ -252,8 +253,8 @@ def missing_path_vertex(vertices: DataFrame, highway_segs: DataFrame, planar: fl
                         max_abs_lat: float = 60.0) -> DataFrame:
     """7170/98: distinct route vertices with no highway within ``planar``
     units and ``fine_m`` ground metres."""
-    v = SJ.guard_latitude(vertices, "y", max_abs_lat)
-    geo = SJ.geo_pt_seg_within("l.x", "l.y", ("r.x1", "r.y1", "r.x2", "r.y2"), str(fine_m))
+    v = SJ.with_geo_scales(SJ.guard_latitude(vertices, "y", max_abs_lat), "y")
+    geo = SJ.geo_pt_seg_within("l.x", "l.y", ("r.x1", "r.y1", "r.x2", "r.y2"), str(fine_m), scales=SJ.L_SCALES)
     lonely = SJ.dwithin_join(v, highway_segs, min(planar, SJ.geo_margin(fine_m, max_abs_lat)),
                              residual=f"{G.pt_seg_within('l.x', 'l.y', 'r.x1', 'r.y1', 'r.x2', 'r.y2', str(planar))} AND {geo}",
                              how="left_anti")
@@ -279,8 +280,8 @@ def poi_near_building(pois: DataFrame, communes: DataFrame, buildings: DataFrame
     p = SJ.contains_join(p, communes, polygon=COMMUNE_POLY).select(*p.columns).distinct()
     b = buildings.select("xmin", "ymin", "xmax", "ymax")
     p = SJ.dwithin_join(p, b, 0, right_geom=Box(), how="left_anti")
-    near = SJ.dwithin_join(p, b, dist, right_geom=Box())
-    d = F.sqrt(F.expr(SJ.geo_pt_box_d2("x", "y", ("xmin", "ymin", "xmax", "ymax"))))
+    near = SJ.with_geo_scales(SJ.dwithin_join(p, b, dist, right_geom=Box()), "y")
+    d = F.sqrt(F.expr(SJ.geo_pt_box_d2("x", "y", ("xmin", "ymin", "xmax", "ymax"), scales=("_sx", "_sy"))))
     g = near.groupBy("osm_id", "x", "y", "shop").agg(F.round(F.min(d), 2).alias("dist_m"))
     return g.select("osm_id", "shop", "dist_m", *lonlat_cols("x", "y"))
 

@@ -49,11 +49,11 @@ def shifted_admin_vertices(official: DataFrame, osm_boundaries: DataFrame, min_m
     """
     v = official.select("insee", "nom", F.explode(F.flatten("rings")).alias("p")).select(
         "insee", "nom", F.col("p.x").alias("x"), F.col("p.y").alias("y")).distinct()
-    v = SJ.guard_latitude(v, "y", max_abs_lat)
-    geo = SJ.geo_pt_seg_within("l.x", "l.y", ("r.x1", "r.y1", "r.x2", "r.y2"), str(min_m))
+    v = SJ.with_geo_scales(SJ.guard_latitude(v, "y", max_abs_lat), "y")
+    geo = SJ.geo_pt_seg_within("l.x", "l.y", ("r.x1", "r.y1", "r.x2", "r.y2"), str(min_m), scales=SJ.L_SCALES)
     far = SJ.dwithin_join(v, osm_boundaries.withColumnRenamed("insee", "b_insee"), SJ.geo_margin(min_m, max_abs_lat),
                           residual=f"l.insee = r.b_insee AND {geo}", how="left_anti")
-    d = F.expr(SJ.geo_pt_seg_d("x", "y", ("x1", "y1", "x2", "y2")))
+    d = F.expr(SJ.geo_pt_seg_d("x", "y", ("x1", "y1", "x2", "y2"), scales=("_sx", "_sy")))
     dist = far.join(osm_boundaries, "insee").groupBy("insee", "nom", "x", "y").agg(F.min(d).alias("d"))
     g = dist.groupBy("x", "y").agg(
         F.max(F.round("d", 1)).alias("dist_m"),
@@ -92,10 +92,11 @@ def road_ref_or_shift(lines: DataFrame, areas: DataFrame, way_segs: DataFrame, m
                    F.explode(F.expr(LN.substring("pts", "0.1", "0.9"))).alias("v"))
     sub = SJ.guard_latitude(sub.select("cleabs", "num_route", "precision", "mx", "my",
                                        F.col("v.x").alias("vx"), F.col("v.y").alias("vy")), "vy", max_abs_lat)
+    sub = SJ.with_geo_scales(sub, "vy")
     h = way_segs.where("highway IS NOT NULL").select(
         "x1", "y1", "x2", "y2", F.upper(T.strip_spaces("ref")).alias("rref"),
         F.col("highway").like("%_link").alias("is_link"), F.element_at("tags", "junction").isNotNull().alias("has_jct"))
-    geo = SJ.geo_pt_seg_within("l.vx", "l.vy", ("r.x1", "r.y1", "r.x2", "r.y2"), str(fine_m))
+    geo = SJ.geo_pt_seg_within("l.vx", "l.vy", ("r.x1", "r.y1", "r.x2", "r.y2"), str(fine_m), scales=SJ.L_SCALES)
     planar = G.pt_seg_within("l.vx", "l.vy", "r.x1", "r.y1", "r.x2", "r.y2", str(coarse))
     lonely = SJ.dwithin_join(sub, h, min(coarse, SJ.geo_margin(fine_m, max_abs_lat)), left_geom=Point("vx", "vy"),
                              residual=f"{planar} AND {geo} AND (l.num_route = r.rref OR r.is_link OR r.has_jct)",

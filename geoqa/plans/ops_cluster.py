@@ -15,17 +15,24 @@ from geoqa.plans.ops_joins import SEG_S, band
 from geoqa.plans.registry import query
 
 
-def components_ctes(points: str, dist: int, group: str | None = None) -> tuple:
-    """CTEs ``cc_e`` (edges within dist) and ``cc_lab`` (id -> smallest id of
-    its component) over a CTE ``points`` with columns id, x, y[, group]."""
-    same = f" and a.{group} = b.{group}" if group else ""
-    edges = (f"select a.id as s, b.id as t from {points} a join {points} b "
-             f"on a.x between b.x - {dist} and b.x + {dist} and a.y between b.y - {dist} and b.y + {dist}{same} "
-             f"where {G.pt_pt_within('a.x', 'a.y', 'b.x', 'b.y', str(dist))}")
-    lab = (f"select id, id from {points} union "
-           f"select e.s, min(l.label) from cc_e e join cc_lab l on l.id = e.t join recurring.cc_lab c on c.id = e.s "
-           f"group by e.s, c.label having min(l.label) < c.label")
-    return (("cc_e", edges), ("cc_lab(id, label) USING KEY (id)", lab))
+def components_ctes(points: str, dist: int, group: str | None = None, pair: str | None = None,
+                    band: int | None = None) -> tuple:
+    """CTEs ``cc_e`` (edges within dist) and ``cc_lab`` ((g, id) -> smallest
+    id of its component within group g) over a CTE ``points`` with columns
+    id, x, y[, group].  ``pair`` replaces the point-distance test (over
+    ``a.``/``b.``); ``band`` widens the coordinate pre-filter."""
+    g = f"a.{group}" if group else "0"
+    gb = f"b.{group}" if group else "0"
+    w = band if band is not None else dist
+    test = pair or G.pt_pt_within('a.x', 'a.y', 'b.x', 'b.y', str(dist))
+    edges = (f"select {g} as g, a.id as s, b.id as t from {points} a join {points} b "
+             f"on {g} = {gb} and a.x between b.x - {w} and b.x + {w} and a.y between b.y - {w} and b.y + {w} "
+             f"where {test}")
+    lab = (f"select distinct {'p.' + group if group else '0'}, p.id, p.id from {points} p union "
+           f"select e.g, e.s, min(l.label) from cc_e e join cc_lab l on l.g = e.g and l.id = e.t "
+           f"join recurring.cc_lab c on c.g = e.g and c.id = e.s "
+           f"group by e.g, e.s, c.label having min(l.label) < c.label")
+    return (("cc_e", edges), ("cc_lab(g, id, label) USING KEY (g, id)", lab))
 
 
 _LONELY_SQL = f"""

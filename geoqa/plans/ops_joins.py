@@ -113,8 +113,8 @@ def twostage_anti(spark: SparkSession, sf: str) -> DataFrame:
     """Coarse planar 150 then geodesic < 110 m (address without road)."""
     a = inputs.addresses(spark, sf).select("id", "x", "y")
     s = inputs.highways(spark, sf).select("x1", "y1", "x2", "y2")
-    fine = SJ.geo_pt_seg_within("l.x", "l.y", ("r.x1", "r.y1", "r.x2", "r.y2"), "110", "<")
-    return SJ.dwithin_join(a, s, 150, how="left_anti", residual=fine).select("id")
+    fine = SJ.geo_pt_seg_within("l.x", "l.y", ("r.x1", "r.y1", "r.x2", "r.y2"), "110", "<", scales=SJ.L_SCALES)
+    return SJ.dwithin_join(SJ.with_geo_scales(a, "y"), s, 150, how="left_anti", residual=fine).select("id")
 
 
 # ------------------------------------------------------------------ A8
