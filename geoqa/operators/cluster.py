@@ -21,9 +21,14 @@ Plan
 from __future__ import annotations
 
 import math
+import os
 
+import numpy as np
+import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geoqa.functions import geom as G
 from geoqa.session import ensure_checkpoint_dir
@@ -32,7 +37,7 @@ _FORWARD = [(dx, dy) for dx in range(-2, 3) for dy in range(-2, 3) if dx > 0 or
 
 
 def connected_components(edges: DataFrame, nodes: DataFrame, src: str = "src", dst: str = "dst",
-                         node: str = "node", max_rounds: int = 200) -> DataFrame:
+                         node: str = "node", max_rounds: int = 200, checkpoint_every: int = 3) -> DataFrame:
     """Label every node with the smallest node id of its component.
 
     ``edges``: undirected pairs (either direction is enough); ``nodes``: all
@@ -45,7 +50,9 @@ def connected_components(edges: DataFrame, nodes: DataFrame, src: str = "src", d
     e = e.checkpoint(eager=True)
     labels = nodes.select(F.col(node).alias("node")).distinct().withColumn("label", F.col("node"))
     labels = labels.checkpoint(eager=True)
-    for _ in range(max_rounds):
+    if e.isEmpty():
+        return labels
+    for r in range(1, max_rounds + 1):
         # 1. min label over neighbours
         nb = (e.join(labels.withColumnRenamed("node", "b"), "b")
                .groupBy("a").agg(F.min("label").alias("nl")))
@@ -55,10 +62,15 @@ def connected_components(edges: DataFrame, nodes: DataFrame, src: str = "src", d
         hop = step.select(F.col("node").alias("lnode"), F.col("label").alias("ll"))
         new = (step.join(hop, step.label == hop.lnode, "left")
                .select("node", F.least("label", F.coalesce("ll", "label")).alias("label")))
-        new = new.checkpoint(eager=True)
+        # reliable checkpoint every few rounds bounds lineage (and recomputation
+        # after a lost executor); in between the round result is cached
+        new = new.checkpoint(eager=True) if r % checkpoint_every == 0 else new.persist(StorageLevel.MEMORY_AND_DISK)
         changed = (new.join(labels.withColumnRenamed("label", "old"), "node")
                    .where(F.col("label") != F.col("old")).limit(1).count())
+        labels.unpersist()
         labels = new
+        if os.environ.get("GEOQA_DEBUG"):
+            print(f"[cc] round {r} changed={changed}", flush=True)
         if changed == 0:
             return labels
     raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
@@ -95,12 +107,17 @@ def cluster_within(points: DataFrame, dist: float, *, id_col: str = "id", x: str
     size = d / math.sqrt(2) * (1 - 1e-12)
     gcols = list(group_by)
     bcols = [F.col(c).alias(f"_b{i}") for i, c in enumerate(box)] if box else []
-    p = points.select(*gcols, F.col(id_col).alias("_id"), F.col(x).alias("_x"), F.col(y).alias("_y"), *bcols)
+    p = points.select(*gcols, F.col(id_col).alias("_id"), F.col(x).alias("_x"), F.col(y).alias("_y"), *bcols,
+                      F.struct(*[F.col(c) for c in points.columns]).alias("_orig"))
     if box:
         p = p.where(F.expr(f"assert_true(greatest(_b2 - _b0, _b3 - _b1) <= {float(reach)}, "
                            f"'box larger than reach') IS NULL"))
     p = (p.withColumn("_gx", F.floor(F.col("_x").cast("double") / size))
           .withColumn("_gy", F.floor(F.col("_y").cast("double") / size)))
+    # the iterative part runs several jobs: materialise the input once (reliable
+    # checkpoint in the shared folder) instead of recomputing its plan per job
+    ensure_checkpoint_dir(points.sparkSession)
+    p = p.checkpoint(eager=True)
     cells = p.groupBy(*gcols, "_gx", "_gy").agg(F.min("_id").alias("_rep"))
 
     fwd = _offsets(d, float(reach) if box else 0.0, size)
@@ -121,22 +138,107 @@ def cluster_within(points: DataFrame, dist: float, *, id_col: str = "id", x: str
     else:
         pair = G.pt_pt_within("l._x", "l._y", "r.q_x", "r.q_y", repr(d))
     cond = cond & F.expr(pair)
-    hits = l.join(r, cond, "left_semi").select(*gcols, "_gx", "_gy", "_tx", "_ty").distinct()
+    hits = (l.join(r, cond, "left_semi").select(*gcols, "_gx", "_gy", "_tx", "_ty").distinct()
+            .persist(StorageLevel.MEMORY_AND_DISK))
+
+    cell_label = _label_cells(cells, hits, gcols).withColumnRenamed("_label", out)
+    # rows come back from the checkpointed input (original columns kept in it)
+    return p.join(cell_label, [*gcols, "_gx", "_gy"]).select(*[F.col("_orig." + c).alias(c) for c in points.columns],
+                                                             F.col(out))
+
+
+TILE = 64  # cells per tile side: a tile holds at most TILE**2 nodes, whatever the data
+
+
+def _tile_components(gcols: list):
+    """Pandas function: connected components of the cells of one tile over
+    the edges inside it (vectorised min-label propagation with pointer
+    jumping).  Returns each cell with the smallest representative id of its
+    tile-local component."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        nodes = pdf[pdf["_kind"] == 0].sort_values("_rep")
+        edges = pdf[pdf["_kind"] == 1]
+        lab = np.arange(len(nodes))
+        if len(edges):
+            def mi(df, a, b):
+                return pd.MultiIndex.from_arrays([df[g].to_numpy() for g in gcols] + [df[a].to_numpy(), df[b].to_numpy()])
+            pos = pd.Series(lab, index=mi(nodes, "_gx", "_gy"))
+            s = pos.reindex(mi(edges, "_gx", "_gy")).to_numpy()
+            t = pos.reindex(mi(edges, "_tx", "_ty")).to_numpy()
+            while True:
+                m = np.minimum(lab[s], lab[t])
+                new = lab.copy()
+                np.minimum.at(new, s, m)
+                np.minimum.at(new, t, m)
+                while True:
+                    jumped = new[new]
+                    if np.array_equal(jumped, new):
+                        break
+                    new = jumped
+                if np.array_equal(new, lab):
+                    break
+                lab = new
+        out = nodes[gcols + ["_gx", "_gy"]].copy()
+        out["_lrep"] = nodes["_rep"].to_numpy()[lab]
+        return out
+
+    return run
+
+
+def _label_cells(cells: DataFrame, hits: DataFrame, gcols: list) -> DataFrame:
+    """Component label (smallest member id) of every cell.
+
+    1. Tiles of TILE x TILE cells are contracted independently with
+       ``applyInPandas`` (bounded groups: a dense city is many tiles).
+    2. Only edges that cross tiles enter the iterative Spark job, on the
+       contracted graph, so it needs far fewer rounds.
+    """
+    def tile(cx, cy):
+        # tile of the cell, split 16 ways by group so many small groups share a few pandas calls
+        hb = F.pmod(F.xxhash64(*[F.col(g) for g in gcols]), F.lit(16)) if gcols else F.lit(0).cast("long")
+        return [F.floor(F.col(cx) / TILE).alias("_ux"), F.floor(F.col(cy) / TILE).alias("_uy"), hb.alias("_hb")]
+
+    cells = cells.withColumn("_rep", F.col("_rep").cast("long"))
+
+    def key(rep: str):
+        return F.struct(*[F.col(g) for g in gcols], F.col(rep).alias("_rep")) if gcols else F.col(rep)
+
+    if os.environ.get("GEOQA_TILE_CONTRACT", "1") == "0":
+        ca = cells.select(*gcols, "_gx", "_gy", key("_rep").alias("src"))
+        cb = cells.select(*gcols, F.col("_gx").alias("_tx"), F.col("_gy").alias("_ty"), key("_rep").alias("dst"))
+        edges = hits.join(ca, [*gcols, "_gx", "_gy"]).join(cb, [*gcols, "_tx", "_ty"]).select("src", "dst")
+        comp = connected_components(edges, cells.select(key("_rep").alias("node")))
+        lab = F.col("label._rep") if gcols else F.col("label")
+        return (cells.withColumn("_node", key("_rep")).join(comp, F.col("_node") == comp.node)
+                .select(*gcols, "_gx", "_gy", lab.alias("_label")))
+    same_tile =((F.floor(F.col("_gx") / TILE) == F.floor(F.col("_tx") / TILE))
+                 & (F.floor(F.col("_gy") / TILE) == F.floor(F.col("_ty") / TILE)))
+    node_rows = cells.select(*gcols, *tile("_gx", "_gy"), F.lit(0).alias("_kind"), "_gx", "_gy",
+                             F.lit(None).cast("long").alias("_tx"), F.lit(None).cast("long").alias("_ty"), "_rep")
+    edge_rows = hits.where(same_tile).select(*gcols, *tile("_gx", "_gy"), F.lit(1).alias("_kind"), "_gx", "_gy",
+                                             F.col("_tx").cast("long"), F.col("_ty").cast("long"),
+                                             F.lit(None).cast("long").alias("_rep"))
+    schema = T.StructType([cells.schema[g] for g in gcols] + [
+        T.StructField("_gx", T.LongType()), T.StructField("_gy", T.LongType()), T.StructField("_lrep", T.LongType())])
+    local = (node_rows.unionByName(edge_rows).groupBy("_ux", "_uy", "_hb")
+             .applyInPandas(_tile_components(gcols), schema)).persist(StorageLevel.MEMORY_AND_DISK)
 
     # graph nodes are (group, representative id): ids only need to be unique within a group
     def key(rep: str):
         return F.struct(*[F.col(g) for g in gcols], F.col(rep).alias("_rep")) if gcols else F.col(rep)
 
-    ca = cells.select(*gcols, "_gx", "_gy", key("_rep").alias("src"))
-    cb = cells.select(*gcols, F.col("_gx").alias("_tx"), F.col("_gy").alias("_ty"), key("_rep").alias("dst"))
-    edges = hits.join(ca, [*gcols, "_gx", "_gy"]).join(cb, [*gcols, "_tx", "_ty"]).select("src", "dst")
-    comp = connected_components(edges, cells.select(key("_rep").alias("node")))
-    label = F.col("label._rep") if gcols else F.col("label")
-    cell_label = (cells.withColumn("_node", key("_rep")).join(comp, F.col("_node") == comp.node)
-                  .select(*gcols, "_gx", "_gy", label.alias(out)))
-    res = (points.withColumn("_gx", F.floor(F.col(x).cast("double") / size))
-                 .withColumn("_gy", F.floor(F.col(y).cast("double") / size)))
-    return res.join(cell_label, [*gcols, "_gx", "_gy"]).drop("_gx", "_gy")
+    la = local.select(*gcols, "_gx", "_gy", key("_lrep").alias("src"))
+    lb = local.select(*gcols, F.col("_gx").alias("_tx"), F.col("_gy").alias("_ty"), key("_lrep").alias("dst"))
+    cross = hits.where(~same_tile)
+    redges = cross.join(la, [*gcols, "_gx", "_gy"]).join(lb, [*gcols, "_tx", "_ty"]).select("src", "dst")
+    redges = redges.where(F.col("src") != F.col("dst")).distinct()
+    rnodes = redges.select(F.col("src").alias("node")).unionByName(redges.select(F.col("dst").alias("node")))
+    comp = connected_components(redges, rnodes)
+    final = (local.withColumn("_node", key("_lrep")).join(comp, F.col("_node") == comp.node, "left")
+             .withColumn("_fin", F.coalesce(F.col("label"), F.col("_node"))))
+    lab = F.col("_fin._rep") if gcols else F.col("_fin")
+    return final.select(*gcols, "_gx", "_gy", lab.alias("_label"))
 
 
 def cluster_centroid(clustered: DataFrame, *, cluster: str = "cluster_id", x: str = "x", y: str = "y",

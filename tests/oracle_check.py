@@ -77,7 +77,7 @@ def main():
     pats = [a for a in args if not a.startswith("/")]
     from geoqa.session import get_spark
     import __spark_entry__ as E
-    spark = get_spark("local[8]", 8)
+    spark = get_spark("local[8]", 8, extra={"spark.driver.memory": "16g"})
     con = duck(sf_dir)
     qs, os_ = E.queries(), E.oracle_sql()
     bad = 0
