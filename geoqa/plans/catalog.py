@@ -11,6 +11,7 @@ from geoqa.plans import checks_dist  # noqa: F401
 from geoqa.plans import checks_shift  # noqa: F401
 from geoqa.plans import checks_cluster  # noqa: F401
 from geoqa.plans import checks_street  # noqa: F401
+from geoqa.plans import ops_io  # noqa: F401
 
 QUERIES = registry.QUERIES
 ORACLES = registry.ORACLES
