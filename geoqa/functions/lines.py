@@ -150,6 +150,69 @@ def point_on_surface(rings: str) -> str:
             f"named_struct('x', {best}.x, 'y', s)), 1)), 1)")
 
 
+# ------------------------------------------------------ segment vs convex ring
+def _halfplanes(cons: list) -> str:
+    """Interval of t in [0, 1] where every ``num + t * den >= 0`` holds:
+    struct(lo, hi, ok)."""
+    lo = ", ".join(f"CASE WHEN ({d}) > 0 THEN -({n}) / ({d}) END" for n, d in cons)
+    hi = ", ".join(f"CASE WHEN ({d}) < 0 THEN -({n}) / ({d}) END" for n, d in cons)
+    bad = " OR ".join(f"(({d}) = 0 AND ({n}) < 0)" for n, d in cons)
+    return (f"named_struct('lo', greatest(0D, {lo}), 'hi', least(1D, {hi}), 'bad', {bad})")
+
+
+def clip_convex(x1: str, y1: str, x2: str, y2: str, ring: str) -> str:
+    """Part of segment (x1,y1)-(x2,y2) inside a counter-clockwise convex
+    ring (Cyrus-Beck): struct(lo, hi) of the parameter; empty when lo > hi."""
+    e1, e2 = f"{ring}[i - 1]", f"{ring}[i]"
+    nx, ny = f"(-({e2}.y - {e1}.y))", f"({e2}.x - {e1}.x)"
+    num = f"({nx} * (({x1}) - {e1}.x) + {ny} * (({y1}) - {e1}.y))"
+    den = f"({nx} * (({x2}) - ({x1})) + {ny} * (({y2}) - ({y1})))"
+    step = (f"(s, i) -> named_struct("
+            f"'lo', CASE WHEN {den} > 0 THEN greatest(s.lo, -{num} / {den}) ELSE s.lo END, "
+            f"'hi', CASE WHEN {den} < 0 THEN least(s.hi, -{num} / {den}) ELSE s.hi END, "
+            f"'bad', s.bad OR ({den} = 0 AND {num} < 0))")
+    idx = f"filter(sequence(1, greatest(size({ring}) - 1, 1)), i -> i < size({ring}))"
+    return (f"aggregate({idx}, named_struct('lo', 0D, 'hi', 1D, 'bad', false), {step}, "
+            f"s -> CASE WHEN s.bad THEN named_struct('lo', 1D, 'hi', 0D) ELSE named_struct('lo', s.lo, 'hi', s.hi) END)")
+
+
+def clip_buffer(x1: str, y1: str, x2: str, y2: str, ring: str, r: float, with_interior: str) -> str:
+    """Part of the segment within ``r`` of a convex ring (the ring buffered
+    by r): the union of the ring itself (when ``with_interior`` is true),
+    a rectangle along every edge and a disc at every vertex.  The buffer is
+    convex, so the union is one interval: [min lo, max hi] of the pieces."""
+    vx, vy = f"(({x2}) - ({x1}))", f"(({y2}) - ({y1}))"
+    e1, e2 = "rb_[j - 1]", "rb_[j]"
+    ux, uy = f"({e2}.x - {e1}.x)", f"({e2}.y - {e1}.y)"
+    L = f"sqrt(cast({ux} * {ux} + {uy} * {uy} AS double))"
+    ax, ay = f"(({x1}) - {e1}.x)", f"(({y1}) - {e1}.y)"
+    nhx, nhy = f"(-{uy} / {L})", f"({ux} / {L})"
+    an = f"({ax} * {nhx} + {ay} * {nhy})"
+    vn = f"({vx} * {nhx} + {vy} * {nhy})"
+    rect = _halfplanes([(f"({ax} * {ux} + {ay} * {uy})", f"({vx} * {ux} + {vy} * {uy})"),
+                        (f"((({e2}.x - ({x1})) * {ux}) + (({e2}.y - ({y1})) * {uy}))", f"(-({vx} * {ux} + {vy} * {uy}))"),
+                        (f"({r!r} - {an})", f"(-{vn})"),
+                        (f"({r!r} + {an})", f"({vn})")])
+    A = f"({vx} * {vx} + {vy} * {vy})"
+    B = f"(2 * ({vx} * {ax} + {vy} * {ay}))"
+    C = f"({ax} * {ax} + {ay} * {ay} - {r!r} * {r!r})"
+    D = f"({B} * {B} - 4 * {A} * {C})"
+    disc = (f"CASE WHEN {A} = 0 THEN (CASE WHEN {C} <= 0 THEN named_struct('lo', 0D, 'hi', 1D, 'bad', false) "
+            f"ELSE named_struct('lo', 1D, 'hi', 0D, 'bad', true) END) "
+            f"WHEN {D} < 0 THEN named_struct('lo', 1D, 'hi', 0D, 'bad', true) "
+            f"ELSE named_struct('lo', greatest(0D, (-{B} - sqrt({D})) / (2 * {A})), "
+            f"'hi', least(1D, (-{B} + sqrt({D})) / (2 * {A})), 'bad', false) END")
+    pieces = (f"flatten(transform(filter(sequence(1, greatest(size(rb_) - 1, 1)), j -> j < size(rb_)), "
+              f"j -> CASE WHEN {L} = 0 THEN array({disc}) ELSE array({rect}, {disc}) END))")
+    inner = clip_convex(x1, y1, x2, y2, "rb_")
+    allp = (f"concat({pieces}, filter(array(named_struct('lo', {inner}.lo, 'hi', {inner}.hi, 'bad', false)), "
+            f"p -> {with_interior}))")
+    good = f"filter({allp}, p -> NOT p.bad AND p.lo <= p.hi)"
+    body = (f"CASE WHEN size({good}) = 0 THEN named_struct('lo', 1D, 'hi', 0D) ELSE named_struct("
+            f"'lo', array_min(transform({good}, p -> p.lo)), 'hi', array_max(transform({good}, p -> p.hi))) END")
+    return f"element_at(transform(array({ring}), rb_ -> {body}), 1)"
+
+
 def rings_to_segments(rings: str) -> str:
     """Boundary as an array of struct(ring, seg, x1, y1, x2, y2) (ST_Boundary)."""
     return (f"flatten(transform({rings}, (r, ri) -> transform(filter(sequence(1, greatest(size(r) - 1, 1)), i -> i < size(r)), "

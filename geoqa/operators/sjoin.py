@@ -108,6 +108,11 @@ def within_sql(lg, rg, d, op: str = "<=", lp: str = "l", rp: str = "r") -> str:
         return G.seg_box_within(R, L, d, op)
     if kinds == (Box, Box):
         return f"({G.box_box_d2(L, R)} {op} ({d})*({d}))"
+    if kinds == (Polygon, Segment):
+        rings = f"{lp}.`{lg.rings}`"
+        x1, y1, x2, y2 = R
+        near = G.seg_seg_within(("e.x1", "e.y1", "e.x2", "e.y2"), R, d, op)
+        return f"({G.pt_in_polygon(x1, y1, rings)} OR exists({_edges(rings)}, e -> {near}))"
     raise TypeError(f"no distance predicate for {kinds}")
 
 

@@ -2,20 +2,30 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from geoqa.functions import crs
+from geoqa.functions import lines as LN
 from geoqa.functions import text as T
 from geoqa.operators import hull as H
+from geoqa.operators import sjoin as SJ
+from geoqa.operators.sjoin import Polygon, Segment
+from geoqa.plans import inputs
+from geoqa.functions import geom as G
+from geoqa.plans.checks_common import line_segments, lonlat_cols
+from geoqa.plans.checks_common import lonlat_sql as _lonlat_sql
 from geoqa.plans.fixtures import register
 from geoqa.plans.registry import query
 
 # addresses with a 10-character street key (dept 2, commune 3, street 4, check letter 1);
 # one street in eight is a lettered locality (5th character from the end is a letter)
-CUMUL_SQL = """
-select concat('75056', case when fantoir % 8 = 0 then concat('A', lpad(cast(fantoir % 1000 as string), 3, '0'))
-                            else lpad(cast(fantoir % 10000 as string), 4, '0') end,
-              substr('ABCDEFGHJKLMNPRSTUVWXYZ', cast(fantoir % 23 + 1 as int), 1)) as fantoir,
+_FANTOIR_TXT = """concat('75056', case when {k} % 8 = 0 then concat('A', lpad(cast({k} % 1000 as string), 3, '0'))
+                            else lpad(cast({k} % 10000 as string), 4, '0') end,
+              substr('ABCDEFGHJKLMNPRSTUVWXYZ', cast({k} % 23 + 1 as int), 1))"""
+CUMUL_SQL = f"""
+select {_FANTOIR_TXT.format(k='fantoir')} as fantoir,
        case when fantoir % 3 = 0 then voie end as voie_cadastre,
        case when fantoir % 3 <> 0 then voie end as voie_autre,
        case when fantoir % 6 = 1 then voie end as voie_osm,
@@ -79,3 +89,236 @@ from p a join p b on a.fantoir = b.fantoir and a.voie = b.voie group by a.fantoi
 def hull_diameter(spark: SparkSession, sf: str) -> DataFrame:
     r = missing_streets_fill(_cumul(spark, sf))
     return r.select("fantoir", "voie", F.round(H.hull_diameter(r), 6).alias("diameter"))
+
+
+# ---------------------------------------------------------------- C2
+def _longest_geo(pts: str) -> str:
+    """Ground length of the longest vertex-to-vertex line of a point array
+    (ST_LongestLine, then geography length); ties on the planar length keep
+    the longer ground length."""
+    d2 = "((q.x - p.x) * (q.x - p.x) + (q.y - p.y) * (q.y - p.y))"
+    my = "((p.y + q.y) / 2.0)"
+    g = f"sqrt(power((q.x - p.x) * {crs.scale_e(my)}, 2) + power((q.y - p.y) * {crs.scale_n(my)}, 2))"
+    best = (f"aggregate({pts}, named_struct('d2', -1D, 'g', 0D), (s, p) -> aggregate({pts}, s, (t, q) -> "
+            f"CASE WHEN {d2} > t.d2 OR ({d2} = t.d2 AND {g} > t.g) THEN named_struct('d2', cast({d2} AS double), 'g', {g}) "
+            f"ELSE t END))")
+    return f"{best}.g"
+
+
+def street_name_check(groups: DataFrame, status: DataFrame, ways: DataFrame, dist: float = 20.0,
+                      extent_m: float = 100.0) -> DataFrame:
+    """7170/30-33: unmatched address groups (their hull) against the
+    highways within ``dist``: no way -> 33; one (nameless) way covering the
+    hull -> 32 add name; one named way -> 31 change name; names already
+    matching -> dropped; otherwise 30.
+
+    groups: fantoir, voie, nb, hull (closed counter-clockwise ring), nverts;
+    status: fantoir (streets already handled); ways: osm_id, name, highway, pts.
+    """
+    g = (groups.where((F.col("nverts") >= 2) & F.col("fantoir").rlike(STREET_KEY_PATTERN))
+               .join(status, "fantoir", "left_anti")
+               .withColumn("hrings", F.array("hull"))
+               .persist(StorageLevel.MEMORY_AND_DISK))  # read by three branches; hulls are Python-built
+    hw = ways.where(F.col("highway").isNotNull())
+    segs = line_segments(hw.select("osm_id", "pts"))
+    pairs = (SJ.dwithin_join(g.select("fantoir", "voie", "hrings"), segs.select("osm_id", "x1", "y1", "x2", "y2"),
+                             dist, left_geom=Polygon("hrings"), right_geom=Segment())
+             .select("fantoir", "voie", "osm_id").distinct())
+    named = pairs.join(hw.select("osm_id", "name", "pts"), "osm_id").persist(StorageLevel.MEMORY_AND_DISK)
+    sid = F.col("osm_id").cast("string")
+    agg = named.groupBy("fantoir", "voie").agg(
+        F.array_join(F.array_sort(F.collect_list(sid)), ",").alias("id"),
+        F.array_join(F.array_sort(F.collect_list(F.when(F.col("name").isNull(), sid))), ",").alias("id_noname"),
+        F.max("name").alias("name"),
+        F.array_join(F.array_sort(F.collect_list("name")), ";").alias("names"),
+        F.flatten(F.collect_list("pts")).alias("wpts"),
+        F.flatten(F.collect_list(F.when(F.col("name").isNull(), F.col("pts")))).alias("npts"))
+    agg = (agg.withColumn("id_noname", F.when(F.col("id_noname") != "", F.col("id_noname")))
+              .withColumn("names", F.when(F.col("names") != "", F.col("names"))))
+
+    # lengths of the matched ways inside the hull and inside the hull buffered by dist
+    s = named.select("fantoir", "voie", "osm_id", F.col("name").isNull().alias("noname")).join(segs, "osm_id")
+    s = s.join(g.select("fantoir", "voie", "hull", "nverts"), ["fantoir", "voie"])
+    ym = "((y1 + y2) / 2.0)"
+    s = s.select("fantoir", "voie", "noname",
+                 F.expr("sqrt(cast((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1) AS double))").alias("len"),
+                 F.expr(f"sqrt(power((x2 - x1) * {crs.scale_e(ym)}, 2) + power((y2 - y1) * {crs.scale_n(ym)}, 2))").alias("glen"),
+                 F.expr(LN.clip_buffer("x1", "y1", "x2", "y2", "hull", float(dist), "nverts >= 3")).alias("b"),
+                 F.expr(f"CASE WHEN nverts >= 3 THEN {LN.clip_convex('x1', 'y1', 'x2', 'y2', 'hull')} END").alias("h"))
+    fb = F.greatest(F.col("b.hi") - F.col("b.lo"), F.lit(0.0))
+    fh = F.coalesce(F.greatest(F.col("h.hi") - F.col("h.lo"), F.lit(0.0)), F.lit(0.0))
+    nn = F.col("noname")
+    meas = s.groupBy("fantoir", "voie").agg(
+        F.sum("len").alias("sl"), F.sum(F.col("len") * fb).alias("slb"),
+        F.sum("glen").alias("sg"), F.sum(F.col("glen") * fh).alias("sgh"),
+        F.sum(F.when(nn, F.col("len"))).alias("nsl"), F.sum(F.when(nn, F.col("len") * fb)).alias("nslb"),
+        F.sum(F.when(nn, F.col("glen"))).alias("nsg"), F.sum(F.when(nn, F.col("glen") * fh)).alias("nsgh"))
+
+    cen = F.expr(f"CASE WHEN nverts >= 3 THEN {LN.polygon_centroid('array(hull)')} "
+                 f"ELSE named_struct('x', (hull[0].x + hull[1].x) / 2.0, 'y', (hull[0].y + hull[1].y) / 2.0) END")
+    j = (g.join(agg, ["fantoir", "voie"], "left").join(meas, ["fantoir", "voie"], "left")
+          .where(F.coalesce("name", F.lit("")) != F.col("voie"))
+          .withColumn("c", cen)
+          .withColumn("l", F.col("slb") / F.col("sl")).withColumn("l2", F.col("sg") - F.col("sgh"))
+          .withColumn("l_noname", F.col("nslb") / F.col("nsl")).withColumn("l2_noname", F.col("nsg") - F.col("nsgh"))
+          .withColumn("l_geom", F.expr(_longest_geo("hull")))
+          .withColumn("l_ways", F.when(F.size("wpts") > 0, F.expr(_longest_geo("wpts"))))
+          .withColumn("l_ways_noname", F.when(F.size("npts") > 0, F.expr(_longest_geo("npts"))))
+          .withColumn("voie_c", F.replace("voie", F.lit('"'), F.lit("")))
+          .withColumn("names_c", F.replace("names", F.lit('"'), F.lit(""))))
+    up = F.upper("voie_c") != F.col("voie_c")
+    fits_nn = ((F.col("l_geom") - F.col("l_ways_noname") < extent_m)
+               & (((F.col("l_noname") > 0.5) & (F.col("l2_noname") < extent_m)) | (F.col("l_noname") > 0.75)))
+    fits = ((F.col("l_geom") - F.col("l_ways") < extent_m)
+            & (((F.col("l") > 0.5) & (F.col("l2") < extent_m)) | (F.col("l") > 0.75)))
+    one_nn = F.col("id_noname").isNotNull() & ~F.col("id_noname").contains(",")
+    one = F.col("id").isNotNull() & ~F.col("id").contains(",")
+    same = T.matches_ci("names_c", T.unbracket("voie_c"))
+    cls = (F.when(F.col("id").isNull(), 33)
+            .when(one_nn & fits_nn & up, 32)
+            .when(one & fits & F.col("names_c").isNull() & up, 32)
+            .when(one & fits & F.col("names_c").isNotNull() & up, 31)
+            .when(same, None).otherwise(30))
+    way = (F.when(F.col("id").isNull(), None)
+            .when(one_nn & fits_nn & up, F.col("id_noname"))
+            .when(one & fits & up, F.col("id")))
+    out = j.withColumn("class", cls).withColumn("way", way.cast("bigint")).where(F.col("class").isNotNull())
+    return out.select("fantoir", F.col("voie_c").alias("voie"), "class", "way", *lonlat_cols("c.x", "c.y"))
+
+
+_C2_STATUS = f"select distinct ({_FANTOIR_TXT.format(k='osm_id')}) as fantoir from fx_vertex where osm_id % 10 = 3"
+_C2_WAYS = ("select osm_id, case when osm_id % 10 = 7 then null else name end as name, hw_class as highway "
+            "from fx_way where hw_class is not null")
+
+
+def c02_inputs(spark: SparkSession, sf: str):
+    register(spark, sf)
+    groups = missing_streets_fill(_cumul(spark, sf))
+    status = spark.sql(_C2_STATUS)
+    ways = spark.sql(_C2_WAYS).join(inputs.osm_lines(spark, sf).select("osm_id", "pts"), "osm_id")
+    return groups, status, ways
+
+
+def _sx(y):
+    return crs.scale_e(y)
+
+
+def _sy(y):
+    return crs.scale_n(y)
+
+
+def _geo(x1, y1, x2, y2):
+    my = f"(({y1}) + ({y2})) / 2.0"
+    return f"sqrt(power((({x2}) - ({x1})) * {_sx(my)}, 2) + power((({y2}) - ({y1})) * {_sy(my)}, 2))"
+
+
+_SEG_T = ("s.x1", "s.y1", "s.x2", "s.y2")
+_PIECES = f"""
+select q.*, {_geo('q.x1', 'q.y1', 'q.x2', 'q.y2')} as glen,
+  sqrt(cast((q.x2 - q.x1) * (q.x2 - q.x1) + (q.y2 - q.y1) * (q.y2 - q.y1) as double)) as len,
+  -(ey2 - ey1) * (x1 - ex1) + (ex2 - ex1) * (y1 - ey1) as hn, -(ey2 - ey1) * (x2 - x1) + (ex2 - ex1) * (y2 - y1) as hd,
+  greatest(0.0, case when rd1 > 0 then -rn1 / rd1 end, case when rd2 > 0 then -rn2 / rd2 end,
+           case when rd3 > 0 then -rn3 / rd3 end, case when rd4 > 0 then -rn4 / rd4 end) as r_lo,
+  least(1.0, case when rd1 < 0 then -rn1 / rd1 end, case when rd2 < 0 then -rn2 / rd2 end,
+        case when rd3 < 0 then -rn3 / rd3 end, case when rd4 < 0 then -rn4 / rd4 end) as r_hi,
+  (rd1 = 0 and rn1 < 0) or (rd2 = 0 and rn2 < 0) or (rd3 = 0 and rn3 < 0) or (rd4 = 0 and rn4 < 0) as r_bad,
+  case when da = 0 then (case when dc <= 0 then 0.0 end) when dd < 0 then null
+       else greatest(0.0, (-db - sqrt(greatest(dd, 0))) / (2 * da)) end as d_lo,
+  case when da = 0 then (case when dc <= 0 then 1.0 end) when dd < 0 then null
+       else least(1.0, (-db + sqrt(greatest(dd, 0))) / (2 * da)) end as d_hi
+from (select z.*,
+        ax * ux + ay * uy as rn1, vx * ux + vy * uy as rd1,
+        (ex2 - x1) * ux + (ey2 - y1) * uy as rn2, -(vx * ux + vy * uy) as rd2,
+        20.0 - (ax * (-uy / ul) + ay * (ux / ul)) as rn3, -(vx * (-uy / ul) + vy * (ux / ul)) as rd3,
+        20.0 + (ax * (-uy / ul) + ay * (ux / ul)) as rn4, (vx * (-uy / ul) + vy * (ux / ul)) as rd4,
+        vx * vx + vy * vy as da, 2 * (vx * ax + vy * ay) as db, ax * ax + ay * ay - 400.0 as dc,
+        (2 * (vx * ax + vy * ay)) * (2 * (vx * ax + vy * ay)) - 4 * (vx * vx + vy * vy) * (ax * ax + ay * ay - 400.0) as dd
+      from (select pr.fantoir, pr.voie, pr.noname, s.osm_id, s.seg, s.x1, s.y1, s.x2, s.y2, e.n, e.ex1, e.ey1, e.ex2, e.ey2,
+                   e.ex2 - e.ex1 as ux, e.ey2 - e.ey1 as uy,
+                   sqrt(cast((e.ex2 - e.ex1) * (e.ex2 - e.ex1) + (e.ey2 - e.ey1) * (e.ey2 - e.ey1) as double)) as ul,
+                   s.x1 - e.ex1 as ax, s.y1 - e.ey1 as ay, s.x2 - s.x1 as vx, s.y2 - s.y1 as vy
+            from prn pr join fx_segment s on s.osm_id = pr.osm_id
+            join he e on e.fantoir = pr.fantoir and e.voie = pr.voie) z) q"""
+_PERSEG = """
+select fantoir, voie, noname, osm_id, seg, n, max(len) as len, max(glen) as glen,
+  greatest(0.0, max(case when hd > 0 then -hn / hd end)) as h_lo, least(1.0, min(case when hd < 0 then -hn / hd end)) as h_hi,
+  bool_or(hd = 0 and hn < 0) as h_bad,
+  min(case when not r_bad and r_lo <= r_hi then r_lo end) as rlo, max(case when not r_bad and r_lo <= r_hi then r_hi end) as rhi,
+  min(case when d_lo <= d_hi then d_lo end) as dlo, max(case when d_lo <= d_hi then d_hi end) as dhi
+from pcs group by fantoir, voie, noname, osm_id, seg, n"""
+_FRAC = """
+select *, case when n >= 3 and not h_bad and h_hi > h_lo then h_hi - h_lo else 0.0 end as fh,
+  coalesce(greatest(greatest(rhi, dhi, case when n >= 3 and not h_bad and h_lo <= h_hi then h_hi end)
+           - least(rlo, dlo, case when n >= 3 and not h_bad and h_lo <= h_hi then h_lo end), 0.0), 0.0) as fb
+from pseg"""
+_LONG = """
+select fantoir, voie, g from (select a.fantoir, a.voie, {g} as g,
+  row_number() over (partition by a.fantoir, a.voie order by (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) desc, {g} desc) as rn
+  from {t} a join {t} b on a.fantoir = b.fantoir and a.voie = b.voie {w}) z where rn = 1"""
+_C2_CTES = HULL_CTES + (
+    ("hc", "select fantoir, voie, count(*) as nverts, avg(x) as cx, avg(y) as cy from hv group by fantoir, voie"),
+    ("ho", "select hv.*, hc.nverts as n, row_number() over (partition by hv.fantoir, hv.voie order by "
+           "atan2(hv.y - hc.cy, hv.x - hc.cx)) as i from hv join hc on hc.fantoir = hv.fantoir and hc.voie = hv.voie"),
+    ("he", "select a.fantoir, a.voie, a.n, a.x as ex1, a.y as ey1, b.x as ex2, b.y as ey2 from ho a join ho b "
+           "on a.fantoir = b.fantoir and a.voie = b.voie and b.i = (a.i % a.n) + 1"),
+    ("st", _C2_STATUS), ("wy", _C2_WAYS),
+    ("grp", f"select g.fantoir, g.voie, g.nb, hc.nverts from g join hc on hc.fantoir = g.fantoir and hc.voie = g.voie "
+            f"where hc.nverts >= 2 and g.fantoir not in (select fantoir from st)"),
+    ("gb", "select fantoir, voie, min(x) as bx0, min(y) as by0, max(x) as bx1, max(y) as by1 from hv group by fantoir, voie"),
+    ("pr", f"""select distinct g.fantoir, g.voie, s.osm_id from grp g join gb b on b.fantoir = g.fantoir and b.voie = g.voie
+      join fx_segment s on least(s.x1, s.x2) <= b.bx1 + 20 and greatest(s.x1, s.x2) >= b.bx0 - 20
+                       and least(s.y1, s.y2) <= b.by1 + 20 and greatest(s.y1, s.y2) >= b.by0 - 20
+      join wy on wy.osm_id = s.osm_id
+      where exists (select 1 from he e where e.fantoir = g.fantoir and e.voie = g.voie
+                    and {G.seg_seg_within(('e.ex1', 'e.ey1', 'e.ex2', 'e.ey2'), _SEG_T, '20.0')})
+         or (select count(*) from he e where e.fantoir = g.fantoir and e.voie = g.voie
+             and ((e.ey1 > s.y1) <> (e.ey2 > s.y1))
+             and ((e.ex2 - e.ex1) * (s.y1 - e.ey1) - (s.x1 - e.ex1) * (e.ey2 - e.ey1)) * sign(e.ey2 - e.ey1) > 0) % 2 = 1"""),
+    ("prn", "select pr.*, wy.name, wy.name is null as noname from pr join wy on wy.osm_id = pr.osm_id"),
+    ("ag", """select fantoir, voie, string_agg(cast(osm_id as string), ',' order by cast(osm_id as string)) as id,
+      string_agg(case when name is null then cast(osm_id as string) end, ',' order by cast(osm_id as string)) as id_noname,
+      max(name) as name, string_agg(name, ';' order by name) as names from prn group by fantoir, voie"""),
+    ("pcs", _PIECES), ("pseg", _PERSEG), ("fr", _FRAC),
+    ("ms", """select fantoir, voie, sum(len) as sl, sum(len * fb) as slb, sum(glen) as sg, sum(glen * fh) as sgh,
+      sum(case when noname then len end) as nsl, sum(case when noname then len * fb end) as nslb,
+      sum(case when noname then glen end) as nsg, sum(case when noname then glen * fh end) as nsgh
+      from fr group by fantoir, voie"""),
+    ("wv", "select distinct prn.fantoir, prn.voie, prn.noname, v.osm_id, v.k, v.x, v.y from prn "
+           "join fx_vertex v on v.osm_id = prn.osm_id"),
+    ("lg", _LONG.format(g=_geo("a.x", "a.y", "b.x", "b.y"), t="hv", w="")),
+    ("lw", _LONG.format(g=_geo("a.x", "a.y", "b.x", "b.y"), t="wv", w="")),
+    ("ln", _LONG.format(g=_geo("a.x", "a.y", "b.x", "b.y"), t="wv", w="and a.noname and b.noname")),
+    ("cen", """select fantoir, voie, case when max(n) >= 3 then sum((ex1 + ex2) * (ex1 * ey2 - ex2 * ey1)) / 6.0 /
+                 (sum(ex1 * ey2 - ex2 * ey1) / 2.0) else (min(ex1) + max(ex1)) / 2.0 end as x,
+               case when max(n) >= 3 then sum((ey1 + ey2) * (ex1 * ey2 - ex2 * ey1)) / 6.0 /
+                 (sum(ex1 * ey2 - ex2 * ey1) / 2.0) else (min(ey1) + max(ey1)) / 2.0 end as y
+               from he group by fantoir, voie"""),
+    ("fin", """select g.fantoir, replace(g.voie, '"', '') as voie_c, ag.id, ag.id_noname, ag.name,
+      replace(ag.names, '"', '') as names_c, ms.slb / ms.sl as l, ms.sg - ms.sgh as l2,
+      ms.nslb / ms.nsl as l_noname, ms.nsg - ms.nsgh as l2_noname, lg.g as l_geom, lw.g as l_ways, ln.g as l_ways_noname,
+      cen.x as cx, cen.y as cy
+      from grp g left join ag on ag.fantoir = g.fantoir and ag.voie = g.voie
+      left join ms on ms.fantoir = g.fantoir and ms.voie = g.voie
+      join lg on lg.fantoir = g.fantoir and lg.voie = g.voie
+      left join lw on lw.fantoir = g.fantoir and lw.voie = g.voie
+      left join ln on ln.fantoir = g.fantoir and ln.voie = g.voie
+      join cen on cen.fantoir = g.fantoir and cen.voie = g.voie
+      where coalesce(ag.name, '') <> g.voie"""),
+    ("cls", """select *,
+      (id_noname is not null and id_noname not like '%,%' and (l_geom - l_ways_noname < 100)
+        and ((l_noname > 0.5 and l2_noname < 100) or l_noname > 0.75) and upper(voie_c) <> voie_c) as c_nn,
+      (id is not null and id not like '%,%' and (l_geom - l_ways < 100)
+        and ((l > 0.5 and l2 < 100) or l > 0.75) and upper(voie_c) <> voie_c) as c_one
+      from fin"""),
+)
+
+
+@query("c02_street_name_check", f"""
+select fantoir, voie_c as voie, class, cast(way as bigint) as way, {_lonlat_sql('cx', 'cy')} from (
+  select *, case when id is null then 33 when c_nn then 32 when c_one and names_c is null then 32
+                 when c_one and names_c is not null then 31
+                 when regexp_matches(names_c, replace(replace(voie_c, '(', ''), ')', ''), 'i') then null else 30 end as class,
+            case when id is null then null when c_nn then id_noname when c_one then id end as way
+  from cls) z where class is not null""", _C2_CTES)
+def c02(spark: SparkSession, sf: str) -> DataFrame:
+    return street_name_check(*c02_inputs(spark, sf))
