@@ -48,23 +48,77 @@ def monotone_chain(pts: np.ndarray) -> np.ndarray:
     return np.array(lower[:-1] + upper[:-1], dtype=float)
 
 
+SMALL = 8  # groups up to this many distinct points take the vectorised path
+
+
+def small_hull_mask(P: np.ndarray, V: np.ndarray) -> np.ndarray:
+    """Hull-vertex mask for many small point sets at once.
+
+    P: (G, K, 2) points, V: (G, K) validity.  Point p is a vertex when some
+    other point q has every valid point r strictly left of p->q or on the
+    ray from p through q (the same exact test as monotone chain with
+    collinear points dropped); a set of one distinct point is its own hull.
+    """
+    px, py = P[:, :, None, None, 0], P[:, :, None, None, 1]
+    qx, qy = P[:, None, :, None, 0], P[:, None, :, None, 1]
+    rx, ry = P[:, None, None, :, 0], P[:, None, None, :, 1]
+    cross = (qx - px) * (ry - py) - (qy - py) * (rx - px)
+    dot = (rx - px) * (qx - px) + (ry - py) * (qy - py)
+    ok_r = (cross > 0) | ((cross == 0) & (dot >= 0)) | ~V[:, None, None, :]
+    distinct = (qx[..., 0] != px[..., 0]) | (qy[..., 0] != py[..., 0])
+    cond_q = V[:, None, :] & distinct & ok_r.all(axis=3)
+    single = V.sum(axis=1) == 1
+    return V & (cond_q.any(axis=2) | single[:, None])
+
+
 def _reduce_groups(gcols: list, x: str, y: str):
     """mapInPandas body: hull per group over all batches of the task."""
 
+    def reduce(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Hull of every group of one frame: one sort, then numpy slices."""
+        if pdf.empty:
+            return pdf[[*gcols, x, y]]
+        codes, uniq = pd.MultiIndex.from_frame(pdf[gcols]).factorize()
+        xs, ys = pdf[x].to_numpy(dtype=float), pdf[y].to_numpy(dtype=float)
+        order = np.lexsort((ys, xs, codes))
+        codes, xs, ys = codes[order], xs[order], ys[order]
+        # drop repeated points (sorted, so repeats are adjacent)
+        new = np.r_[True, (codes[1:] != codes[:-1]) | (xs[1:] != xs[:-1]) | (ys[1:] != ys[:-1])]
+        codes, xs, ys = codes[new], xs[new], ys[new]
+        starts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+        ends = np.r_[starts[1:], len(codes)]
+        sizes = ends - starts
+        keep_code, keep_x, keep_y = [], [], []
+        small = np.flatnonzero(sizes <= SMALL)
+        for chunk in np.array_split(small, max(1, len(small) // 4096)):
+            if len(chunk) == 0:
+                continue
+            idx = starts[chunk][:, None] + np.arange(SMALL)[None, :]
+            V = np.arange(SMALL)[None, :] < sizes[chunk][:, None]
+            idx = np.where(V, idx, starts[chunk][:, None])
+            P = np.stack([xs[idx], ys[idx]], axis=2)
+            m = small_hull_mask(P, V)
+            keep_code.append(codes[idx][m])
+            keep_x.append(P[..., 0][m])
+            keep_y.append(P[..., 1][m])
+        for gi in np.flatnonzero(sizes > SMALL):
+            s, e = starts[gi], ends[gi]
+            h = monotone_chain(np.column_stack([xs[s:e], ys[s:e]]))
+            keep_code.append(np.full(len(h), codes[s]))
+            keep_x.append(h[:, 0])
+            keep_y.append(h[:, 1])
+        kc = np.concatenate(keep_code)
+        out = pd.DataFrame({x: np.concatenate(keep_x), y: np.concatenate(keep_y)})
+        keys = uniq[kc]
+        for i, g in enumerate(gcols):
+            out.insert(i, g, keys.get_level_values(i))
+        return out.drop_duplicates()
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        acc: dict = {}
-        for pdf in batches:
-            for key, g in pdf.groupby(gcols, sort=False, dropna=False):
-                pts = g[[x, y]].to_numpy(dtype=float)
-                if key in acc:
-                    pts = np.vstack([acc[key], pts])
-                acc[key] = monotone_chain(pts) if len(pts) > 3 else pts
-        rows = []
-        for key, pts in acc.items():
-            key = key if isinstance(key, tuple) else (key,)
-            for px, py in monotone_chain(pts):
-                rows.append((*key, float(px), float(py)))
-        yield pd.DataFrame(rows, columns=[*gcols, x, y])
+        # reduce each batch as it comes (memory: partial hulls only), then once more
+        partial = [reduce(pdf) for pdf in batches]
+        if partial:
+            yield reduce(pd.concat(partial, ignore_index=True))
 
     return run
 

@@ -133,7 +133,7 @@ def report_split(spark: SparkSession, sf: str) -> DataFrame:
     """Report split into one folder per (class, department), counted back."""
     path = R.scratch_path(spark, "report-split")
     REP.write_report(c09_report(spark, sf), path, by=("class", "dept"))
-    x = REP.read_report(spark, path)
+    x = REP.read_report(spark, path, schema="_class INT, _subclass INT, class INT, dept STRING")
     return (x.groupBy(F.col("class").cast("int").alias("class"), F.col("dept").cast("string").alias("dept"))
              .agg(F.count("*").alias("n")))
 

@@ -131,7 +131,8 @@ def materialise(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), mo
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # read with the written schema: an empty result writes no data file to infer from
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def refresh_sample_points(lines: DataFrame, id_col: str, fractions=(0.0, 0.25, 0.5, 0.75, 1.0),

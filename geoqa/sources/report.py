@@ -153,9 +153,13 @@ def write_report(report: DataFrame, path: str, compression: str = "gzip", by: tu
     w.save(path)
 
 
-def read_report(spark: SparkSession, path: str) -> DataFrame:
-    """Read an XML report back (attributes keep their ``_`` prefix)."""
-    return spark.read.format("xml").option("rowTag", "error").load(path)
+def read_report(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """Read an XML report back (attributes keep their ``_`` prefix).  Pass
+    ``schema`` when the report may be empty (nothing to infer from)."""
+    r = spark.read.format("xml").option("rowTag", "error")
+    if schema is not None:
+        r = r.schema(schema)
+    return r.load(path)
 
 
 def report_integrity(report: DataFrame) -> DataFrame:

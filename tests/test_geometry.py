@@ -138,3 +138,18 @@ def test_map_key_missing_null_map(spark):
     df = spark.createDataFrame([({"lanes": "2"},), ({},), (None,)], "tags map<string,string>")
     got = [r[0] for r in df.select(~F.map_contains_key("tags", "lanes")).collect()]
     assert got == [False, True, None]
+
+
+def test_small_hull_mask_matches_chain():
+    from geoqa.operators.hull import SMALL, small_hull_mask
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        n = int(rng.integers(1, SMALL + 1))
+        pts = np.unique(rng.integers(0, 5, size=(n, 2)).astype(float), axis=0)  # many collinear/duplicate cases
+        k = len(pts)
+        P = np.zeros((1, SMALL, 2))
+        P[0, :k] = pts
+        V = np.zeros((1, SMALL), dtype=bool)
+        V[0, :k] = True
+        got = {tuple(p) for p in P[0][small_hull_mask(P, V)[0]]}
+        assert got == {tuple(p) for p in monotone_chain(pts)}
