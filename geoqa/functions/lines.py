@@ -39,13 +39,13 @@ def interpolate(pts: str, frac: str) -> str:
     the first segment whose running length reaches ``frac * length``."""
     target = f"({frac}) * {length(pts)}"
     a, b = f"{pts}[i - 1]", f"{pts}[i]"
-    step = (f"(s, i) -> CASE WHEN s.done THEN s "
-            f"WHEN s.acc + {_seglen(pts)} >= s.t THEN named_struct('done', true, 't', s.t, "
-            f"'acc', s.acc + {_seglen(pts)}, "
-            f"'x', {a}.x + ({b}.x - {a}.x) * (CASE WHEN {_seglen(pts)} = 0 THEN 0D ELSE (s.t - s.acc) / {_seglen(pts)} END), "
-            f"'y', {a}.y + ({b}.y - {a}.y) * (CASE WHEN {_seglen(pts)} = 0 THEN 0D ELSE (s.t - s.acc) / {_seglen(pts)} END)) "
-            f"ELSE named_struct('done', false, 't', s.t, 'acc', s.acc + {_seglen(pts)}, "
-            f"'x', cast({b}.x AS double), 'y', cast({b}.y AS double)) END")
+    # the segment length is bound once per step (lambdas get no common-subexpression elimination)
+    step = (f"(s, i) -> CASE WHEN s.done THEN s ELSE element_at(transform(array({_seglen(pts)}), sl_ -> "
+            f"CASE WHEN s.acc + sl_ >= s.t THEN named_struct('done', true, 't', s.t, 'acc', s.acc + sl_, "
+            f"'x', {a}.x + ({b}.x - {a}.x) * (CASE WHEN sl_ = 0 THEN 0D ELSE (s.t - s.acc) / sl_ END), "
+            f"'y', {a}.y + ({b}.y - {a}.y) * (CASE WHEN sl_ = 0 THEN 0D ELSE (s.t - s.acc) / sl_ END)) "
+            f"ELSE named_struct('done', false, 't', s.t, 'acc', s.acc + sl_, "
+            f"'x', cast({b}.x AS double), 'y', cast({b}.y AS double)) END), 1) END")
     init = (f"named_struct('done', false, 't', cast({target} AS double), 'acc', cast(0 AS double), "
             f"'x', cast({pts}[0].x AS double), 'y', cast({pts}[0].y AS double))")
     return (f"aggregate(filter(sequence(1, greatest(size({pts}) - 1, 1)), i -> i < size({pts})), {init}, {step}, "
@@ -181,35 +181,39 @@ def clip_buffer(x1: str, y1: str, x2: str, y2: str, ring: str, r: float, with_in
     by r): the union of the ring itself (when ``with_interior`` is true),
     a rectangle along every edge and a disc at every vertex.  The buffer is
     convex, so the union is one interval: [min lo, max hi] of the pieces."""
-    vx, vy = f"(({x2}) - ({x1}))", f"(({y2}) - ({y1}))"
+    vx, vy = f"(cast(({x2}) - ({x1}) AS double))", f"(cast(({y2}) - ({y1}) AS double))"
+    # per-edge quantities bound once in a struct (lambdas get no common-subexpression elimination)
     e1, e2 = "rb_[j - 1]", "rb_[j]"
-    ux, uy = f"({e2}.x - {e1}.x)", f"({e2}.y - {e1}.y)"
-    L = f"sqrt(cast({ux} * {ux} + {uy} * {uy} AS double))"
-    ax, ay = f"(({x1}) - {e1}.x)", f"(({y1}) - {e1}.y)"
-    nhx, nhy = f"(-{uy} / {L})", f"({ux} / {L})"
-    an = f"({ax} * {nhx} + {ay} * {nhy})"
-    vn = f"({vx} * {nhx} + {vy} * {nhy})"
-    rect = _halfplanes([(f"({ax} * {ux} + {ay} * {uy})", f"({vx} * {ux} + {vy} * {uy})"),
-                        (f"((({e2}.x - ({x1})) * {ux}) + (({e2}.y - ({y1})) * {uy}))", f"(-({vx} * {ux} + {vy} * {uy}))"),
+    ux, uy = f"cast({e2}.x - {e1}.x AS double)", f"cast({e2}.y - {e1}.y AS double)"
+    edge = (f"named_struct('ux', {ux}, 'uy', {uy}, 'L', sqrt({ux} * {ux} + {uy} * {uy}), "
+            f"'ax', cast(({x1}) - {e1}.x AS double), 'ay', cast(({y1}) - {e1}.y AS double), "
+            f"'bx', cast({e2}.x - ({x1}) AS double), 'by', cast({e2}.y - ({y1}) AS double))")
+    an = "((e_.ax * -e_.uy + e_.ay * e_.ux) / e_.L)"
+    vn = f"(({vx} * -e_.uy + {vy} * e_.ux) / e_.L)"
+    vu = f"({vx} * e_.ux + {vy} * e_.uy)"
+    rect = _halfplanes([("(e_.ax * e_.ux + e_.ay * e_.uy)", vu),
+                        ("(e_.bx * e_.ux + e_.by * e_.uy)", f"(-{vu})"),
                         (f"({r!r} - {an})", f"(-{vn})"),
                         (f"({r!r} + {an})", f"({vn})")])
     A = f"({vx} * {vx} + {vy} * {vy})"
-    B = f"(2 * ({vx} * {ax} + {vy} * {ay}))"
-    C = f"({ax} * {ax} + {ay} * {ay} - {r!r} * {r!r})"
-    D = f"({B} * {B} - 4 * {A} * {C})"
-    disc = (f"CASE WHEN {A} = 0 THEN (CASE WHEN {C} <= 0 THEN named_struct('lo', 0D, 'hi', 1D, 'bad', false) "
+    B = f"(2 * ({vx} * e_.ax + {vy} * e_.ay))"
+    C = f"(e_.ax * e_.ax + e_.ay * e_.ay - {r!r} * {r!r})"
+    disc = (f"element_at(transform(array(named_struct('A', {A}, 'B', {B}, 'C', {C})), q_ -> "
+            f"CASE WHEN q_.A = 0 THEN (CASE WHEN q_.C <= 0 THEN named_struct('lo', 0D, 'hi', 1D, 'bad', false) "
             f"ELSE named_struct('lo', 1D, 'hi', 0D, 'bad', true) END) "
-            f"WHEN {D} < 0 THEN named_struct('lo', 1D, 'hi', 0D, 'bad', true) "
-            f"ELSE named_struct('lo', greatest(0D, (-{B} - sqrt({D})) / (2 * {A})), "
-            f"'hi', least(1D, (-{B} + sqrt({D})) / (2 * {A})), 'bad', false) END")
+            f"WHEN q_.B * q_.B - 4 * q_.A * q_.C < 0 THEN named_struct('lo', 1D, 'hi', 0D, 'bad', true) "
+            f"ELSE named_struct('lo', greatest(0D, (-q_.B - sqrt(q_.B * q_.B - 4 * q_.A * q_.C)) / (2 * q_.A)), "
+            f"'hi', least(1D, (-q_.B + sqrt(q_.B * q_.B - 4 * q_.A * q_.C)) / (2 * q_.A)), 'bad', false) END), 1)")
     pieces = (f"flatten(transform(filter(sequence(1, greatest(size(rb_) - 1, 1)), j -> j < size(rb_)), "
-              f"j -> CASE WHEN {L} = 0 THEN array({disc}) ELSE array({rect}, {disc}) END))")
+              f"j -> element_at(transform(array({edge}), e_ -> "
+              f"CASE WHEN e_.L = 0 THEN array({disc}) ELSE array({rect}, {disc}) END), 1)))")
     inner = clip_convex(x1, y1, x2, y2, "rb_")
-    allp = (f"concat({pieces}, filter(array(named_struct('lo', {inner}.lo, 'hi', {inner}.hi, 'bad', false)), "
-            f"p -> {with_interior}))")
+    # lambdas get no common-subexpression elimination: bind each array once
+    allp = (f"concat({pieces}, filter(transform(array({inner}), c_ -> named_struct('lo', c_.lo, 'hi', c_.hi, "
+            f"'bad', false)), p -> {with_interior}))")
     good = f"filter({allp}, p -> NOT p.bad AND p.lo <= p.hi)"
-    body = (f"CASE WHEN size({good}) = 0 THEN named_struct('lo', 1D, 'hi', 0D) ELSE named_struct("
-            f"'lo', array_min(transform({good}, p -> p.lo)), 'hi', array_max(transform({good}, p -> p.hi))) END")
+    body = (f"element_at(transform(array({good}), g_ -> CASE WHEN size(g_) = 0 THEN named_struct('lo', 1D, 'hi', 0D) "
+            f"ELSE named_struct('lo', array_min(transform(g_, p -> p.lo)), 'hi', array_max(transform(g_, p -> p.hi))) END), 1)")
     return f"element_at(transform(array({ring}), rb_ -> {body}), 1)"
 
 

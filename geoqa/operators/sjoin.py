@@ -112,7 +112,8 @@ def within_sql(lg, rg, d, op: str = "<=", lp: str = "l", rp: str = "r") -> str:
         rings = f"{lp}.`{lg.rings}`"
         x1, y1, x2, y2 = R
         near = G.seg_seg_within(("e.x1", "e.y1", "e.x2", "e.y2"), R, d, op)
-        return f"({G.pt_in_polygon(x1, y1, rings)} OR exists({_edges(rings)}, e -> {near}))"
+        pre = G.box_overlap(bbox_of(lg, lp), G.seg_bbox(*R), d)  # cheap bbox test before the ring scan
+        return f"({pre} AND ({G.pt_in_polygon(x1, y1, rings)} OR exists({_edges(rings)}, e -> {near})))"
     raise TypeError(f"no distance predicate for {kinds}")
 
 

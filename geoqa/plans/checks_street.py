@@ -99,10 +99,10 @@ def _longest_geo(pts: str) -> str:
     d2 = "((q.x - p.x) * (q.x - p.x) + (q.y - p.y) * (q.y - p.y))"
     my = "((p.y + q.y) / 2.0)"
     g = f"sqrt(power((q.x - p.x) * {crs.scale_e(my)}, 2) + power((q.y - p.y) * {crs.scale_n(my)}, 2))"
-    best = (f"aggregate({pts}, named_struct('d2', -1D, 'g', 0D), (s, p) -> aggregate({pts}, s, (t, q) -> "
-            f"CASE WHEN {d2} > t.d2 OR ({d2} = t.d2 AND {g} > t.g) THEN named_struct('d2', cast({d2} AS double), 'g', {g}) "
-            f"ELSE t END))")
-    return f"{best}.g"
+    # planar maximum first (plain arithmetic), ground length only for the pairs reaching it
+    m = f"aggregate({pts}, -1D, (s, p) -> aggregate({pts}, s, (t, q) -> greatest(t, cast({d2} AS double))))"
+    return (f"element_at(transform(array({m}), m_ -> aggregate({pts}, 0D, (s, p) -> aggregate({pts}, s, (t, q) -> "
+            f"CASE WHEN cast({d2} AS double) = m_ THEN greatest(t, {g}) ELSE t END))), 1)")
 
 
 def street_name_check(groups: DataFrame, status: DataFrame, ways: DataFrame, dist: float = 20.0,
@@ -118,11 +118,16 @@ def street_name_check(groups: DataFrame, status: DataFrame, ways: DataFrame, dis
     g = (groups.where((F.col("nverts") >= 2) & F.col("fantoir").rlike(STREET_KEY_PATTERN))
                .join(status, "fantoir", "left_anti")
                .withColumn("hrings", F.array("hull"))
+               .withColumn("hx0", F.expr("array_min(transform(hull, p -> p.x))"))
+               .withColumn("hy0", F.expr("array_min(transform(hull, p -> p.y))"))
+               .withColumn("hx1", F.expr("array_max(transform(hull, p -> p.x))"))
+               .withColumn("hy1", F.expr("array_max(transform(hull, p -> p.y))"))
                .persist(StorageLevel.MEMORY_AND_DISK))  # read by three branches; hulls are Python-built
     hw = ways.where(F.col("highway").isNotNull())
     segs = line_segments(hw.select("osm_id", "pts"))
-    pairs = (SJ.dwithin_join(g.select("fantoir", "voie", "hrings"), segs.select("osm_id", "x1", "y1", "x2", "y2"),
-                             dist, left_geom=Polygon("hrings"), right_geom=Segment())
+    pairs = (SJ.dwithin_join(g.select("fantoir", "voie", "hrings", "hx0", "hy0", "hx1", "hy1"),
+                             segs.select("osm_id", "x1", "y1", "x2", "y2"), dist,
+                             left_geom=Polygon("hrings", ("hx0", "hy0", "hx1", "hy1")), right_geom=Segment())
              .select("fantoir", "voie", "osm_id").distinct())
     named = pairs.join(hw.select("osm_id", "name", "pts"), "osm_id").persist(StorageLevel.MEMORY_AND_DISK)
     sid = F.col("osm_id").cast("string")
