@@ -367,21 +367,55 @@ def guard_latitude(df: DataFrame, y: str, max_abs_lat: float = 60.0) -> DataFram
     return df.where(F.expr(f"assert_true(abs({y}) <= {lim}, 'point beyond max_abs_lat of the geodesic margin') IS NULL"))
 
 
+def polygon_cover(polygons: DataFrame, key: list, polygon=Polygon(), cell: float = 1000.0) -> DataFrame:
+    """Classified cell cover of polygons, ``key..., _cx, _cy, _full``.
+
+    Cells crossed by an edge are kept with ``_full = false`` (points there
+    need the exact test); cells of the bounding box not crossed by any edge
+    are wholly inside or wholly outside, decided once by their centre:
+    inside ones are kept with ``_full = true`` (no per-point test), outside
+    ones are dropped.  A large commune costs its boundary cells plus one
+    test per interior cell instead of a full ring scan per point.
+    """
+    size = float(cell)
+    rings = f"`{polygon.rings}`"
+    edges = polygons.select(*key, F.explode(F.expr(_edges(rings))).alias("_e"))
+    edge_cells = (edges.select(*key, F.explode(F.expr(grid.segment_cover("_e.x1", "_e.y1", "_e.x2", "_e.y2", size)))
+                               .alias("_c"))
+                  .select(*key, F.col("_c.cx").alias("_cx"), F.col("_c.cy").alias("_cy")).distinct())
+    xmin, ymin, xmax, ymax = (c.replace("_.", "") for c in bbox_of(polygon, "_"))
+    box_cells = (polygons.select(*key, F.explode(F.expr(grid.box_cover(xmin, ymin, xmax, ymax, size))).alias("_c"))
+                 .select(*key, F.col("_c.cx").alias("_cx"), F.col("_c.cy").alias("_cy")))
+    inner = box_cells.join(edge_cells, [*key, "_cx", "_cy"], "left_anti").join(polygons.select(*key, polygon.rings), key)
+    centre_x, centre_y = f"((_cx + 0.5) * {size})", f"((_cy + 0.5) * {size})"
+    full = (inner.where(F.expr(G.pt_in_polygon(centre_x, centre_y, rings)))
+            .select(*key, "_cx", "_cy", F.lit(True).alias("_full")))
+    return edge_cells.withColumn("_full", F.lit(False)).unionByName(full)
+
+
 def contains_join(points: DataFrame, polygons: DataFrame, *, point=Point(), polygon=Polygon(),
                   boundary: bool = True, how: str = "inner", cell: float = 1000.0,
-                  right_prefix: str = "r_") -> DataFrame:
+                  right_prefix: str = "r_", polygon_key: tuple[str, ...] | None = None) -> DataFrame:
     """Point-in-polygon join (A1 ``boundary=True``: covers/intersects; A2
-    ``False``: strict contains).  Polygons are exploded to the cells of their
-    bounding box; each point lives in one cell, so no pair repeats."""
+    ``False``: strict contains).  Each point lives in one cell, so no pair
+    repeats.  With ``polygon_key`` the polygons use the classified cover of
+    :func:`polygon_cover` (points in interior cells skip the ring test);
+    otherwise all cells of their bounding box with the exact test."""
     size = float(cell)
     pc = _with_cells(points, point, size, 0.0, keep_min=False)
-    xmin, ymin, xmax, ymax = (c.replace("_.", "") for c in bbox_of(polygon, "_"))
-    qc = (polygons.withColumn("_c", F.explode(F.expr(grid.box_cover(xmin, ymin, xmax, ymax, size))))
-                  .withColumn("_cx", F.col("_c.cx")).withColumn("_cy", F.col("_c.cy")).drop("_c"))
+    if polygon_key:
+        key = list(polygon_key)
+        qc = polygon_cover(polygons, key, polygon, size).join(polygons, key)
+        full = "r._full OR "
+    else:
+        xmin, ymin, xmax, ymax = (c.replace("_.", "") for c in bbox_of(polygon, "_"))
+        qc = (polygons.withColumn("_c", F.explode(F.expr(grid.box_cover(xmin, ymin, xmax, ymax, size))))
+                      .withColumn("_cx", F.col("_c.cx")).withColumn("_cy", F.col("_c.cy")).drop("_c"))
+        full = ""
     l, r = pc.alias("l"), qc.alias("r")
     px, py = _q("l", point.cols())
     bx = bbox_of(polygon, "r")
-    pred = f"{G.pt_in_box(px, py, *bx)} AND {G.pt_in_polygon(px, py, f'r.`{polygon.rings}`', boundary)}"
+    pred = f"{full}({G.pt_in_box(px, py, *bx)} AND {G.pt_in_polygon(px, py, f'r.`{polygon.rings}`', boundary)})"
     cond = (F.col("l._cx") == F.col("r._cx")) & (F.col("l._cy") == F.col("r._cy")) & F.expr(pred)
     if how in ("left_semi", "left_anti"):
         return l.join(r, cond, how).select([F.col(f"l.`{c}`") for c in points.columns])

@@ -41,7 +41,8 @@ def address_without_road(addresses: DataFrame, communes: DataFrame, highway_segs
     """7170/12: addresses in a commune with no highway within ``planar``
     units and closer than ``fine_m`` m, clustered at ``cluster_d`` per
     department; one row per cluster at its centroid (mean lon/lat)."""
-    a = SJ.contains_join(addresses, communes, polygon=COMMUNE_POLY).select("id", "x", "y", "dept")
+    a = SJ.contains_join(addresses, communes, polygon=COMMUNE_POLY, polygon_key=("insee",)).select(
+        "id", "x", "y", "dept")
     a = SJ.with_geo_scales(SJ.guard_latitude(a, "y", max_abs_lat), "y")
     geo = SJ.geo_pt_seg_within("l.x", "l.y", ("r.x1", "r.y1", "r.x2", "r.y2"), str(fine_m), "<", scales=SJ.L_SCALES)
     planar_t = G.pt_seg_within("l.x", "l.y", "r.x1", "r.y1", "r.x2", "r.y2", str(planar))

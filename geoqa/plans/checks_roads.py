@@ -39,7 +39,7 @@ def building_without_road(buildings: DataFrame, communes: DataFrame, highways: D
                            .withColumnRenamed("xmin", "cxmin").withColumnRenamed("ymin", "cymin")
                            .withColumnRenamed("xmax", "cxmax").withColumnRenamed("ymax", "cymax"),
                            point=Point("cx", "cy"),
-                           polygon=Polygon("rings", ("cxmin", "cymin", "cxmax", "cymax")))
+                           polygon=Polygon("rings", ("cxmin", "cymin", "cxmax", "cymax")), polygon_key=("insee",))
     inside = inside.select("osm_id", "insee", "xmin", "ymin", "xmax", "ymax", "cx", "cy")
     lonely = dwithin_join(inside, highways.select("x1", "y1", "x2", "y2"), dist,
                           left_geom=Box(), right_geom=Segment(), how="left_anti",

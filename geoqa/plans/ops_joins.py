@@ -45,7 +45,7 @@ select a.id, c.insee from fx_address a join fx_commune c
 on a.x between c.xmin and c.xmax and a.y between c.ymin and c.ymax""")
 def point_in_polygon(spark: SparkSession, sf: str) -> DataFrame:
     a = inputs.addresses(spark, sf).select("id", "x", "y")
-    j = SJ.contains_join(a, _communes_poly(spark, sf), polygon=COMMUNE_POLY, boundary=True)
+    j = SJ.contains_join(a, _communes_poly(spark, sf), polygon=COMMUNE_POLY, boundary=True, polygon_key=("insee",))
     return j.select("id", "insee")
 
 
@@ -54,7 +54,7 @@ select a.id, c.insee from fx_address a join fx_commune c
 on a.x > c.xmin and a.x < c.xmax and a.y > c.ymin and a.y < c.ymax""")
 def strict_contains(spark: SparkSession, sf: str) -> DataFrame:
     a = inputs.addresses(spark, sf).select("id", "x", "y")
-    j = SJ.contains_join(a, _communes_poly(spark, sf), polygon=COMMUNE_POLY, boundary=False)
+    j = SJ.contains_join(a, _communes_poly(spark, sf), polygon=COMMUNE_POLY, boundary=False, polygon_key=("insee",))
     return j.select("id", "insee")
 
 

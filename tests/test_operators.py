@@ -103,3 +103,32 @@ def test_cluster_groups_are_separate(spark):
     p = spark.createDataFrame(rows, "id long, x long, y long, g string")
     got = sorted((r.g, r.id, r.cluster_id) for r in CL.cluster_within(p, 25, group_by=("g",)).collect())
     assert got == [("a", 1, 1), ("a", 3, 1), ("b", 1, 1), ("b", 2, 1)]
+
+
+def test_classified_cover_equals_bbox_cover(spark):
+    """Joining through edge/full cells gives the same pairs as testing
+    every point of the bounding box (star-shaped, non-convex polygons with
+    a hole, boundary points included)."""
+    import math
+    rows = []
+    for pid in range(6):
+        cx, cy, n = pid * 3000, (pid % 2) * 2500, 10 + pid
+        ring = []
+        for k in range(2 * n):
+            r = 1400 if k % 2 == 0 else 500
+            a = math.pi * k / n
+            ring.append({"x": float(round(cx + r * math.cos(a))), "y": float(round(cy + r * math.sin(a)))})
+        ring.append(ring[0])
+        hole = [{"x": cx - 100.0, "y": cy - 100.0}, {"x": cx + 100.0, "y": cy - 100.0}, {"x": cx + 100.0, "y": cy + 100.0},
+                {"x": cx - 100.0, "y": cy + 100.0}, {"x": cx - 100.0, "y": cy - 100.0}]
+        rows.append((pid, [ring, hole]))
+    polys = spark.createDataFrame(rows, "pid long, rings array<array<struct<x:double,y:double>>>")
+    rnd = random.Random(9)
+    pts = [(i, float(rnd.randint(-1600, 16600)), float(rnd.randint(-1600, 4100))) for i in range(4000)]
+    pts += [(10_000 + i, r[1][0][0]["x"], r[1][0][0]["y"]) for i, r in enumerate(rows)]  # vertices
+    p = spark.createDataFrame(pts, "id long, x double, y double")
+    for boundary in (True, False):
+        plain = {tuple(r) for r in SJ.contains_join(p, polys, boundary=boundary, cell=300.0).select("id", "pid").collect()}
+        classed = {tuple(r) for r in SJ.contains_join(p, polys, boundary=boundary, cell=300.0,
+                                                      polygon_key=("pid",)).select("id", "pid").collect()}
+        assert plain == classed and len(plain) > 100
