@@ -68,13 +68,27 @@ def centroid(pts: str) -> str:
 def substring(pts: str, f0: str, f1: str) -> str:
     """Sub-line between fractions f0 < f1 (ST_LineSubstring): interpolated
     start, the vertices strictly inside, interpolated end."""
-    L = length(pts)
-    cum = (f"transform(sequence(0, size({pts}) - 1), j -> "
-           f"aggregate(filter(sequence(1, greatest(j, 1)), i -> i <= j), cast(0 AS double), (acc, i) -> acc + {_seglen(pts)}))")
-    inner = (f"transform(filter(sequence(0, size({pts}) - 1), "
-             f"j -> {cum}[j] > ({f0}) * {L} AND {cum}[j] < ({f1}) * {L}), "
+    # running lengths built once (same additions, in the same order, as ``interpolate``)
+    cum = (f"aggregate(filter(sequence(1, greatest(size({pts}) - 1, 1)), i -> i < size({pts})), array(0D), "
+           f"(acc, i) -> concat(acc, array(acc[size(acc) - 1] + {_seglen(pts)})))")
+
+    def at(t: str) -> str:
+        """Point at running length t: first segment whose end reaches t."""
+        a, b = f"{pts}[k_ - 1]", f"{pts}[k_]"
+        sl = _seglen(pts, "k_")
+        hit = f"filter(sequence(1, size(c_) - 1), i -> c_[i] >= {t})"
+        return (f"element_at(transform(array(coalesce(element_at({hit}, 1), 0)), k_ -> CASE WHEN k_ = 0 THEN "
+                f"named_struct('x', cast({pts}[size({pts}) - 1].x AS double), 'y', cast({pts}[size({pts}) - 1].y AS double)) "
+                f"ELSE named_struct('x', {a}.x + ({b}.x - {a}.x) * (CASE WHEN {sl} = 0 THEN 0D ELSE ({t} - c_[k_ - 1]) / {sl} END), "
+                f"'y', {a}.y + ({b}.y - {a}.y) * (CASE WHEN {sl} = 0 THEN 0D ELSE ({t} - c_[k_ - 1]) / {sl} END)) END), 1)")
+
+    t0, t1 = f"(({f0}) * c_[size(c_) - 1])", f"(({f1}) * c_[size(c_) - 1])"
+    inner = (f"transform(filter(sequence(0, size({pts}) - 1), j -> c_[j] > {t0} AND c_[j] < {t1}), "
              f"j -> named_struct('x', cast({pts}[j].x AS double), 'y', cast({pts}[j].y AS double)))")
-    return f"concat(array({interpolate(pts, f0)}), {inner}, array({interpolate(pts, f1)}))"
+    first = f"named_struct('x', cast({pts}[0].x AS double), 'y', cast({pts}[0].y AS double))"
+    start = f"CASE WHEN size(c_) < 2 THEN {first} ELSE {at(t0)} END"
+    end = f"CASE WHEN size(c_) < 2 THEN {first} ELSE {at(t1)} END"
+    return f"element_at(transform(array({cum}), c_ -> concat(array({start}), {inner}, array({end}))), 1)"
 
 
 def bbox(pts: str) -> tuple:
