@@ -163,7 +163,7 @@ _C24_T = ("case when (x2-x1)*(x2-x1)+(y2-y1)*(y2-y1) = 0 or (cx-x1)*(x2-x1)+(cy-
 
 
 @query("c24_missing_hiking_route", f"""
-select r as cleabs, cl as cluster_id, nom, {geohash_sql('px', 'py')}, {lonlat_sql('px', 'py', 7)} from (
+select r as cleabs, cast(cl as bigint) as cluster_id, nom, {geohash_sql('px', 'py')}, {lonlat_sql('px', 'py', 7)} from (
   select q.*, row_number() over (partition by r, cl order by (px - cx) * (px - cx) + (py - cy) * (py - cy), seg) as rn from (
     select c.r, c.cl, c.cx, c.cy, s.seg, n.nom,
            cast(s.x1 + (s.x2 - s.x1) * ({_C24_T}) as double) as px, cast(s.y1 + (s.y2 - s.y1) * ({_C24_T}) as double) as py

@@ -116,7 +116,7 @@ def vertex_count(spark: SparkSession, sf: str) -> DataFrame:
     return inputs.official_lines(spark, sf).select("cleabs", F.size("pts").cast("bigint").alias("npoints"))
 
 
-@query("vertex_explode", "select cleabs, k + 1 as pos, x, y from fx_official")
+@query("vertex_explode", "select cleabs, cast(k + 1 as bigint) as pos, x, y from fx_official")
 def vertex_explode(spark: SparkSession, sf: str) -> DataFrame:
     lines = inputs.official_lines(spark, sf)
     v = lines.select("cleabs", F.posexplode("pts").alias("p0", "pt"))
@@ -125,7 +125,7 @@ def vertex_explode(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("inner_vertices", """
-select cleabs, k + 1 as pos, x, y from fx_official o
+select cleabs, cast(k + 1 as bigint) as pos, x, y from fx_official o
 where k > 0 and k < (select max(k) from fx_official i where i.cleabs = o.cleabs)""")
 def inner_vertices(spark: SparkSession, sf: str) -> DataFrame:
     lines = inputs.official_lines(spark, sf).withColumn("n", F.size("pts"))
@@ -269,7 +269,7 @@ def point_on_surface(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("boundary_segments", """
-select osm_id, ring, i + 1 as seg, x1, y1, x2, y2 from fx_house_e""", (HOUSE_V, HOUSE_E))
+select osm_id, cast(ring as bigint) as ring, cast(i + 1 as bigint) as seg, x1, y1, x2, y2 from fx_house_e""", (HOUSE_V, HOUSE_E))
 def boundary_segments(spark: SparkSession, sf: str) -> DataFrame:
     h = inputs.houses(spark, sf).select("osm_id", F.explode(E(LN.rings_to_segments("rings"))).alias("s"))
     return h.select("osm_id", F.col("s.ring").cast("bigint").alias("ring"), F.col("s.seg").cast("bigint").alias("seg"),

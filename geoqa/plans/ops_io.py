@@ -74,13 +74,13 @@ def ingest_csv_points(spark: SparkSession, sf: str) -> DataFrame:
 def materialise_table(spark: SparkSession, sf: str) -> DataFrame:
     """Truncate-and-refill of an intermediate table, partitioned, read back."""
     return R.materialise(c09(spark, sf), R.scratch_path(spark, "c09"), partition_by=("insee",)) \
-        .select("osm_id", F.col("insee").cast("bigint").alias("insee"), "lon", "lat")
+        .select("osm_id", F.col("insee").cast("int").alias("insee"), "lon", "lat")
 
 
 # ---------------------------------------------------------------- S6
 _FRACS = (0.0, 0.25, 0.5, 0.75, 1.0)
 _S6_SQL = " union all ".join(
-    f"select id as cleabs, {f} as f, round(x, 6) as x, round(y, 6) as y from ({interp_sql('o6_cum', repr(f))}) q{i}"
+    f"select id as cleabs, cast({f} as double) as f, round(x, 6) as x, round(y, 6) as y from ({interp_sql('o6_cum', repr(f))}) q{i}"
     for i, f in enumerate(_FRACS))
 
 

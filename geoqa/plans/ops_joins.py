@@ -72,7 +72,7 @@ def dwithin_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ A4
 @query("nearest_vertex", f"""
-select cleabs, k, osm_id, round(d, 6) as dist from (
+select cleabs, cast(k as bigint) as k, osm_id, round(d, 6) as dist from (
   select v.cleabs, v.k, s.osm_id, sqrt({G.pt_seg_d2('v.x', 'v.y', *SEG_S)}) as d,
          row_number() over (partition by v.cleabs, v.k order by {G.pt_seg_d2('v.x', 'v.y', *SEG_S)}, s.osm_id, s.seg) as rn
   from fx_official v join fx_segment s on {G.pt_seg_within('v.x', 'v.y', *SEG_S, '100')}
