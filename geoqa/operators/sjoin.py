@@ -18,6 +18,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -236,9 +237,26 @@ def dwithin_join(left: DataFrame, right: DataFrame, dist: float, *,
 
     if how in ("left_semi", "left_anti") and not left_key:
         raise ValueError("semi/anti join of non-point geometries needs left_key")
+    # keep each pair only in the lowest cell the two covers share
+    lowest = (F.col("l._cx") == F.greatest("l._x0", "r._x0")) & (F.col("l._cy") == F.greatest("l._y0", "r._y0"))
+    if left_reach is not None and how == "inner":
+        # one join: small rows pinned to their anchor cell, large rows on their full bbox cover
+        xmin, ymin, xmax, ymax = (c.replace("_.", "") for c in bbox_of(left_geom, "_"))
+        small_cond = F.coalesce(F.expr(f"{_extent(left_geom)} <= {float(left_reach)}"), F.lit(False))
+        anchor = f"array(named_struct('cx', {grid.cell_of(xmin, size)}, 'cy', {grid.cell_of(ymin, size)}))"
+        cells = F.when(F.col("_small"), F.expr(anchor)).otherwise(F.expr(grid.box_cover(xmin, ymin, xmax, ymax, size)))
+        lc = (left.withColumn("_small", small_cond)
+                  .withColumn("_x0", F.expr(grid.cell_of(xmin, size))).withColumn("_y0", F.expr(grid.cell_of(ymin, size)))
+                  .withColumn("_c", F.explode(cells))
+                  .withColumn("_cx", F.col("_c.cx")).withColumn("_cy", F.col("_c.cy")).drop("_c")).alias("l")
+        rc = _with_cells(right, right_geom, size, float(dist) + float(left_reach), keep_min=True).alias("r")
+        return _pairs(lc, rc, same_cell & (F.col("l._small") | lowest) & F.expr(pred), how, left, right, True,
+                      None, right_prefix, dsql, distance_col)
     parts = []
     big = left
     if left_reach is not None:
+        # semi / anti: the two branches read the left input; compute it once
+        left = left.persist(StorageLevel.MEMORY_AND_DISK)
         small_cond = F.expr(f"{_extent(left_geom)} <= {float(left_reach)}")
         small = left.where(small_cond)
         big = left.where(~small_cond | small_cond.isNull())
@@ -248,8 +266,6 @@ def dwithin_join(left: DataFrame, right: DataFrame, dist: float, *,
                             right_prefix, dsql, distance_col))
     l = _with_cells(big, left_geom, size, 0.0, keep_min=True).alias("l")
     r = _with_cells(right, right_geom, size, float(dist), keep_min=True).alias("r")
-    # keep each pair only in the lowest cell the two covers share
-    lowest = (F.col("l._cx") == F.greatest("l._x0", "r._x0")) & (F.col("l._cy") == F.greatest("l._y0", "r._y0"))
     parts.append(_pairs(l, r, same_cell & lowest & F.expr(pred), how, big, right, False, left_key,
                         right_prefix, dsql, distance_col))
     out = parts[0]
