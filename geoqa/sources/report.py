@@ -141,18 +141,34 @@ def _xml_rows(report: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
             f["k"].alias("_k"), f["v"].alias("_v"))).alias("fix")).alias("fixes"))
 
 
-def write_report(report: DataFrame, path: str, compression: str = "gzip", by: tuple[str, ...] = ()) -> None:
+def write_report(report: DataFrame, path: str, compression: str = "gzip", by: tuple[str, ...] = (),
+                 timestamp: str | None = None) -> None:
     """XML files (root ``analyser``, one ``error`` element per row,
     gzip), written in parallel; ``by`` splits the output into folders per
-    key (e.g. class and department).  Escaping is done by the writer."""
+    key (e.g. class and department).  Escaping is done by the writer.
+    ``timestamp`` (UTC, ``YYYY-MM-DDTHH:MM:SSZ``; F15) goes on the root
+    element; it is passed in so reruns are reproducible."""
     xml = _xml_rows(report, keep=by)
-    w = (xml.write.format("xml").mode("overwrite").option("rootTag", "analyser").option("rowTag", "error")
+    root = f'analyser timestamp="{timestamp}"' if timestamp else "analyser"
+    w = (xml.write.format("xml").mode("overwrite").option("rootTag", root).option("rowTag", "error")
          .option("compression", compression))
     if by:
         w = w.partitionBy(*by)
     w.save(path)
 
 
+def write_catalogue(catalogue: DataFrame, path: str, checks: tuple[str, ...] | None = None) -> None:
+    """Class header blocks (``class`` elements with ``classtext`` in each
+    language) for the checks of a report, as their own small XML table."""
+    c = catalogue.where(F.col("check").isin(*checks)) if checks else catalogue
+    xml = c.select(F.col("item").alias("_item"), F.col("tag").alias("_tag"), F.col("class").alias("_id"),
+                   F.col("level").alias("_level"),
+                   F.array(F.struct(F.lit("fr").alias("_lang"), F.col("title_fr").alias("_title")),
+                           F.struct(F.lit("en").alias("_lang"), F.col("title_en").alias("_title"))).alias("classtext"))
+    (xml.coalesce(1).write.format("xml").mode("overwrite").option("rootTag", "classes").option("rowTag", "class")
+        .save(path))
+
+
 def read_report(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Read an XML report back (attributes keep their ``_`` prefix).  Pass
     ``schema`` when the report may be empty (nothing to infer from)."""
