@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geoqa.functions import geom as G
-from geoqa.session import ensure_checkpoint_dir
+from geoqa.session import ensure_checkpoint_dir, ship_package
 
 _FORWARD = [(dx, dy) for dx in range(-2, 3) for dy in range(-2, 3) if dx > 0 or (dx == 0 and dy > 0)]
 
@@ -221,6 +221,7 @@ def _label_cells(cells: DataFrame, hits: DataFrame, gcols: list) -> DataFrame:
                                              F.lit(None).cast("long").alias("_rep"))
     schema = T.StructType([cells.schema[g] for g in gcols] + [
         T.StructField("_gx", T.LongType()), T.StructField("_gy", T.LongType()), T.StructField("_lrep", T.LongType())])
+    ship_package(cells.sparkSession)  # the pandas function lives in this package
     local = (node_rows.unionByName(edge_rows).groupBy("_ux", "_uy", "_hb")
              .applyInPandas(_tile_components(gcols), schema)).persist(StorageLevel.MEMORY_AND_DISK)
 

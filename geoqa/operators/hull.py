@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from geoqa.session import ship_package
+
 
 def monotone_chain(pts: np.ndarray) -> np.ndarray:
     """Counter-clockwise hull vertices (no repeated first point, collinear
@@ -131,6 +133,7 @@ def convex_hull(points: DataFrame, group_by: tuple[str, ...], x: str = "x", y: s
     pts = points.select(*gcols, F.col(x).cast("double").alias(x), F.col(y).cast("double").alias(y))
     schema = T.StructType([pts.schema[g] for g in gcols] + [T.StructField(x, T.DoubleType()),
                                                           T.StructField(y, T.DoubleType())])
+    ship_package(points.sparkSession)  # the pandas function lives in this package
     partial = pts.mapInPandas(_reduce_groups(gcols, x, y), schema)
     merged = (partial.repartition(partitions, *gcols) if partitions else partial.repartition(*gcols))
     verts = merged.mapInPandas(_reduce_groups(gcols, x, y), schema)
