@@ -10,10 +10,14 @@ Plan
    of the 5x5 block around it with a left-semi join (stops at the first
    partner); ``distinct`` keeps one edge per cell pair.  Output is linear in
    the number of points.
-3. Connected components of the (much smaller) cell graph by min-label
-   propagation with pointer jumping; the label table is checkpointed to the
-   session's checkpoint folder every round so lineage stays short and a lost
-   executor only recomputes one round.
+3. Connected components of the cell graph: tiles of 64 x 64 cells are
+   contracted independently with a vectorised pandas union-find (bounded
+   groups, whatever the density), then min-label propagation with pointer
+   jumping runs in Spark on the tile-crossing edges only; the label table is
+   cached each round and reliably checkpointed to the session's checkpoint
+   folder every third round, so lineage stays short and a lost executor only
+   recomputes a few rounds.  The input points are checkpointed once so the
+   rounds never recompute the upstream joins.
 4. Each point takes its cell's component label; the cluster id is the
    smallest member id, so results do not depend on partitioning.
 """
