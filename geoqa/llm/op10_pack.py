@@ -28,8 +28,8 @@ from geoqa.llm import textscan as T
 from geoqa.llm.common import arrow_map, only, stored, table
 
 END_ID = 0
-#: Token ids a worker caches before it starts anew (4 bytes each, plus about 100 a piece).
-ARENA = 1 << 21
+#: Pieces of text whose ids a worker keeps before it starts anew (about 50 bytes each).
+ARENA = 3 << 20
 
 
 @dataclass(frozen=True)
@@ -56,34 +56,63 @@ class _Arena:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
+        vocab = self.tok.get_vocab(with_added_tokens=True)
+        self.n_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
+        for token, i in vocab.items():  # the byte-level alphabet has a character for each byte
+            self.n_bytes[i] = len(token)
         self.clear()
 
     def clear(self) -> None:
-        self.at: dict[int, int] = {}
+        self.at = T.KeyMap()
         self.start, self.size = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
         self.ids, self.used = np.zeros(1 << 14, np.uint32), 0
 
-    def add(self, keys: list[int], texts: list[str]) -> None:
-        for k, e in zip(keys, self.tok.encode_batch(texts, add_special_tokens=False)):
-            ids, n = e.ids, len(self.at)
-            if n == len(self.start):
-                self.start, self.size = (np.concatenate((x, np.zeros_like(x))) for x in (self.start, self.size))
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-            self.at[k] = n
-            self.start[n], self.size[n] = self.used, len(ids)
-            self.ids[self.used:self.used + len(ids)] = ids
-            self.used += len(ids)
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _add(self, key: np.ndarray, w: T.Words, which: np.ndarray) -> None:
+        """Encode words ``which``.  Words that begin with white space tokenize the same when they
+        stand one after the other, so they go to the tokenizer in runs and the ids are told
+        apart by their bytes; the others go one by one."""
+        spaced = ~T.SPACED[w.data[w.start[which]]] & T.SPACED[w.data[w.end[which] - 1]]
+        by = np.argsort(~spaced, kind="stable")
+        key, which, m = key[by], which[by], int(spaced.sum())
+        size = (w.end - w.start)[which]
+        ids, count = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        if m:
+            cut = list(range(0, m, 256)) + [m]
+            raw = w.data[np.repeat(w.start[which[:m]], size[:m]) + T.spans(size[:m])].tobytes()
+            end = np.cumsum(size[:m])
+            edge = [0, *(int(end[c - 1]) for c in cut[1:])]
+            ids = np.concatenate([np.array(x, np.uint32) for x in self._encode([raw[a:z].decode() for a, z in zip(edge, edge[1:])])])
+            done = np.searchsorted(np.cumsum(self.n_bytes[ids]), end) + 1
+            count = np.diff(done, prepend=0)
+            if len(ids) != done[-1] or int(self.n_bytes[ids].sum()) != len(raw):
+                raise ValueError("the tokenizer's ids do not cover the text")
+        if m < len(which):
+            more = self._encode([w.text(i).decode() for i in which[m:]])
+            ids = np.concatenate((ids, *(np.array(x, np.uint32) for x in more)))
+            count = np.concatenate((count, [len(x) for x in more])).astype(np.int64)
+        n = len(self.at)
+        while n + len(count) > len(self.start):
+            self.start, self.size = (np.concatenate((x, np.zeros_like(x))) for x in (self.start, self.size))
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
+        self.start[n:n + len(count)] = self.used + np.cumsum(count) - count
+        self.size[n:n + len(count)] = count
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.at.add(key, n + np.arange(len(count)))
 
     def encode(self, w: T.Words) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in order, and the number of ids of each word."""
-        if self.used > ARENA:
+        if len(self.at) > ARENA:
             self.clear()
         key, first, place = np.unique(w.key, return_index=True, return_inverse=True)
-        ks = key.tolist()
-        new = [i for i, k in enumerate(ks) if k not in self.at]
-        self.add([ks[i] for i in new], [w.text(first[i]).decode() for i in new])
-        unit = np.fromiter((self.at[k] for k in ks), np.int64, len(ks))[place]
+        new = np.flatnonzero(self.at.get(key) < 0)
+        if len(new):
+            self._add(key[new], w, first[new])
+        unit = self.at.get(key)[place]
         size = self.size[unit]
         return self.ids[np.repeat(self.start[unit], size) + T.spans(size)], size
 
