@@ -1,9 +1,13 @@
 """Registered queries of the operators (and the DuckDB SQL where SQL can express one)."""
 
+from geoqa.llm import op7_decontaminate
 from geoqa.llm.op1_tokens import op1_token_counts
 from geoqa.llm.op5_quality import op5_quality_rules
+from geoqa.llm.op6_toxicity import op6_toxicity
+from geoqa.llm.op7_decontaminate import op7_benchmark_decontamination
 from geoqa.llm.op9_minhash import op9_minhash_near_dedup
 from geoqa.llm.op10_pack import op10_best_fit_packing
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op5_quality_rules, op9_minhash_near_dedup, op10_best_fit_packing)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op5_quality_rules, op6_toxicity, op7_benchmark_decontamination,
+                                   op9_minhash_near_dedup, op10_best_fit_packing)}
+ORACLES: dict[str, str] = {"op7_benchmark_decontamination": op7_decontaminate.ORACLE}
