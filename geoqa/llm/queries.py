@@ -5,9 +5,10 @@ from geoqa.llm.op1_tokens import op1_token_counts
 from geoqa.llm.op5_quality import op5_quality_rules
 from geoqa.llm.op6_toxicity import op6_toxicity
 from geoqa.llm.op7_decontaminate import op7_benchmark_decontamination
+from geoqa.llm.op8_licenses import op8_license_scan
 from geoqa.llm.op9_minhash import op9_minhash_near_dedup
 from geoqa.llm.op10_pack import op10_best_fit_packing
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op5_quality_rules, op6_toxicity, op7_benchmark_decontamination,
-                                   op9_minhash_near_dedup, op10_best_fit_packing)}
+                                   op8_license_scan, op9_minhash_near_dedup, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {"op7_benchmark_decontamination": op7_decontaminate.ORACLE}
