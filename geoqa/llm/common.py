@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 
 from geoqa.session import ensure_checkpoint_dir, ship_package
 
+#: Bits of the filter that keeps texts nobody asks for out of a shuffle (1 MB, whatever the data).
+FILTER_BITS = 1 << 23
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -43,9 +46,25 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
 
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str,
               ) -> DataFrame:
-    """``mapInArrow`` with the package shipped to the workers."""
+    """``mapInArrow`` with the package shipped to the workers, which give memory back after each task:
+    an executor keeps idle workers, and what they hold on to adds up."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def crc32_of_id(col) -> F.Column:
@@ -99,6 +118,32 @@ def gather(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Re
         yield joined(held)
 
 
+def _id_filter(ids: DataFrame) -> np.ndarray:
+    """Bit array over xxhash64(id): has every id of ``ids``; its size is fixed."""
+    h = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
+    words = (ids.select(F.shiftright(h, 6).alias("word"), (h % 64).cast("int").alias("bit")).distinct()
+             .groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")))
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    for r in words.collect():  # <= FILTER_BITS / 64 rows
+        out[r.word] = r.bits
+    return out
+
+
+def asked(docs: DataFrame, asks: DataFrame, how: str = "inner") -> DataFrame:
+    """(id, text) of ``docs`` joined with ``asks`` on id, by a shuffle of only the texts that may be asked for
+    (also so that the Python stages before and after do not share a task)."""
+    shared = docs.sparkSession.sparkContext.broadcast(_id_filter(asks))
+
+    def keep(batches):
+        for b in batches:
+            h = b.column(2).to_numpy()
+            yield b.filter(pa.array((shared.value[h >> 6] >> (h & 63)) & 1 == 1)).select([0, 1])
+
+    probe = docs.where("id is not null").select("id", "text", F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)).alias("h"))
+    texts = arrow_map(probe, keep, f"id {docs.schema['id'].dataType.simpleString()}, text string")
+    return texts.hint("merge").join(asks, "id", how)
+
+
 def joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     parts = [p for p in parts if p.num_rows] or parts[:1]
     return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
