@@ -3,6 +3,7 @@
 from geoqa.llm import op7_decontaminate
 from geoqa.llm.op1_tokens import op1_token_counts
 from geoqa.llm.op2_html import op2_main_text
+from geoqa.llm.op3_lm import op3_lm_scores
 from geoqa.llm.op4_substrings import op4_substring_dedup
 from geoqa.llm.op5_quality import op5_quality_rules
 from geoqa.llm.op6_toxicity import op6_toxicity
@@ -11,6 +12,6 @@ from geoqa.llm.op8_licenses import op8_license_scan
 from geoqa.llm.op9_minhash import op9_minhash_near_dedup
 from geoqa.llm.op10_pack import op10_best_fit_packing
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_main_text, op4_substring_dedup, op5_quality_rules, op6_toxicity, op7_benchmark_decontamination,
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_main_text, op3_lm_scores, op4_substring_dedup, op5_quality_rules, op6_toxicity, op7_benchmark_decontamination,
                                    op8_license_scan, op9_minhash_near_dedup, op10_best_fit_packing)}
 ORACLES: dict[str, str] = {"op7_benchmark_decontamination": op7_decontaminate.ORACLE}
