@@ -129,19 +129,37 @@ def _id_filter(ids: DataFrame) -> np.ndarray:
     return out
 
 
+def split_by_ids(df: DataFrame, id_col: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose id may be among ``ids``, rows whose id is not): the first part is small when ``ids`` is,
+    so that only it need be shuffled to the ids.  A null id is an id like any other here."""
+    shared = df.sparkSession.sparkContext.broadcast(_id_filter(ids))
+    names = df.columns
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    probe = df.select(F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(FILTER_BITS)).alias("probe of the id"), "*")
+
+    def part(wanted: int):
+        def run(batches):
+            for b in batches:
+                h = b.column(0).to_numpy()
+                yield b.filter(pa.array((shared.value[h >> 6] >> (h & 63)) & 1 == wanted)).select(range(1, len(names) + 1))
+
+        return arrow_map(probe, run, schema)
+
+    return part(1), part(0)
+
+
 def asked(docs: DataFrame, asks: DataFrame, how: str = "inner") -> DataFrame:
     """(id, text) of ``docs`` joined with ``asks`` on id, by a shuffle of only the texts that may be asked for
     (also so that the Python stages before and after do not share a task)."""
-    shared = docs.sparkSession.sparkContext.broadcast(_id_filter(asks))
+    texts, _ = split_by_ids(docs.where("id is not null").select("id", "text"), "id", asks)
+    return texts.hint("merge").join(asks, "id", how)
 
-    def keep(batches):
-        for b in batches:
-            h = b.column(2).to_numpy()
-            yield b.filter(pa.array((shared.value[h >> 6] >> (h & 63)) & 1 == 1)).select([0, 1])
 
-    probe = docs.where("id is not null").select("id", "text", F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)).alias("h"))
-    texts = arrow_map(probe, keep, f"id {docs.schema['id'].dataType.simpleString()}, text string")
-    return texts.hint("merge").join(asks, "id", how)
+def without_ids(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose id is not among ``ids`` (id); null ids match each other."""
+    maybe, sure = split_by_ids(df, id_col, ids)
+    gone = ids.select(F.col("id").alias("id that goes")).distinct()
+    return sure.unionByName(maybe.hint("merge").join(gone, F.col(f"`{id_col}`").eqNullSafe(F.col("id that goes")), "left_anti"))
 
 
 def joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:

@@ -6,14 +6,15 @@
    order (optimal densification), so borrowed slots stay independent samples.
 2. Documents with equal sets collapse to the one with the smallest id.
 3. Bands of ``ROWS`` slots are bucket keys.  A bucket of n documents gives n - 1
-   edges to its leader, never all pairs; per document the leader that shares the
-   most buckets is tried first.
+   edges to its leader, never all pairs; the leader is the member that meets most
+   documents over all its buckets (an original meets all its variants), and each
+   document tries the leader that it meets most often.
 4. Links are confirmed on the full shingle sets.
-5. Exact rest: where a bucket still holds several components, further leaders (at
-   most ``LEADERS`` a bucket and round) from outside its largest component are
-   compared with the members of other components, until every pair of such a
-   bucket is linked through its component or was compared.  Rounds emit at most
-   ``LEADERS`` rows per bucket member, and no pair is given up.
+5. Exact rest: documents of buckets that still hold several components are joined
+   on their rarest shingles.  Two sets at the asked similarity share a shingle among
+   the first ``n - ceil(0.75 n) + 1`` of each, in order of rarity, at places that
+   leave enough room after them; so no pair of these documents is given up, and the
+   shingles that whole groups share bring no pairs.
 
 With 40 bands of 4 rows a pair at similarity 0.75 shares no bucket with
 probability 2.5e-7, and less above.
@@ -29,15 +30,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoqa.llm import textscan as T
-from geoqa.llm.common import arrow_map, only, stored, table
+from geoqa.llm.common import arrow_map, asked, only, split_by_ids, stored, table, without_ids
 
 SHINGLE, PERCENT = 5, 75
 BANDS, ROWS = 40, 4
-LEADERS = 16
 #: Members of one hub that one task compares; larger groups are dealt to several.
 HUB_MEMBERS = 512
-#: Bits of the filter that keeps texts nobody asks for out of the shuffle (1 MB, whatever the data).
-FILTER_BITS = 1 << 23
 
 
 def shingles(w: T.Words, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -119,30 +117,6 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFra
     return arrow_map(docs, run, f"id {id_type}, n long, fp1 long, fp2 long, bands array<long>")
 
 
-def _id_filter(ids: DataFrame) -> np.ndarray:
-    """Bit array over xxhash64(id): has every id of ``ids``; its size is fixed."""
-    h = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
-    words = (ids.select(F.shiftright(h, 6).alias("word"), (h % 64).cast("int").alias("bit")).distinct()
-             .groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")))
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    for r in words.collect():  # <= FILTER_BITS / 64 rows
-        out[r.word] = r.bits
-    return out
-
-
-def _asked(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of (id, text) whose id may be among ``ids``."""
-    shared = docs.sparkSession.sparkContext.broadcast(_id_filter(ids))
-
-    def keep(batches):
-        for b in batches:
-            h = b.column(2).to_numpy()
-            yield b.filter(pa.array((shared.value[h >> 6] >> (h & 63)) & 1 == 1)).select([0, 1])
-
-    probe = docs.where("id is not null").select("id", "text", F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)).alias("h"))
-    return arrow_map(probe, keep, f"id {docs.schema['id'].dataType.simpleString()}, text string")
-
-
 def confirm(docs: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Those ``pairs`` (a, hub) whose full shingle sets have 100 * |A and B| >= percent * |A or B|.
 
@@ -155,9 +129,7 @@ def confirm(docs: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFr
     members = pairs.join(parts, "hub").select(
         F.col("a").alias("id"), "hub", F.expr("cast(pmod(xxhash64(a), parts) as int)").alias("part"), F.lit(1).alias("role"))
     hubs = parts.select(F.col("hub").alias("id"), "hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"))
-    asks = members.union(hubs)
-    ids = pairs.select(F.col("a").alias("id")).union(parts.select("hub"))
-    rows = _asked(docs, ids).join(asks, "id").select("hub", "part", "role", "id", "text")
+    rows = asked(docs, members.union(hubs)).select("hub", "part", "role", "id", "text")
     rows = rows.repartition("hub", "part").sortWithinPartitions("hub", "part", "role")
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -208,8 +180,45 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def rare_pairs(docs: DataFrame, among: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Pairs (a, hub) of documents of ``among`` (id, comp) in different components that may be similar
+    enough, by the shingles that are rarest among them (prefix and position filters; no pair is lost)."""
+    id_type = docs.schema["id"].dataType.simpleString()
+    rows = asked(docs, among).select("id", "text")
+
+    def run(batches):
+        for b in batches:
+            for lo, hi, data, offs in T.chunks(b.column(1)):
+                row, key = distinct(*shingles(T.scan(data, offs, T.SPACED, lower=True)))
+                n = np.bincount(row, minlength=hi - lo)
+                fp = np.zeros(hi - lo, np.uint64)
+                np.add.at(fp, row, T.mix(key))
+                yield pa.RecordBatch.from_arrays([
+                    b.column(0).take(pa.array(row + lo)), pa.array(T.signed(fp[row])), pa.array(n[row], pa.int32()), pa.array(T.signed(key))],
+                    ["id", "fp", "n", "key"])
+
+    keys = arrow_map(rows, run, f"id {id_type}, fp long, n int, key long").distinct()
+    several = keys.groupBy("key").agg(F.count("*").alias("df")).where("df > 1")
+    own = Window.partitionBy("id", "fp")
+    # a shingle nobody shares needs no row: it only moves the others back
+    placed = (keys.join(several, "key").withColumn("at", F.row_number().over(own.orderBy("df", "key"))).withColumn("m", F.count("*").over(own))
+              .select("id", "n", "key", (F.col("n") - F.col("m") + F.col("at") - 1).alias("at"))
+              .where(f"at <= n - ceil({percent} * n / 100)").join(among, "id"))
+    placed = stored(placed, "prefixes")
+    sizes = placed.groupBy("key", "comp").agg(F.count("*").alias("m")).groupBy("key").agg(F.max(F.struct("m", "comp")).alias("big"), F.count("*").alias("c"))
+    ask = placed.join(sizes.where("c > 1"), "key").where("comp <> big.comp").select("key", *[F.col(c).alias(f"{c}_2") for c in ("id", "n", "at", "comp")])
+    pairs = placed.join(ask, "key").where("comp <> comp_2 and id <> id_2").where(
+        f"{100 + percent} * least(n - at, n_2 - at_2) >= {percent} * (n + n_2)").where(_alike("n", "n_2", percent))
+    return pairs.select(F.greatest("id", "id_2").alias("a"), F.least("id", "id_2").alias("hub")).distinct()
+
+
+def _alike(a: str, b: str, percent: int) -> F.Column:
+    """Sizes that leave the similarity possible."""
+    return F.expr(f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
-                    bands: int = BANDS, rows: int = ROWS, leaders: int = LEADERS) -> DataFrame:
+                    bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``id, n_shingles, component_id, kept`` of every row.
 
     A document is an id: rows that share one share its component, linked by any of
@@ -222,45 +231,23 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = stored(sets.groupBy("fp1", "fp2", "n").agg(F.min(F.struct("id", "bands")).alias("m"))
                      .select("fp1", "fp2", "n", F.col("m.id").alias("id"), F.col("m.bands").alias("bands")), "classes")
     band = classes.select(F.explode("bands").alias("key"), "id", "n")
-    # star edges: every member of a bucket to its smallest id
-    heads = band.groupBy("key").agg(F.min(F.struct("id", "n")).alias("head"), F.max("id").alias("last")).where("head.id < last").select("key", "head")
-    shared = stored(band.join(heads, "key").select("key", "id", "n", F.col("head.id").alias("hub"), F.col("head.n").alias("hub_n")), "buckets")
-
-    def alike(a: str, b: str) -> F.Column:  # sizes that leave the similarity possible
-        return F.expr(f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})")
-
-    stars = shared.where("id <> hub").where(alike("n", "hub_n")).groupBy("id", "hub").agg(F.count("*").alias("times"))
-    best = stars.groupBy("id").agg(F.max(F.struct("times", "hub")).alias("best")).select(F.col("id").alias("a"), F.col("best.hub").alias("hub"))
-    tested = stored(best, "tested")
-    links = stored(confirm(docs, tested, percent), "links")
+    shared = band.join(band.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "key")
+    shared = stored(shared, "buckets")
+    # star edges: every member of a bucket to its leader
+    meets = shared.groupBy("id").agg(F.sum("m").alias("meets"))
+    leaders = shared.join(meets, "id").groupBy("key").agg(F.max(F.struct("meets", "n", "id")).alias("head"))
+    stars = (shared.join(leaders, "key").where("id <> head.id").where(_alike("n", "head.n", percent))
+             .groupBy("id", F.col("head.id").alias("hub")).agg(F.count("*").alias("times"), F.max("head.meets").alias("meets")))
+    best = stars.groupBy("id").agg(F.max(F.struct("times", "meets", "hub")).alias("best")).select(F.col("id").alias("a"), F.col("best.hub").alias("hub"))
+    links = stored(confirm(docs, best, percent), "links")
     comps = components(links)
-    done = None
-    while True:
-        # buckets that still hold several components
-        member = shared.select("key", "id", "n").join(comps, "id", "left").select("key", "id", "n", F.coalesce("comp", "id").alias("comp"))
-        sizes = member.groupBy("key", "comp").agg(F.count("*").alias("m"))
-        open_keys = sizes.groupBy("key").agg(F.max(F.struct("m", "comp")).alias("big"), F.count("*").alias("c")).where("c > 1")
-        member = stored(member.join(open_keys.select("key", F.col("big.comp").alias("big")), "key"), "open")
-        ask = member.where("comp <> big")
-        if done is not None:
-            ask = ask.join(done, ["key", "id"], "left_anti")
-        first = Window.partitionBy("key").orderBy("id")
-        lead = stored(ask.withColumn("at", F.row_number().over(first)).where(F.col("at") <= leaders)
-                      .select("key", F.col("id").alias("hub"), F.col("n").alias("hub_n"), F.col("comp").alias("hub_comp")), "leaders")
-        if lead.isEmpty():
-            break
-        new = lead.select("key", F.col("hub").alias("id"))
-        done = stored(new if done is None else done.union(new), "done")
-        pairs = (member.join(lead, "key").where("comp <> hub_comp and id <> hub").where(alike("n", "hub_n"))
-                 .select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("hub")).distinct()
-                 .join(tested, ["a", "hub"], "left_anti"))
-        pairs = stored(pairs, "round")
-        tested = stored(tested.union(pairs), "tested")
-        if not pairs.isEmpty():
-            found = stored(confirm(docs, pairs, percent), "links")
-            if not found.isEmpty():
-                links = stored(links.union(found), "links")
-                comps = components(links)
+    # buckets that still hold several components
+    member = stored(shared.select("key", "id").join(comps, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp")), "members")
+    still = member.groupBy("key").agg((F.min("comp") < F.max("comp")).alias("open")).where("open")
+    among = stored(member.join(still, "key").select("id", "comp").distinct(), "open")
+    more = stored(confirm(docs, rare_pairs(docs, among, percent), percent), "links")
+    if not more.isEmpty():
+        comps = components(links.union(more))
     # all rows: set -> class -> component; ids with several sets belong to all of them
     of_class = classes.select("fp1", "fp2", "n", F.col("id").alias("rep"))
     node = sets.select("id", "fp1", "fp2", "n").join(of_class, ["fp1", "fp2", "n"]).join(comps.withColumnRenamed("id", "rep"), "rep", "left")
@@ -275,5 +262,18 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return out.select("id", F.col("n").alias("n_shingles"), comp.alias("component_id"), F.coalesce(F.col("id") == comp, F.lit(True)).alias("kept"))
 
 
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` that stay: of each group of near duplicates the document with the smallest id,
+    and of rows that share that id one.  Rows without an id all stay."""
+    found = stored(near_duplicates(df, id_col, text_col).select("id", "kept"), "kept")
+    gone = found.where("not kept").select("id").distinct()
+    several = found.where("kept and id is not null").groupBy("id").agg(F.count("*").alias("m")).where("m > 1").select("id")
+    rest = without_ids(df, id_col, gone)
+    if several.isEmpty():
+        return rest
+    again, single = split_by_ids(rest, id_col, several)
+    return single.unionByName(again.where(f"`{id_col}` is not null").dropDuplicates([id_col])).unionByName(again.where(f"`{id_col}` is null"))
+
+
 def op9_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")

@@ -115,7 +115,7 @@ def chunks(col: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, int, np.ndar
 
 
 def scan(data: np.ndarray, offs: np.ndarray, words: np.ndarray = SPACED, lower: bool = False,
-         with_gap: bool = False, block: int = 4 * CHUNK) -> Words:
+         with_gap: bool = False, block: int = CHUNK) -> Words:
     """Words of rows ``offs`` of ``data``; ``words`` says which bytes are word bytes.
 
     ``with_gap``: a word starts right after the end of the one before it, so the
