@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoqa.llm import textscan as T
-from geoqa.llm.common import arrow_map, asked, gather, only, stored, table
+from geoqa.llm.common import arrow_map, asked, gather, only, split_by_ids, stored, table
 
 K, WINDOW = 8, 12
 #: Words a chain may skip between two anchors, cost of a skipped word, words a chain must cover.
@@ -298,39 +298,47 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .where(F.col("p1") - F.col("p0") >= min_words))
 
 
-def without_passages(df: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_passages(df: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str | None = None) -> DataFrame:
     """``df`` with the passages p0..p1 of ``spans`` cut out of its texts: the words and the white space
-    after them go, all other text stays as it is.  Rows whose every word is cut go; rows without spans stay."""
-    passages = spans.select("id", F.struct("p0", "p1").alias("p")).distinct().groupBy("id").agg(F.sort_array(F.collect_list("p")).alias("__cut"))
-    joined_ = df.join(passages.withColumnRenamed("id", "__id"), F.col(f"`{id_col}`") == F.col("__id"), "left").drop("__id")
-    touched = joined_.where("__cut is not null")
+    after them go, all other text stays as it is.  Rows whose every word is cut go; rows without spans
+    stay untouched.  ``size_col`` names a column that holds the text's code points."""
+    passages = stored(spans.select("id", F.struct("p0", "p1").alias("p")).distinct().groupBy("id").agg(F.sort_array(F.collect_list("p")).alias("cuts of the text"))
+                      .select(F.col("id").alias("id of the cuts"), "cuts of the text"), "passages")
+    maybe, sure = split_by_ids(df, id_col, passages.select(F.col("id of the cuts").alias("id")))
+    cut = maybe.hint("merge").join(passages, F.col(f"`{id_col}`") == F.col("id of the cuts"), "left").drop("id of the cuts")
+    names = df.columns
 
     def run(batches):
         for b in batches:
-            texts, keep, at = [], [], 0
-            cuts = b.column("__cut").to_pylist()
-            for lo, hi, data, offs in T.chunks(b.column(text_col)):
+            texts, keep = [], []
+            cuts = b.column(len(names)).to_pylist()
+            for lo, hi, data, offs in T.chunks(b.column(names.index(text_col))):
                 w = T.scan(data, offs)
                 f = w.first()
                 for i in range(lo, hi):
                     a, z = int(f[i - lo]), int(f[i - lo + 1])
-                    stay = np.ones(int(offs[i - lo + 1] - offs[i - lo]), bool)
-                    gone = 0
-                    for p in cuts[i]:
+                    begin, end = int(offs[i - lo]), int(offs[i - lo + 1])
+                    stay = np.ones(end - begin, bool)
+                    gone = np.zeros(z - a, bool)
+                    for p in cuts[i] or ():
                         p0, p1 = min(p["p0"], z - a), min(p["p1"], z - a)
                         if p1 > p0:
-                            stop = w.start[a + p1] if a + p1 < z else offs[i - lo + 1]
-                            stay[w.start[a + p0] - offs[i - lo]:stop - offs[i - lo]] = False
-                            gone += p1 - p0
-                    texts.append(data[offs[i - lo]:offs[i - lo + 1]][stay].tobytes().decode())
-                    keep.append(gone < z - a)
-            if texts:
-                cols = [pa.array(texts, pa.string()) if n == text_col else b.column(n) for n in names]
-                yield pa.RecordBatch.from_arrays(cols, names).filter(pa.array(keep))
+                            stop = w.start[a + p1] if a + p1 < z else end
+                            stay[w.start[a + p0] - begin:stop - begin] = False
+                            gone[p0:p1] = True
+                    texts.append(data[begin:end][stay].tobytes().decode())
+                    keep.append(not gone.all() or not len(gone))
+            old = b.column(names.index(text_col))
+            texts = [None if not v else t for t, v in zip(texts, old.is_valid().to_pylist())]
+            new = {text_col: pa.array(texts, pa.string())}
+            if size_col:
+                kind = b.column(names.index(size_col)).type
+                new[size_col] = pa.array([len(t) if c and t is not None else n for t, c, n in zip(texts, cuts, b.column(names.index(size_col)).to_pylist())], kind)
+            if len(texts):
+                yield pa.RecordBatch.from_arrays([new.get(n, b.column(i)) for i, n in enumerate(names)], names).filter(pa.array(keep, pa.bool_()))
 
-    names = df.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return joined_.where("__cut is null").drop("__cut").unionByName(arrow_map(touched, run, schema))
+    return sure.unionByName(arrow_map(cut, run, schema))
 
 
 def op4_substring_dedup(spark, sf_dir: str) -> DataFrame:

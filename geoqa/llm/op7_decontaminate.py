@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoqa.llm import textscan as T
-from geoqa.llm.common import arrow_map, only, stored, table
+from geoqa.llm.common import arrow_map, only, stored, table, without_ids
 
 WINDOW, SLOP = 10, 5
 SEGMENT_BYTES = 6 << 20
@@ -189,6 +189,12 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
         F.coalesce("items", empty).alias("items"), F.coalesce("near", empty).alias("near_items"))
 
 
+def without_contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df``, whole, of documents without a hit; rows that share an id are one document."""
+    hit = stored(decontaminate(df, benchmark, id_col, text_col).where("n_hit > 0").select("id"), "hit")
+    return without_ids(df, id_col, hit)
+
+
 def op7_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
     out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select(
