@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,30 +56,32 @@ def subwords(data: np.ndarray, start: np.ndarray, end: np.ndarray, buckets: int
 
 
 def _bags(docs: DataFrame, max_words: int) -> DataFrame:
-    """``y, words, counts``: distinct words of each row of (id, text, y) with at most ``max_words`` words."""
+    """``id, y, words, counts``: distinct words of each row of (id, text, y) with at most ``max_words`` words."""
+    id_type = docs.schema["id"].dataType.simpleString()
 
     def run(batches):
         for b in batches:
-            y, at = b.column(2).to_pylist(), 0
             for lo, hi, data, offs in T.chunks(b.column(1)):
                 w = T.scan(data, offs, T.ALNUM, lower=True)
-                f = w.first()
+                f, rows, words, counts = w.first(), [], [], []
                 for i in range(hi - lo):
                     if 0 < f[i + 1] - f[i] <= max_words:
                         _, first, n = np.unique(w.key[f[i]:f[i + 1]], return_index=True, return_counts=True)
-                        words = [w.text(f[i] + j).decode().translate(_ASCII_LOWER) for j in first]
-                        yield pa.RecordBatch.from_arrays([pa.array([y[lo + i]], pa.int32()), pa.array([words]), pa.array([n.tolist()], pa.list_(pa.int32()))],
-                                                         ["y", "words", "counts"])
-                at += hi - lo
+                        rows.append(lo + i)
+                        words.append([w.text(f[i] + j).decode().translate(_ASCII_LOWER) for j in first])
+                        counts.append(n.tolist())
+                take = pa.array(rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(2).take(take), pa.array(words, pa.list_(pa.string())),
+                                                  pa.array(counts, pa.list_(pa.int32()))], ["id", "y", "words", "counts"])
 
-    return arrow_map(docs, run, "y int, words array<string>, counts array<int>")
+    return arrow_map(docs, run, f"id {id_type}, y int, words array<string>, counts array<int>")
 
 
 _ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
-                    positive: int = POSITIVE_ROWS, negative: int = NEGATIVE_ROWS, max_words: int = MAX_WORDS):
+                    positive: int = POSITIVE_ROWS, negative: int = NEGATIVE_ROWS, max_words: int = MAX_WORDS) -> tuple[pa.Table, float | None]:
     """(bags, share of label 1 among all usable labels).  The sampled ids - at most
     ``positive + negative``, taken in hash order - are broadcast to the documents."""
     y = only(labels, id=id_col, y=label_col).where("y in (0, 1) and id is not null").groupBy("id").agg(F.max("y").cast("int").alias("y"))
@@ -87,7 +90,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     order = F.xxhash64("id", F.lit(6))
     chosen = y.where("y = 1").orderBy(order, "id").limit(positive).union(y.where("y = 0").orderBy(order, "id").limit(negative))
     rows = only(docs, id=id_col, text=text_col).join(F.broadcast(chosen), "id").select("id", "text", "y")
-    return _bags(rows, max_words).collect(), share
+    return _bags(rows, max_words).toArrow(), share
 
 
 def telling(y, doc, word, gram_word, gram, buckets: int) -> np.ndarray:
@@ -113,25 +116,30 @@ def telling(y, doc, word, gram_word, gram, buckets: int) -> np.ndarray:
     return (total > 0) & (total * kl >= EVIDENCE)
 
 
-def train(bags: list, share: float | None, buckets: int = BUCKETS, dim: int = DIM, epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
+def train(bags: pa.Table, share: float | None, buckets: int = BUCKETS, dim: int = DIM, epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
     """(score of each bucket, intercept): a text's log-odds are the intercept plus the mean over its
     words of the mean score of their subwords.  With one class only, everything gets its prior."""
-    bags = sorted(bags, key=lambda r: (r.y, r.words))  # the same model whatever the order of rows
-    y = np.array([r.y for r in bags], float)
+    bags = bags.sort_by("id").combine_chunks()  # the same model whatever the order of rows
+    y = bags.column("y").to_numpy().astype(float)
+    p = min(max(y.mean() if len(y) else 0.0, 0.01), 0.99)
+    prior = np.zeros(buckets, np.float32), float(np.log(p / (1 - p)))
     if not len(y) or y.min() == y.max():
-        p = min(max(y.mean() if len(y) else 0.0, 0.01), 0.99)
-        return np.zeros(buckets, np.float32), float(np.log(p / (1 - p)))
-    index: dict[str, int] = {}
-    word = np.array([index.setdefault(x, len(index)) for r in bags for x in r.words])
-    count = np.concatenate([np.array(r.counts, float) for r in bags])
-    doc = np.repeat(np.arange(len(bags)), [len(r.words) for r in bags])
+        return prior
+    lists = bags.column("words").combine_chunks()
+    doc = np.repeat(np.arange(len(y)), pc.list_value_length(lists).to_numpy())
+    index = lists.flatten().dictionary_encode()
+    word, vocabulary = index.indices.to_numpy().astype(np.int64), index.dictionary
+    count = bags.column("counts").combine_chunks().flatten().to_numpy().astype(float)
+    del bags, lists, index
     weight = count / (np.bincount(doc, count) + PAD)[doc]
-    known = np.bincount(word, minlength=len(index)) > 1  # words of one document teach nothing about others
+    known = np.bincount(word, minlength=len(vocabulary)) > 1  # words of one document teach nothing about others
+    if not known.any():
+        return prior
     keep = known[word]
     doc, word, weight = doc[keep], word[keep], weight[keep]
     new = np.cumsum(known) - 1
     word = new[word]
-    data, offs = T.buffer_of(pa.array([w for w, i in index.items() if known[i]], pa.string()))
+    data, offs = T.buffer_of(vocabulary.filter(pa.array(known)))
     gram_word, gram = subwords(data, offs[:-1], offs[1:], buckets)
     taught = telling(y, doc, word, gram_word, gram, buckets)
     used = np.flatnonzero(taught)
@@ -166,28 +174,44 @@ def train(bags: list, share: float | None, buckets: int = BUCKETS, dim: int = DI
     return score, float(bias[1] - bias[0])
 
 
+def score_column(col: pa.Array, model: tuple[np.ndarray, float]) -> np.ndarray:
+    """Probability of label 1 of each text."""
+    bucket_score, bias = model
+    out = [np.zeros(0)]
+    for lo, hi, data, offs in T.chunks(col):
+        w = T.scan(data, offs, T.ALNUM, lower=True)
+        _, first, place = np.unique(w.key, return_index=True, return_inverse=True)
+        which, gram = subwords(data, w.start[first], w.end[first], len(bucket_score))
+        word = np.bincount(which, bucket_score[gram], len(first)) / np.maximum(np.bincount(which, minlength=len(first)), 1)
+        total = np.bincount(w.doc, word[place], hi - lo) / (w.counts() + PAD)
+        out.append(1 / (1 + np.exp(-np.clip(total + bias, -500, 500))))
+    return np.concatenate(out)
+
+
 def score_texts(df: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, score`` (probability of label 1) of every row; null or wordless text gets the model's prior."""
     docs = only(df, id=id_col, text=text_col)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        bucket_score, bias = shared.value
         for b in batches:
-            out = []
-            for lo, hi, data, offs in T.chunks(b.column(1)):
-                w = T.scan(data, offs, T.ALNUM, lower=True)
-                _, first, place = np.unique(w.key, return_index=True, return_inverse=True)
-                which, gram = subwords(data, w.start[first], w.end[first], len(bucket_score))
-                word = np.bincount(which, bucket_score[gram], len(first)) / np.maximum(np.bincount(which, minlength=len(first)), 1)
-                total = np.bincount(w.doc, word[place], hi - lo) / (w.counts() + PAD)
-                out.append(1 / (1 + np.exp(-np.clip(total + bias, -500, 500))))
-            if out:
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.concatenate(out))], ["id", "score"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score_column(b.column(1), shared.value))], ["id", "score"])
 
     return arrow_map(docs, run, f"id {docs.schema['id'].dataType.simpleString()}, score double")
 
 
+def without_toxic(df: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text", cutoff: float = CUTOFF) -> DataFrame:
+    """The rows of ``df``, whole, that score below ``cutoff``."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    at = df.columns.index(text_col)
+
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array(score_column(b.column(at), shared.value) < cutoff))
+
+    return arrow_map(df, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema))
+
+
 def toxicity(df: DataFrame, labelled: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              label_col: str = "toxic") -> DataFrame:
     """``id, held_out, score, predicted`` of every row of ``df``; the model learns from the documents
