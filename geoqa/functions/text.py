@@ -53,8 +53,11 @@ def is_rural_name(c, strict_dots: bool = False) -> Column:
 
 
 def matches_ci(text, pattern) -> Column:
-    """``text ~* pattern`` where the pattern is a column (case-insensitive)."""
-    return F.regexp_like(_c(text), F.concat(F.lit("(?i)"), _c(pattern)))
+    """``text ~* pattern`` where the pattern is a column (case-insensitive).  A name with a sign that
+    may not form a pattern (``Rue *``, ``[bis``) is looked for as it stands."""
+    literal = _c(pattern).rlike(r"[*+?\[\]{}\\()]")
+    return F.when(literal, F.contains(F.lower(_c(text)), F.lower(_c(pattern)))).otherwise(
+        F.regexp_like(_c(text), F.concat(F.lit("(?i)"), F.when(~literal, _c(pattern)).otherwise(""))))
 
 
 def unbracket(c) -> Column:

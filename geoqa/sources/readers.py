@@ -49,15 +49,21 @@ def load_json_points(spark: SparkSession, path: str, schema: str = JSON_POINT) -
     """Address dumps made of JSON objects written back to back
     (``{"lat":..}{"lat":..}``, possibly one huge line, possibly bz2).
 
-    The text source splits records on ``}`` instead of newlines, so a file
-    without line breaks is still read in parallel splits (bz2 is splittable);
-    each piece is closed again and parsed with ``from_json``.  Objects must
-    be flat (no nested braces), as the address dumps are."""
-    raw = spark.read.option("lineSep", "}").text(path)
-    piece = F.trim(F.col("value"))
-    parsed = (raw.where(piece.startswith("{"))
-                 .select(F.from_json(F.concat(piece, F.lit("}")), schema).alias("o"))
-                 .select("o.*"))
+    The text source splits records where one object ends and the next begins
+    (``}{``; white space between them is allowed), so a file without line
+    breaks is still read in parallel splits (bz2 is splittable).  Each piece
+    gets back the braces that the split took - nested objects and braces in
+    strings are told apart - and is parsed; a piece that is no JSON fails the
+    job instead of becoming an empty row."""
+    raw = spark.read.option("lineSep", "}{").text(path)
+    # white space between two objects, but not inside a string, becomes a mark to split at
+    marked = F.regexp_replace("value", r'("(?:[^"\\]|\\.)*")|(?<=\})\s+(?=\{)', "$1\u0001")
+    piece = raw.select(F.explode(F.split(marked, "(?<=\\})\u0001(?=\\{)")).alias("p")).select(F.trim(F.translate("p", "\u0001\n\r", "")).alias("p"))
+    piece = piece.where("p <> ''").withColumn("p", F.when(F.col("p").startswith("{"), F.col("p")).otherwise(F.concat(F.lit("{"), F.col("p"))))
+    bare = F.regexp_replace("p", r'"(?:[^"\\]|\\.)*"', "")
+    missing = F.length(F.regexp_replace(bare, "[^{]", "")) - F.length(F.regexp_replace(bare, "[^}]", ""))
+    piece = piece.select(F.concat("p", F.repeat(F.lit("}"), F.greatest(missing, F.lit(0)))).alias("p"))
+    parsed = piece.select(F.from_json("p", schema, {"mode": "FAILFAST"}).alias("o")).select("o.*")
     if "lat" in parsed.columns and "lon" in parsed.columns:
         parsed = parsed.withColumn("x", F.expr(crs.merc_x("lon"))).withColumn("y", F.expr(crs.merc_y("lat")))
     return parsed
@@ -67,8 +73,10 @@ def load_json_points(spark: SparkSession, path: str, schema: str = JSON_POINT) -
 GEOJSON_FEATURE = T.StructType([
     T.StructField("type", T.StringType()),
     T.StructField("properties", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("geometry", T.StructType([T.StructField("type", T.StringType()),
-                                            T.StructField("coordinates", T.StringType())]))])
+    T.StructField("geometry", T.StructType([
+        T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType()),
+        T.StructField("geometries", T.ArrayType(T.StructType([T.StructField("type", T.StringType()),
+                                                              T.StructField("coordinates", T.StringType())])))]))])
 GEOJSON_COLLECTION = T.StructType([T.StructField("type", T.StringType()),
                                    T.StructField("features", T.ArrayType(GEOJSON_FEATURE))])
 
@@ -79,9 +87,11 @@ def load_geojson(spark: SparkSession, path: str, multiline: bool = False,
 
     ``multiline=True`` reads FeatureCollection files (one per department,
     each file parsed by one task); otherwise one Feature per line (splittable).
-    Returns props (map), geometry type, ``pts`` (LineString / Point) or
-    ``rings`` (Polygon) in Mercator, and ``dept`` taken from a ``dept=``
-    path segment when present.
+    Returns props (map), geometry type, ``part``, ``pts`` (LineString / Point)
+    or ``rings`` (Polygon) in Mercator, and ``dept`` taken from a ``dept=``
+    path segment when present.  Multi-geometries and collections give a row
+    for each part; a third coordinate is dropped; a feature without geometry
+    keeps its row, and an unknown geometry type fails the job.
     """
     if multiline:
         fc = spark.read.option("multiLine", True).schema(GEOJSON_COLLECTION).json(path)
@@ -90,19 +100,27 @@ def load_geojson(spark: SparkSession, path: str, multiline: bool = False,
         feats = spark.read.schema(GEOJSON_FEATURE).json(path)
     if dept_from_path:
         feats = feats.withColumn("dept", F.regexp_extract(F.input_file_name(), r"dept=([^/]+)", 1))
-    coords = F.col("geometry.coordinates")
+    def singles(g: str) -> str:
+        """The simple geometries of a geometry, as array of (type, coordinates)."""
+        return (f"CASE WHEN {g}.type LIKE 'Multi%' THEN transform(from_json({g}.coordinates, 'ARRAY<STRING>'), "
+                f"c -> named_struct('type', substr({g}.type, 6), 'coordinates', c)) "
+                f"WHEN {g}.type IN ('Point', 'LineString', 'Polygon') THEN array(named_struct('type', {g}.type, 'coordinates', {g}.coordinates)) "
+                f"ELSE raise_error(concat('unknown geometry type ', {g}.type)) END")
+
+    parts = (f"CASE WHEN geometry.type IS NULL THEN NULL WHEN geometry.type = 'GeometryCollection' "
+             f"THEN flatten(transform(geometry.geometries, g -> {singles('g')})) ELSE {singles('geometry')} END")
+    feats = feats.select("properties", *(["dept"] if dept_from_path else []), F.col("geometry.type").alias("gtype"),
+                         F.posexplode_outer(F.expr(parts)).alias("part", "_g"))
+    coords = F.col("_g.coordinates")
     to_pt = (lambda a: f"named_struct('x', {crs.merc_x(a + '[0]')}, 'y', {crs.merc_y(a + '[1]')})")
-    line = F.from_json(coords, "ARRAY<ARRAY<DOUBLE>>")
-    poly = F.from_json(coords, "ARRAY<ARRAY<ARRAY<DOUBLE>>>")
-    point = F.from_json(coords, "ARRAY<DOUBLE>")
-    out = (feats.withColumn("_line", line).withColumn("_poly", poly).withColumn("_pt", point)
-           .select("properties", F.col("geometry.type").alias("gtype"), *(["dept"] if dept_from_path else []),
-                   F.when(F.col("geometry.type") == "LineString",
-                          F.expr(f"transform(_line, c -> {to_pt('c')})"))
-                    .when(F.col("geometry.type") == "Point", F.expr(f"array({to_pt('_pt')})")).alias("pts"),
-                   F.when(F.col("geometry.type") == "Polygon",
-                          F.expr(f"transform(_poly, r -> transform(r, c -> {to_pt('c')}))")).alias("rings")))
-    return out
+    kind = F.col("_g.type")
+    feats = (feats.withColumn("_line", F.when(kind == "LineString", F.from_json(coords, "ARRAY<ARRAY<DOUBLE>>")))
+                  .withColumn("_poly", F.when(kind == "Polygon", F.from_json(coords, "ARRAY<ARRAY<ARRAY<DOUBLE>>>")))
+                  .withColumn("_pt", F.when(kind == "Point", F.from_json(coords, "ARRAY<DOUBLE>"))))
+    return feats.select("properties", "gtype", *(["dept"] if dept_from_path else []), "part",
+                        F.when(kind == "LineString", F.expr(f"transform(_line, c -> {to_pt('c')})"))
+                         .when(kind == "Point", F.expr(f"array({to_pt('_pt')})")).alias("pts"),
+                        F.when(kind == "Polygon", F.expr(f"transform(_poly, r -> transform(r, c -> {to_pt('c')}))")).alias("rings"))
 
 
 def to_geojson_lines(df: DataFrame, id_col: str, pts: str = "pts", props: tuple[str, ...] = (),

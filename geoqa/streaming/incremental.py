@@ -7,18 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from geoqa.sources.readers import scratch_path
-
 
 def run_incremental(spark: SparkSession, source_dir: str, schema: T.StructType | str,
                     check: Callable[[DataFrame], DataFrame], sink_dir: str,
-                    checkpoint_location: str | None = None, max_files_per_trigger: int | None = None) -> None:
+                    checkpoint_location: str, max_files_per_trigger: int | None = None) -> None:
     """Run ``check`` on every Parquet file that arrived in ``source_dir``
     since the last run, write its anomalies under ``sink_dir/epoch=N`` and
     stop.  Each micro-batch overwrites its own epoch folder, so a retried
     batch replaces (never duplicates) its output; the stream checkpoint
-    (in shared storage) records which files were processed."""
-    loc = checkpoint_location or scratch_path(spark, "stream-ckpt")
+    (in shared storage, the same for every run) records which files were
+    processed."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -27,6 +25,6 @@ def run_incremental(spark: SparkSession, source_dir: str, schema: T.StructType |
     def batch(df: DataFrame, epoch_id: int) -> None:
         check(df).write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/epoch={epoch_id}")
 
-    q = (stream.writeStream.foreachBatch(batch).option("checkpointLocation", loc)
+    q = (stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint_location)
          .trigger(availableNow=True).start())
     q.awaitTermination()
