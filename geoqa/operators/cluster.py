@@ -24,8 +24,8 @@ Plan
 
 from __future__ import annotations
 
+import itertools
 import math
-import os
 
 import numpy as np
 import pandas as pd
@@ -35,13 +35,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geoqa.functions import geom as G
+from geoqa.operators import sjoin as SJ
 from geoqa.session import ensure_checkpoint_dir, ship_package
 
-_FORWARD = [(dx, dy) for dx in range(-2, 3) for dy in range(-2, 3) if dx > 0 or (dx == 0 and dy > 0)]
-
 
 def connected_components(edges: DataFrame, nodes: DataFrame, src: str = "src", dst: str = "dst",
-                         node: str = "node", max_rounds: int = 200, checkpoint_every: int = 3) -> DataFrame:
+                         node: str = "node", checkpoint_every: int = 3) -> DataFrame:
     """Label every node with the smallest node id of its component.
 
     ``edges``: undirected pairs (either direction is enough); ``nodes``: all
@@ -56,7 +55,7 @@ def connected_components(edges: DataFrame, nodes: DataFrame, src: str = "src", d
     labels = labels.checkpoint(eager=True)
     if e.isEmpty():
         return labels
-    for r in range(1, max_rounds + 1):
+    for r in itertools.count(1):  # until nothing changes: labels only fall
         # 1. min label over neighbours
         nb = (e.join(labels.withColumnRenamed("node", "b"), "b")
                .groupBy("a").agg(F.min("label").alias("nl")))
@@ -73,11 +72,8 @@ def connected_components(edges: DataFrame, nodes: DataFrame, src: str = "src", d
                    .where(F.col("label") != F.col("old")).limit(1).count())
         labels.unpersist()
         labels = new
-        if os.environ.get("GEOQA_DEBUG"):
-            print(f"[cc] round {r} changed={changed}", flush=True)
         if changed == 0:
             return labels
-    raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
 
 
 def _offsets(d: float, reach: float, size: float) -> list:
@@ -97,25 +93,26 @@ def _offsets(d: float, reach: float, size: float) -> list:
 
 def cluster_within(points: DataFrame, dist: float, *, id_col: str = "id", x: str = "x", y: str = "y",
                    group_by: tuple[str, ...] = (), out: str = "cluster_id",
-                   box: tuple[str, str, str, str] | None = None, reach: float = 0.0) -> DataFrame:
+                   box: tuple[str, str, str, str] | None = None, rings: str | None = None) -> DataFrame:
     """ST_ClusterWithin as a table operator: every input row gets the id of
     its cluster (smallest member id).  Rows are clustered separately per
-    ``group_by`` key (e.g. department, route).
+    ``group_by`` key (e.g. department, route); a NULL key is a key.
 
-    ``box=(xmin, ymin, xmax, ymax)`` clusters rectangles by their gap
-    distance instead of points; ``x, y`` must then be a point of each box
-    (its anchor) and ``reach`` bounds the box size (larger boxes would be
-    missed, so it is checked).
+    ``box=(xmin, ymin, xmax, ymax)`` clusters rectangles by their gap distance
+    instead of points, and with ``rings`` the polygons inside these boxes by
+    their exact distance; ``x, y`` must then be a point of each (a corner, a
+    vertex).  Shapes wider than ``dist`` (blocks, whole towns) meet the others
+    on all the cells they cover, so no size is refused.
     """
     d = float(dist)
     size = d / math.sqrt(2) * (1 - 1e-12)
-    gcols = list(group_by)
-    bcols = [F.col(c).alias(f"_b{i}") for i, c in enumerate(box)] if box else []
-    p = points.select(*gcols, F.col(id_col).alias("_id"), F.col(x).alias("_x"), F.col(y).alias("_y"), *bcols,
+    geom = SJ.Polygon("_r", ("_b0", "_b1", "_b2", "_b3")) if rings else SJ.Box("_b0", "_b1", "_b2", "_b3") if box else SJ.Point("_x", "_y")
+    shape = ["_x", "_y"] + ([f"_b{i}" for i in range(4)] if box else []) + (["_r"] if rings else [])
+    p = points.select(*([F.to_json(F.struct(*group_by)).alias("_g")] if group_by else []),  # text that is never NULL
+                      F.col(id_col).alias("_id"), F.col(x).alias("_x"), F.col(y).alias("_y"),
+                      *([F.col(c).alias(f"_b{i}") for i, c in enumerate(box)] if box else []), *([F.col(rings).alias("_r")] if rings else []),
                       F.struct(*[F.col(c) for c in points.columns]).alias("_orig"))
-    if box:
-        p = p.where(F.expr(f"assert_true(greatest(_b2 - _b0, _b3 - _b1) <= {float(reach)}, "
-                           f"'box larger than reach') IS NULL"))
+    gcols = ["_g"] if group_by else []
     p = (p.withColumn("_gx", F.floor(F.col("_x").cast("double") / size))
           .withColumn("_gy", F.floor(F.col("_y").cast("double") / size)))
     # the iterative part runs several jobs: materialise the input once (reliable
@@ -124,26 +121,22 @@ def cluster_within(points: DataFrame, dist: float, *, id_col: str = "id", x: str
     p = p.checkpoint(eager=True)
     cells = p.groupBy(*gcols, "_gx", "_gy").agg(F.min("_id").alias("_rep"))
 
-    fwd = _offsets(d, float(reach) if box else 0.0, size)
-    offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in fwd])
-    geo = ["_x", "_y"] + ([f"_b{i}" for i in range(4)] if box else [])
-    probe = (p.select(*gcols, "_gx", "_gy", *geo, F.explode(offs).alias("_o"))
-              .select(*gcols, "_gx", "_gy", *geo,
-                      (F.col("_gx") + F.col("_o.dx")).alias("_tx"), (F.col("_gy") + F.col("_o.dy")).alias("_ty")))
-    target = p.select(*[F.col(g).alias("t_" + g) for g in gcols], F.col("_gx").alias("_tx"),
-                      F.col("_gy").alias("_ty"), *[F.col(c).alias("q" + c) for c in geo])
-    l, r = probe.alias("l"), target.alias("r")
-    cond = (F.col("l._tx") == F.col("r._tx")) & (F.col("l._ty") == F.col("r._ty"))
-    for g in gcols:
-        cond = cond & (F.col(f"l.{g}") == F.col(f"r.t_{g}"))
+    small = p.where("greatest(_b2 - _b0, _b3 - _b1) <= " + repr(d)) if box else p
+    offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _offsets(d, d if box else 0.0, size)])
+    probe = (small.select(*gcols, "_gx", "_gy", *shape, F.explode(offs).alias("_o"))
+             .select(*gcols, "_gx", "_gy", *shape,
+                     (F.col("_gx") + F.col("_o.dx")).alias("_tx"), (F.col("_gy") + F.col("_o.dy")).alias("_ty")))
+    target = small.select(*gcols, F.col("_gx").alias("_tx"), F.col("_gy").alias("_ty"), *shape)
+    cond = F.expr(" AND ".join([f"l.`{c}` = r.`{c}`" for c in [*gcols, "_tx", "_ty"]] + [SJ.within_sql(geom, geom, repr(d))]))
+    hits = probe.alias("l").join(target.alias("r"), cond, "left_semi").select(*gcols, "_gx", "_gy", "_tx", "_ty").distinct()
     if box:
-        pair = (f"{G.box_box_d2(('l._b0', 'l._b1', 'l._b2', 'l._b3'), ('r.q_b0', 'r.q_b1', 'r.q_b2', 'r.q_b3'))} "
-                f"<= {d!r} * {d!r}")
-    else:
-        pair = G.pt_pt_within("l._x", "l._y", "r.q_x", "r.q_y", repr(d))
-    cond = cond & F.expr(pair)
-    hits = (l.join(r, cond, "left_semi").select(*gcols, "_gx", "_gy", "_tx", "_ty").distinct()
-            .persist(StorageLevel.MEMORY_AND_DISK))
+        large = p.where("greatest(_b2 - _b0, _b3 - _b1) > " + repr(d)).select(*gcols, "_gx", "_gy", *shape)
+        others = p.select(*gcols, F.col("_gx").alias("_tx"), F.col("_gy").alias("_ty"), *shape)
+        far = SJ.dwithin_join(large, others, d, left_geom=geom, right_geom=geom, cell=2 * d, right_prefix="q",
+                              residual=" AND ".join([f"l.`{g}` = r.`{g}`" for g in gcols]) or None)
+        far = far.where("_gx <> _tx or _gy <> _ty").select(*gcols, "_gx", "_gy", "_tx", "_ty")
+        hits = hits.unionByName(far).distinct()
+    hits = hits.checkpoint(eager=True)
 
     cell_label = _label_cells(cells, hits, gcols).withColumnRenamed("_label", out)
     # rows come back from the checkpointed input (original columns kept in it)
@@ -205,18 +198,7 @@ def _label_cells(cells: DataFrame, hits: DataFrame, gcols: list) -> DataFrame:
 
     cells = cells.withColumn("_rep", F.col("_rep").cast("long"))
 
-    def key(rep: str):
-        return F.struct(*[F.col(g) for g in gcols], F.col(rep).alias("_rep")) if gcols else F.col(rep)
-
-    if os.environ.get("GEOQA_TILE_CONTRACT", "1") == "0":
-        ca = cells.select(*gcols, "_gx", "_gy", key("_rep").alias("src"))
-        cb = cells.select(*gcols, F.col("_gx").alias("_tx"), F.col("_gy").alias("_ty"), key("_rep").alias("dst"))
-        edges = hits.join(ca, [*gcols, "_gx", "_gy"]).join(cb, [*gcols, "_tx", "_ty"]).select("src", "dst")
-        comp = connected_components(edges, cells.select(key("_rep").alias("node")))
-        lab = F.col("label._rep") if gcols else F.col("label")
-        return (cells.withColumn("_node", key("_rep")).join(comp, F.col("_node") == comp.node)
-                .select(*gcols, "_gx", "_gy", lab.alias("_label")))
-    same_tile =((F.floor(F.col("_gx") / TILE) == F.floor(F.col("_tx") / TILE))
+    same_tile = ((F.floor(F.col("_gx") / TILE) == F.floor(F.col("_tx") / TILE))
                  & (F.floor(F.col("_gy") / TILE) == F.floor(F.col("_ty") / TILE)))
     node_rows = cells.select(*gcols, *tile("_gx", "_gy"), F.lit(0).alias("_kind"), "_gx", "_gy",
                              F.lit(None).cast("long").alias("_tx"), F.lit(None).cast("long").alias("_ty"), "_rep")

@@ -14,21 +14,21 @@ def cell_of(v: str, size: float) -> str:
     return f"cast(floor(cast({v} AS double) / {float(size)}) AS bigint)"
 
 
-def box_cover(xmin: str, ymin: str, xmax: str, ymax: str, size: float, margin: float = 0.0) -> str:
-    """Array of ``struct(cx, cy)`` for every cell meeting the box expanded by margin."""
-    m = float(margin)
+def box_cover(xmin: str, ymin: str, xmax: str, ymax: str, size: float, margin: float | str = 0.0) -> str:
+    """Array of ``struct(cx, cy)`` for every cell meeting the box expanded by margin (a number or SQL)."""
+    m = f"({margin})" if isinstance(margin, str) else float(margin)
     return (f"flatten(transform(sequence({cell_of(f'({xmin}) - {m}', size)}, {cell_of(f'({xmax}) + {m}', size)}), "
             f"cx -> transform(sequence({cell_of(f'({ymin}) - {m}', size)}, {cell_of(f'({ymax}) + {m}', size)}), "
             f"cy -> named_struct('cx', cx, 'cy', cy))))")
 
 
-def segment_cover(x1: str, y1: str, x2: str, y2: str, size: float, margin: float = 0.0) -> str:
+def segment_cover(x1: str, y1: str, x2: str, y2: str, size: float, margin: float | str = 0.0) -> str:
     """Cells within ``margin`` of a segment, taken piecewise (pieces <= one cell).
 
     The cover is conservative: the margin is widened by a relative 1e-9 so
     interpolated piece ends never lose a cell to rounding.
     """
-    m = float(margin) * (1 + 1e-9) + 1e-9
+    m = f"({margin}) * (1 + 1e-9) + 1e-9" if isinstance(margin, str) else float(margin) * (1 + 1e-9) + 1e-9
     n = (f"greatest(1, cast(ceil(sqrt(cast((({x2})-({x1}))*(({x2})-({x1})) + (({y2})-({y1}))*(({y2})-({y1})) AS double)) "
          f"/ {float(size)}) AS int))")
     px0 = f"(({x1}) + (({x2})-({x1})) * i / n)"

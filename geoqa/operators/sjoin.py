@@ -109,15 +109,40 @@ def within_sql(lg, rg, d, op: str = "<=", lp: str = "l", rp: str = "r") -> str:
         return G.seg_box_within(R, L, d, op)
     if kinds == (Box, Box):
         return f"({G.box_box_d2(L, R)} {op} ({d})*({d}))"
-    if kinds == (Polygon, Segment):
-        rings = f"{lp}.`{lg.rings}`"
-        x1, y1, x2, y2 = R
-        near = G.seg_seg_within(("e.x1", "e.y1", "e.x2", "e.y2"), R, d, op)
-        pre = G.box_overlap(bbox_of(lg, lp), G.seg_bbox(*R), d)  # cheap bbox test before the ring scan
-        return f"({pre} AND ({G.pt_in_polygon(x1, y1, rings)} OR exists({_edges(rings)}, e -> {near})))"
+    if type(lg) is Polygon:
+        return _polygon_within(lg, lp, rg, rp, d, op)
+    if type(rg) is Polygon:
+        return _polygon_within(rg, rp, lg, lp, d, op)
     raise TypeError(f"no distance predicate for {kinds}")
 
 
+def _polygon_within(pg, pp: str, g, gp: str, d: str, op: str) -> str:
+    """Exact ``distance(polygon, g) <op> d``: one contains a point of the other, or an edge is near enough.
+    The bounding boxes are compared first."""
+    rings = f"{pp}.`{pg.rings}`"
+    pre = G.box_overlap(bbox_of(pg, pp), bbox_of(g, gp), d)
+    e = ("e.x1", "e.y1", "e.x2", "e.y2")
+    inside = lambda x, y: G.pt_in_polygon(x, y, rings) if op == "<=" or d != "0" else "false"
+    if type(g) is Point:
+        x, y = _q(gp, g.cols())
+        return f"({pre} AND ({inside(x, y)} OR exists({_edges(rings)}, e -> {G.pt_seg_within(x, y, *e, d, op)})))"
+    if type(g) is Segment:
+        s = _q(gp, g.cols())
+        return f"({pre} AND ({inside(s[0], s[1])} OR exists({_edges(rings)}, e -> {G.seg_seg_within(e, s, d, op)})))"
+    if type(g) is Box:
+        box = _q(gp, g.cols())
+        in_box = f"exists(flatten({rings}), v -> {G.pt_in_box('v.x', 'v.y', *box)})"
+        return f"({pre} AND ({inside(box[0], box[1])} OR {in_box} OR exists({_edges(rings)}, e -> {G.seg_box_within(e, box, d, op)})))"
+    other, f = f"{gp}.`{g.rings}`", ("f.x1", "f.y1", "f.x2", "f.y2")
+    nested = f"{_some_vertex_in(other, rings)} OR {_some_vertex_in(rings, other)}"
+    return f"({pre} AND ({nested} OR exists({_edges(rings)}, e -> exists({_edges(other)}, f -> {G.seg_seg_within(e, f, d, op)}))))"
+
+
+def _some_vertex_in(a_rings: str, b_rings: str) -> str:
+    """The first vertex of some ring of ``a`` lies in ``b`` (a part without crossing edges is inside as a whole)."""
+    return f"exists({a_rings}, ra_ -> {G.pt_in_polygon('ra_[0].x', 'ra_[0].y', b_rings)})"
+
+
 def dist2_sql(lg, rg, lp: str = "l", rp: str = "r") -> str:
     """Squared planar distance for the supported pairs (double)."""
     L, R = _q(lp, lg.cols()), _q(rp, rg.cols())
@@ -149,7 +174,7 @@ def default_cell(dist: float) -> float:
     return max(2.0 * float(dist), 250.0)
 
 
-def _with_cells(df: DataFrame, g, size: float, margin: float, keep_min: bool) -> DataFrame:
+def _with_cells(df: DataFrame, g, size: float, margin: float | str, keep_min: bool) -> DataFrame:
     """Explode the cells of ``g`` (expanded by margin) into ``_cx, _cy``."""
     if isinstance(g, Point) and margin == 0:
         return (df.withColumn("_cx", F.expr(grid.cell_of(f"`{g.x}`", size)))
@@ -160,8 +185,8 @@ def _with_cells(df: DataFrame, g, size: float, margin: float, keep_min: bool) ->
         xmin, ymin, xmax, ymax = (c.replace("_.", "") for c in bbox_of(g, "_"))
         cover = grid.box_cover(xmin, ymin, xmax, ymax, size, margin)
         if keep_min:
-            df = (df.withColumn("_x0", F.expr(grid.cell_of(f"({xmin}) - {float(margin)}", size)))
-                    .withColumn("_y0", F.expr(grid.cell_of(f"({ymin}) - {float(margin)}", size))))
+            df = (df.withColumn("_x0", F.expr(grid.cell_of(f"({xmin}) - ({margin})", size)))
+                    .withColumn("_y0", F.expr(grid.cell_of(f"({ymin}) - ({margin})", size))))
     return (df.withColumn("_c", F.explode(F.expr(cover)))
               .withColumn("_cx", F.col("_c.cx")).withColumn("_cy", F.col("_c.cy")).drop("_c"))
 
@@ -203,7 +228,31 @@ def _pairs(l: DataFrame, r: DataFrame, cond, how: str, left: DataFrame, right: D
     return l.join(r, cond, "inner").select(sel)
 
 
-def dwithin_join(left: DataFrame, right: DataFrame, dist: float, *,
+@dataclass(frozen=True)
+class Ground:
+    """A search radius of ``metres`` on the ground, at most ``planar`` units.
+
+    Each right row gets the planar distance that bounds the metres at its own latitude: Mercator stretches by
+    ``cosh(y / R)``, the spheroid by less than 0.7 %; the row's ordinates ``ys`` are moved outwards by more than
+    the radius before.  So no latitude is special and nothing has to be refused.
+    """
+    metres: float
+    ys: tuple = ("y1", "y2")
+    planar: float | None = None
+    slack: float = 0.0
+
+    def sql(self) -> str:
+        y = "greatest(" + ", ".join(f"abs(`{c}`)" for c in self.ys) + ")" if len(self.ys) > 1 else f"abs(`{self.ys[0]}`)"
+        m = float(self.metres)
+        r = f"({m * 1.007} * cosh(({y} + {20 * m}) / {crs.R_MERCATOR}) * {1 + self.slack} + {100 * self.slack})"
+        return r if self.planar is None else f"least({r}, {float(self.planar)})"
+
+    def typical(self) -> float:
+        """The radius at middle latitudes, for the cell size."""
+        return min(1.5 * self.metres, self.planar or math.inf)
+
+
+def dwithin_join(left: DataFrame, right: DataFrame, dist: float | Ground, *,
                  left_geom=Point(), right_geom=Segment(), how: str = "inner",
                  cell: float | None = None, op: str = "<=", residual: str | None = None,
                  left_key: str | None = None, left_reach: float | None = None,
@@ -222,16 +271,33 @@ def dwithin_join(left: DataFrame, right: DataFrame, dist: float, *,
     single shuffle).  Larger rows use their full bbox cover; their semi/anti
     result goes through ``left_key``.
     """
-    size = float(cell or default_cell(dist))
+    size = float(cell or default_cell(dist.typical() if isinstance(dist, Ground) else dist))
+    if isinstance(dist, Ground):  # the radius is a column of the right side; the residual decides on the ground
+        plain, reach = right.columns, "_reach"
+        right = right.withColumn(reach, F.expr(dist.sql()))
+        pred = within_sql(left_geom, right_geom, f"r.{reach}", "<=")
+        if how == "inner":
+            out = dwithin_cells(left, right, reach, size, pred, residual, left_geom, right_geom, how, left_key, left_reach,
+                                dist2_sql(left_geom, right_geom) if distance_col else None, distance_col, right_prefix)
+            return out.drop(reach if reach not in left.columns else right_prefix + reach)
+        return dwithin_cells(left, right, reach, size, pred, residual, left_geom, right_geom, how, left_key, left_reach, None, None, right_prefix)
     pred = within_sql(left_geom, right_geom, dist, op)
+    dsql = dist2_sql(left_geom, right_geom) if distance_col else None
+    return dwithin_cells(left, right, float(dist), size, pred, residual, left_geom, right_geom, how, left_key, left_reach, dsql,
+                         distance_col, right_prefix)
+
+
+def dwithin_cells(left: DataFrame, right: DataFrame, dist: float | str, size: float, pred: str, residual, left_geom, right_geom,
+                  how: str, left_key, left_reach, dsql, distance_col, right_prefix: str) -> DataFrame:
+    """The cell join of :func:`dwithin_join` for a radius that is a number or a column of the right side."""
     if residual:
         pred = f"({pred}) AND ({residual})"
-    dsql = dist2_sql(left_geom, right_geom) if distance_col else None
+    wider = lambda by: f"{dist} + {float(by)}" if isinstance(dist, str) else float(dist) + float(by)
     same_cell = (F.col("l._cx") == F.col("r._cx")) & (F.col("l._cy") == F.col("r._cy"))
 
     if isinstance(left_geom, Point):
         l = _with_cells(left, left_geom, size, 0.0, keep_min=False).alias("l")
-        r = _with_cells(right, right_geom, size, float(dist), keep_min=False).alias("r")
+        r = _with_cells(right, right_geom, size, dist, keep_min=False).alias("r")
         return _pairs(l, r, same_cell & F.expr(pred), how, left, right, True, None,
                       right_prefix, dsql, distance_col)
 
@@ -249,7 +315,7 @@ def dwithin_join(left: DataFrame, right: DataFrame, dist: float, *,
                   .withColumn("_x0", F.expr(grid.cell_of(xmin, size))).withColumn("_y0", F.expr(grid.cell_of(ymin, size)))
                   .withColumn("_c", F.explode(cells))
                   .withColumn("_cx", F.col("_c.cx")).withColumn("_cy", F.col("_c.cy")).drop("_c")).alias("l")
-        rc = _with_cells(right, right_geom, size, float(dist) + float(left_reach), keep_min=True).alias("r")
+        rc = _with_cells(right, right_geom, size, wider(left_reach), keep_min=True).alias("r")
         return _pairs(lc, rc, same_cell & (F.col("l._small") | lowest) & F.expr(pred), how, left, right, True,
                       None, right_prefix, dsql, distance_col)
     parts = []
@@ -261,11 +327,11 @@ def dwithin_join(left: DataFrame, right: DataFrame, dist: float, *,
         small = left.where(small_cond)
         big = left.where(~small_cond | small_cond.isNull())
         l = _anchor_cells(small, left_geom, size).alias("l")
-        r = _with_cells(right, right_geom, size, float(dist) + float(left_reach), keep_min=False).alias("r")
+        r = _with_cells(right, right_geom, size, wider(left_reach), keep_min=False).alias("r")
         parts.append(_pairs(l, r, same_cell & F.expr(pred), how, small, right, True, None,
                             right_prefix, dsql, distance_col))
     l = _with_cells(big, left_geom, size, 0.0, keep_min=True).alias("l")
-    r = _with_cells(right, right_geom, size, float(dist), keep_min=True).alias("r")
+    r = _with_cells(right, right_geom, size, dist, keep_min=True).alias("r")
     parts.append(_pairs(l, r, same_cell & lowest & F.expr(pred), how, big, right, False, left_key,
                         right_prefix, dsql, distance_col))
     out = parts[0]
@@ -285,9 +351,7 @@ def polygons_intersect_sql(a_rings: str, b_rings: str) -> str:
     of one lies in the other (covers the nested cases)."""
     e, f = ("e.x1", "e.y1", "e.x2", "e.y2"), ("f.x1", "f.y1", "f.x2", "f.y2")
     cross = f"exists({_edges(a_rings)}, e -> exists({_edges(b_rings)}, f -> {G.seg_intersects(e, f)}))"
-    a_in_b = G.pt_in_polygon(f"{a_rings}[0][0].x", f"{a_rings}[0][0].y", b_rings)
-    b_in_a = G.pt_in_polygon(f"{b_rings}[0][0].x", f"{b_rings}[0][0].y", a_rings)
-    return f"({cross} OR {a_in_b} OR {b_in_a})"
+    return f"({cross} OR {_some_vertex_in(a_rings, b_rings)} OR {_some_vertex_in(b_rings, a_rings)})"
 
 
 def polygons_intersect_join(ldf: DataFrame, rdf: DataFrame, *, left_geom=Polygon(), right_geom=Polygon(),
@@ -326,8 +390,7 @@ def geo_pt_seg_within(px: str, py: str, seg: tuple, metres, op: str = "<=",
                       scales: tuple[str, str] | None = None) -> str:
     """Geodesic ``distance(point, segment) <op> metres`` in the local metric
     of the point (Mercator offsets scaled by the ground scale at its
-    latitude).  Deviation from the spheroid: far below a centimetre at the
-    few hundred metres the checks use."""
+    latitude)."""
     sx, sy = scales or geo_scales(py)
     x1, y1, x2, y2 = seg
     return G.pt_seg_within("0", "0", f"(({x1}) - ({px})) * {sx}", f"(({y1}) - ({py})) * {sy}",
@@ -356,6 +419,12 @@ def geo_pt_box_d2(px: str, py: str, box: tuple, scales: tuple[str, str] | None =
                        f"(({xmax}) - ({px})) * {sx}", f"(({ymax}) - ({py})) * {sy}")
 
 
+def geo_pt_rings_d(px: str, py: str, rings: str, scales: tuple[str, str] | None = None) -> str:
+    """Ground distance (m) of a point to the boundary of a polygon, in the local metric of the point."""
+    d = geo_pt_seg_d(px, py, ("e.x1", "e.y1", "e.x2", "e.y2"), scales)
+    return f"array_min(transform({_edges(rings)}, e -> {d}))"
+
+
 def geo_len_to_closest(px: str, py: str, seg: tuple, scales: tuple[str, str] | None = None) -> str:
     """Ground length (m) of the planar shortest line from a point to a
     segment (PostGIS ``st_length(st_shortestline(...)::geography)``)."""
@@ -367,22 +436,6 @@ def geo_len_to_closest(px: str, py: str, seg: tuple, scales: tuple[str, str] | N
     return f"sqrt(power(({cx} - ({px})) * {sx}, 2) + power(({cy} - ({py})) * {sy}, 2))"
 
 
-def geo_margin(metres: float, max_abs_lat: float = 60.0) -> float:
-    """Planar (Mercator) distance that bounds ``metres`` on the ground for
-    points within ``max_abs_lat`` degrees of the equator."""
-    phi = math.radians(max_abs_lat)
-    w = 1 - crs.WGS84_E2 * math.sin(phi) ** 2
-    m = crs.WGS84_A * (1 - crs.WGS84_E2) / w ** 1.5
-    return float(metres) / (m * math.cos(phi) / crs.R_MERCATOR) * (1 + 1e-9)
-
-
-def guard_latitude(df: DataFrame, y: str, max_abs_lat: float = 60.0) -> DataFrame:
-    """Fail loudly instead of missing partners when a point lies beyond the
-    latitude band a geodesic search margin was sized for."""
-    lim = abs(crs.R_MERCATOR * math.log(math.tan(math.pi / 4 + math.radians(max_abs_lat) / 2)))
-    return df.where(F.expr(f"assert_true(abs({y}) <= {lim}, 'point beyond max_abs_lat of the geodesic margin') IS NULL"))
-
-
 def polygon_cover(polygons: DataFrame, key: list, polygon=Polygon(), cell: float = 1000.0) -> DataFrame:
     """Classified cell cover of polygons, ``key..., _cx, _cy, _full``.
 

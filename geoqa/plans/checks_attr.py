@@ -12,7 +12,7 @@ from geoqa.operators.sjoin import Box, Point
 from geoqa.plans import inputs
 from geoqa.plans.checks_common import (DEPT_POLY, DEPT_SQL, departments, lonlat_cols, lonlat_sql,
                                        two_stage_pairs, with_midpoint)
-from geoqa.plans.fixtures import fx
+from geoqa.plans.fixtures import fx, register
 from geoqa.plans.ops_joins import SEG_S, band, ref_keyed_segments
 from geoqa.plans.registry import query
 from geoqa.plans.sqlkit import line_ctes
@@ -21,11 +21,13 @@ from geoqa.plans.sqlkit import line_ctes
 # ---------------------------------------------------------------- C14
 def populated_square_no_road(squares: DataFrame, size: int = 500) -> DataFrame:
     """7170/1 and /10: census squares with no highway; class 1 when the
-    rounded-up population exceeds 5, else class 10 (one scan for both)."""
+    rounded-up population exceeds 5, else class 10 (one scan for both); by
+    class, then square."""
     s = squares.where(F.col("highways") == 0).withColumn("pop_c", F.ceil("pop").cast("bigint"))
     s = s.withColumn("class", F.when(F.col("pop_c") > 5, 1).otherwise(10))
     s = s.withColumn("mx", F.col("cx") * size + size / 2).withColumn("my", F.col("cy") * size + size / 2)
-    return s.select(F.concat_ws("_", F.col("cx").cast("string"), F.col("cy").cast("string")).alias("square_id"), "class", "pop_c", *lonlat_cols("mx", "my"))
+    return s.select(F.concat_ws("_", F.col("cx").cast("string"), F.col("cy").cast("string")).alias("square_id"), "class", "pop_c",
+                    *lonlat_cols("mx", "my")).orderBy("class", "square_id")
 
 
 @query("c14_populated_square_no_road", f"""
@@ -87,7 +89,7 @@ def missing_lanes_b(official: DataFrame, way_segs: DataFrame, coarse: float = 50
     """7170/20 (second source): roads in service with 3 to 8 lanes (text
     comparison), matched to a same-number highway (whole line within
     ``coarse``, midpoint within ``fine_m`` m) that lacks ``lanes``."""
-    o = official.where((F.col("nature") != "Rond-point") & (F.col("nb_voies") > "2") & (F.col("nb_voies") < "9"))
+    o = official.where((F.col("etat") == "En service") & (F.col("nb_voies") > "2") & (F.col("nb_voies") < "9"))
     h = way_segs.where("highway IS NOT NULL AND osm_id > 0").select(
         "osm_id", "x1", "y1", "x2", "y2", T.strip_spaces("ref").alias("rref"))
     pairs = two_stage_pairs(o, h, line_id="cleabs", way_id="osm_id", coarse=coarse, fine_m=fine_m,
@@ -102,7 +104,7 @@ def missing_lanes_b(official: DataFrame, way_segs: DataFrame, coarse: float = 50
 @query("c21_missing_lanes_b", f"""
 select distinct w.osm_id, {lonlat_sql('m.x', 'm.y')}, format('lanes={{}} ?', o.nb_voies) as text
 from (select distinct cleabs, nb_voies, num_route from fx_official
-      where nature <> 'Rond-point' and nb_voies > '2' and nb_voies < '9') o
+      where etat = 'En service' and nb_voies > '2' and nb_voies < '9') o
 join o_mid m on m.id = o.cleabs
 join fx_segment s on {band('m.x', 'm.y', SEG_S, 25)} and {SJ.geo_pt_seg_within('m.x', 'm.y', SEG_S, '20.0')}
 join fx_way w on w.osm_id = s.osm_id
@@ -149,29 +151,44 @@ def c15(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- C4
-def missing_pharmacy(registry: DataFrame, osm_points: DataFrame, osm_polygons: DataFrame,
-                     margin: float = 200.0) -> DataFrame:
-    """7170/99: registry pharmacies (named without ``*``) with no OSM
-    pharmacy point and no pharmacy polygon whose bbox meets the
-    +-``margin`` square around them."""
-    r = registry.where(F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.col("name").contains("*"))
-    r = SJ.bbox_join(r, osm_points, margin, right_geom=Point(), how="left_anti")
-    r = SJ.bbox_join(r, osm_polygons, margin, right_geom=Box(), how="left_anti")
-    return r.select("id", *lonlat_cols("x", "y"), F.format_string("%s - SIRET:%s", "name", "id").alias("text"))
+PHARMACY_ACTIVITY = "4773Z"  # fixed value: activity code of pharmacies in the register
 
 
-_REG_NAME = "concat('PHARMACIE ', cast(id as string),case when id % 10 = 0 then ' *' else '' end)"
+def missing_pharmacy(registry: DataFrame, osm_points: DataFrame, osm_polygons: DataFrame,
+                     margin: float = 200.0) -> DataFrame:
+    """7170/99: registered pharmacies (activity code, a place, named without
+    ``*``) with no OSM pharmacy point and no pharmacy polygon whose bbox meets
+    the +-``margin`` square around them; the text gives name, address line and
+    the 14-digit number (company number, then establishment number).
+
+    registry: id, x, y, name, l4, siren, nic, apet700; the OSM tables have
+    an ``amenity``."""
+    r = registry.where((F.col("apet700") == PHARMACY_ACTIVITY) & F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.col("name").contains("*"))
+    r = SJ.bbox_join(r, osm_points.where("amenity = 'pharmacy'"), margin, right_geom=Point(), how="left_anti")
+    r = SJ.bbox_join(r, osm_polygons.where("amenity = 'pharmacy'"), margin, right_geom=Box(), how="left_anti")
+    name = F.replace("name", F.lit('"'), F.lit(""))
+    return r.select("id", *lonlat_cols("x", "y"), F.format_string("%s, %s - SIRET:%s%s", name, "l4", "siren", "nic").alias("text"))
+
+
+REGISTRY_SQL = """
+select id, x, y, concat('"PHARMACIE" ', cast(id as varchar(20)), case when id % 10 = 0 then ' *' else '' end) as name,
+       concat(cast(1 + id % 90 as varchar(9)), ' RUE ', cast(street as varchar(20))) as l4,
+       lpad(cast(id as varchar(20)), 9, '0') as siren, lpad(cast(id % 99999 as varchar(9)), 5, '0') as nic,
+       case when source = '1-URGENT' then '4773Z' when source = '2-HIGH' then null else '4711D' end as apet700 from fx_address"""
+AMENITY_POINT_SQL = "select osm_id, x, y, case when osm_id % 3 = 0 then 'pharmacy' when osm_id % 3 = 1 then 'bank' end as amenity from fx_poi"
+AMENITY_AREA_SQL = """
+select osm_id, x0 as xmin, y0 as ymin, x0 + w as xmax, y0 + h as ymax, case when osm_id % 50 = 0 then 'pharmacy' end as amenity from fx_building"""
 
 
 @query("c04_missing_pharmacy", f"""
-select a.id, {lonlat_sql('a.x', 'a.y')}, format('{{}} - SIRET:{{}}', {_REG_NAME}, a.id) as text
-from fx_address a where a.source = '1-URGENT' and {_REG_NAME} not like '%*%'
-and not exists (select 1 from fx_poi p where p.osm_id % 3 = 0 and p.x between a.x - 200 and a.x + 200
+select a.id, {lonlat_sql('a.x', 'a.y')}, replace(a.name, '"', '') || ', ' || a.l4 || ' - SIRET:' || a.siren || a.nic as text
+from reg a where a.apet700 = '4773Z' and a.name not like '%*%'
+and not exists (select 1 from apt p where p.amenity = 'pharmacy' and p.x between a.x - 200 and a.x + 200
                 and p.y between a.y - 200 and a.y + 200)
-and not exists (select 1 from fx_building b where b.osm_id % 50 = 0 and b.x0 <= a.x + 200 and a.x - 200 <= b.x0 + b.w
-                and b.y0 <= a.y + 200 and a.y - 200 <= b.y0 + b.h)""")
+and not exists (select 1 from aar b where b.amenity = 'pharmacy' and b.xmin <= a.x + 200 and a.x - 200 <= b.xmax
+                and b.ymin <= a.y + 200 and a.y - 200 <= b.ymax)""",
+       (("reg", REGISTRY_SQL), ("apt", AMENITY_POINT_SQL), ("aar", AMENITY_AREA_SQL)))
 def c04(spark: SparkSession, sf: str) -> DataFrame:
-    reg = inputs.addresses(spark, sf).where("source = '1-URGENT'").select("id", "x", "y", F.expr(_REG_NAME).alias("name"))
-    pts = fx(spark, sf, "fx_poi").where("osm_id % 3 = 0").select("x", "y")
-    polys = inputs.buildings(spark, sf).where("osm_id % 50 = 0").select("xmin", "ymin", "xmax", "ymax")
-    return missing_pharmacy(reg, pts, polys)
+    register(spark, sf)
+    return missing_pharmacy(spark.sql(REGISTRY_SQL), spark.sql(AMENITY_POINT_SQL).select("x", "y", "amenity"),
+                            spark.sql(AMENITY_AREA_SQL).select("xmin", "ymin", "xmax", "ymax", "amenity"))

@@ -21,32 +21,25 @@ from geoqa.plans.ops_joins import COMMUNE_POLY, SEG_S, _communes_poly, band
 from geoqa.plans.registry import query
 
 
-def geo_seg_box_within(box: tuple, seg: tuple, metres, op: str = "<=", centre: tuple | None = None,
-                       scales: tuple | None = None) -> str:
-    """Ground distance box-segment in the local metric at the box centre."""
-    xmin, ymin, xmax, ymax = box
-    cx, cy = centre or (f"(({xmin}) + ({xmax})) / 2.0", f"(({ymin}) + ({ymax})) / 2.0")
-    sx, sy = scales or SJ.geo_scales(cy)
-    sc = lambda v, c, s: f"((({v}) - {c}) * {s})"
-    b = (sc(xmin, cx, sx), sc(ymin, cy, sy), sc(xmax, cx, sx), sc(ymax, cy, sy))
-    x1, y1, x2, y2 = seg
-    s = (sc(x1, cx, sx), sc(y1, cy, sy), sc(x2, cx, sx), sc(y2, cy, sy))
-    return G.seg_box_within(s, b, str(metres), op)
+def geo_seg_rings_within(rings: str, seg: tuple, metres, centre: tuple, scales: tuple) -> str:
+    """Ground distance polygon-segment <= metres, in the local metric at ``centre``."""
+    sc = lambda p: tuple(f"((({v}) - {c}) * {s})" for v, c, s in zip(p, centre * 2, scales * 2))
+    near = G.seg_seg_within(sc(("e.x1", "e.y1", "e.x2", "e.y2")), sc(seg), str(metres))
+    return f"({G.pt_in_polygon(seg[0], seg[1], rings)} OR exists({SJ._edges(rings)}, e -> {near}))"
 
 
 # ---------------------------------------------------------------- C10
 def address_without_road(addresses: DataFrame, communes: DataFrame, highway_segs: DataFrame,
-                         planar: float = 600.0, fine_m: float = 200.0, cluster_d: float = 1000.0,
-                         max_abs_lat: float = 60.0) -> DataFrame:
+                         planar: float = 600.0, fine_m: float = 200.0, cluster_d: float = 1000.0) -> DataFrame:
     """7170/12: addresses in a commune with no highway within ``planar``
     units and closer than ``fine_m`` m, clustered at ``cluster_d`` per
     department; one row per cluster at its centroid (mean lon/lat)."""
     a = SJ.contains_join(addresses, communes, polygon=COMMUNE_POLY, polygon_key=("insee",)).select(
         "id", "x", "y", "dept")
-    a = SJ.with_geo_scales(SJ.guard_latitude(a, "y", max_abs_lat), "y")
+    a = SJ.with_geo_scales(a, "y")
     geo = SJ.geo_pt_seg_within("l.x", "l.y", ("r.x1", "r.y1", "r.x2", "r.y2"), str(fine_m), "<", scales=SJ.L_SCALES)
     planar_t = G.pt_seg_within("l.x", "l.y", "r.x1", "r.y1", "r.x2", "r.y2", str(planar))
-    lonely = SJ.dwithin_join(a, highway_segs, min(planar, SJ.geo_margin(fine_m, max_abs_lat)),
+    lonely = SJ.dwithin_join(a, highway_segs, SJ.Ground(fine_m, planar=planar),
                              residual=f"{planar_t} AND {geo}", how="left_anti")
     c = CL.cluster_within(lonely, cluster_d, group_by=("dept",))
     c = c.withColumn("lon", F.expr(crs.lon_of("x"))).withColumn("lat", F.expr(crs.lat_of("y")))
@@ -76,73 +69,80 @@ def c10(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- C11
 def building_cluster_without_road(buildings: DataFrame, communes: DataFrame, highway_segs: DataFrame,
                                   min_area: float = 90.0, fine_m: float = 200.0, coarse: float = 600.0,
-                                  cluster_d: float = 600.0, reach: float = 100.0,
-                                  max_abs_lat: float = 60.0) -> DataFrame:
-    """7170/11 (clusters): buildings larger than ``min_area`` meeting a
-    commune, with no highway within ``fine_m`` m (and a bbox within
+                                  cluster_d: float = 600.0) -> DataFrame:
+    """7170/11 (clusters): footprints larger than ``min_area`` meeting a
+    commune, with no highway within ``fine_m`` m (and the bbox within
     ``coarse``), clustered at ``cluster_d`` per department; one row per
     cluster at its area-weighted centroid."""
-    b = buildings.where((F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin")) > min_area)
-    b = b.withColumn("rings", F.expr(G.box_rings("xmin", "ymin", "xmax", "ymax")))
-    j = SJ.polygons_intersect_join(b, communes, left_geom=Polygon("rings", ("xmin", "ymin", "xmax", "ymax")),
-                                   right_geom=COMMUNE_POLY).select("osm_id", "xmin", "ymin", "xmax", "ymax", "dept")
-    j = SJ.guard_latitude(j, "ymin", max_abs_lat)
-    j = SJ.with_geo_scales(j.withColumn("_cx", (F.col("xmin") + F.col("xmax")) / 2.0)
-                            .withColumn("_cy", (F.col("ymin") + F.col("ymax")) / 2.0), "_cy")
-    geo = geo_seg_box_within(("l.xmin", "l.ymin", "l.xmax", "l.ymax"), ("r.x1", "r.y1", "r.x2", "r.y2"), str(fine_m),
-                             centre=("l._cx", "l._cy"), scales=SJ.L_SCALES)
-    margin = SJ.geo_margin(fine_m, max_abs_lat) * 1.01 + 1.0  # centre-scaled metric: widen for the box extent
-    if margin > coarse:
-        raise ValueError("ground distance not bounded by the planar pre-filter at this latitude band")
-    lonely = SJ.dwithin_join(j, highway_segs, margin, left_geom=Box(), residual=geo, how="left_anti",
-                             left_key="osm_id", left_reach=reach)
-    c = CL.cluster_within(lonely, cluster_d, id_col="osm_id", x="xmin", y="ymin", group_by=("dept",),
-                          box=("xmin", "ymin", "xmax", "ymax"), reach=reach)
-    area = (F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))
-    c = c.withColumn("a", area).withColumn("cx", (F.col("xmin") + F.col("xmax")) / 2.0).withColumn(
-        "cy", (F.col("ymin") + F.col("ymax")) / 2.0)
+    shape, box = Polygon("rings", ("xmin", "ymin", "xmax", "ymax")), ("xmin", "ymin", "xmax", "ymax")
+    b = buildings.withColumn("a", F.expr(LN.area("rings"))).where(F.col("a") > min_area)
+    b = b.withColumn("_c0", F.expr(LN.polygon_centroid("rings"))).select("osm_id", "rings", *box, "a", F.col("_c0.x").alias("cx"), F.col("_c0.y").alias("cy"))
+    j = SJ.polygons_intersect_join(b, communes.withColumnRenamed("rings", "crings"), left_geom=shape,
+                                   right_geom=Polygon("crings", COMMUNE_POLY.bbox)).select(*b.columns, "dept")
+    j = SJ.with_geo_scales(j, "cy").withColumn("_k", F.struct("osm_id", "dept"))
+    geo = geo_seg_rings_within("l.rings", ("r.x1", "r.y1", "r.x2", "r.y2"), fine_m, ("l.cx", "l.cy"), SJ.L_SCALES)
+    # the metric is that of the centroid: the radius leaves room for the footprint's extent
+    lonely = SJ.dwithin_join(j, highway_segs, SJ.Ground(fine_m, planar=coarse, slack=0.01), left_geom=shape, residual=geo, how="left_anti",
+                             left_key="_k", left_reach=100.0)
+    v = lonely.withColumn("vx", F.expr("rings[0][0].x")).withColumn("vy", F.expr("rings[0][0].y"))
+    c = CL.cluster_within(v, cluster_d, id_col="osm_id", x="vx", y="vy", group_by=("dept",), box=box, rings="rings")
     m = c.groupBy("dept", "cluster_id").agg((F.sum(F.col("a") * F.col("cx")) / F.sum("a")).alias("mx"),
                                             (F.sum(F.col("a") * F.col("cy")) / F.sum("a")).alias("my"),
                                             F.count("*").alias("n"))
     return m.select("dept", "cluster_id", *lonlat_cols("mx", "my", 7), "n")
 
 
-_C11_GEO = geo_seg_box_within(("b.x0", "b.y0", "b.x0 + b.w", "b.y0 + b.h"), SEG_S, "200.0")
+# house edges and roads near each other, moved to the house's centroid and scaled to metres there
+_C11_NEAR = f"""
+select hs.osm_id, (e.x1 - hs.gx) * {crs.scale_e('hs.gy')} as ex1, (e.y1 - hs.gy) * {crs.scale_n('hs.gy')} as ey1,
+       (e.x2 - hs.gx) * {crs.scale_e('hs.gy')} as ex2, (e.y2 - hs.gy) * {crs.scale_n('hs.gy')} as ey2,
+       (s.x1 - hs.gx) * {crs.scale_e('hs.gy')} as sx1, (s.y1 - hs.gy) * {crs.scale_n('hs.gy')} as sy1,
+       (s.x2 - hs.gx) * {crs.scale_e('hs.gy')} as sx2, (s.y2 - hs.gy) * {crs.scale_n('hs.gy')} as sy2
+from hs join hb b on b.osm_id = hs.osm_id
+join fx_segment s on s.highway is not null and least(s.x1, s.x2) <= b.bx1 + 210 and b.bx0 - 210 <= greatest(s.x1, s.x2)
+  and least(s.y1, s.y2) <= b.by1 + 210 and b.by0 - 210 <= greatest(s.y1, s.y2)
+join fx_house_e e on e.osm_id = hs.osm_id where hs.area > 90"""
+_C11_ROWS = """
+select osm_id, struct_pack(x1 := ex1, y1 := ey1, x2 := ex2, y2 := ey2) as e, struct_pack(x1 := sx1, y1 := sy1, x2 := sx2, y2 := sy2) as s from n0"""
+_C11_CROSS = """((s.x2 - s.x1) * (e.y1 - s.y1) - (s.y2 - s.y1) * (e.x1 - s.x1)) * ((s.x2 - s.x1) * (e.y2 - s.y1) - (s.y2 - s.y1) * (e.x2 - s.x1)) < 0
+  and ((e.x2 - e.x1) * (s.y1 - e.y1) - (e.y2 - e.y1) * (s.x1 - e.x1)) * ((e.x2 - e.x1) * (s.y2 - e.y1) - (e.y2 - e.y1) * (s.x2 - e.x1)) < 0"""
+_C11_ROAD = f"""
+select distinct osm_id from n1 where least({inputs.clamp_d2_sql('s.x1', 's.y1', 'e')}, {inputs.clamp_d2_sql('s.x2', 's.y2', 'e')},
+  {inputs.clamp_d2_sql('e.x1', 'e.y1', 's')}, {inputs.clamp_d2_sql('e.x2', 'e.y2', 's')}) <= 40000.0 or ({_C11_CROSS})"""
 _C11_LONELY = f"""
-select b.osm_id as id, b.x0 as x, b.y0 as y, b.x0 + b.w as x1, b.y0 + b.h as y1, c.dept
-from fx_building b join fx_commune c on b.x0 <= c.xmax and c.xmin <= b.x0 + b.w and b.y0 <= c.ymax and c.ymin <= b.y0 + b.h
-where b.w * b.h > 90 and not exists (
-  select 1 from fx_segment s where s.highway is not null
-  and least(s.x1, s.x2) <= b.x0 + b.w + 210 and b.x0 - 210 <= greatest(s.x1, s.x2)
-  and least(s.y1, s.y2) <= b.y0 + b.h + 210 and b.y0 - 210 <= greatest(s.y1, s.y2) and {_C11_GEO})"""
-_C11_PAIR = G.box_box_d2(("a.x", "a.y", "a.x1", "a.y1"), ("b.x", "b.y", "b.x1", "b.y1")) + " <= 360000.0"
+select hs.osm_id as id, hb.bx0 as x, hb.by0 as y, hs.gx, hs.gy, hs.area, c.dept
+from hs join hb on hb.osm_id = hs.osm_id
+join fx_commune c on hb.bx0 <= c.xmax and c.xmin <= hb.bx1 and hb.by0 <= c.ymax and c.ymin <= hb.by1
+where hs.area > 90 and hs.osm_id not in (select osm_id from road)
+  and (exists (select 1 from fx_house_e e where e.osm_id = hs.osm_id and {G.seg_intersects_box(('e.x1', 'e.y1', 'e.x2', 'e.y2'), ('c.xmin', 'c.ymin', 'c.xmax', 'c.ymax'))}))"""
+_C11_PAIR = f"""exists (select 1 from fx_house_e e, fx_house_e s where e.osm_id = a.id and s.osm_id = b.id and least(
+  {inputs.clamp_d2_sql('s.x1', 's.y1', 'e')}, {inputs.clamp_d2_sql('s.x2', 's.y2', 'e')}, {inputs.clamp_d2_sql('e.x1', 'e.y1', 's')},
+  {inputs.clamp_d2_sql('e.x2', 'e.y2', 's')}) <= 360000.0)"""
 
 
 @query("c11_building_cluster_without_road", f"""
-select l.g as dept, l.label as cluster_id,
-       {lonlat_sql('sum((p.x1 - p.x) * (p.y1 - p.y) * (p.x + p.x1) / 2.0) / sum((p.x1 - p.x) * (p.y1 - p.y))',
-                   'sum((p.x1 - p.x) * (p.y1 - p.y) * (p.y + p.y1) / 2.0) / sum((p.x1 - p.x) * (p.y1 - p.y))', 7)},
-       count(*) as n
+select l.g as dept, l.label as cluster_id, {lonlat_sql('sum(p.area * p.gx) / sum(p.area)', 'sum(p.area * p.gy) / sum(p.area)', 7)}, count(*) as n
 from cc_lab l join lonely p on p.id = l.id and p.dept = l.g group by l.g, l.label""",
-       (("lonely", _C11_LONELY),) + components_ctes("lonely", 600, group="dept", pair=_C11_PAIR, band=640))
+       inputs.HOUSE_CTES + (("n0", _C11_NEAR), ("n1", _C11_ROWS), ("road", _C11_ROAD), ("lonely", _C11_LONELY))
+       + components_ctes("lonely", 600, group="dept", pair=_C11_PAIR, band=700))
 def c11(spark: SparkSession, sf: str) -> DataFrame:
-    b = inputs.buildings(spark, sf).select("osm_id", "xmin", "ymin", "xmax", "ymax")
+    b = inputs.house_footprints(spark, sf)
     c = _communes_poly(spark, sf).join(inputs.communes(spark, sf).select("insee", "dept"), "insee")
     return building_cluster_without_road(b, c, inputs.highways(spark, sf).select("x1", "y1", "x2", "y2"))
 
 
 # ---------------------------------------------------------------- C24
 def missing_hiking_route(routes: DataFrame, hiking_segs: DataFrame, planar: float = 200.0, fine_m: float = 25.0,
-                         cluster_d: float = 200.0, max_abs_lat: float = 60.0) -> DataFrame:
+                         cluster_d: float = 200.0) -> DataFrame:
     """7170/95: vertices of planned routes with no OSM hiking route within
     ``planar`` units and ``fine_m`` m, clustered at ``cluster_d`` per route,
     each cluster snapped back onto its route."""
     v = routes.select("cleabs", "nom", F.posexplode("pts").alias("k", "p")).select(
         "cleabs", "nom", "k", F.col("p.x").alias("x"), F.col("p.y").alias("y"))
-    v = SJ.with_geo_scales(SJ.guard_latitude(v, "y", max_abs_lat), "y")
+    v = SJ.with_geo_scales(v, "y")
     geo = SJ.geo_pt_seg_within("l.x", "l.y", ("r.x1", "r.y1", "r.x2", "r.y2"), str(fine_m), scales=SJ.L_SCALES)
     planar_t = G.pt_seg_within("l.x", "l.y", "r.x1", "r.y1", "r.x2", "r.y2", str(planar))
-    lonely = SJ.dwithin_join(v, hiking_segs, min(planar, SJ.geo_margin(fine_m, max_abs_lat)),
+    lonely = SJ.dwithin_join(v, hiking_segs, SJ.Ground(fine_m, planar=planar),
                              residual=f"{planar_t} AND {geo}", how="left_anti")
     c = CL.cluster_within(lonely, cluster_d, id_col="k", group_by=("cleabs",))
     m = CL.cluster_centroid(c, keys=("cleabs",))
@@ -182,14 +182,14 @@ def c24(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- C8
 def shifted_boundary_clusters(official_pts: DataFrame, osm_boundaries: DataFrame, min_m: float = 25.0,
-                              cluster_d: float = 300.0, max_abs_lat: float = 60.0) -> DataFrame:
+                              cluster_d: float = 300.0) -> DataFrame:
     """7170/40 (cadastre): official outline vertices more than ``min_m`` m
     from the OSM boundary of their commune, clustered at ``cluster_d`` per
     commune; one row per cluster (centroid) carrying the commune's largest
     offset."""
-    v = SJ.with_geo_scales(SJ.guard_latitude(official_pts, "y", max_abs_lat), "y")
+    v = SJ.with_geo_scales(official_pts, "y")
     geo = SJ.geo_pt_seg_within("l.x", "l.y", ("r.x1", "r.y1", "r.x2", "r.y2"), str(min_m), scales=SJ.L_SCALES)
-    far = SJ.dwithin_join(v, osm_boundaries.withColumnRenamed("insee", "b_insee"), SJ.geo_margin(min_m, max_abs_lat),
+    far = SJ.dwithin_join(v, osm_boundaries.withColumnRenamed("insee", "b_insee"), SJ.Ground(min_m),
                           residual=f"l.insee = r.b_insee AND {geo}", how="left_anti")
     d = F.expr(SJ.geo_pt_seg_d("x", "y", ("x1", "y1", "x2", "y2"), scales=("_sx", "_sy")))
     dist = far.join(osm_boundaries, "insee").groupBy("insee", "vid").agg(F.min(d).alias("d"))

@@ -64,31 +64,28 @@ DEPT_POLY = Polygon("drings", ("dxmin", "dymin", "dxmax", "dymax"))
 
 def two_stage_pairs(lines: DataFrame, way_segs: DataFrame, *, line_id: str, way_id: str,
                     coarse: float, fine_m: float, fine_op: str = "<=", residual: str | None = None,
-                    max_abs_lat: float = 60.0, pts: str = "pts") -> DataFrame:
+                    pts: str = "pts") -> DataFrame:
     """(line_id, way_id) pairs where the whole line lies within ``coarse``
     Mercator units of the way AND the line's midpoint lies within ``fine_m``
     ground metres of it.
 
-    The midpoint join carries the selective ground test; its planar search
-    margin is sized for ``max_abs_lat`` (rows beyond it fail loudly).  When
-    that margin is below ``coarse`` the whole-line test is implied and its
-    join is skipped.  ``residual``: extra SQL over ``l.``/``r.`` columns.
+    The midpoint join carries the selective ground test.  Where the midpoint
+    itself is within ``coarse`` the whole-line test is implied; the remaining
+    pairs meet their segments by id.  ``residual``: extra SQL over ``l.``/``r.``
+    columns.
     """
-    mids = SJ.guard_latitude(with_midpoint(lines, pts), "my", max_abs_lat).drop(pts)
-    mids = SJ.with_geo_scales(mids, "my")
-    margin = SJ.geo_margin(fine_m, max_abs_lat)
+    mids = SJ.with_geo_scales(with_midpoint(lines, pts).drop(pts), "my")
     fine = SJ.geo_pt_seg_within("l.mx", "l.my", ("r.x1", "r.y1", "r.x2", "r.y2"), str(fine_m), fine_op,
                                 scales=SJ.L_SCALES)
     if residual:
         fine = f"({fine}) AND ({residual})"
-    pairs = (SJ.dwithin_join(mids, way_segs, margin, left_geom=Point("mx", "my"), residual=fine,
-                             right_prefix="w_")
-             .select(F.col(line_id), F.col(way_id if way_id not in lines.columns else "w_" + way_id).alias("_way"))
-             .distinct())
-    if margin <= coarse:
-        return pairs.withColumnRenamed("_way", way_id)
-    segs = line_segments(lines, pts)
-    near = (SJ.dwithin_join(segs, way_segs, coarse, left_geom=Segment(), residual=residual, right_prefix="w_")
-            .select(F.col(line_id), F.col(way_id if way_id not in lines.columns else "w_" + way_id).alias("_way"))
-            .distinct())
-    return pairs.join(near, [line_id, "_way"], "left_semi").withColumnRenamed("_way", way_id)
+    wid = way_id if way_id not in lines.columns else "w_" + way_id
+    pairs = SJ.dwithin_join(mids, way_segs, SJ.Ground(fine_m), left_geom=Point("mx", "my"), residual=fine, right_prefix="w_", distance_col="_pd")
+    pairs = pairs.groupBy(F.col(line_id), F.col(wid).alias("_way")).agg(F.min("_pd").alias("_pd"))
+    close = pairs.where(F.col("_pd") <= coarse).select(line_id, "_way")
+    far = pairs.where(F.col("_pd") > coarse).select(line_id, "_way")
+    segs = line_segments(lines, pts).select(F.col(line_id), *[F.col(c).alias(f"_l{c}") for c in ("x1", "y1", "x2", "y2")])
+    ways = way_segs.select(F.col(way_id).alias("_way"), *[F.col(c).alias(f"_w{c}") for c in ("x1", "y1", "x2", "y2")])
+    near = G.seg_seg_within(("_lx1", "_ly1", "_lx2", "_ly2"), ("_wx1", "_wy1", "_wx2", "_wy2"), str(coarse))
+    far = far.join(segs, line_id).join(ways, "_way").where(F.expr(near)).select(line_id, "_way").distinct()
+    return close.unionByName(far).withColumnRenamed("_way", way_id)

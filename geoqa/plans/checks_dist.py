@@ -139,7 +139,7 @@ def c22(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- C23
 def cadastre_name_without_road(cad: DataFrame, communes: DataFrame, ways: DataFrame, fine_m: float = 50.0,
-                               max_abs_lat: float = 60.0, strict_dots: bool = False) -> DataFrame:
+                               strict_dots: bool = False) -> DataFrame:
     """7170/99: named cadastre lines (three lower-case letters, not a rural
     track) with the midpoint in a commune and no highway whose bbox meets the
     line's bbox and lies within ``fine_m`` m of the midpoint."""
@@ -148,12 +148,12 @@ def cadastre_name_without_road(cad: DataFrame, communes: DataFrame, ways: DataFr
     m = with_midpoint(c).select("cleabs", "nom", "mx", "my", *[F.expr(e).alias(n) for e, n in
                                                               zip(bx, ("lx0", "ly0", "lx1", "ly1"))])
     m = SJ.contains_join(m, communes, point=Point("mx", "my"), polygon=COMMUNE_POLY).select(*m.columns)
-    m = SJ.with_geo_scales(SJ.guard_latitude(m, "my", max_abs_lat), "my")
+    m = SJ.with_geo_scales(m, "my")
     h = ways.where("highway IS NOT NULL")
     wb = h.select("osm_id", *[F.expr(e).alias(n) for e, n in zip(bx, ("wx0", "wy0", "wx1", "wy1"))])
     hs = line_segments(h.select("osm_id", "pts"))
     geo = SJ.geo_pt_seg_within("l.mx", "l.my", ("r.x1", "r.y1", "r.x2", "r.y2"), str(fine_m), scales=SJ.L_SCALES)
-    pairs = (SJ.dwithin_join(m, hs, SJ.geo_margin(fine_m, max_abs_lat), left_geom=Point("mx", "my"), residual=geo)
+    pairs = (SJ.dwithin_join(m, hs, SJ.Ground(fine_m), left_geom=Point("mx", "my"), residual=geo)
              .select("cleabs", "lx0", "ly0", "lx1", "ly1", "osm_id").distinct())
     pairs = pairs.join(wb, "osm_id").where(F.expr(G.box_overlap(("lx0", "ly0", "lx1", "ly1"), ("wx0", "wy0", "wx1", "wy1"))))
     lonely = m.join(pairs.select("cleabs").distinct(), "cleabs", "left_anti")
@@ -191,29 +191,26 @@ select osm_id as fantoir, 'RUE' as nature_voie, upper(name) as nom_voie,
 
 def cadastre_street_without_road(centres: DataFrame, register_: DataFrame, way_lines: DataFrame,
                                  areas: DataFrame, dist_m: float = 20.0, line_coarse: float = 100.0,
-                                 area_coarse: float = 60.0, max_abs_lat: float = 60.0) -> DataFrame:
+                                 area_coarse: float = 60.0) -> DataFrame:
     """7170/13: street centres (register word not EXPLOITA/RURAL; a NULL word
     drops the street) with no highway line (< dist_m m, or its centroid
     < dist_m m) and no highway area (< dist_m m)."""
     v = centres.join(register_.where(~F.col("mot").isin(*T.EXCLUDED_WORDS)), "fantoir")
-    v = SJ.with_geo_scales(SJ.guard_latitude(v, "y", max_abs_lat), "y")
-    margin = SJ.geo_margin(dist_m, max_abs_lat)
+    v = SJ.with_geo_scales(v, "y")
     segs = line_segments(way_lines.select("osm_id", "pts"))
     geo_seg = SJ.geo_pt_seg_within("l.x", "l.y", ("r.x1", "r.y1", "r.x2", "r.y2"), str(dist_m), "<", scales=SJ.L_SCALES)
-    by_line = SJ.dwithin_join(v, segs, margin, residual=geo_seg).select("fantoir", "osm_id")
-    if margin > line_coarse:  # the whole-line planar bound is not implied by the ground test
-        by_line = by_line.join(SJ.dwithin_join(v, segs, line_coarse).select("fantoir", "osm_id"),
-                               ["fantoir", "osm_id"], "left_semi")
+    by_line = SJ.dwithin_join(v, segs, SJ.Ground(dist_m, planar=line_coarse), residual=geo_seg).select("fantoir")
     cen = way_lines.select("osm_id", F.expr(LN.centroid("pts")).alias("c")).select(
         "osm_id", F.col("c.x").alias("gx"), F.col("c.y").alias("gy"))
     geo_cen = SJ.geo_pt_pt_within("l.x", "l.y", "r.gx", "r.gy", str(dist_m), "<", scales=SJ.L_SCALES)
-    by_cen = SJ.dwithin_join(v, cen, margin, right_geom=Point("gx", "gy"), residual=geo_cen).select("fantoir", "osm_id")
-    by_cen = by_cen.join(SJ.dwithin_join(v, segs, line_coarse).select("fantoir", "osm_id"),
-                         ["fantoir", "osm_id"], "left_semi")
-    geo_area = (f"{SJ.geo_pt_box_d2('l.x', 'l.y', ('r.xmin', 'r.ymin', 'r.xmax', 'r.ymax'), scales=SJ.L_SCALES)} "
-                f"< {dist_m * dist_m}")
-    by_area = SJ.dwithin_join(v, areas, min(margin, area_coarse), right_geom=Box(), residual=geo_area)
-    matched = by_line.select("fantoir").unionByName(by_cen.select("fantoir")).unionByName(by_area.select("fantoir"))
+    by_cen = SJ.dwithin_join(v, cen, SJ.Ground(dist_m, ("gy",)), right_geom=Point("gx", "gy"), residual=geo_cen).select("fantoir", "x", "y", "osm_id")
+    # the few pairs near a centroid meet their line's segments by id
+    by_cen = by_cen.join(segs.select("osm_id", "x1", "y1", "x2", "y2"), "osm_id").where(
+        F.expr(G.pt_seg_within("x", "y", "x1", "y1", "x2", "y2", str(line_coarse)))).select("fantoir")
+    geo_area = (f"({G.pt_in_polygon('l.x', 'l.y', 'r.rings')} OR {SJ.geo_pt_rings_d('l.x', 'l.y', 'r.rings', scales=SJ.L_SCALES)} < {dist_m})")
+    by_area = SJ.dwithin_join(v, areas, SJ.Ground(dist_m, ("ymin", "ymax"), planar=area_coarse),
+                              right_geom=Polygon("rings", ("xmin", "ymin", "xmax", "ymax")), residual=geo_area)
+    matched = by_line.unionByName(by_cen).unionByName(by_area.select("fantoir"))
     lonely = v.join(matched.distinct(), "fantoir", "left_anti")
     out = lonely.select(F.round(F.expr(crs.lat_of("y")), 5).alias("lat"), F.round(F.expr(crs.lon_of("x")), 5).alias("lon"),
                         "fantoir", F.trim(F.format_string("%s %s", "nature_voie", "nom_voie")).alias("nom"))
@@ -222,7 +219,12 @@ def cadastre_street_without_road(centres: DataFrame, register_: DataFrame, way_l
 
 _C12_LINE = SJ.geo_pt_seg_within("v.x", "v.y", SEG_S, "20.0", "<")
 _C12_CEN = SJ.geo_pt_pt_within("v.x", "v.y", "g.gx", "g.gy", "20.0", "<")
-_C12_AREA = (f"{SJ.geo_pt_box_d2('v.x', 'v.y', ('b.x0', 'b.y0', 'b.x0 + b.w', 'b.y0 + b.h'))} < 400.0")
+# the edges of the areas near a street centre, moved to the centre and scaled to metres there
+_C12_EDGE = f"""
+select v.fantoir, e.osm_id, (e.x1 - v.x) * {crs.scale_e('v.y')} as x1, (e.y1 - v.y) * {crs.scale_n('v.y')} as y1,
+       (e.x2 - v.x) * {crs.scale_e('v.y')} as x2, (e.y2 - v.y) * {crs.scale_n('v.y')} as y2
+from vo v join hb b on b.osm_id % 20 = 0 and v.x between b.bx0 - 25 and b.bx1 + 25 and v.y between b.by0 - 25 and b.by1 + 25
+join fx_house_e e on e.osm_id = b.osm_id"""
 
 
 @query("c12_cadastre_street_without_road", f"""
@@ -233,15 +235,16 @@ where not exists (select 1 from fx_segment s where s.highway is not null and {ba
 and not exists (select 1 from g_cen g where g.highway is not null
                 and g.gx between v.x - 25 and v.x + 25 and g.gy between v.y - 25 and v.y + 25 and {_C12_CEN}
                 and exists (select 1 from fx_segment s where s.osm_id = g.osm_id and {G.pt_seg_within('v.x', 'v.y', *SEG_S, '100.0')}))
-and not exists (select 1 from fx_building b where b.osm_id % 20 = 0 and b.x0 - 25 <= v.x and v.x <= b.x0 + b.w + 25
-                and b.y0 - 25 <= v.y and v.y <= b.y0 + b.h + 25 and {_C12_AREA})""",
-       (("vo", VOIRIE_SQL), ("fa", FANTOIR_SQL), ("g_cen", """
+and v.fantoir not in (select fantoir from ae where {inputs.clamp_d2_sql('0.0', '0.0', 'ae')} < 400.0)
+and not exists (select 1 from hb b where b.osm_id % 20 = 0 and v.x between b.bx0 and b.bx1 and v.y between b.by0 and b.by1
+                and {inputs.in_house_sql('v.x', 'v.y', 'b.osm_id')})""",
+       inputs.HOUSE_CTES + (("vo", VOIRIE_SQL), ("fa", FANTOIR_SQL), ("ae", _C12_EDGE), ("g_cen", """
 select s.osm_id, max(s.highway) as highway, sum(len * (x1 + x2) / 2) / sum(len) as gx, sum(len * (y1 + y2) / 2) / sum(len) as gy
 from (select *, sqrt(cast((x2-x1)*(x2-x1)+(y2-y1)*(y2-y1) as double)) as len from fx_segment) s group by s.osm_id""")))
 def c12(spark: SparkSession, sf: str) -> DataFrame:
     register(spark, sf)
     ways = inputs.osm_ways(spark, sf).where("highway IS NOT NULL").select("osm_id", "pts")
-    areas = inputs.buildings(spark, sf).where("osm_id % 20 = 0").select("xmin", "ymin", "xmax", "ymax")
+    areas = inputs.house_footprints(spark, sf).where("osm_id % 20 = 0").select("rings", "xmin", "ymin", "xmax", "ymax")
     return cadastre_street_without_road(spark.sql(VOIRIE_SQL), spark.sql(FANTOIR_SQL), ways, areas)
 
 
@@ -249,13 +252,12 @@ def c12(spark: SparkSession, sf: str) -> DataFrame:
 HIKE_SQL = "select cleabs, k, x, y from fx_official where cleabs % 5 in (0, 1)"
 
 
-def missing_path_vertex(vertices: DataFrame, highway_segs: DataFrame, planar: float = 200.0, fine_m: float = 25.0,
-                        max_abs_lat: float = 60.0) -> DataFrame:
+def missing_path_vertex(vertices: DataFrame, highway_segs: DataFrame, planar: float = 200.0, fine_m: float = 25.0) -> DataFrame:
     """7170/98: distinct route vertices with no highway within ``planar``
     units and ``fine_m`` ground metres."""
-    v = SJ.with_geo_scales(SJ.guard_latitude(vertices, "y", max_abs_lat), "y")
+    v = SJ.with_geo_scales(vertices, "y")
     geo = SJ.geo_pt_seg_within("l.x", "l.y", ("r.x1", "r.y1", "r.x2", "r.y2"), str(fine_m), scales=SJ.L_SCALES)
-    lonely = SJ.dwithin_join(v, highway_segs, min(planar, SJ.geo_margin(fine_m, max_abs_lat)),
+    lonely = SJ.dwithin_join(v, highway_segs, SJ.Ground(fine_m, planar=planar),
                              residual=f"{G.pt_seg_within('l.x', 'l.y', 'r.x1', 'r.y1', 'r.x2', 'r.y2', str(planar))} AND {geo}",
                              how="left_anti")
     out = lonely.select("x", "y").distinct()
@@ -278,25 +280,34 @@ def poi_near_building(pois: DataFrame, communes: DataFrame, buildings: DataFrame
     ``dist`` of one; reports the smallest ground distance (m, 2 decimals)."""
     p = pois.where(F.col("shop").isNotNull() & ~F.col("shop").isin(*T.EXCLUDED_SHOPS))
     p = SJ.contains_join(p, communes, polygon=COMMUNE_POLY).select(*p.columns).distinct()
-    b = buildings.select("xmin", "ymin", "xmax", "ymax")
-    p = SJ.dwithin_join(p, b, 0, right_geom=Box(), how="left_anti")
-    near = SJ.with_geo_scales(SJ.dwithin_join(p, b, dist, right_geom=Box()), "y")
-    d = F.sqrt(F.expr(SJ.geo_pt_box_d2("x", "y", ("xmin", "ymin", "xmax", "ymax"), scales=("_sx", "_sy"))))
+    b = buildings.select("rings", "xmin", "ymin", "xmax", "ymax")
+    shape = Polygon("rings", ("xmin", "ymin", "xmax", "ymax"))
+    p = SJ.dwithin_join(p, b, 0, right_geom=shape, how="left_anti")
+    near = SJ.with_geo_scales(SJ.dwithin_join(p, b, dist, right_geom=shape), "y")
+    d = F.expr(SJ.geo_pt_rings_d("x", "y", "rings", scales=("_sx", "_sy")))
     g = near.groupBy("osm_id", "x", "y", "shop").agg(F.round(F.min(d), 2).alias("dist_m"))
     return g.select("osm_id", "shop", "dist_m", *lonlat_cols("x", "y"))
 
 
+# the edges near a shop, moved to the shop and scaled to metres there
+_C3_EDGE = f"""
+select p.osm_id as poi, e.osm_id, {inputs.clamp_d2_sql('p.x', 'p.y', 'e')} as d2, (e.x1 - p.x) * {crs.scale_e('p.y')} as x1, (e.y1 - p.y) * {crs.scale_n('p.y')} as y1,
+       (e.x2 - p.x) * {crs.scale_e('p.y')} as x2, (e.y2 - p.y) * {crs.scale_n('p.y')} as y2
+from fx_poi p join hb b on p.x between b.bx0 - 21 and b.bx1 + 21 and p.y between b.by0 - 21 and b.by1 + 21
+join fx_house_e e on e.osm_id = b.osm_id"""
+
+
 @query("c03_poi_near_building", f"""
-select p.osm_id, p.shop, round(min(sqrt({SJ.geo_pt_box_d2('p.x', 'p.y', ('b.x0', 'b.y0', 'b.x0 + b.w', 'b.y0 + b.h'))})), 2) as dist_m,
-       {lonlat_sql('p.x', 'p.y')}
-from fx_poi p join fx_building b on {G.pt_box_within('p.x', 'p.y', 'b.x0', 'b.y0', 'b.x0 + b.w', 'b.y0 + b.h', '20')}
+select p.osm_id, p.shop, round(min(b.d), 2) as dist_m, {lonlat_sql('p.x', 'p.y')}
+from fx_poi p join (select m.poi, m.osm_id, min(m.d2) as d2, min(sqrt({inputs.clamp_d2_sql('0.0', '0.0', 'm')})) as d from pe m group by m.poi, m.osm_id) b
+  on b.poi = p.osm_id and b.d2 <= 400
 where p.shop is not null and p.shop not in ('car', 'car_repair', 'kiosk')
 and exists (select 1 from fx_commune c where p.x between c.xmin and c.xmax and p.y between c.ymin and c.ymax)
-and not exists (select 1 from fx_building b2 where p.x between b2.x0 and b2.x0 + b2.w and p.y between b2.y0 and b2.y0 + b2.h)
-group by p.osm_id, p.x, p.y, p.shop""")
+and not exists (select 1 from hb b2 where p.x between b2.bx0 and b2.bx1 and p.y between b2.by0 and b2.by1 and {inputs.in_house_sql('p.x', 'p.y', 'b2.osm_id')})
+group by p.osm_id, p.x, p.y, p.shop""", inputs.HOUSE_CTES + (("pe", _C3_EDGE),))
 def c03(spark: SparkSession, sf: str) -> DataFrame:
     pois = fx(spark, sf, "fx_poi").select("osm_id", "x", "y", "shop")
-    return poi_near_building(pois, _communes_poly(spark, sf), inputs.buildings(spark, sf))
+    return poi_near_building(pois, _communes_poly(spark, sf), inputs.house_footprints(spark, sf))
 
 
 # ---------------------------------------------------------------- C6
@@ -306,6 +317,12 @@ select osm_id, 'yes' as building, case when osm_id % 6 = 0 then 'substation' end
        case when osm_id % 25 = 0 then 'no' end as wall from fx_building"""
 
 
+# stations: the shops' places, and one inside every third building
+STATION_SQL = """
+select osm_id as id, x, y, 'Enedis' as operator from fx_poi
+union all select 10000000 + osm_id as id, x0 + 4 as x, y0 + 2 as y, 'Enedis' as operator from fx_building where osm_id % 3 = 0"""
+
+
 def substation_to_import(stations: DataFrame, communes: DataFrame, buildings: DataFrame, underground: DataFrame,
                          area_max: float = 50.0, near: float = 50.0) -> DataFrame:
     """8280/94: distribution stations inside a small, not yet tagged
@@ -315,12 +332,13 @@ def substation_to_import(stations: DataFrame, communes: DataFrame, buildings: Da
     b = buildings.where(F.col("building").isNotNull() & (F.coalesce("wall", F.lit("")) != "no")
                         & (F.col("power").isNull() | (F.col("power") != "substation")
                            | (F.col("substation") != "minor_distribution"))
-                        & ((F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin")) < area_max))
-    sb = SJ.dwithin_join(s, b.select(F.col("osm_id").alias("bid"), "xmin", "ymin", "xmax", "ymax"), 0, right_geom=Box())
+                        & (F.expr(LN.area("rings")) < area_max))
+    sb = SJ.contains_join(s, b.select(F.col("osm_id").alias("bid"), F.col("rings").alias("footprint"), "xmin", "ymin", "xmax", "ymax"),
+                          polygon=Polygon("footprint", ("xmin", "ymin", "xmax", "ymax")))
     flag = SJ.dwithin_join(s, underground, near, how="left_semi").select("id", F.lit(True).alias("underground"))
     sb = sb.join(flag, "id", "left")
-    cy = "(ymin + ymax) / 2"
-    m2 = F.rint(F.expr(f"(xmax - xmin) * (ymax - ymin) * {crs.scale_e(cy)} * {crs.scale_n(cy)}")).cast("bigint")
+    sb = sb.withColumn("c", F.expr(LN.polygon_centroid("footprint")))
+    m2 = F.rint(F.expr(f"{LN.area('footprint')} * {crs.scale_e('c.y')} * {crs.scale_n('c.y')}")).cast("bigint")
     sb = sb.withColumn("m2", m2)
     fix = (F.when(F.col("underground").isNull(), "transformer_tower")
             .when(F.col("m2") < 4, "street_cabinet").otherwise("building_service"))
@@ -330,26 +348,27 @@ def substation_to_import(stations: DataFrame, communes: DataFrame, buildings: Da
 
 
 @query("c06_substation_to_import", f"""
-select distinct b.osm_id, p.id, p.operator, cast(round_even(cast(b.w * b.h as double) * {crs.scale_e('b.y0 + b.h / 2.0')} * {crs.scale_n('b.y0 + b.h / 2.0')}, 0) as bigint) as m2,
+select distinct b.osm_id, p.id, p.operator, cast(round_even(hs.area * {crs.scale_e('hs.gy')} * {crs.scale_n('hs.gy')}, 0) as bigint) as m2,
        u.flag as underground,
        case when u.flag is null then 'transformer_tower'
-            when round_even(cast(b.w * b.h as double) * {crs.scale_e('b.y0 + b.h / 2.0')} * {crs.scale_n('b.y0 + b.h / 2.0')}, 0) < 4 then 'street_cabinet'
+            when round_even(hs.area * {crs.scale_e('hs.gy')} * {crs.scale_n('hs.gy')}, 0) < 4 then 'street_cabinet'
             else 'building_service' end as fix,
        {lonlat_sql('p.x', 'p.y')}
-from st p join fx_building b on p.x between b.x0 and b.x0 + b.w and p.y between b.y0 and b.y0 + b.h
+from st p join hb b on p.x between b.bx0 and b.bx1 and p.y between b.by0 and b.by1 and {inputs.in_house_sql('p.x', 'p.y', 'b.osm_id')}
+join hs on hs.osm_id = b.osm_id
 join bt t on t.osm_id = b.osm_id
 left join (select distinct p2.id, true as flag from st p2 join fx_segment s on {G.pt_seg_within('p2.x', 'p2.y', *SEG_S, '50')}
            where s.osm_id % 4 = 1) u on u.id = p.id
 where t.building is not null and coalesce(t.wall, '') <> 'no'
-and (t.power is null or t.power <> 'substation' or t.substation <> 'minor_distribution') and b.w * b.h < 200
+and (t.power is null or t.power <> 'substation' or t.substation <> 'minor_distribution') and hs.area < 50
 and exists (select 1 from fx_commune c where p.x between c.xmin and c.xmax and p.y between c.ymin and c.ymax)""",
-       (("st", "select osm_id as id, x, y, 'Enedis' as operator from fx_poi"), ("bt", BLD_TAGS_SQL)))
+       inputs.HOUSE_CTES + (("st", STATION_SQL), ("bt", BLD_TAGS_SQL)))
 def c06(spark: SparkSession, sf: str) -> DataFrame:
     register(spark, sf)
-    st = fx(spark, sf, "fx_poi").select(F.col("osm_id").alias("id"), "x", "y", F.lit("Enedis").alias("operator"))
-    b = inputs.buildings(spark, sf).drop("building").join(spark.sql(BLD_TAGS_SQL), "osm_id")
+    st = spark.sql(STATION_SQL)
+    b = inputs.house_footprints(spark, sf).drop("building").join(spark.sql(BLD_TAGS_SQL), "osm_id")
     ug = inputs.segments(spark, sf).where("osm_id % 4 = 1").select("x1", "y1", "x2", "y2")
-    return substation_to_import(st, _communes_poly(spark, sf), b, ug, area_max=200.0)
+    return substation_to_import(st, _communes_poly(spark, sf), b, ug)
 
 
 # ---------------------------------------------------------------- C13
@@ -363,7 +382,10 @@ def unimported_buildings(squares: DataFrame, communes: DataFrame, size: float =
     corners = " AND ".join(G.pt_in_polygon(x, y, rings) for x, y in
                            (("sx1", "sy0"), ("sx1", "sy1"), ("sx0", "sy1")))
     no_vertex_inside = (f"NOT exists(flatten({rings}), v -> v.x > sx0 AND v.x < sx1 AND v.y > sy0 AND v.y < sy1)")
-    j = j.where(F.expr(f"{corners} AND {no_vertex_inside}"))
+    # a ring edge that runs through the square's inside cuts it, also without a vertex there
+    inner = ("(sx0 + 1e-9)", "(sy0 + 1e-9)", "(sx1 - 1e-9)", "(sy1 - 1e-9)")
+    no_edge_through = f"NOT exists({SJ._edges(rings)}, e -> {G.seg_intersects_box(('e.x1', 'e.y1', 'e.x2', 'e.y2'), inner)})"
+    j = j.where(F.expr(f"{corners} AND {no_vertex_inside} AND {no_edge_through}"))
     agg = j.groupBy("insee", "osm_id", "name", "rings").agg(
         F.sum(F.when(F.col("buildings") == 0, 1).otherwise(0)).alias("nb"), F.count("*").alias("total"))
     agg = agg.where((F.col("nb") > 0) & (F.col("nb") > F.floor(F.col("total") / 2)))

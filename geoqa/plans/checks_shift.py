@@ -37,8 +37,7 @@ union all select insee, xmax, ymax, xmin, ymax from fx_commune
 union all select insee, xmin, ymax, xmin, ymin from fx_commune"""
 
 
-def shifted_admin_vertices(official: DataFrame, osm_boundaries: DataFrame, min_m: float = 100.0,
-                           max_abs_lat: float = 60.0) -> DataFrame:
+def shifted_admin_vertices(official: DataFrame, osm_boundaries: DataFrame, min_m: float = 100.0) -> DataFrame:
     """7170/40: vertices of official commune outlines lying more than
     ``min_m`` ground metres from the OSM boundary of the same commune;
     grouped by position with the largest offset and the communes involved.
@@ -49,9 +48,9 @@ def shifted_admin_vertices(official: DataFrame, osm_boundaries: DataFrame, min_m
     """
     v = official.select("insee", "nom", F.explode(F.flatten("rings")).alias("p")).select(
         "insee", "nom", F.col("p.x").alias("x"), F.col("p.y").alias("y")).distinct()
-    v = SJ.with_geo_scales(SJ.guard_latitude(v, "y", max_abs_lat), "y")
+    v = SJ.with_geo_scales(v, "y")
     geo = SJ.geo_pt_seg_within("l.x", "l.y", ("r.x1", "r.y1", "r.x2", "r.y2"), str(min_m), scales=SJ.L_SCALES)
-    far = SJ.dwithin_join(v, osm_boundaries.withColumnRenamed("insee", "b_insee"), SJ.geo_margin(min_m, max_abs_lat),
+    far = SJ.dwithin_join(v, osm_boundaries.withColumnRenamed("insee", "b_insee"), SJ.Ground(min_m),
                           residual=f"l.insee = r.b_insee AND {geo}", how="left_anti")
     d = F.expr(SJ.geo_pt_seg_d("x", "y", ("x1", "y1", "x2", "y2"), scales=("_sx", "_sy")))
     dist = far.join(osm_boundaries, "insee").groupBy("insee", "nom", "x", "y").agg(F.min(d).alias("d"))
@@ -78,7 +77,7 @@ def c07(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- C19
 def road_ref_or_shift(lines: DataFrame, areas: DataFrame, way_segs: DataFrame, min_points: int = 10,
-                      coarse: float = 50.0, fine_m: float = 10.0, max_abs_lat: float = 60.0) -> DataFrame:
+                      coarse: float = 50.0, fine_m: float = 10.0) -> DataFrame:
     """7170/3 (official roads): numbered roads with more than ``min_points``
     vertices (not roundabouts or ramps) where some vertex of the middle 80 %
     has no highway within ``coarse`` units and ``fine_m`` m carrying the same
@@ -90,15 +89,14 @@ def road_ref_or_shift(lines: DataFrame, areas: DataFrame, way_segs: DataFrame, m
     m = m.join(inside.select("cleabs").distinct(), "cleabs", "left_semi")
     sub = m.select("cleabs", "num_route", "precision", "mx", "my",
                    F.explode(F.expr(LN.substring("pts", "0.1", "0.9"))).alias("v"))
-    sub = SJ.guard_latitude(sub.select("cleabs", "num_route", "precision", "mx", "my",
-                                       F.col("v.x").alias("vx"), F.col("v.y").alias("vy")), "vy", max_abs_lat)
+    sub = sub.select("cleabs", "num_route", "precision", "mx", "my", F.col("v.x").alias("vx"), F.col("v.y").alias("vy"))
     sub = SJ.with_geo_scales(sub, "vy")
     h = way_segs.where("highway IS NOT NULL").select(
         "x1", "y1", "x2", "y2", F.upper(T.strip_spaces("ref")).alias("rref"),
         F.col("highway").like("%_link").alias("is_link"), F.element_at("tags", "junction").isNotNull().alias("has_jct"))
     geo = SJ.geo_pt_seg_within("l.vx", "l.vy", ("r.x1", "r.y1", "r.x2", "r.y2"), str(fine_m), scales=SJ.L_SCALES)
     planar = G.pt_seg_within("l.vx", "l.vy", "r.x1", "r.y1", "r.x2", "r.y2", str(coarse))
-    lonely = SJ.dwithin_join(sub, h, min(coarse, SJ.geo_margin(fine_m, max_abs_lat)), left_geom=Point("vx", "vy"),
+    lonely = SJ.dwithin_join(sub, h, SJ.Ground(fine_m, planar=coarse), left_geom=Point("vx", "vy"),
                              residual=f"{planar} AND {geo} AND (l.num_route = r.rref OR r.is_link OR r.has_jct)",
                              how="left_anti")
     out = lonely.select("mx", "my", "num_route", "precision").distinct()
@@ -149,10 +147,10 @@ def most_shifted_vertex(ways: DataFrame, areas: DataFrame, official_segs: DataFr
           .select("osm_id", "name", "ref", "highway", "pos", F.col("p.x").alias("x"), F.col("p.y").alias("y")))
     j = SJ.dwithin_join(v, official_segs.select("cleabs", F.col("seg").alias("oseg"), "x1", "y1", "x2", "y2"), dist)
     j = j.withColumn("d2", F.expr(G.pt_seg_d2("x", "y", "x1", "y1", "x2", "y2")))
-    near = j.withColumn("n1", F.row_number().over(
-        Window.partitionBy("osm_id", "x", "y").orderBy("d2", "cleabs", "oseg"))).where("n1 = 1")
-    worst = near.withColumn("n2", F.row_number().over(
-        Window.partitionBy("osm_id").orderBy(F.desc("d2"), "pos"))).where("n2 = 1")
+    # nearest road of each vertex, then the worst vertex of each way: partial aggregates, no sort of all pairs
+    row = F.struct(*[F.col(c) for c in j.columns])
+    near = j.groupBy("osm_id", "x", "y").agg(F.min_by(row, F.struct("d2", "cleabs", "oseg")).alias("r")).select("r.*")
+    worst = near.groupBy("osm_id").agg(F.min_by(row, F.struct(-F.col("d2"), F.col("pos"))).alias("r")).select("r.*")
     worst = worst.withColumn("geo", F.expr(SJ.geo_len_to_closest("x", "y", ("x1", "y1", "x2", "y2"))))
     worst = worst.where(F.col("geo") > min_m)
     return worst.select("osm_id", "name", "ref", "highway", geohash_col("x", "y"), *lonlat_cols("x", "y", 7),
@@ -182,3 +180,34 @@ where n2 = 1 and {_C20_GEO} > 10""",
 def c20(spark: SparkSession, sf: str) -> DataFrame:
     segs = line_segments(inputs.official_lines(spark, sf).select("cleabs", "pts"))
     return most_shifted_vertex(inputs.osm_ways(spark, sf), departments(spark, sf), segs)
+
+
+# ---------------------------------------------------------------- W2
+def topn_worst_vertices(ways: DataFrame, official_segs: DataFrame, n: int = 3, dist: float = 100.0) -> DataFrame:
+    """The ``n`` inner vertices of each way that lie farthest from their nearest official road within
+    ``dist``: osm_id, rank, vertex and squared distance.  Only the rank is a window, over one row a vertex."""
+    v = (ways.select("osm_id", F.size("pts").alias("n"), F.posexplode("pts").alias("pos", "p")).where("pos > 0 and pos < n - 1")
+         .select("osm_id", "pos", F.col("p.x").alias("x"), F.col("p.y").alias("y")))
+    j = SJ.dwithin_join(v, official_segs.select("x1", "y1", "x2", "y2"), dist)
+    near = j.groupBy("osm_id", "pos").agg(F.min(F.expr(G.pt_seg_d2("x", "y", "x1", "y1", "x2", "y2"))).alias("d2"))
+    w = Window.partitionBy("osm_id").orderBy(F.desc("d2"), "pos")
+    return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+
+
+_TOPN_D2 = """power(v.x - t.x1 - u * (t.x2 - t.x1), 2) + power(v.y - t.y1 - u * (t.y2 - t.y1), 2)"""
+
+
+@query("topn_worst_vertex", f"""
+select osm_id, pos, rank, round(d2, 4) as d2 from (
+  select osm_id, pos, d2, row_number() over (partition by osm_id order by d2 desc, pos) as rank from (
+    select v.osm_id, v.k as pos, min({_TOPN_D2}) as d2
+    from fx_vertex v join o_seg t on least(t.x1, t.x2) - 100 <= v.x and v.x <= greatest(t.x1, t.x2) + 100
+      and least(t.y1, t.y2) - 100 <= v.y and v.y <= greatest(t.y1, t.y2) + 100,
+    lateral (select least(1.0, greatest(0.0, ((v.x - t.x1) * (t.x2 - t.x1) + (v.y - t.y1) * (t.y2 - t.y1))
+             / greatest(cast((t.x2 - t.x1) * (t.x2 - t.x1) + (t.y2 - t.y1) * (t.y2 - t.y1) as double), 1e-30))) as u) q
+    where v.k in (1, 2) and {_TOPN_D2} <= 10000 group by v.osm_id, v.k) m) r
+where rank <= 1""", O_CTES)
+def topn_worst_vertex(spark: SparkSession, sf: str) -> DataFrame:
+    segs = line_segments(inputs.official_lines(spark, sf).select("cleabs", "pts"))
+    r = topn_worst_vertices(inputs.osm_ways(spark, sf).select("osm_id", "pts"), segs, n=1)
+    return r.select("osm_id", F.col("pos").cast("bigint").alias("pos"), F.col("rank").cast("bigint").alias("rank"), F.round("d2", 4).alias("d2"))

@@ -41,10 +41,11 @@ def missing_streets_fill(addresses: DataFrame) -> DataFrame:
     a = addresses.where(T.blank("voie_osm") & (F.col("source") != "CADASTRE")
                         & F.col("fantoir").rlike(STREET_KEY_PATTERN))
     a = a.select("fantoir", F.coalesce("voie_cadastre", "voie_autre").alias("voie"), "x", "y")
-    counts = a.groupBy("fantoir", "voie").agg(F.count("*").alias("nb")).where("nb > 1")
-    hulls = H.convex_hull(a.join(counts.select("fantoir", "voie"), ["fantoir", "voie"], "left_semi"),
-                          ("fantoir", "voie"))
-    return counts.join(hulls, ["fantoir", "voie"])
+    a = a.withColumn("voie_key", F.to_json(F.struct("voie")))  # a group without a name is a group, too
+    counts = a.groupBy("fantoir", "voie_key").agg(F.first("voie").alias("voie"), F.count("*").alias("nb")).where("nb > 1")
+    hulls = H.convex_hull(a.select("fantoir", "voie_key", "x", "y").join(counts.select("fantoir", "voie_key"), ["fantoir", "voie_key"], "left_semi"),
+                          ("fantoir", "voie_key"))
+    return counts.join(hulls, ["fantoir", "voie_key"]).drop("voie_key")
 
 
 def _cumul(spark: SparkSession, sf: str) -> DataFrame:

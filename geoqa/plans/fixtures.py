@@ -48,7 +48,8 @@ select o_orderkey as id, (o_orderkey*7919)%19997 as x, (o_orderkey*15485863)%200
 select osm_id as cleabs, k, x+(osm_id*13+k*7)%31-15 as x, y+(osm_id*17+k*11)%29-14 as y,
        cast(1+osm_id%12 as varchar(2)) as nb_voies, replace(ref,' ','') as num_route,
        cast(1+osm_id%6 as varchar(1)) as importance,
-       case when osm_id%11=0 then 'Rond-point' else 'Route' end as nature
+       case when osm_id%11=0 then 'Rond-point' else 'Route' end as nature,
+       case when osm_id%10=7 then 'En projet' when osm_id%37=4 then null else 'En service' end as etat
 from fx_vertex where osm_id%3<>0""",
     # shops in or just right of the building with the same number
     "fx_poi": """

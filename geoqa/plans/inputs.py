@@ -63,9 +63,9 @@ def official_lines(spark: SparkSession, sf: str) -> DataFrame:
     return (v.groupBy("cleabs")
              .agg(F.sort_array(F.collect_list(F.struct("k", "x", "y"))).alias("_p"),
                   F.first("nb_voies").alias("nb_voies"), F.first("num_route").alias("num_route"),
-                  F.first("importance").alias("importance"), F.first("nature").alias("nature"))
+                  F.first("importance").alias("importance"), F.first("nature").alias("nature"), F.first("etat").alias("etat"))
              .select("cleabs", F.expr("transform(_p, p -> named_struct('x', p.x, 'y', p.y))").alias("pts"),
-                     "nb_voies", "num_route", "importance", "nature"))
+                     "nb_voies", "num_route", "importance", "nature", "etat"))
 
 
 def osm_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -117,6 +117,43 @@ def houses(spark: SparkSession, sf: str) -> DataFrame:
     return fx(spark, sf, "fx_building").select("osm_id", F.expr(HOUSE_RINGS).alias("rings"))
 
 
+def house_footprints(spark: SparkSession, sf: str) -> DataFrame:
+    """osm_id, building, rings (footprint with courtyards) and its bounding box."""
+    h = houses(spark, sf).withColumn("building", F.lit("yes"))
+    for name, e in zip(("xmin", "ymin", "xmax", "ymax"), G.rings_bbox("rings")):
+        h = h.withColumn(name, F.expr(e))
+    return h
+
+
+# Per house for SQL oracles: bounding box, area and centroid from the vertex and edge rows.
+HOUSE_BOX_SQL = "select osm_id, min(x) as bx0, min(y) as by0, max(x) as bx1, max(y) as by1 from fx_house_v group by osm_id"
+HOUSE_SHAPE_SQL = """
+select osm_id, sum(case when ring = 0 then a else -a end) as area,
+       sum(case when ring = 0 then mx else -mx end) / sum(case when ring = 0 then a else -a end) as gx,
+       sum(case when ring = 0 then my else -my end) / sum(case when ring = 0 then a else -a end) as gy
+from (select osm_id, ring, abs(sum(x1 * y2 - x2 * y1)) / 2.0 as a,
+             sign(sum(x1 * y2 - x2 * y1)) * sum((x1 + x2) * (x1 * y2 - x2 * y1)) / 6.0 as mx,
+             sign(sum(x1 * y2 - x2 * y1)) * sum((y1 + y2) * (x1 * y2 - x2 * y1)) / 6.0 as my
+      from fx_house_e group by osm_id, ring) r group by osm_id"""
+HOUSE_CTES = (("fx_house_v", HOUSE_VERTEX_SQL), ("fx_house_e", HOUSE_EDGE_SQL), ("hb", HOUSE_BOX_SQL), ("hs", HOUSE_SHAPE_SQL))
+
+
+def in_house_sql(px: str, py: str, house: str) -> str:
+    """Oracle: a point lies in a house (edge included), by winding the edges with atan2-free crossing counts."""
+    on = (f"exists (select 1 from fx_house_e e where e.osm_id = {house} and (e.x2 - e.x1) * ({py} - e.y1) = (e.y2 - e.y1) * ({px} - e.x1) "
+          f"and {px} between least(e.x1, e.x2) and greatest(e.x1, e.x2) and {py} between least(e.y1, e.y2) and greatest(e.y1, e.y2))")
+    odd = (f"(select count(*) from fx_house_e e where e.osm_id = {house} and (e.y1 <= {py}) <> (e.y2 <= {py}) "
+           f"and {px} < e.x1 + (e.x2 - e.x1) * cast({py} - e.y1 as double) / (e.y2 - e.y1)) % 2 = 1")
+    return f"({on} or {odd})"
+
+
+def clamp_d2_sql(px: str, py: str, e: str) -> str:
+    """Oracle: squared distance of a point to an edge row, by the clamped projection."""
+    l2 = f"greatest(({e}.x2 - {e}.x1) * ({e}.x2 - {e}.x1) + ({e}.y2 - {e}.y1) * ({e}.y2 - {e}.y1), 1e-30)"
+    t = f"least(1.0, greatest(0.0, (({px} - {e}.x1) * ({e}.x2 - {e}.x1) + ({py} - {e}.y1) * ({e}.y2 - {e}.y1)) / {l2}))"
+    return (f"(power({px} - {e}.x1 - {t} * ({e}.x2 - {e}.x1), 2) + power({py} - {e}.y1 - {t} * ({e}.y2 - {e}.y1), 2))")
+
+
 TAG_KEYS = ("lanes", "old_ref", "nat_ref", "power", "waterway", "route", "junction", "access")
 
 

@@ -70,7 +70,7 @@ def ingest_csv_points(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- S5
-@query("materialise_table", _C9_SQL)
+@query("materialise_table", _C9_SQL, inputs.HOUSE_CTES)
 def materialise_table(spark: SparkSession, sf: str) -> DataFrame:
     """Truncate-and-refill of an intermediate table, partitioned, read back."""
     return R.materialise(c09(spark, sf), R.scratch_path(spark, "c09"), partition_by=("insee",)) \
@@ -128,7 +128,7 @@ def report_xml_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- S8
 @query("report_split", f"""
-select 11 as class, cast(insee % 5 as string) as dept, count(*) as n from ({_C9_SQL}) q group by insee % 5""")
+select 11 as class, cast(insee % 5 as string) as dept, count(*) as n from ({_C9_SQL}) q group by insee % 5""", inputs.HOUSE_CTES)
 def report_split(spark: SparkSession, sf: str) -> DataFrame:
     """Report split into one folder per (class, department), counted back."""
     path = R.scratch_path(spark, "report-split")
@@ -140,15 +140,24 @@ def report_split(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- S9
 @query("report_integrity", f"""
-select chk as "check", class, count(*) as rows, cast(0 as bigint) as no_location, cast(0 as bigint) as out_of_range,
-       cast(0 as bigint) as blank_text, cast(sum(case when n > 1 then 1 else 0 end) as bigint) as dup_locations
-from (select chk, class, lat, lon, count(*) over (partition by chk, class, lat, lon) as n from (
-        select 'c09_building_without_road' as chk, 11 as class, lat, lon from ({_C9_SQL}) a
-        union all select 'c14_populated_square_no_road', class, lat, lon from c14r) u) z
-group by chk, class""", (("c14r", _C14_SQL),))
+select chk as "check", class, count(*) as rows, cast(count(*) - count(lat) as bigint) as no_location,
+       cast(count(*) filter (where lat not between -90 and 90) as bigint) as out_of_range, cast(sum(blank) as bigint) as blank_text,
+       cast(count(*) - count(distinct concat(coalesce(cast(lat as varchar), '?'), '/', lon)) as bigint) as dup_locations
+from (select 'c09_building_without_road' as chk, 11 as class, lat, lon, 0 as blank from ({_C9_SQL}) a
+      union all select 'c14_populated_square_no_road', class, lat, lon, 0 from c14r
+      union all select 'c14_populated_square_no_road', class,
+             case cast(split_part(square_id, '_', 1) as int) % 3 when 0 then null when 1 then lat + 100 else lat end, lon,
+             case when cast(split_part(square_id, '_', 2) as int) % 2 = 0 then 1 else 0 end from c14r where class = 10) u
+group by chk, class""", inputs.HOUSE_CTES + (("c14r", _C14_SQL),))
 def report_integrity(spark: SparkSession, sf: str) -> DataFrame:
-    rep = c09_report(spark, sf).unionByName(c14_report(spark, sf))
-    return REP.report_integrity(rep)
+    """Two reports and a second copy of one class with faults: lost and impossible places, blank texts, repeats."""
+    c14 = c14_report(spark, sf)
+    cell = F.split("anomaly_id", "_")
+    col, row = cell[0].cast("int"), cell[1].cast("int")
+    faulty = c14.where("class = 10").withColumn("lat", F.when(col % 3 == 0, None).when(col % 3 == 1, F.col("lat") + 100).otherwise(F.col("lat")))
+    faulty = faulty.withColumn("text", F.when(row % 2 == 0, F.transform("text", lambda t: F.struct(t["lang"].alias("lang"), F.lit("  ").alias("value"))))
+                               .otherwise(F.col("text")))
+    return REP.report_integrity(c09_report(spark, sf).unionByName(c14).unionByName(faulty))
 
 
 # ---------------------------------------------------------------- S10
@@ -161,7 +170,7 @@ select c.chk as "check", c.item, c.class, c.level, c.title_en, count(*) as n
 from (select 'c09_building_without_road' as chk, 11 as class from ({_C9_SQL}) a
       union all select 'c14_populated_square_no_road', class from c14r) r
 join (values {_CAT_VALUES}) as c(chk, item, class, level, title_en) on c.chk = r.chk and c.class = r.class
-group by c.chk, c.item, c.class, c.level, c.title_en""", (("c14r", _C14_SQL),))
+group by c.chk, c.item, c.class, c.level, c.title_en""", inputs.HOUSE_CTES + (("c14r", _C14_SQL),))
 def class_catalogue(spark: SparkSession, sf: str) -> DataFrame:
     """Reports joined with the class catalogue (fixed size: broadcast)."""
     rep = c09_report(spark, sf).unionByName(c14_report(spark, sf))

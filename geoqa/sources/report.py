@@ -22,7 +22,6 @@ from pyspark.sql import types as T
 # level, French title, English title), as the source checks publish them.
 # Titles with a distance take it from the check's parameter.
 CATALOGUE = [
-    ("c01_missing_streets_fill", 7170, 33, "highway", 3, "route manquante à proximité ?", "missing highway in the area ?"),
     ("c02_street_name_check", 7170, 30, "highway", 3, "name=* ou route potentiellement manquante à proximité",
      "name=* or possibly missing highway in the area"),
     ("c02_street_name_check", 7170, 31, "highway", 3, "name=* à modifier sur highway ?", "name=* to change on highway ?"),
@@ -58,7 +57,7 @@ CATALOGUE = [
      "possibly missing highway in the area (BD Topo IGN)"),
     ("c19_road_ref_or_shift", 7170, 3, "highway", 3, "ref=* manquant ou tracé décalé de la route comparé à la BDTopo IGN",
      "missing ref=* or misaligned road compared to BDTopo IGN"),
-    ("c20_most_shifted_vertex", 7170, 4, "highway", 3, "route décalée comparée à la BDTopo IGN",
+    ("c20_most_shifted_vertex", 7170, 4, "highway", 3, "Route fortement décalée par rapport à la BDTopo IGN ou mauvais type de highway=*",
      "Misaligned road compared to BDTopo IGN or bad highway=* type"),
     ("c21_missing_lanes_b", 7170, 20, "highway", 3, "lanes=* manquant sur route à plus de 2 voies (BD Topo)",
      "lanes=* missing on highway with more than 2 lanes (BD Topo)"),
