@@ -12,6 +12,7 @@ from geoqa.plans import checks_shift  # noqa: F401
 from geoqa.plans import checks_cluster  # noqa: F401
 from geoqa.plans import checks_street  # noqa: F401
 from geoqa.plans import ops_io  # noqa: F401
+from geoqa.plans import reports  # noqa: F401  (last: it reads the other checks)
 
 QUERIES = registry.QUERIES
 ORACLES = registry.ORACLES

@@ -6,8 +6,8 @@ A report is a DataFrame with one row per anomaly::
     check STRING, item INT, class INT, subclass INT, dept STRING,
     anomaly_id STRING, lat DOUBLE, lon DOUBLE,
     text ARRAY<STRUCT<lang STRING, value STRING>>,
-    osm ARRAY<STRUCT<kind STRING, id BIGINT>>,          -- node / way / relation refs
-    fixes ARRAY<STRUCT<kind STRING, id BIGINT, action STRING, k STRING, v STRING>>
+    osm ARRAY<STRUCT<kind STRING, id BIGINT, tags ARRAY<STRUCT<k, v>>>>,   -- node / way / relation refs
+    fixes ARRAY<STRUCT<kind STRING, id BIGINT, tags ARRAY<STRUCT<action, k, v>>>>
 
 The report key is (check, item, class): class ids repeat across checks.
 """
@@ -82,12 +82,13 @@ REPORT_SCHEMA = T.StructType([
     T.StructField("lat", T.DoubleType()), T.StructField("lon", T.DoubleType()),
     T.StructField("text", T.ArrayType(T.StructType([T.StructField("lang", T.StringType()),
                                                     T.StructField("value", T.StringType())]))),
-    T.StructField("osm", T.ArrayType(T.StructType([T.StructField("kind", T.StringType()),
-                                                   T.StructField("id", T.LongType())]))),
+    T.StructField("osm", T.ArrayType(T.StructType([
+        T.StructField("kind", T.StringType()), T.StructField("id", T.LongType()),
+        T.StructField("tags", T.ArrayType(T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.StringType())])))]))),
     T.StructField("fixes", T.ArrayType(T.StructType([
         T.StructField("kind", T.StringType()), T.StructField("id", T.LongType()),
-        T.StructField("action", T.StringType()), T.StructField("k", T.StringType()),
-        T.StructField("v", T.StringType())]))),
+        T.StructField("tags", T.ArrayType(T.StructType([
+            T.StructField("action", T.StringType()), T.StructField("k", T.StringType()), T.StructField("v", T.StringType())])))]))),
 ])
 
 
@@ -102,13 +103,22 @@ def class_catalogue(spark: SparkSession, distances: dict | None = None) -> DataF
 def to_report(df: DataFrame, check: str, item: int, cls, *, lat: str = "lat", lon: str = "lon",
               dept: Column | None = None, anomaly_id: Column | None = None,
               text_fr: Column | None = None, text_en: Column | None = None,
-              osm: list[tuple[str, Column]] = (), fixes: list[tuple] = (), subclass: int = 1) -> DataFrame:
-    """Map a check result onto the report row model."""
+              osm: list[tuple] = (), fixes: list[tuple] = (), subclass: int = 1) -> DataFrame:
+    """Map a check result onto the report row model.
+
+    ``osm``: (kind, id[, [(key, value)]]) of the objects; ``fixes``: (kind, id, [(action, key, value)][,
+    condition]).  An object without an id and a fix whose condition fails are left out of the row."""
     texts = [F.struct(F.lit(lang).alias("lang"), c.cast("string").alias("value"))
              for lang, c in (("fr", text_fr), ("en", text_en)) if c is not None]
-    refs = [F.struct(F.lit(kind).alias("kind"), c.cast("long").alias("id")) for kind, c in osm]
-    fx = [F.struct(F.lit(kind).alias("kind"), i.cast("long").alias("id"), F.lit(act).alias("action"),
-                   F.lit(k).alias("k"), v.cast("string").alias("v")) for kind, i, act, k, v in fixes]
+    pair = lambda k, v: F.struct(F.lit(k).alias("k"), v.cast("string").alias("v"))
+    act = lambda a, k, v: F.struct(F.lit(a).alias("action"), F.lit(k).alias("k"), v.cast("string").alias("v"))
+    some = lambda parts, kind: F.array(*parts) if parts else F.array().cast(kind)
+    ref_tags, fix_tags = (REPORT_SCHEMA[n].dataType.elementType["tags"].dataType for n in ("osm", "fixes"))
+    refs = [F.when(i.isNotNull(), F.struct(F.lit(kind).alias("kind"), i.cast("long").alias("id"),
+                                           some([pair(*t) for t in (tags[0] if tags else ())], ref_tags).alias("tags"))) for kind, i, *tags in osm]
+    fx = [F.when((cond[0] if cond else F.lit(True)) & i.isNotNull(), F.struct(F.lit(kind).alias("kind"), i.cast("long").alias("id"),
+                                                                            some([act(*t) for t in tags], fix_tags).alias("tags")))
+          for kind, i, tags, *cond in fixes]
     cls_col = cls if isinstance(cls, Column) else F.lit(cls)
     out = df.select(
         F.lit(check).alias("check"), F.lit(item).cast("int").alias("item"), cls_col.cast("int").alias("class"),
@@ -117,11 +127,15 @@ def to_report(df: DataFrame, check: str, item: int, cls, *, lat: str = "lat", lo
         (anomaly_id if anomaly_id is not None else F.lit(None)).cast("string").alias("anomaly_id"),
         F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon"),
         (F.array(*texts) if texts else F.array().cast(REPORT_SCHEMA["text"].dataType)).alias("text"),
-        (F.array(*refs) if refs else F.array().cast(REPORT_SCHEMA["osm"].dataType)).alias("osm"),
-        (F.array(*fx) if fx else F.array().cast(REPORT_SCHEMA["fixes"].dataType)).alias("fixes"))
+        F.filter(some(refs, REPORT_SCHEMA["osm"].dataType), lambda r: r.isNotNull()).alias("osm"),
+        F.filter(some(fx, REPORT_SCHEMA["fixes"].dataType), lambda r: r.isNotNull()).alias("fixes"))
     return out
 
 
+def _of_kind(kind: str):
+    return lambda o: o["kind"] == kind
+
+
 def _xml_rows(report: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Report rows in the element layout of the XML sink (``_`` = attribute);
     ``keep`` columns stay as they are (partition keys)."""
@@ -131,13 +145,12 @@ def _xml_rows(report: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         F.struct(F.col("anomaly_id").alias("_id")).alias("infos"),
         F.struct(F.col("lat").alias("_lat"), F.col("lon").alias("_lon")).alias("location"),
         F.transform("text", lambda t: F.struct(t["lang"].alias("_lang"), t["value"].alias("_value"))).alias("text"),
-        F.transform(F.filter("osm", lambda o: o["kind"] == "node"), lambda o: F.struct(o["id"].alias("_id"))).alias("node"),
-        F.transform(F.filter("osm", lambda o: o["kind"] == "way"), lambda o: F.struct(o["id"].alias("_id"))).alias("way"),
-        F.transform(F.filter("osm", lambda o: o["kind"] == "relation"),
-                    lambda o: F.struct(o["id"].alias("_id"))).alias("relation"),
-        F.struct(F.transform("fixes", lambda f: F.struct(
-            f["kind"].alias("_kind"), f["id"].alias("_id"), f["action"].alias("_action"),
-            f["k"].alias("_k"), f["v"].alias("_v"))).alias("fix")).alias("fixes"))
+        *[F.transform(F.filter("osm", _of_kind(k)), lambda o: F.struct(o["id"].alias("_id"), F.transform(
+            o["tags"], lambda t: F.struct(t["k"].alias("_k"), t["v"].alias("_v"))).alias("tag"))).alias(k) for k in ("node", "way", "relation")],
+        F.when(F.size("fixes") > 0, F.struct(F.transform("fixes", lambda f: F.struct(*[
+            F.when(f["kind"] == k, F.struct(f["id"].alias("_id"), F.transform(f["tags"], lambda t: F.struct(
+                t["action"].alias("_action"), t["k"].alias("_k"), t["v"].alias("_v"))).alias("tag"))).alias(k)
+            for k in ("node", "way", "relation")])).alias("fix"))).alias("fixes"))
 
 
 def write_report(report: DataFrame, path: str, compression: str = "gzip", by: tuple[str, ...] = (),

@@ -30,3 +30,19 @@ def test_class_catalogue_table(spark):
     assert len(rows) == 1 and rows[0]["_id"] == 12
     titles = {t["_lang"]: t["_title"] for t in rows[0]["classtext"]}
     assert titles["en"] == "adresse without highway within 200 m"
+
+
+def test_street_name_fixes_and_nested_xml(spark):
+    from geoqa.plans.reports import REPORTS, street_names
+    rows = [("0001", "Rue A", 33, None), ("0002", "Rue B", 32, 7), ("0003", 'Rue "C" & D', 31, 8), ("0004", "Rue E", 30, 9)]
+    df = spark.createDataFrame(rows, "fantoir string, voie string, class int, way long").withColumn("lat", F.lit(48.0)).withColumn("lon", F.lit(2.0))
+    path = scratch_path(spark, "report-c2")
+    REP.write_report(street_names(df).coalesce(1), path)
+    text = "".join(gzip.open(f, "rt").read() for f in sorted(glob.glob(os.path.join(path.replace("file:", ""), "part-*"))))
+    flat = " ".join(text.split())
+    assert flat.count("<fix>") == 3 and flat.count("<fixes>") == 2
+    assert '<way id="7"> <tag action="create" k="name" v="Rue B"/> </way>' in flat
+    assert 'action="modify" k="name" v="Rue &quot;C&quot; &amp; D"' in flat and 'action="create" k="ref:FR:FANTOIR" v="0003"' in flat
+    assert flat.count('<infos id=') == 2
+    published = {c for c, *_ in REP.CATALOGUE}
+    assert set(REPORTS) == published
