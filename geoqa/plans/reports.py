@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from geoqa.plans import checks_attr, checks_cluster, checks_dist, checks_roads, checks_shift, checks_street  # noqa: F401
 from geoqa.plans.registry import ORACLES, QUERIES, query
 from geoqa.sources import readers as R
 from geoqa.sources import report as REP
