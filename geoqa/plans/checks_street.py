@@ -108,8 +108,16 @@ def _longest_geo(pts: str) -> str:
 
 def street_name_check(groups: DataFrame, status: DataFrame, ways: DataFrame, dist: float = 20.0,
                       extent_m: float = 100.0) -> DataFrame:
-    """7170/30-33: unmatched address groups (their hull) against the
-    highways within ``dist``: no way -> 33; one (nameless) way covering the
+    """7170/30-33: :func:`street_measures`, then :func:`classify_streets`; streets without a nearby
+    way or without a place in the order come first, as in the published report."""
+    out = classify_streets(street_measures(groups, status, ways, dist), extent_m)
+    return out.orderBy(F.desc_nulls_first("l_noname"), F.desc_nulls_first("l"), "fantoir", "voie").select(
+        "fantoir", "voie", "class", "way", "lon", "lat")
+
+
+def street_measures(groups: DataFrame, status: DataFrame, ways: DataFrame, dist: float = 20.0) -> DataFrame:
+    """Unmatched address groups (their hull) against the highways within
+    ``dist``, with the overlaps that decide: no way -> 33; one (nameless) way covering the
     hull -> 32 add name; one named way -> 31 change name; names already
     matching -> dropped; otherwise 30.
 
@@ -130,15 +138,18 @@ def street_name_check(groups: DataFrame, status: DataFrame, ways: DataFrame, dis
                              segs.select("osm_id", "x1", "y1", "x2", "y2"), dist,
                              left_geom=Polygon("hrings", ("hx0", "hy0", "hx1", "hy1")), right_geom=Segment())
              .select("fantoir", "voie", "osm_id").distinct())
-    named = pairs.join(hw.select("osm_id", "name", "pts"), "osm_id").persist(StorageLevel.MEMORY_AND_DISK)
+    # the extent of a way counts only where it is a group's one way (or one nameless way): once per matched way
+    extent = pairs.select("osm_id").distinct().join(hw.select("osm_id", "name", "pts"), "osm_id").select(
+        "osm_id", "name", F.expr(_longest_geo("pts")).alias("wl"))
+    named = pairs.join(extent, "osm_id").persist(StorageLevel.MEMORY_AND_DISK)
     sid = F.col("osm_id").cast("string")
     agg = named.groupBy("fantoir", "voie").agg(
         F.array_join(F.array_sort(F.collect_list(sid)), ",").alias("id"),
         F.array_join(F.array_sort(F.collect_list(F.when(F.col("name").isNull(), sid))), ",").alias("id_noname"),
         F.max("name").alias("name"),
         F.array_join(F.array_sort(F.collect_list("name")), ";").alias("names"),
-        F.flatten(F.collect_list("pts")).alias("wpts"),
-        F.flatten(F.collect_list(F.when(F.col("name").isNull(), F.col("pts")))).alias("npts"))
+        F.when(F.count("*") == 1, F.max("wl")).alias("l_ways"),
+        F.when(F.count(F.when(F.col("name").isNull(), 1)) == 1, F.max(F.when(F.col("name").isNull(), F.col("wl")))).alias("l_ways_noname"))
     agg = (agg.withColumn("id_noname", F.when(F.col("id_noname") != "", F.col("id_noname")))
               .withColumn("names", F.when(F.col("names") != "", F.col("names"))))
 
@@ -162,16 +173,18 @@ def street_name_check(groups: DataFrame, status: DataFrame, ways: DataFrame, dis
 
     cen = F.expr(f"CASE WHEN nverts >= 3 THEN {LN.polygon_centroid('array(hull)')} "
                  f"ELSE named_struct('x', (hull[0].x + hull[1].x) / 2.0, 'y', (hull[0].y + hull[1].y) / 2.0) END")
-    j = (g.join(agg, ["fantoir", "voie"], "left").join(meas, ["fantoir", "voie"], "left")
+    return (g.join(agg, ["fantoir", "voie"], "left").join(meas, ["fantoir", "voie"], "left")
           .where(F.coalesce("name", F.lit("")) != F.col("voie"))
           .withColumn("c", cen)
           .withColumn("l", F.col("slb") / F.col("sl")).withColumn("l2", F.col("sg") - F.col("sgh"))
           .withColumn("l_noname", F.col("nslb") / F.col("nsl")).withColumn("l2_noname", F.col("nsg") - F.col("nsgh"))
           .withColumn("l_geom", F.expr(_longest_geo("hull")))
-          .withColumn("l_ways", F.when(F.size("wpts") > 0, F.expr(_longest_geo("wpts"))))
-          .withColumn("l_ways_noname", F.when(F.size("npts") > 0, F.expr(_longest_geo("npts"))))
           .withColumn("voie_c", F.replace("voie", F.lit('"'), F.lit("")))
           .withColumn("names_c", F.replace("names", F.lit('"'), F.lit(""))))
+
+
+def classify_streets(j: DataFrame, extent_m: float = 100.0) -> DataFrame:
+    """The class of each measured street (names that match already are dropped) and the way it is about."""
     up = F.upper("voie_c") != F.col("voie_c")
     fits_nn = ((F.col("l_geom") - F.col("l_ways_noname") < extent_m)
                & (((F.col("l_noname") > 0.5) & (F.col("l2_noname") < extent_m)) | (F.col("l_noname") > 0.75)))
@@ -189,7 +202,7 @@ def street_name_check(groups: DataFrame, status: DataFrame, ways: DataFrame, dis
             .when(one_nn & fits_nn & up, F.col("id_noname"))
             .when(one & fits & up, F.col("id")))
     out = j.withColumn("class", cls).withColumn("way", way.cast("bigint")).where(F.col("class").isNotNull())
-    return out.select("fantoir", F.col("voie_c").alias("voie"), "class", "way", *lonlat_cols("c.x", "c.y"))
+    return out.select("fantoir", F.col("voie_c").alias("voie"), "class", "way", *lonlat_cols("c.x", "c.y"), "l", "l_noname")
 
 
 _C2_STATUS = f"select distinct ({_FANTOIR_TXT.format(k='osm_id')}) as fantoir from fx_vertex where osm_id % 10 = 3"
@@ -328,3 +341,26 @@ select fantoir, voie_c as voie, class, cast(way as bigint) as way, {_lonlat_sql(
   from cls) z where class is not null""", _C2_CTES)
 def c02(spark: SparkSession, sf: str) -> DataFrame:
     return street_name_check(*c02_inputs(spark, sf))
+
+
+@query("overlap_ratio", """
+select fantoir, voie, round(slb / sl, 6) as l, round(sg - sgh, 4) as l2, round(nslb / nsl, 6) as l_noname, round(nsg - nsgh, 4) as l2_noname
+from ms where exists (select 1 from ag where ag.fantoir = ms.fantoir and ag.voie = ms.voie and coalesce(ag.name, '') <> ms.voie)""", _C2_CTES)
+def overlap_ratio(spark: SparkSession, sf: str) -> DataFrame:
+    """For each street with matched ways, the share of their length near its hull and the ground length outside it."""
+    m = street_measures(*c02_inputs(spark, sf)).where("id is not null")
+    return m.select("fantoir", "voie", F.round("l", 6).alias("l"), F.round("l2", 4).alias("l2"), F.round("l_noname", 6).alias("l_noname"),
+                    F.round("l2_noname", 4).alias("l2_noname"))
+
+
+@query("classify_street", """
+select class, count(*) as n, count(way) as n_way from (
+  select case when id is null then 33 when c_nn then 32 when c_one and names_c is null then 32
+              when c_one and names_c is not null then 31
+              when regexp_matches(names_c, replace(replace(voie_c, '(', ''), ')', ''), 'i') then null else 30 end as class,
+         case when id is null then null when c_nn then id_noname when c_one then id end as way
+  from cls) z where class is not null group by class""", _C2_CTES)
+def classify_street(spark: SparkSession, sf: str) -> DataFrame:
+    """C2's classes counted, from the measures alone."""
+    r = classify_streets(street_measures(*c02_inputs(spark, sf)))
+    return r.groupBy("class").agg(F.count("*").alias("n"), F.count("way").alias("n_way"))
