@@ -130,6 +130,7 @@ def chain_matches(docs: DataFrame, k: int = K) -> DataFrame:
     id_type = docs.schema["id"].dataType.simpleString()
     found = seeds(docs)
     first = found.groupBy("key").agg(F.min(F.struct("id", "at")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = stored(first.select("key", "first"), "first")  # an input of its own, so that the join can split a hot seed's partition
     match = found.join(first, "key").where("id <> first.id").select("id", F.col("first.id").alias("hub"), F.col("at").alias("x"), F.col("first.at").alias("y"))
     match = match.repartition("id").sortWithinPartitions("id", "hub", "x", "y")
 

@@ -231,11 +231,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = stored(sets.groupBy("fp1", "fp2", "n").agg(F.min(F.struct("id", "bands")).alias("m"))
                      .select("fp1", "fp2", "n", F.col("m.id").alias("id"), F.col("m.bands").alias("bands")), "classes")
     band = classes.select(F.explode("bands").alias("key"), "id", "n")
-    shared = band.join(band.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "key")
-    shared = stored(shared, "buckets")
+    # (aggregates are stored before they are joined back, so that the joins can split a hot bucket's partition)
+    sizes = stored(band.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "sizes")
+    shared = stored(band.join(sizes, "key"), "buckets")
     # star edges: every member of a bucket to its leader
     meets = shared.groupBy("id").agg(F.sum("m").alias("meets"))
-    leaders = shared.join(meets, "id").groupBy("key").agg(F.max(F.struct("meets", "n", "id")).alias("head"))
+    leaders = stored(shared.join(meets, "id").groupBy("key").agg(F.max(F.struct("meets", "n", "id")).alias("head")), "leaders")
     stars = (shared.join(leaders, "key").where("id <> head.id").where(_alike("n", "head.n", percent))
              .groupBy("id", F.col("head.id").alias("hub")).agg(F.count("*").alias("times"), F.max("head.meets").alias("meets")))
     best = stars.groupBy("id").agg(F.max(F.struct("times", "meets", "hub")).alias("best")).select(F.col("id").alias("a"), F.col("best.hub").alias("hub"))
@@ -277,3 +278,24 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 def op9_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+#: DuckDB SQL: all shared shingles, all links, all that each document reaches.
+ORACLE = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (SELECT DISTINCT r, doc_id, array_to_string(w[i:i + {SHINGLE} - 1], ' ') AS g
+      FROM d, unnest(range(1, greatest(len(w) - {SHINGLE}, 0) + 2)) AS t(i) WHERE len(w) > 0),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+link AS (
+  SELECT DISTINCT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, x.r AS ra, y.r AS rb, count(*) AS m
+    FROM s AS x JOIN s AS y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL) AS c
+  JOIN n AS p ON p.r = c.ra JOIN n AS q ON q.r = c.rb WHERE 100 * m >= {PERCENT} * (p.n + q.n - m)),
+reach AS (SELECT DISTINCT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b),
+c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d LEFT JOIN n ON n.r = d.r JOIN c ON c.a = d.doc_id
+"""

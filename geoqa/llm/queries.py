@@ -1,6 +1,6 @@
 """Registered queries of the operators (and the DuckDB SQL where SQL can express one)."""
 
-from geoqa.llm import op7_decontaminate
+from geoqa.llm import op7_decontaminate, op9_minhash
 from geoqa.llm.op1_tokens import op1_token_counts
 from geoqa.llm.op2_html import op2_main_text
 from geoqa.llm.op3_lm import op3_lm_scores
@@ -14,4 +14,4 @@ from geoqa.llm.op10_pack import op10_best_fit_packing
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_main_text, op3_lm_scores, op4_substring_dedup, op5_quality_rules, op6_toxicity, op7_benchmark_decontamination,
                                    op8_license_scan, op9_minhash_near_dedup, op10_best_fit_packing)}
-ORACLES: dict[str, str] = {"op7_benchmark_decontamination": op7_decontaminate.ORACLE}
+ORACLES: dict[str, str] = {"op7_benchmark_decontamination": op7_decontaminate.ORACLE, "op9_minhash_near_dedup": op9_minhash.ORACLE}
