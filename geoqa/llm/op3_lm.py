@@ -121,9 +121,13 @@ class Filter:
             level += 1
             block, bits = self.places(key[left], level, self.blocks)
             block += base[left]
-            ok = np.ones(len(left), bool)
-            for b in bits:
-                ok &= (self.words[block + (b >> np.uint64(6)).astype(np.int64)] >> (b & np.uint64(63))) & np.uint64(1) == 1
+            for i, b in enumerate(bits):
+                hit = (self.words[block + (b >> np.uint64(6)).astype(np.int64)] >> (b & np.uint64(63))) & np.uint64(1) != 0
+                if i < 2:  # most keys that are not there fail at once
+                    left, block, ok = left[hit], block[hit], np.ones(int(hit.sum()), bool)
+                    bits[i + 1:] = [x[hit] for x in bits[i + 1:]]
+                else:
+                    ok &= hit
             left = left[ok]
             out[left] = level
         return out
@@ -257,7 +261,7 @@ def score_texts(df: DataFrame, train: DataFrame, id_col: str = "doc_id", text_co
                 ones, twos = m.means
                 count = ones[np.minimum(lf.levels(word), len(ones) - 1)]
                 beta = 1 - np.minimum(lf.levels(share_key(word)), SHARES) / SHARES
-                last = np.searchsorted(word, before)  # a history is a word of the chunk, or the end
+                last = np.roll(place, 1)  # the history is the token before; the first one's is the end, like the last token
                 pair = twos[np.minimum(lf.levels(pair_key(before, key)), len(twos) - 1)]
                 seen = np.maximum(pair - DISCOUNT, 0) / np.maximum(count[last], np.maximum(pair, 1))
                 p = np.minimum(seen + np.maximum(beta[last], FLOOR) * ((count + 1) / (m.n + m.v + 1))[place], 1.0)
