@@ -15,7 +15,7 @@ from geoqa.session import ensure_checkpoint_dir, ship_package
 
 #: Bits of the filter that keeps texts nobody asks for out of a shuffle (1 MB, whatever the data).
 FILTER_BITS = 1 << 23
-DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,15 +44,42 @@ def only(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(k) for k, c in columns.items()])
 
 
+#: What operators keep in a Python worker from task to task, by operator.
+worker_caches: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """The operator's cache in this worker."""
+    return worker_caches.setdefault(owner, {})
+
+
+def drop_caches(owner: str | None) -> None:
+    """Forget what other operators keep in this worker."""
+    for name in [n for n in worker_caches if n != owner]:
+        del worker_caches[name]
+
+
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str,
-              ) -> DataFrame:
-    """``mapInArrow`` with the package shipped to the workers, which give memory back after each task:
-    an executor keeps idle workers, and what they hold on to adds up."""
+              owner: str | None = None) -> DataFrame:
+    """``mapInArrow`` with the package shipped to the workers, which give memory back after each batch
+    and task: an executor keeps idle workers, and what they hold on to adds up.  Rows hold whole texts,
+    so batches have ``BATCH_ROWS`` rows where the session keeps Spark's default of 10,000.  Worker caches
+    of operators other than ``owner`` are dropped."""
     ship_package(df.sparkSession)
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+    def fed(batches):
+        for b in batches:
+            yield b
+            del b
+            give_back()
 
     def run(batches):
+        drop_caches(owner)
         try:
-            yield from fn(batches)
+            yield from fn(fed(batches))
         finally:
             give_back()
 
@@ -72,12 +99,6 @@ def crc32_of_id(col) -> F.Column:
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Even partitions before heavy per-row work on few input splits (round robin, no key)."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-
-
 def gather(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
     """Regroup a stream sorted by ``keys`` so that no group crosses two batches.
 
@@ -123,9 +144,9 @@ def _id_filter(ids: DataFrame) -> np.ndarray:
     h = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
     words = (ids.select(F.shiftright(h, 6).alias("word"), (h % 64).cast("int").alias("bit")).distinct()
              .groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")))
+    got = words.toArrow()  # <= FILTER_BITS / 64 rows
     out = np.zeros(FILTER_BITS // 64, np.int64)
-    for r in words.collect():  # <= FILTER_BITS / 64 rows
-        out[r.word] = r.bits
+    out[got.column("word").to_numpy()] = got.column("bits").to_numpy()
     return out
 
 

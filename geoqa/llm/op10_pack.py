@@ -25,11 +25,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoqa.llm import textscan as T
-from geoqa.llm.common import arrow_map, only, stored, table
+from geoqa.llm.common import arrow_map, only, stored, table, worker_cache
 
 END_ID = 0
 #: Pieces of text whose ids a worker keeps before it starts anew (about 50 bytes each).
-ARENA = 3 << 20
+ARENA = 3 << 18
 
 
 @dataclass(frozen=True)
@@ -117,8 +117,6 @@ class _Arena:
         return self.ids[np.repeat(self.start[unit], size) + T.spans(size)], size
 
 
-_arenas: dict[str, _Arena] = {}
-
 #: Characters that the tokenizer's pattern takes for white space and the scanner does
 #: not, or might: a text that holds one is encoded whole.
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
@@ -161,9 +159,10 @@ def pieces_of(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_c
     id_type = docs.schema["id"].dataType.simpleString()
 
     def run(batches):
-        if tokenizer_path not in _arenas:
-            _arenas[tokenizer_path] = _Arena(tokenizer_path)
-        arena, part = _arenas[tokenizer_path], TaskContext.get().partitionId()
+        arenas, part = worker_cache("op10"), TaskContext.get().partitionId()
+        if tokenizer_path not in arenas:
+            arenas[tokenizer_path] = _Arena(tokenizer_path)
+        arena = arenas[tokenizer_path]
         seen = np.zeros(tokens + 1, np.int64)
         for b in batches:
             row0 = 0
@@ -193,7 +192,7 @@ def pieces_of(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_c
                 row0 += len(n)
 
     return arrow_map(docs, run, f"id {id_type}, piece int, start long, length long, ids_crc32 long, part long, rank long"
-                     + (", ids array<int>" if with_ids else ""))
+                     + (", ids array<int>" if with_ids else ""), owner="op10")
 
 
 def plan_bins(histogram: dict[int, int], cap: Capacity = Capacity(), rule: Rule = Rule()) -> np.ndarray:

@@ -20,34 +20,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoqa.llm import textscan as T
-from geoqa.llm.common import arrow_map, only, table
+from geoqa.llm.common import arrow_map, only, table, worker_cache
 
 #: Entries of the broadcast table (10 bytes each), rows sampled to choose them,
 #: entries a worker caches before it starts anew.
 TABLE, SAMPLE_ROWS, CACHE = 1 << 17, 4000, 1 << 20
 OVER_LIMIT = 2048
 
-_loaded: dict = {}
-
-
 def _tokenizer(path: str):
     """The worker's tokenizer; no truncation or padding, special strings as the library treats them."""
-    if path not in _loaded:
+    loaded = worker_cache("op1")
+    if path not in loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         t = Tokenizer.from_file(path)
         t.no_truncation()
         t.no_padding()
-        _loaded[path] = (t, {})
-    return _loaded[path]
+        loaded[path] = (t, {})
+    return loaded[path]
 
 
 def _encode_lengths(tok, pieces: list[str]) -> list[int]:
     return [len(e.ids) for e in tok.encode_batch(pieces, add_special_tokens=False)]
 
 
-def frequent_pieces(df: DataFrame, text: str, entries: int = TABLE, sample_rows: int = SAMPLE_ROWS) -> list:
-    """(piece key, piece) of the most frequent pieces of a bounded sample of rows."""
+def frequent_pieces(df: DataFrame, text: str, entries: int = TABLE, sample_rows: int = SAMPLE_ROWS) -> pa.Table:
+    """``key, piece`` of the most frequent pieces of a bounded sample of rows."""
     docs = only(df, text=text)
     rows = docs.count()
     if rows > sample_rows:
@@ -65,7 +63,7 @@ def frequent_pieces(df: DataFrame, text: str, entries: int = TABLE, sample_rows:
     got = (arrow_map(docs, pieces, "key long, piece string, n long").where(F.length("piece") < 64)
            .groupBy("key").agg(F.first("piece").alias("piece"), F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "key").limit(entries))
-    return [(r.key, r.piece) for r in got.select("key", "piece").collect()]
+    return got.select("key", "piece").toArrow()
 
 
 def count_tokens(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -79,9 +77,9 @@ def count_tokens(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     docs = only(df, id=id_col, text=text_col)
     common = frequent_pieces(docs, "text", entries, sample_rows)
     tok, _ = _tokenizer(tokenizer_path)
-    keys = np.array([k for k, _ in common], np.int64).view(np.uint64)
+    keys = common.column("key").to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    lengths = np.array(_encode_lengths(tok, [p for _, p in common]), np.int64)
+    lengths = np.array(_encode_lengths(tok, common.column("piece").to_pylist()), np.int64)
     small = lengths < 1 << 16
     order = order[small[order]] if len(order) else order
     shared = df.sparkSession.sparkContext.broadcast((keys[order], lengths[order].astype(np.uint16)))
@@ -114,7 +112,7 @@ def count_tokens(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.array(np.concatenate(n_bytes)), pa.array(np.concatenate(n_tokens))], ["id", "n_bytes", "n_tokens"])
 
-    return arrow_map(docs, run, f"id {id_type}, n_bytes long, n_tokens long")
+    return arrow_map(docs, run, f"id {id_type}, n_bytes long, n_tokens long", owner="op1")
 
 
 def op1_token_counts(spark, sf_dir: str) -> DataFrame:

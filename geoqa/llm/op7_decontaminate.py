@@ -1,6 +1,6 @@
 """Operator 7 - benchmark decontamination with a distributed positional inverted index.
 
-The documents are indexed once: each segment (a few megabytes of text) keeps its
+The documents are indexed once: each segment (two megabytes of text, or one document) keeps its
 sorted terms, and for each term the ascending positions of its occurrences; the
 segments are written as a table in the shared folder.  Test windows are searched
 in every segment, starting from each window's rarest term there: its positions,
@@ -25,7 +25,7 @@ from geoqa.llm import textscan as T
 from geoqa.llm.common import arrow_map, only, stored, table, without_ids
 
 WINDOW, SLOP = 10, 5
-SEGMENT_BYTES = 6 << 20
+SEGMENT_BYTES = 2 << 20
 BLOCK_WORDS = 1 << 18
 
 
