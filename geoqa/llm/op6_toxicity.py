@@ -18,11 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoqa.llm import textscan as T
-from geoqa.llm.common import arrow_map, crc32_of_id, only, table
+from geoqa.llm.common import arrow_map, crc32_of_id, give_back, only, table
 
 BUCKETS, DIM, GRAMS = 1 << 17, 4, (3, 4, 5, 6)
 #: Bounds of the training sample: rows of each label, and words of a sampled row.
-POSITIVE_ROWS, NEGATIVE_ROWS, MAX_WORDS = 2000, 4000, 20000
+POSITIVE_ROWS, NEGATIVE_ROWS, MAX_WORDS = 1500, 3500, 20000
 EPOCHS, RATE, DECAY, SCALE = 80, 0.05, 1e-3, 32.0
 #: An n-gram is trained if its share of label 1 differs from the sample's by so many nats.
 EVIDENCE = 8.0
@@ -140,7 +140,13 @@ def train(bags: pa.Table, share: float | None, buckets: int = BUCKETS, dim: int
     new = np.cumsum(known) - 1
     word = new[word]
     data, offs = T.buffer_of(vocabulary.filter(pa.array(known)))
-    gram_word, gram = subwords(data, offs[:-1], offs[1:], buckets)
+    parts = []
+    for lo in range(0, len(offs) - 1, 1 << 14):  # some words at a time: the n-grams' keys are large
+        end = offs[lo + 1:lo + 1 + (1 << 14)]
+        which, g = subwords(data, offs[lo:lo + len(end)], end, buckets)
+        parts.append(((which + lo).astype(np.int32), g.astype(np.int32)))
+    gram_word, gram = (np.concatenate(x) for x in zip(*parts))
+    del parts
     taught = telling(y, doc, word, gram_word, gram, buckets)
     used = np.flatnonzero(taught)
     n_grams = np.bincount(gram_word).astype(float)
@@ -169,6 +175,8 @@ def train(bags: pa.Table, share: float | None, buckets: int = BUCKETS, dim: int
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
             x -= RATE * ((m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8) + (DECAY * x if x is not bias else 0))
+    del word, doc, weight, gram_word, gram, words, texts
+    give_back()
     score = np.zeros(buckets, np.float32)
     score[used] = SCALE * vec @ (soft[:, 1] - soft[:, 0])
     return score, float(bias[1] - bias[0])
