@@ -1,20 +1,22 @@
 """Operator 3 - language-model scores from a log-frequency Bloom filter.
 
 Unigrams and bigrams of the training documents are counted over the whole corpus.
-The filter keeps a count c as ``1 + floor(log_b c)`` levels (bigrams: of c over the
-least count kept): an n-gram is inserted once with each level up to its own, and
-its count is read back by probing level after level until one is missing.  A level
-stands for the mean count of the n-grams that have it.  The filter has a fixed size
-and is broadcast; probabilities are a bigram model with absolute discounting,
+The filter keeps a count c as ``1 + floor(log_b c)`` levels: an n-gram is inserted
+once with each level up to its own, and its count is read back by probing level
+after level until one is missing.  A level stands for the mean count of the n-grams
+that have it.  Every n-gram of the training documents enters, whatever its count and
+the size of the corpus.  Probabilities are a bigram model with absolute discounting,
 
     p(w | h) = max(c(h w) - D, 0) / c(h) + beta(h) * p(w),   p(w) = (c(w) + 1) / (N + V + 1),
 
-where ``1 - beta(h)``, the discounted share of the bigrams kept for h, is stored in
-the same filter in steps of 1 / ``SHARES``.
+where ``1 - beta(h)``, the discounted share of the bigrams of h, is stored in the same
+filter in steps of 1 / ``SHARES``.
 
-Size bound: ``FILTER_BITS``.  Bigrams enter from ``MIN_COUNT`` on; should their
-levels not fit (``PROBES`` probes at half-full), the least count rises until they
-do, chosen from the counts of all n-grams.
+The filter grows with the corpus: ``ENTRY_BITS`` bits for each (n-gram, level), in as
+many parts of at most ``FILTER_BITS`` bits as that takes.  An n-gram's key names its
+part; each part is a broadcast of its own, and a worker holds one of them at a time:
+it scans a group of texts (more text for more parts, up to ``GROUP``) and probes part
+after part.
 
 The exact unigram sum (base score) uses a broadcast table of at most ``TABLE``
 frequent words and a shuffled join for all other words.
@@ -27,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +37,10 @@ from geoqa.llm import textscan as T
 from geoqa.llm.common import arrow_map, crc32_of_id, only, stored, table
 
 FILTER_BITS, PROBES, SEGMENTS = 1 << 28, 6, 64
-BASE, MIN_COUNT, DISCOUNT, SHARES = 1.5, 2, 0.75, 20
+ENTRY_BITS = 16
+#: Parts of the filter from which on the group of texts grows no more (1 MB of text a part).
+GROUP = 16
+BASE, DISCOUNT, SHARES = 1.5, 0.75, 20
 TABLE = 1 << 20
 #: Least weight of the unigram model after any history.
 FLOOR = 0.02
@@ -54,14 +59,14 @@ def share_key(word: np.ndarray) -> np.ndarray:
     return T.mix(word ^ np.uint64(0x94D049BB133111EB))
 
 
-def level_of(count: str, least: int = 1) -> F.Column:
-    """Levels of a count: 1 + floor(log_b (count / least))."""
-    return (F.floor(F.log(F.col(count) / least) / math.log(BASE) + 1e-9) + 1).cast("long")
+def level_of(count: str) -> F.Column:
+    """Levels of a count: 1 + floor(log_b count)."""
+    return (F.floor(F.log(F.col(count)) / math.log(BASE) + 1e-9) + 1).cast("long")
 
 
-def level_means(counts: DataFrame, least: int = 1) -> np.ndarray:
+def level_means(counts: DataFrame) -> np.ndarray:
     """Mean count of each level (0 for level 0)."""
-    rows = counts.groupBy(level_of("n", least).alias("level")).agg(F.avg("n").alias("mean")).collect()  # a row a level
+    rows = counts.groupBy(level_of("n").alias("level")).agg(F.avg("n").alias("mean")).collect()  # a row a level
     out = np.zeros(max([r.level for r in rows], default=0) + 1)
     for r in rows:
         out[r.level] = r.mean
@@ -94,10 +99,10 @@ def ngram_counts(docs: DataFrame, order: int) -> DataFrame:
 
 
 class Filter:
-    """Blocked Bloom filter over (n-gram, level); a block is 512 bits in the segment of the n-gram's key."""
+    """A part of the blocked Bloom filter over (n-gram, level); a block is 512 bits in the segment of the n-gram's key."""
 
     def __init__(self, words: np.ndarray):
-        self.words = words  # uint64[FILTER_BITS / 64]
+        self.words = words  # uint64, at most FILTER_BITS bits
         self.blocks = len(words) // SEGMENTS // 8
 
     @staticmethod
@@ -133,13 +138,20 @@ class Filter:
         return out
 
 
-def build_filter(entries: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
-    """Words of the filter that holds (key, level); each segment is filled by one task and has bits / SEGMENTS bits."""
-    blocks = bits // 64 // SEGMENTS // 8
+def part_of(key: np.ndarray, parts: int) -> np.ndarray:
+    """The part of the filter that has a key."""
+    return (T.mix(key) // np.uint64(SEGMENTS) % np.uint64(parts)).astype(np.int64)
+
+
+def build_filter(entries: DataFrame, room: int, bits: int = FILTER_BITS) -> list[Broadcast]:
+    """Parts of the filter that holds (key, level), ``room`` of them in all, each a broadcast; each segment is filled by one task."""
+    parts = max(1, -(-room * ENTRY_BITS // bits))
+    blocks = max(1, -(-room * ENTRY_BITS // (parts * SEGMENTS * 512)))  # of a segment
 
     def mark(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(Filter.segment(b.column(0).to_numpy().view(np.uint64))), b.column(0), b.column(1)], ["segment", "key", "level"])
+            key = b.column(0).to_numpy().view(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(part_of(key, parts) * SEGMENTS + Filter.segment(key)), b.column(0), b.column(1)], ["segment", "key", "level"])
 
     def fill(batches):
         segments: dict[int, np.ndarray] = {}
@@ -154,24 +166,48 @@ def build_filter(entries: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
                 for p in places:
                     np.bitwise_or.at(words, block + (p >> np.uint64(6)).astype(np.int64), np.uint64(1) << (p & np.uint64(63)))
         for s, words in segments.items():
-            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([words.tobytes()], pa.binary())], ["segment", "words"])
+            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int64()), pa.array([words.tobytes()], pa.binary())], ["segment", "words"])
+
+    # a task has few segments, however many there are
+    marked = arrow_map(entries.select("key", "level"), mark, "segment long, key long, level long").repartition(SEGMENTS * -(-parts // 4), "segment")
+    rows = stored(arrow_map(marked, fill, "segment long, words binary"), "segments").sort("segment").toLocalIterator()
+    out, words, sc = [], np.zeros(SEGMENTS * blocks * 8, np.uint64), entries.sparkSession.sparkContext
+    for r in rows:  # the driver has one part at a time
+        while r.segment // SEGMENTS > len(out):
+            out.append(sc.broadcast(words))
+            words = np.zeros_like(words)
+        at = r.segment % SEGMENTS * blocks * 8
+        words[at:at + blocks * 8] = np.frombuffer(r.words, np.uint64)
+    while len(out) < parts:
+        out.append(sc.broadcast(words))
+        words = np.zeros_like(words)
+    return out
 
-    marked = arrow_map(entries.select("key", "level"), mark, "segment long, key long, level long").repartition("segment")
-    out = np.zeros(bits // 64, np.uint64)
-    for r in arrow_map(marked, fill, "segment int, words binary").collect():  # SEGMENTS rows, bits / 8 bytes
-        out[r.segment * blocks * 8:(r.segment + 1) * blocks * 8] = np.frombuffer(r.words, np.uint64)
+
+def levels_in(parts: list[Broadcast], key: np.ndarray) -> np.ndarray:
+    """The level of each key; of many parts, the worker keeps none."""
+    if len(parts) == 1:
+        return Filter(parts[0].value).levels(key)
+    out = np.zeros(len(key), np.int64)
+    part = part_of(key, len(parts))
+    by = np.argsort(part, kind="stable")
+    ends = np.searchsorted(part[by], np.arange(len(parts) + 1))
+    for p, b in enumerate(parts):
+        at = by[ends[p]:ends[p + 1]]
+        out[at] = Filter(b.value).levels(key[at])
+        if hasattr(b, "_path"):  # the worker's file of the broadcast, from which it is read again
+            del b._value
     return out
 
 
-def least_count(counts: DataFrame, room: int, least: int = 1) -> int:
-    """The smallest count >= ``least`` from which on the n-grams (their rows if ``room`` is of rows) fit ``room``."""
-    hist = counts.groupBy("n", "w").agg(F.count("*").alias("m"))
+def least_count(counts: DataFrame, room: int) -> int:
+    """The smallest count from which on the n-grams fit ``room`` rows."""
     # counts above 2^16 share a row: there are few such n-grams
-    hist = hist.groupBy(F.least("n", F.lit(1 << 16)).alias("n")).agg(F.sum(F.col("m") * F.col("w")).alias("m")).collect()  # <= 2^16 rows
+    hist = counts.groupBy(F.least("n", F.lit(1 << 16)).alias("n")).agg(F.count("*").alias("m")).collect()  # <= 2^16 rows
     total, best = 0, (1 << 16) + 1
     for r in sorted(hist, key=lambda r: -r.n):
         total += r.m
-        if total > room or r.n < least:
+        if total > room:
             break
         best = r.n
     return best
@@ -181,14 +217,13 @@ def least_count(counts: DataFrame, room: int, least: int = 1) -> int:
 class Model:
     n: int              # training tokens
     v: int              # distinct ones
-    words: np.ndarray   # the filter
     means: tuple        # mean count by level of unigrams and of bigrams
     known: np.ndarray   # keys of frequent words, in order
     logs: np.ndarray    # their exact log10(count + 1)
 
 
 def history_shares(one: DataFrame, two: DataFrame) -> DataFrame:
-    """(key, level): for each history, by how many SHARES of its count its kept bigrams outweigh their discounts."""
+    """(key, level): for each history, by how many SHARES of its count its bigrams outweigh their discounts."""
     mass = two.groupBy(F.shiftright("key", 32).alias("h")).agg((F.sum("n") - DISCOUNT * F.count("*")).alias("mass"))
     rows = one.select("key", "n", F.shiftright("key", 32).alias("h")).join(mass, "h")
     rows = rows.select("key", F.least(F.ceil(SHARES * F.col("mass") / F.col("n")), F.lit(SHARES)).cast("long").alias("level")).where("level > 0")
@@ -200,29 +235,44 @@ def history_shares(one: DataFrame, two: DataFrame) -> DataFrame:
     return arrow_map(rows, rekey, "key long, level long")
 
 
-def model_of(train: DataFrame, bits: int = FILTER_BITS, min_count: int = MIN_COUNT, entries: int = TABLE):
-    """(model, unigram counts, least count of the frequent words) of the rows of (text)."""
+def model_of(train: DataFrame, bits: int = FILTER_BITS, entries: int = TABLE):
+    """(model, parts of the filter, unigram counts, least count of the frequent words) of the rows of (text)."""
     one = stored(ngram_counts(train, 1), "unigrams")
     n, v = one.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    two = stored(ngram_counts(train, 2).where(F.col("n") >= min_count), "bigrams")
-    # unigrams and shares may take half of the room, bigrams the rest
-    room = int(bits * math.log(2) / PROBES)
+    two = stored(ngram_counts(train, 2), "bigrams")
+    shares = stored(history_shares(one, two), "shares")
     total = lambda df, level: df.agg(F.coalesce(F.sum(level), F.lit(0))).first()[0]
-    low_one = 1 if total(one, level_of("n")) <= room // 4 else least_count(one.withColumn("w", level_of("n")), room // 4)
-    low_two = min_count if total(two, level_of("n", min_count)) <= room // 2 else least_count(two.withColumn("w", level_of("n", min_count)), room // 2, min_count)
-    one_in, two_in = one.where(F.col("n") >= low_one), two.where(F.col("n") >= low_two)
-    shares = stored(history_shares(one_in, two_in), "shares")
-    low_share = 0
-    while total(shares.where(F.col("level") > low_share), F.col("level")) > room // 4:
-        low_share += 1  # small shares read back as none
-    levels = one_in.select("key", level_of("n").alias("level")).unionAll(two_in.select("key", level_of("n", low_two).alias("level")))
-    words = build_filter(levels.unionAll(shares.where(F.col("level") > low_share)), bits)
-    low = 1 if v <= entries else least_count(one.withColumn("w", F.lit(1)), entries)
+    room = total(one, level_of("n")) + total(two, level_of("n")) + total(shares, F.col("level"))
+    levels = one.select("key", level_of("n").alias("level")).unionAll(two.select("key", level_of("n").alias("level")))
+    parts = build_filter(levels.unionAll(shares), int(room), bits)
+    low = 1 if v <= entries else least_count(one, entries)
     top = one.where(F.col("n") >= low).toArrow().combine_chunks()  # <= entries rows
     key = top.column("key").to_numpy().view(np.uint64)
     by = np.argsort(key)
     logs = np.log10(top.column("n").to_numpy()[by] + 1.0)
-    return Model(int(n), int(v), words, (level_means(one_in), level_means(two_in, low_two)), key[by], logs), one, low
+    return Model(int(n), int(v), (level_means(one), level_means(two)), key[by], logs), parts, one, low
+
+
+def grouped(batches, size: int):
+    """(ids, their number, row, key, key before) of the tokens of about ``size`` bytes of (id, text) at a time."""
+    held, total, rows = [], 0, 0
+
+    def group():
+        ids, row, key, before = zip(*held)
+        return pa.concat_arrays(ids), rows, np.concatenate(row), np.concatenate(key), np.concatenate(before)
+
+    for b in batches:
+        at = 0
+        for lo, hi, data, offs in T.chunks(b.column(1)):
+            new = int(offs[-1] - offs[0])
+            if held and total + new > size:
+                yield group()
+                held, total, rows = [], 0, 0
+            row, key, before = tokens(T.scan(data, offs, T.SPACED, lower=True))
+            held.append((b.column(0).slice(at, hi - lo), row + rows, key, before))
+            total, rows, at = total + new, rows + hi - lo, at + hi - lo
+    if held:
+        yield group()
 
 
 def score_texts(df: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -232,7 +282,7 @@ def score_texts(df: DataFrame, train: DataFrame, id_col: str = "doc_id", text_co
     also with null or equal ids; without training rows all counts are 0 and N + V + 1 is 1."""
     docs = only(df, id=id_col, text=text_col)
     id_type = docs.schema["id"].dataType.simpleString()
-    model, one, low = model_of(only(train, text=text_col), bits, entries=entries)
+    model, parts, one, low = model_of(only(train, text=text_col), bits, entries)
     shared = df.sparkSession.sparkContext.broadcast(model)
     log_total = math.log10(model.n + model.v + 1)
     n_train = model.n
@@ -240,38 +290,36 @@ def score_texts(df: DataFrame, train: DataFrame, id_col: str = "doc_id", text_co
 
     def run(batches):
         m = shared.value
-        lf = Filter(m.words)
         uid = TaskContext.get().partitionId() << 40
-        for b in batches:
-            at0 = 0
-            for lo, hi, data, offs in T.chunks(b.column(1)):
-                rows = hi - lo
-                row, key, before = tokens(T.scan(data, offs, T.SPACED, lower=True))
-                word, place = np.unique(key, return_inverse=True)
-                at = np.searchsorted(m.known, word)
-                at[at == len(m.known)] = 0
-                hit = m.known[at] == word if len(m.known) else np.zeros(len(word), bool)
-                logs = np.where(hit, m.logs[at] if len(m.known) else 0.0, 0.0)
-                base = np.bincount(row, logs[place], rows)
-                known = np.bincount(row, hit[place], rows).astype(np.int64)
-                n = np.bincount(row, minlength=rows)
-                miss = ~hit[place]
-                lists = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(np.bincount(row[miss], minlength=rows)))).astype(np.int32),
-                                                 pa.array(T.signed(key[miss])))
-                ones, twos = m.means
-                count = ones[np.minimum(lf.levels(word), len(ones) - 1)]
-                beta = 1 - np.minimum(lf.levels(share_key(word)), SHARES) / SHARES
-                last = np.roll(place, 1)  # the history is the token before; the first one's is the end, like the last token
-                pair = twos[np.minimum(lf.levels(pair_key(before, key)), len(twos) - 1)]
-                seen = np.maximum(pair - DISCOUNT, 0) / np.maximum(count[last], np.maximum(pair, 1))
-                p = np.minimum(seen + np.maximum(beta[last], FLOOR) * ((count + 1) / (m.n + m.v + 1))[place], 1.0)
-                score = np.bincount(row, np.log10(p), rows)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at0, rows), pa.array(uid + np.arange(rows)), pa.array(n, pa.int64()), pa.array(known),
-                                                  pa.array(base), pa.array(score), lists], ["id", "uid", "n_tokens", "known", "logs", "score", "rare"])
-                uid += rows
-                at0 += rows
+        for ids, rows, row, key, before in grouped(batches, min(len(parts), GROUP) * T.CHUNK):
+            word, place = np.unique(key, return_inverse=True)
+            at = np.searchsorted(m.known, word)
+            at[at == len(m.known)] = 0
+            hit = m.known[at] == word if len(m.known) else np.zeros(len(word), bool)
+            logs = np.where(hit, m.logs[at] if len(m.known) else 0.0, 0.0)
+            base = np.bincount(row, logs[place], rows)
+            known = np.bincount(row, hit[place], rows).astype(np.int64)
+            n = np.bincount(row, minlength=rows)
+            miss = ~hit[place]
+            lists = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(np.bincount(row[miss], minlength=rows)))).astype(np.int32),
+                                             pa.array(T.signed(key[miss])))
+            ones, twos = m.means
+            level = levels_in(parts, np.concatenate((word, share_key(word), pair_key(before, key))))
+            level_one, share, level_two = np.split(level, [len(word), 2 * len(word)])
+            count = ones[np.minimum(level_one, len(ones) - 1)]
+            beta = 1 - np.minimum(share, SHARES) / SHARES
+            last = np.roll(place, 1)  # the history is the token before; the first one's is the end, like the last token
+            pair = twos[np.minimum(level_two, len(twos) - 1)]
+            seen = np.maximum(pair - DISCOUNT, 0) / np.maximum(count[last], np.maximum(pair, 1))
+            p = np.minimum(seen + np.maximum(beta[last], FLOOR) * ((count + 1) / (m.n + m.v + 1))[place], 1.0)
+            score = np.bincount(row, np.log10(p), rows)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(uid + np.arange(rows)), pa.array(n, pa.int64()), pa.array(known),
+                                              pa.array(base), pa.array(score), lists], ["id", "uid", "n_tokens", "known", "logs", "score", "rare"])
+            uid += rows
 
     out = stored(arrow_map(docs, run, f"id {id_type}, uid long, n_tokens long, known long, logs double, score double, rare array<long>"), "scores")
+    for b in parts:
+        b.destroy()
     rare = out.select("uid", F.explode("rare").alias("key")).join(one.where(F.col("n") < low), "key")
     more = rare.groupBy("uid").agg(F.sum(F.log10(F.col("n") + 1)).alias("more"), F.count("*").alias("found"))
     rows = out.drop("rare").join(more, "uid", "left")

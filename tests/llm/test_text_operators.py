@@ -62,6 +62,28 @@ def test_model_beats_unigrams_on_held_out_text(spark):
     assert all(r.score > r.base_score for r in got)
 
 
+def test_filter_grows_with_the_counts(spark):
+    rows = [(i, " ".join(f"w{(i * i + j * (i % 11 + 1)) % 4000}" for j in range(60))) for i in range(400)]
+    df = documents(spark, rows)
+    c, pairs = collections.Counter(), collections.Counter()
+    for _, t in rows:
+        w = [None, *t.split(), None]
+        c.update(w[1:])
+        pairs.update(zip(w, w[1:]))
+    n, v, heads, kinds = sum(c.values()), len(c), collections.Counter(), collections.Counter()
+    for (h, _), k in pairs.items():
+        heads[h] += k
+        kinds[h] += 1
+    want = []
+    for _, t in rows:
+        w = [None, *t.split(), None]
+        want.append(sum(math.log10((pairs[a, b] - 0.75) / c[a] + max(0.75 * kinds[a] / heads[a], op3_lm.FLOOR) * (c[b] + 1) / (n + v + 1)) for a, b in zip(w, w[1:])))
+    for bits in (1 << 28, 1 << 16):  # one part, many parts
+        got = [r.score for r in sorted(op3_lm.score_texts(df, df, bits=bits).collect(), key=lambda r: r.id)]
+        assert all(abs(a - b) < 0.1 * abs(b) for a, b in zip(got, want))  # levels are counts within a step of 1.5
+    assert len(op3_lm.model_of(df.select("text"), 1 << 16)[1]) > 4
+
+
 # operator 5
 
 def measures(t):
