@@ -1,7 +1,7 @@
 """Operator 8 - license scans by ordered signature rules.
 
-Words are scanned once.  A rule is tried on a text only if all its keywords occur
-in it, so of hundreds of patterns a few run, on the few texts that name a license.
+A rule is tried on a text only if all strings that its matches contain occur in it,
+so of hundreds of patterns a few run, on the few texts that name a license.
 Detections are taken in order of priority, longest first; one that lies inside a
 kept detection of its own or an earlier priority is suppressed.
 """
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
+from collections import Counter
 from itertools import accumulate
 
 import numpy as np
@@ -25,27 +26,38 @@ from geoqa.llm.license_rules import rules
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 BASE_WEIGHT = 0.7
 
-_LOWER = {c: c + 32 for c in range(65, 91)}
 _ready: list = []
 
 
 def _compiled():
-    """[(label, keyword numbers, pattern, priority, weight)], sorted keyword keys, their numbers."""
+    """[(label, keyword numbers, pattern, priority, weight)], rules by gate, keywords, other keywords by gate.
+    A rule's gate is the keyword that it shares with the most rules."""
     if not _ready:
         table_ = rules()
-        words = sorted({w for r in table_ for w in r[1]})
+        uses = Counter(w for r in table_ for w in r[1])
+        words = sorted(uses, key=lambda w: (uses[w], w))
         number = {w: i for i, w in enumerate(words)}
-        keys = np.array([k[0] for k in T.keys_of(words, T.ALNUM)])
-        by = np.argsort(keys)
         compiled = [(label, frozenset(number[w] for w in need), re.compile(rf"(?<![\w-])(?:{p})(?![\w-])"), priority, weight)
                     for label, need, p, priority, weight in table_]
         first: dict[int, list[int]] = {}
-        for i, r in enumerate(compiled):  # rules by one of their keywords
+        for i, r in enumerate(compiled):
             first.setdefault(max(r[1]), []).append(i)
-        _ready.append((compiled, first, keys[by], by))
+        others = {gate: sorted(set().union(*(compiled[i][1] for i in of)) - {gate}) for gate, of in first.items()}
+        _ready.append((compiled, first, words, others))
     return _ready[0]
 
 
+def keywords_in(text: str) -> set[int]:
+    """Keywords of a lower-cased text, as far as a rule may need them."""
+    _, _, words, others = _compiled()
+    present: set[int] = set()
+    for gate, more in others.items():
+        if gate in present or words[gate] in text:
+            present.add(gate)
+            present.update(k for k in more if k not in present and words[k] in text)
+    return present
+
+
 def detect(text: str, present: set[int]) -> list[tuple[int, int, str, int, float]]:
     """Kept detections (start, end, label, priority, weight) of a lower-cased text that has the keywords ``present``."""
     compiled, first, _, _ = _compiled()
@@ -93,7 +105,6 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     docs = only(df, id=id_col, text=text_col)
 
     def run(batches):
-        _, _, known, numbers = _compiled()
         names = list(PHRASES.values())
         for b in batches:
             at0 = 0
@@ -111,20 +122,14 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 base = [set() for _ in range(m)]
                 for r, p in zip(row.tolist(), phrase.tolist()):
                     base[r].add(names[p])
-                at = np.searchsorted(known, w.key)
-                at[at == len(known)] = 0
-                hit = np.flatnonzero(known[at] == w.key)
-                present: dict[int, set] = {}
-                for r, k in set(zip(w.doc[hit].tolist(), numbers[at[hit]].tolist())):
-                    present.setdefault(r, set()).add(k)
                 labels, score, spans = [set(x) for x in base], np.where(n_base > 0, BASE_WEIGHT, 0.0), [[] for _ in range(m)]
-                for r, words in present.items():
-                    if any(_compiled()[0][i][1] <= words for k in words for i in _compiled()[1].get(k, ())):
-                        kept = detect(data[offs[r]:offs[r + 1]].tobytes().decode().translate(_LOWER), words)
-                        if kept:
-                            spans[r] = [{"start": s, "end": e, "label": x} for s, e, x, _, _ in kept]
-                            labels[r] |= {x for _, _, x, _, _ in kept}
-                            score[r] = max(score[r], max(k[4] for k in kept))
+                for r in range(m):
+                    text = data[offs[r]:offs[r + 1]].tobytes().lower().decode()  # lowers A-Z only
+                    kept = detect(text, keywords_in(text))
+                    if kept:
+                        spans[r] = [{"start": s, "end": e, "label": x} for s, e, x, _, _ in kept]
+                        labels[r] |= {x for _, _, x, _, _ in kept}
+                        score[r] = max(score[r], max(k[4] for k in kept))
                 some = n_base > 0
                 yield pa.RecordBatch.from_arrays([
                     b.column(0).slice(at0, m), pa.array(w.counts(), pa.int64()), pa.array(n_base, pa.int64()),

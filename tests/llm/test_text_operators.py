@@ -228,6 +228,48 @@ def test_license_base(spark):
     assert op8_licenses.scan_licenses(documents(spark, [])).count() == 0
 
 
+def spellings(parsed):
+    """One text for each choice of branches, options and plain characters of a parsed pattern."""
+    out = [""]
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            new = [chr(arg)]
+        elif name == "IN":
+            new = [chr(c if str(k) == "LITERAL" else c[0]) for k, c in arg if str(k) in ("LITERAL", "RANGE") and (str(k) == "RANGE" or chr(c) not in ",;\"'()")]
+            new = new or [{"CATEGORY_SPACE": " ", "CATEGORY_DIGIT": "1"}.get(str(arg[0][1]), "x")]
+        elif name == "SUBPATTERN":
+            new = spellings(arg[-1])
+        elif name == "BRANCH":
+            new = [x for branch in arg[1] for x in spellings(branch)]
+        else:
+            assert name in ("MAX_REPEAT", "POSSESSIVE_REPEAT")
+            new = [""] * (arg[0] == 0) + spellings(arg[2])
+        out = [x + y for x in out for y in new]
+    return out
+
+
+def test_every_spelling_of_every_license_rule_is_found(spark):
+    rows, of = [], []
+    for label, _, pattern, _, _ in license_rules.rules():
+        for text in dict.fromkeys(spellings(license_rules.parser.parse(pattern))):
+            rows.append((len(rows), f"\u201c{text.upper()}\u201d" if len(rows) % 2 else f"see {text}, too"))
+            of.append((label, text))
+    got = {r.id: r for r in op8_licenses.scan_licenses(documents(spark, rows)).collect()}
+    lost = [x for i, x in enumerate(of) if not any(d.start <= rows[i][1].lower().index(x[1]) and d.end >= rows[i][1].lower().index(x[1]) + len(x[1]) for d in got[i].detections)]
+    assert not lost, (len(lost), len(of), lost[:20])
+    found = {x for r in got.values() for x in r.labels.split(",")}
+    assert {x for x, _ in of} <= found
+
+
+def test_license_names_in_their_usual_spellings(spark):
+    named = {"GPL v3": "gpl-3.0", "LGPL v2.1": "lgpl-2.1", "AGPL v3": "agpl-3.0", "MPL v2.0": "mpl-2.0", "Apache License v2.0": "apache-2.0", "Mozilla Public License v2.0": "mpl-2.0",
+             "GNU GPL v2": "gpl-2.0", "Creative Commons Attribution Share-Alike": "cc-by-sa", "Creative Commons Attribution Non-Commercial": "cc-by-nc", "Open-RAIL": "openrail",
+             "beer-ware license": "beerware", "open source licence": "open-source", "https://www.boost.org/LICENSE_1_0.txt": "bsl-1.0", "https://zlib.net/zlib_license.html": "zlib"}
+    for r in op8_licenses.scan_licenses(documents(spark, list(enumerate(named)))).collect():
+        assert list(named.values())[r.id] in r.labels.split(",") and r.score > 0, r
+
+
 def test_license_rules_and_suppression():
     table = license_rules.rules()
     assert len(table) > 200
