@@ -34,9 +34,11 @@ _TAG = re.compile(r"""<(?:!--(?P<comment>)|(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]
 _ATTR = re.compile(r"""\b(class|id|role|hidden|data-y)\b\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _WORD = re.compile(r"[a-z]+|\d+")
-_RAW = {t: re.compile(rf"</{t}\b[^>]*>?", re.I) for t in ("script", "style", "textarea", "noscript", "template", "iframe", "svg", "math", "title", "object", "xmp")}
+_RAW = {t: re.compile(rf"</{t}\b[^>]*>?", re.I) for t in ("script", "style", "textarea", "title")}
+#: Their content has tags of its own; a tag in it may close itself, and all of it is part of the line.
+_FOREIGN = frozenset(("svg", "math"))
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
+_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i iframe ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
 _CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
 _SIBLINGS = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option", "optgroup": "option optgroup",
              "tbody": "tbody thead tfoot tr td th", "thead": "tbody thead tfoot tr td th", "tfoot": "tbody thead tfoot tr td th"}
@@ -79,14 +81,14 @@ def _attributes(attrs: str) -> tuple[tuple[str, ...], int | None]:
 
 
 def parse(page: str) -> Tree:
-    """The tree of a page's body; the head, scripts, styles, comments and markup leave nothing.
+    """The tree of a page's body; the head, scripts, styles, form values, titles, comments and markup leave nothing.
 
     Unclosed and misplaced tags follow HTML's usual repairs (a block ends an open
     paragraph, an item its predecessor, a stray end tag nothing)."""
     t = Tree()
     stack = [("body", t.add(-1, "body", ()))]  # open elements; inline ones share their block's node
     piece: list[str] = []
-    state = [0, 0]  # open links, characters of the current text inside them
+    state = [0, 0, 0]  # open links, characters of the current text inside them, open foreign elements
     labels = [None]
     at, n = 0, len(page)
 
@@ -111,7 +113,8 @@ def parse(page: str) -> Tree:
             labels.pop()
             if name == "a":
                 state[0] -= 1
-            if name not in _INLINE:
+            state[2] -= name in _FOREIGN
+            if node != stack[-1][1]:
                 stack.append((name, node))
                 labels.append(t.label[node] if t.label[node] is not None else None)
                 flush()
@@ -153,6 +156,8 @@ def parse(page: str) -> Tree:
                 if name in _INLINE and stack[k][0] not in _INLINE:
                     break  # an inline end tag ends nothing beyond its block
             continue
+        if (state[2] or name in _FOREIGN) and (m["attrs"] or m["loose"] or "").endswith("/"):
+            continue
         if name in _RAW:
             end = _RAW[name].search(page, at)
             at = n if end is None else end.end()
@@ -176,10 +181,13 @@ def parse(page: str) -> Tree:
                 t.add(stack[-1][1], "input", ())
             continue
         words, label = _attributes(m["attrs"] or m["loose"] or "")
-        if name in _INLINE:
+        if state[2] and (name in _CLOSES_P or name in _SIBLINGS):  # a block ends an unclosed drawing or formula
+            close(next(k for k, e in enumerate(stack) if e[0] in _FOREIGN))
+        if state[2] or name in _INLINE or name in _FOREIGN:
             stack.append((name, stack[-1][1]))
             labels.append(label if label is not None else labels[-1])
             state[0] += name == "a"
+            state[2] += name in _FOREIGN
             continue
         if name in _CLOSES_P:
             for k in range(len(stack) - 1, 0, -1):

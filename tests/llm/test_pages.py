@@ -29,6 +29,21 @@ def test_parser():
     assert texts(deep) == [("div", "x")]
 
 
+def test_embedded_tags_drop_no_text():
+    article = "<p>one</p>two"
+    after = [("p", "one"), ("body", "two")]
+    for tag in ("svg", "math", "object", "iframe", "template", "noscript", "xmp"):
+        assert [s for _, s in texts(f"<{tag} class=icon>{article}")] == ["one", "two"], tag  # never closed
+        assert [s for _, s in texts(f"<{tag}><p>in</p></{tag}>{article}")] == ["in", "one", "two"], tag
+    for tag in ("<svg class=icon/>", '<svg class="icon" />', "<math/>", "<svg><path d='M0'/><style/></svg>", "<svg><title>no</title><g><path/></g></svg>"):
+        assert texts(tag + article) == texts(tag + article + "<svg></svg>") == after, tag
+        assert texts(f"<p>a {tag} b</p>{article}") == [("p", "a b"), *after], tag
+    assert texts("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>") == [("p", "so x=2 holds")]
+    assert texts("<object data=x><p>in</p></object><noscript>also</noscript>") == [("p", "in"), ("noscript", "also")]
+    for tag in ("script", "style", "textarea", "title"):
+        assert texts(f"<p>a</p><{tag}>no<p>no</p>") == [("p", "a")]
+
+
 def test_marginals_equal_enumeration():
     r = np.random.default_rng(2)
     trees = [M.parse(_Page(s).page()) for s in range(40)]
