@@ -21,8 +21,8 @@ from geoqa.llm import textscan as T
 from geoqa.llm.common import arrow_map, crc32_of_id, give_back, only, table
 
 BUCKETS, DIM, GRAMS = 1 << 17, 4, (3, 4, 5, 6)
-#: Bounds of the training sample: rows of each label, and words of a sampled row.
-POSITIVE_ROWS, NEGATIVE_ROWS, MAX_WORDS = 1500, 3500, 20000
+#: Bounds of the training sample: rows of each label.
+POSITIVE_ROWS, NEGATIVE_ROWS = 2000, 4000
 EPOCHS, RATE, DECAY, SCALE = 80, 0.05, 1e-3, 32.0
 #: An n-gram is trained if its share of label 1 differs from the sample's by so many nats.
 EVIDENCE = 8.0
@@ -55,8 +55,8 @@ def subwords(data: np.ndarray, start: np.ndarray, end: np.ndarray, buckets: int
     return np.concatenate(words), (key >> np.uint64(40)).astype(np.int64) % buckets
 
 
-def _bags(docs: DataFrame, max_words: int) -> DataFrame:
-    """``id, y, words, counts``: distinct words of each row of (id, text, y) with at most ``max_words`` words."""
+def _bags(docs: DataFrame) -> DataFrame:
+    """``id, y, words, counts``: distinct words of each row of (id, text, y) that has words."""
     id_type = docs.schema["id"].dataType.simpleString()
 
     def run(batches):
@@ -65,7 +65,7 @@ def _bags(docs: DataFrame, max_words: int) -> DataFrame:
                 w = T.scan(data, offs, T.ALNUM, lower=True)
                 f, rows, words, counts = w.first(), [], [], []
                 for i in range(hi - lo):
-                    if 0 < f[i + 1] - f[i] <= max_words:
+                    if f[i + 1] > f[i]:
                         _, first, n = np.unique(w.key[f[i]:f[i + 1]], return_index=True, return_counts=True)
                         rows.append(lo + i)
                         words.append([w.text(f[i] + j).decode().translate(_ASCII_LOWER) for j in first])
@@ -81,7 +81,7 @@ _ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
-                    positive: int = POSITIVE_ROWS, negative: int = NEGATIVE_ROWS, max_words: int = MAX_WORDS) -> tuple[pa.Table, float | None]:
+                    positive: int = POSITIVE_ROWS, negative: int = NEGATIVE_ROWS) -> tuple[pa.Table, float | None]:
     """(bags, share of label 1 among all usable labels).  The sampled ids - at most
     ``positive + negative``, taken in hash order - are broadcast to the documents."""
     y = only(labels, id=id_col, y=label_col).where("y in (0, 1) and id is not null").groupBy("id").agg(F.max("y").cast("int").alias("y"))
@@ -90,7 +90,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     order = F.xxhash64("id", F.lit(6))
     chosen = y.where("y = 1").orderBy(order, "id").limit(positive).union(y.where("y = 0").orderBy(order, "id").limit(negative))
     rows = only(docs, id=id_col, text=text_col).join(F.broadcast(chosen), "id").select("id", "text", "y")
-    return _bags(rows, max_words).toArrow(), share
+    return _bags(rows).toArrow(), share
 
 
 def telling(y, doc, word, gram_word, gram, buckets: int) -> np.ndarray:

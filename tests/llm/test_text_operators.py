@@ -134,6 +134,16 @@ def test_certified_rules_keep_their_promise(spark):
 
 # operator 6
 
+def test_training_sample_has_long_rows_and_its_full_size(spark):
+    long = " ".join(f"w{i % 3000}" for i in range(25000)) + " grobnak"
+    rows = [(i, long if i == 0 else f"text {i}") for i in range(9000)]
+    labels = spark.createDataFrame([(i, int(i < 3000)) for i in range(9000)], "doc_id long, toxic int")
+    bags, _ = op6_toxicity.training_sample(documents(spark, rows, extra=False), labels, "doc_id", "text", "toxic")
+    assert collections.Counter(bags.column("y").to_pylist()) == {1: 2000, 0: 4000}
+    bags, _ = op6_toxicity.training_sample(documents(spark, rows[:1], extra=False), labels.where("doc_id = 0"), "doc_id", "text", "toxic")
+    assert [("grobnak" in w, sum(n)) for w, n in zip(bags.column("words").to_pylist(), bags.column("counts").to_pylist())] == [(True, 25001)]
+
+
 def test_toxicity_learns_words_and_misspellings(spark):
     insults = ["grobnak", "vilzuck", "snurfel", "dratvog"]
     rows = []
