@@ -13,8 +13,6 @@ not even a length that a third of all pieces share, meets in one task.
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from dataclasses import dataclass
 
@@ -26,11 +24,9 @@ from pyspark.sql import functions as F
 
 from geoqa.llm import textscan as T
 from geoqa.llm.common import arrow_map, only, stored, table, worker_cache
+from geoqa.llm.token_ids import TokenIds, ids_of_rows
 
 END_ID = 0
-#: Pieces of text whose ids a worker keeps before it starts anew (about 50 bytes each).
-ARENA = 3 << 18
-
 
 @dataclass(frozen=True)
 class Capacity:
@@ -47,105 +43,6 @@ class Rule:
     weights: tuple[float, float, float] = (1.0, 1e-6, 1e-6)
 
 
-class _Arena:
-    """Token ids of the pieces a worker has met: key -> slice of one array."""
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tok = Tokenizer.from_file(path)
-        self.tok.no_truncation()
-        self.tok.no_padding()
-        vocab = self.tok.get_vocab(with_added_tokens=True)
-        self.n_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
-        for token, i in vocab.items():  # the byte-level alphabet has a character for each byte
-            self.n_bytes[i] = len(token)
-        self.clear()
-
-    def clear(self) -> None:
-        self.at = T.KeyMap()
-        self.start, self.size = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
-        self.ids, self.used = np.zeros(1 << 14, np.uint32), 0
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _add(self, key: np.ndarray, w: T.Words, which: np.ndarray) -> None:
-        """Encode words ``which``.  Words that begin with white space tokenize the same when they
-        stand one after the other, so they go to the tokenizer in runs and the ids are told
-        apart by their bytes; the others go one by one."""
-        spaced = ~T.SPACED[w.data[w.start[which]]] & T.SPACED[w.data[w.end[which] - 1]]
-        by = np.argsort(~spaced, kind="stable")
-        key, which, m = key[by], which[by], int(spaced.sum())
-        size = (w.end - w.start)[which]
-        ids, count = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        if m:
-            cut = list(range(0, m, 256)) + [m]
-            raw = w.data[np.repeat(w.start[which[:m]], size[:m]) + T.spans(size[:m])].tobytes()
-            end = np.cumsum(size[:m])
-            edge = [0, *(int(end[c - 1]) for c in cut[1:])]
-            ids = np.concatenate([np.array(x, np.uint32) for x in self._encode([raw[a:z].decode() for a, z in zip(edge, edge[1:])])])
-            done = np.searchsorted(np.cumsum(self.n_bytes[ids]), end) + 1
-            count = np.diff(done, prepend=0)
-            if len(ids) != done[-1] or int(self.n_bytes[ids].sum()) != len(raw):
-                raise ValueError("the tokenizer's ids do not cover the text")
-        if m < len(which):
-            more = self._encode([w.text(i).decode() for i in which[m:]])
-            ids = np.concatenate((ids, *(np.array(x, np.uint32) for x in more)))
-            count = np.concatenate((count, [len(x) for x in more])).astype(np.int64)
-        n = len(self.at)
-        while n + len(count) > len(self.start):
-            self.start, self.size = (np.concatenate((x, np.zeros_like(x))) for x in (self.start, self.size))
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-        self.start[n:n + len(count)] = self.used + np.cumsum(count) - count
-        self.size[n:n + len(count)] = count
-        self.ids[self.used:self.used + len(ids)] = ids
-        self.used += len(ids)
-        self.at.add(key, n + np.arange(len(count)))
-
-    def encode(self, w: T.Words) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words in order, and the number of ids of each word."""
-        if len(self.at) > ARENA:
-            self.clear()
-        key, first, place = np.unique(w.key, return_index=True, return_inverse=True)
-        new = np.flatnonzero(self.at.get(key) < 0)
-        if len(new):
-            self._add(key[new], w, first[new])
-        unit = self.at.get(key)[place]
-        size = self.size[unit]
-        return self.ids[np.repeat(self.start[unit], size) + T.spans(size)], size
-
-
-#: Characters that the tokenizer's pattern takes for white space and the scanner does
-#: not, or might: a text that holds one is encoded whole.
-_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
-_LEAD = np.zeros(256, bool)
-_LEAD[[0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3, 0xEF]] = True
-
-
-def _odd_rows(data: np.ndarray, offs: np.ndarray) -> dict[int, str]:
-    rows = np.unique(np.searchsorted(offs, np.flatnonzero(_LEAD[data]), "right") - 1).tolist()
-    texts = ((i, data[offs[i]:offs[i + 1]].tobytes().decode()) for i in rows)
-    return {i: t for i, t in texts if _ODD_SPACE.search(t)}
-
-
-def _ids_of_rows(arena: _Arena, col: pa.Array):
-    """Token ids of each row of a string column, with the end id: (ids, lengths) by chunk."""
-    for _, _, data, offs in T.chunks(col):
-        w = T.scan(data, offs, with_gap=True)
-        ids, size = arena.encode(w)
-        n = np.bincount(w.doc, size, len(offs) - 1).astype(np.int64)
-        odd = _odd_rows(data, offs)
-        if odd:
-            each = np.split(ids, np.cumsum(n)[:-1])
-            for i, text in odd.items():
-                each[i] = np.array(arena.tok.encode(text, add_special_tokens=False).ids, np.uint32)
-                n[i] = len(each[i])
-            ids = np.concatenate(each)
-        yield np.insert(ids, np.cumsum(n), END_ID), n + 1
-
-
 def pieces_of(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
               tokens: int = 2048, with_ids: bool = False) -> DataFrame:
     """Each document's ids, then the end id, cut into pieces of at most ``tokens``.
@@ -161,12 +58,12 @@ def pieces_of(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_c
     def run(batches):
         arenas, part = worker_cache("op10"), TaskContext.get().partitionId()
         if tokenizer_path not in arenas:
-            arenas[tokenizer_path] = _Arena(tokenizer_path)
-        arena = arenas[tokenizer_path]
+            arenas[tokenizer_path] = TokenIds(tokenizer_path)
+        known = arenas[tokenizer_path]
         seen = np.zeros(tokens + 1, np.int64)
         for b in batches:
             row0 = 0
-            for ids, n in _ids_of_rows(arena, b.column(1)):
+            for ids, n in ids_of_rows(known, b.column(1), END_ID):
                 count = (n - 1) // tokens + 1
                 row = np.repeat(np.arange(len(n)), count)
                 piece = T.spans(count)

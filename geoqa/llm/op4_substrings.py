@@ -2,17 +2,19 @@
 
 1. Each document's minimizers (``K``-word seeds, the smallest key of every
    ``WINDOW`` in a row) are joined with the first occurrence of the same seed: the
-   smallest (id, place).  That is one row per seed and document, not one per pair;
-   the first occurrences are minima, so a seed that a third of all rows hold is
-   pre-aggregated before the shuffle and its join partition can be split.
+   smallest (id, place), in an earlier document or earlier in the same one.  That is
+   one row per seed and document, not one per pair; the first occurrences are minima,
+   so a seed that a third of all rows hold is pre-aggregated before the shuffle and
+   its join partition can be split.
 2. Per document and earlier document, runs of seeds on one diagonal become anchors,
    and ordered anchors are chained with a gap cost through a Fenwick tree over the
    places in the earlier document.
-3. Chains are aligned on the words of both documents: outwards from the ends with
-   a drop-off, and by edit distance in the gaps, so a passage keeps together over
-   replaced, lost or added words.
+3. Chains of two seeds or more, and single seeds beside them, are aligned on the words of both documents: outwards
+   from the ends with a drop-off, and by edit distance in the gaps, so a passage keeps
+   together over replaced, lost or added words.  What counts is the alignment: a span
+   of ``MIN_WORDS`` at the asked identity, or a nearly exact one of ``MIN_SPAN`` words.
 4. Aligned spans of a document that touch are merged; merged passages of
-   ``MIN_WORDS`` or more are duplicates of text in earlier documents.
+   ``MIN_WORDS`` or more are duplicates of earlier text.
 """
 
 from __future__ import annotations
@@ -28,10 +30,14 @@ from pyspark.sql import functions as F
 from geoqa.llm import textscan as T
 from geoqa.llm.common import arrow_map, asked, gather, only, split_by_ids, stored, table
 
-K, WINDOW = 8, 12
-#: Words a chain may skip between two anchors, cost of a skipped word, words a chain must cover.
-MAX_GAP, GAP_COST, MIN_CHAIN = 30, 0.25, 12
+K, WINDOW = 5, 5
+#: Words a chain may skip between two anchors, cost of a skipped word, words a chain must cover (two seeds).
+MAX_GAP, GAP_COST, MIN_CHAIN = 40, 0.05, K + 1
 MIN_WORDS, IDENTITY = 40, 0.75
+#: A span of fewer than ``MIN_WORDS`` words counts towards a passage with so many equal words at such identity.
+MIN_SPAN, SPAN_IDENTITY = 12, 0.9
+#: Words around a chain that its alignment sees; what lies beyond has seeds of its own.
+REACH = 96
 #: Spans with at most so many words between them are one passage.
 MERGE = 3
 #: Documents that one task aligns with one earlier document; more are dealt to several.
@@ -125,13 +131,13 @@ def fenwick_chains(x0, x1, y0, y1, gap_cost: float = GAP_COST, max_gap: int = MA
 
 
 def chain_matches(docs: DataFrame, k: int = K) -> DataFrame:
-    """``id, hub, chains``: for each document and earlier document with shared seeds, its chains,
-    each a list of anchors (x0, x1, y0, y1) in words."""
+    """``id, hub, chains``: for each document and earlier document with shared seeds (or the document
+    itself, further ahead), its chains, each a list of anchors (x0, x1, y0, y1) in words."""
     id_type = docs.schema["id"].dataType.simpleString()
     found = seeds(docs)
     first = found.groupBy("key").agg(F.min(F.struct("id", "at")).alias("first"), F.count("*").alias("n")).where("n > 1")
     first = stored(first.select("key", "first"), "first")  # an input of its own, so that the join can split a hot seed's partition
-    match = found.join(first, "key").where("id <> first.id").select("id", F.col("first.id").alias("hub"), F.col("at").alias("x"), F.col("first.at").alias("y"))
+    match = found.join(first, "key").where(f"id <> first.id or at >= first.at + {k}").select("id", F.col("first.id").alias("hub"), F.col("at").alias("x"), F.col("first.at").alias("y"))
     match = match.repartition("id").sortWithinPartitions("id", "hub", "x", "y")
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -149,16 +155,27 @@ def chain_matches(docs: DataFrame, k: int = K) -> DataFrame:
             z = np.append(a[1:], len(x)) - 1
             x0, x1, y0, y1, of = x[a], x[z] + k, y[a], y[z] + k, pair[a]
             edge = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+            doc = (np.cumsum(np.append(True, b.column("id").to_numpy(zero_copy_only=False)[1:] != b.column("id").to_numpy(zero_copy_only=False)[:-1])) - 1)[a]
             rows, chains = [], []
+            weak: list[tuple[int, int, list[int]]] = []  # chains of one seed: (document, row, chain)
+            long: dict[int, list[tuple[int, int]]] = {}  # places of the longer ones
             for lo, hi in zip(edge.tolist(), np.append(edge[1:], len(of)).tolist()):
                 anchors = [v[lo:hi].tolist() for v in (x0, x1, y0, y1)]
-                if hi - lo == 1:
-                    got = [[0]] if anchors[1][0] - anchors[0][0] >= MIN_CHAIN else []
-                else:
-                    got = fenwick_chains(*anchors)
+                got, d = [], int(doc[lo])
+                for c in [[0]] if hi - lo == 1 else fenwick_chains(*anchors, least=k):
+                    flat = [v[i] for i in c for v in anchors]
+                    if sum(anchors[1][i] - anchors[0][i] for i in c) >= MIN_CHAIN:
+                        got.append(flat)
+                        long.setdefault(d, []).append((flat[0], flat[-3]))
+                    else:
+                        weak.append((d, int(a[lo]), flat))
                 if got:
                     rows.append(int(a[lo]))
-                    chains.append([[v[i] for i in c for v in anchors] for c in got])
+                    chains.append(got)
+            for d, row, flat in weak:
+                if any(p - MIN_WORDS <= flat[0] <= q + MIN_WORDS for p, q in long.get(d, ())):
+                    rows.append(row)
+                    chains.append([flat])
             if rows:
                 take = pa.array(rows)
                 yield pa.RecordBatch.from_arrays([b.column("id").take(take), b.column("hub").take(take), pa.array(chains, pa.list_(pa.list_(pa.int32())))],
@@ -174,7 +191,7 @@ def _gap(a: np.ndarray, b: np.ndarray) -> int:
         return 0
     if n == m:
         same = int((a == b).sum())
-        if same >= n - 1:
+        if 2 * same >= n - 1:  # a few replaced words
             return same
     row = [(j, 0) for j in range(m + 1)]  # (edits, -matches)
     for i in range(n):
@@ -186,17 +203,19 @@ def _gap(a: np.ndarray, b: np.ndarray) -> int:
     return -row[m][1]
 
 
-def _outwards(a: np.ndarray, b: np.ndarray, step: int, drop: float = 6.0) -> int:
+def _outwards(a: np.ndarray, b: np.ndarray, step: int, drop: float = 8.0) -> int:
     """Words by which an end moves: +1 for an equal word, -2 for a replaced one, until ``drop`` below the best."""
-    best = score = 0.0
-    at = 0
-    for i, same in enumerate((a[::step][:len(b)] == b[::step][:len(a)]).tolist() if step < 0 else (a[:len(b)] == b[:len(a)]).tolist()):
-        score += 1 if same else -2
-        if score > best:
-            best, at = score, i + 1
-        elif score < best - drop:
-            break
-    return at
+    n = min(len(a), len(b))
+    if not n:
+        return 0
+    same = a[:n] == b[:n] if step > 0 else a[::-1][:n] == b[::-1][:n]
+    score = np.cumsum(np.where(same, 1.0, -2.0))
+    best = np.maximum.accumulate(np.maximum(score, 0))
+    stop = np.flatnonzero(score < best - drop)
+    if len(stop):
+        score = score[:stop[0]]
+    at = int(np.argmax(score)) if len(score) else 0
+    return at + 1 if len(score) and score[at] > 0 else 0
 
 
 def align(a: np.ndarray, lo: int, b: np.ndarray, chain: list[int]) -> tuple[int, int, int, int, int]:
@@ -212,9 +231,8 @@ def align(a: np.ndarray, lo: int, b: np.ndarray, chain: list[int]) -> tuple[int,
         if i:
             matched += _gap(a[c[i - 1, 1] - lo:x0 - lo], b[c[i - 1, 3]:y0])
     x0, x1, y0, y1 = int(c[0, 0]), int(c[-1, 1]), int(c[0, 2]), int(c[-1, 3])
-    reach = 2 * WINDOW
-    left = _outwards(a[max(0, x0 - lo - reach):x0 - lo], b[max(0, y0 - reach):y0], -1)
-    right = _outwards(a[x1 - lo:x1 - lo + reach], b[y1:y1 + reach], 1)
+    left = _outwards(a[max(0, x0 - lo - REACH):x0 - lo], b[max(0, y0 - REACH):y0], -1)
+    right = _outwards(a[x1 - lo:x1 - lo + REACH], b[y1:y1 + REACH], 1)
     if left:
         matched += int((a[x0 - lo - left:x0 - lo] == b[y0 - left:y0]).sum())
     if right:
@@ -225,11 +243,13 @@ def align(a: np.ndarray, lo: int, b: np.ndarray, chain: list[int]) -> tuple[int,
 def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
                       identity: float = IDENTITY) -> DataFrame:
     """``id, other, x0, x1, y0, y1, identity, p0, p1``: words x0..x1 of a document repeat words y0..y1 of the
-    earlier document ``other`` and are part of its repeated passage p0..p1 (``min_words`` or more).
+    earlier document ``other``, or earlier ones of its own, and are part of its repeated passage p0..p1
+    (``min_words`` or more).
 
     Words are cut at ASCII white space, A-Z lower-cased.  Rows without an id, text or words take no
-    part; rows that share an id are never compared with each other; exact copies are one passage
-    each.  An empty table gives no rows.
+    part; rows that share an id are one document with several texts: what one of them has in an earlier
+    place than another counts, equal places do not; exact copies are one passage each.  An empty table
+    gives no rows.
     """
     docs = only(df, id=id_col, text=text_col)
     id_type = docs.schema["id"].dataType.simpleString()
@@ -253,7 +273,7 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     words = key[f[i - lo]:f[i - lo + 1]]
                     for r in own[i].as_py() or ():
                         for c in r["chains"]:
-                            a, z = max(0, c[0] - 2 * WINDOW), c[-3] + 2 * WINDOW
+                            a, z = max(0, c[0] - REACH), c[-3] + REACH
                             out.append((r["hub"], r["part"], 1, ids[i], a, c, words[a:z].tobytes()))
                     for p in range(parts_[i] or 0):
                         out.append((ids[i], p, 0, None, None, None, words.tobytes()))
@@ -280,8 +300,9 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     continue
                 for t in texts_:
                     x0, x1, y0, y1, same = align(words, lo[i], t, chain[i])
-                    if x1 > x0 and same >= identity * max(x1 - x0, y1 - y0):
-                        out.append((i, x0, x1, y0, y1, same / max(x1 - x0, y1 - y0)))
+                    size = max(x1 - x0, y1 - y0)
+                    if size and same >= identity * size and (x1 - x0 >= min_words or same >= max(MIN_SPAN, SPAN_IDENTITY * size)):
+                        out.append((i, x0, x1, y0, y1, same / size))
                         break
             if out:
                 i, *v = zip(*out)

@@ -29,30 +29,92 @@ EVIDENCE = 8.0
 #: Neutral words that every text's mean includes, so that a text of three words is not decided by one.
 PAD = 10
 CUTOFF = 0.3
+#: Bytes of words whose n-grams are made at a time.
+PIECE = 1 << 19
 
 
-def subwords(data: np.ndarray, start: np.ndarray, end: np.ndarray, buckets: int = BUCKETS,
-             grams: tuple[int, ...] | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(word, bucket) of every n-gram of ``<word>`` and of the word itself."""
+_P = np.uint64(0x9E3779B97F4A7C15 | 1)
+_IP = np.uint64(pow(int(_P), -1, 1 << 64))
+_TABLE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _powers(n: int, base: np.uint64) -> np.ndarray:
+    p = np.full(n, base, np.uint64)
+    p[0] = 1
+    return np.multiply.accumulate(p)
+
+
+def _gram_keys(text: np.ndarray, at: list[np.ndarray], size: list) -> list[np.ndarray]:
+    """Hashes of the byte ranges ``text[at:at + size]``, the same wherever they stand."""
+    c = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_TABLE[text] * _powers(len(text), _P))))
+    ip = _powers(len(text) + 1, _IP)
+    return [(c[a + n] - c[a]) * ip[a] for a, n in zip(at, size)]
+
+
+def _buckets(key: np.ndarray, buckets: int) -> np.ndarray:
+    return (T.mix(key) >> np.uint64(40)).astype(np.int64) % buckets
+
+
+def _framed(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words in lower case with their borders, one after the other: (bytes, first byte, size of each)."""
     size = end - start + 2
     first = np.cumsum(size) - size
     text = np.empty(int(size.sum()), np.uint8)
-    inner = np.repeat(first + 1, size - 2) + T.spans(size - 2)
-    text[inner] = data[np.repeat(start, size - 2) + T.spans(size - 2)]
+    text[np.repeat(first + 1, size - 2) + T.spans(size - 2)] = data[np.repeat(start, size - 2) + T.spans(size - 2)]
     upper = (text >= 65) & (text <= 90)
     upper[first] = upper[first + size - 1] = False
     text[upper] += 32
     text[first], text[first + size - 1] = 0x3C, 0x3E
-    p, ip = T._powers(len(text) + 1)
-    c = np.concatenate((np.zeros(1, np.uint64), np.cumsum(T._TABLE[text] * p[:len(text)])))
-    words, found = [np.arange(len(size))], [(c[first + size] - c[first]) * ip[first] + np.uint64(7)]
+    return text, first, size
+
+
+def subwords(data: np.ndarray, start: np.ndarray, end: np.ndarray, buckets: int = BUCKETS,
+             grams: tuple[int, ...] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(word, bucket) of every n-gram of ``<word>`` and of the word itself."""
+    text, first, size = _framed(data, start, end)
+    words, at, n_of = [np.arange(len(size))], [first], [size]
     for n in grams or GRAMS:
         many = np.maximum(size - n + 1, 0)
-        at = np.repeat(first, many) + T.spans(many)
+        at.append(np.repeat(first, many) + T.spans(many))
         words.append(np.repeat(np.arange(len(size)), many))
-        found.append((c[at + n] - c[at]) * ip[at])
-    key = T.mix(np.concatenate(found))
-    return np.concatenate(words), (key >> np.uint64(40)).astype(np.int64) % buckets
+        n_of.append(n)
+    key = _gram_keys(text, at, n_of)
+    key[0] += np.uint64(7)
+    return np.concatenate(words), _buckets(np.concatenate(key), buckets)
+
+
+def _long_word_score(data: np.ndarray, start: int, end: int, bucket_score: np.ndarray) -> float:
+    """Mean score of the subwords of one word of any length, ``PIECE`` bytes at a time."""
+    total = float(bucket_score[_buckets(T.byte_keys(data, np.array([start]), np.array([end]), lower=True), len(bucket_score))[0]])
+    count, longest = 1, max(GRAMS)
+    for lo in range(start, end, PIECE):
+        hi = min(lo + PIECE + longest - 1, end)
+        text = _framed(data, np.array([lo]), np.array([hi]))[0][int(lo > start):]
+        last = hi == end
+        if not last:
+            text = text[:-1]
+        stop = len(text) if last else int(lo == start) + PIECE  # n-grams that begin here
+        at = [np.arange(max(0, min(stop, len(text) - n + 1))) for n in GRAMS]
+        key = np.concatenate(_gram_keys(text, at, list(GRAMS)))
+        total += float(bucket_score[_buckets(key, len(bucket_score))].sum())
+        count += len(key)
+        if last:
+            break
+    return total / count
+
+
+def word_scores(data: np.ndarray, start: np.ndarray, end: np.ndarray, bucket_score: np.ndarray) -> np.ndarray:
+    """Mean score of each word's subwords, in blocks of words of about ``PIECE`` bytes."""
+    out = np.zeros(len(start))
+    size = end - start
+    block = np.where(size > PIECE, -1, np.cumsum(size) // PIECE)
+    for b in np.unique(block[block >= 0]).tolist():
+        i = np.flatnonzero(block == b)
+        which, gram = subwords(data, start[i], end[i], len(bucket_score))
+        out[i] = np.bincount(which, bucket_score[gram], len(i)) / np.maximum(np.bincount(which, minlength=len(i)), 1)
+    for i in np.flatnonzero(block < 0).tolist():
+        out[i] = _long_word_score(data, int(start[i]), int(end[i]), bucket_score)
+    return out
 
 
 def _bags(docs: DataFrame) -> DataFrame:
@@ -189,8 +251,7 @@ def score_column(col: pa.Array, model: tuple[np.ndarray, float]) -> np.ndarray:
     for lo, hi, data, offs in T.chunks(col):
         w = T.scan(data, offs, T.ALNUM, lower=True)
         _, first, place = np.unique(w.key, return_index=True, return_inverse=True)
-        which, gram = subwords(data, w.start[first], w.end[first], len(bucket_score))
-        word = np.bincount(which, bucket_score[gram], len(first)) / np.maximum(np.bincount(which, minlength=len(first)), 1)
+        word = word_scores(data, w.start[first], w.end[first], bucket_score)
         total = np.bincount(w.doc, word[place], hi - lo) / (w.counts() + PAD)
         out.append(1 / (1 + np.exp(-np.clip(total + bias, -500, 500))))
     return np.concatenate(out)

@@ -3,17 +3,20 @@
 The operators of this package read words many times over whole corpora, so the
 one hot loop - find the words of a batch of texts and give each a 64-bit key -
 works on the UTF-8 buffer of the Arrow column: byte classes find the word
-borders, and a prefix sum of ``table[byte] * P^position`` (mod 2^64) gives the
-key of any byte range with two look-ups.  Equal words have equal keys; two
-different words share a key with probability 2^-64.
-
-Memory is bounded: rows are taken in chunks of ``CHUNK`` bytes and long texts
-are scanned in blocks that end between words, so only per-word arrays (not
-per-byte ones) ever span a whole long text.
+borders, and a word's key is a chain of ``mix`` over its 8-byte lanes, one numpy
+pass for each lane of the words that still have one.  Words of more than
+``LONG`` bytes get eight bytes of BLAKE2 instead.  Equal words have equal keys;
+the chain is a bijection of a word's last differing lane, so two different words
+share a key with probability 2^-64.
+
+Memory is bounded: rows are taken in chunks of ``CHUNK`` bytes and a long text is
+scanned in blocks of that size, which may end inside a word: only per-word arrays
+(not per-byte ones) ever span a whole text, however long its words are.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,10 +24,11 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK = 1 << 20
+#: Bytes of a word from which on it is hashed alone.
+LONG = 64
 
-_P = np.uint64(0x9E3779B97F4A7C15 | 1)
-_IP = np.uint64(pow(int(_P), -1, 1 << 64))
-_TABLE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: The lowest 0..8 bytes of a lane.
+_KEEP = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -50,17 +54,47 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-_pow = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_pow[0]) < n:
-        m = 1 << int(np.ceil(np.log2(n)))
-        for i, base in enumerate((_P, _IP)):
-            p = np.full(m, base, np.uint64)
-            p[0] = 1
-            _pow[i] = np.multiply.accumulate(p)
-    return _pow[0][:n], _pow[1][:n]
+def byte_keys(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
+    """A 64-bit key of each byte range ``data[start:end]``; ``lower``: as if A-Z were a-z."""
+    size = end - start
+    out = mix(size.astype(np.uint64) ^ np.uint64(0x9E3779B97F4A7C15))
+    todo = np.flatnonzero((size > 0) & (size <= LONG))
+    if len(todo):
+        # whole lanes can be read up to the last eight bytes; ranges that end there read a padded copy
+        tail = max(0, len(data) - 2 * LONG)
+        late = end[todo] > len(data) - 8
+        sides = [(data, 0, todo[~late])] if not late.all() else []
+        if late.any():
+            sides.append((np.concatenate((data[tail:], np.zeros(8, np.uint8))), tail, todo[late]))
+        for raw, base, which in sides:
+            lanes = np.ndarray(len(raw) - 7, "<u8", np.ascontiguousarray(raw), 0, (1,))
+            at, left, h = start[which] - base, size[which], out[which]
+            while len(which):
+                lane = lanes[at] & _KEEP[np.minimum(left, 8)]
+                if lower:
+                    lane = _lowered(lane)
+                h = mix((h ^ lane) * np.uint64(0x9FB21C651E98DF25))
+                more = left > 8
+                if not more.all():
+                    out[which[~more]] = h[~more]
+                    which, at, left, h = which[more], at[more], left[more], h[more]
+                at, left = at + 8, left - 8
+    for i in np.flatnonzero(size > LONG).tolist():
+        digest = hashlib.blake2b(digest_size=8)
+        for lo in range(int(start[i]), int(end[i]), CHUNK):
+            part = data[lo:min(lo + CHUNK, int(end[i]))]
+            digest.update(_LOWER[part] if lower else np.ascontiguousarray(part))
+        out[i] = int.from_bytes(digest.digest(), "little")
+    return out
+
+
+def _lowered(lane: np.ndarray) -> np.ndarray:
+    """A-Z to a-z in each of a lane's eight bytes, whatever the others are."""
+    ascii_, high = np.uint64(0x7F7F7F7F7F7F7F7F), np.uint64(0x8080808080808080)
+    low = lane & ascii_
+    from_a = low + np.uint64(0x3F3F3F3F3F3F3F3F)  # high bit set from "A" on
+    past_z = low + np.uint64(0x2525252525252525)  # high bit set after "Z"
+    return lane | ((from_a & ~past_z & ~lane & high) >> np.uint64(2))
 
 
 @dataclass
@@ -122,55 +156,34 @@ def scan(data: np.ndarray, offs: np.ndarray, words: np.ndarray = SPACED, lower:
     white space in front belongs to it, and what follows a row's last word is a
     word too (then the units of a row, joined, give the row back).
     """
-    n, lo, parts = len(data), 0, []
-    table = _TABLE[_LOWER] if lower else _TABLE
+    n, starts, ends, inside = len(data), [], [], False
     edges = offs[1:-1]
     edges = edges[(edges > 0) & (edges < n)]
-    while lo < n:
-        size = block
-        while (hi := min(n, lo + size)) < n:  # end the block between words, or at a row's border
-            inner = words[data[lo:hi]]
-            cut = np.flatnonzero(~inner[1:] & inner[:-1]) + 1 if with_gap else np.flatnonzero(~inner) + 1
-            k = np.searchsorted(edges, hi, "right") - 1
-            best = max(int(edges[k]) if k >= 0 else 0, lo + int(cut[-1]) if len(cut) else 0)
-            if best > lo:
-                hi = best
-                break
-            size *= 2  # a word longer than the block
-        d = data[lo:hi]
-        w = words[d]
-        e = edges[np.searchsorted(edges, lo, "right"):np.searchsorted(edges, hi, "left")] - lo
-        s = w.copy()
+    for lo in range(0, n, block):
+        w = words[data[lo:lo + block]]
+        s, t = w.copy(), ~w  # a word begins here; the one before has ended
         s[1:] &= ~w[:-1]
-        s[e] = w[e]
-        t = w.copy()
-        t[:-1] &= ~w[1:]
-        t[e - 1] = w[e - 1]
-        start, end = np.flatnonzero(s), np.flatnonzero(t) + 1
-        if with_gap:
-            # rows that end inside this block and have bytes after their last word
-            stops = np.concatenate((e, [hi - lo]))
-            before = np.searchsorted(end, stops, "right") - 1
-            last = np.where(before >= 0, end[np.maximum(before, 0)] if len(end) else 0, 0)
-            row0 = np.concatenate(([0], e))
-            tails = stops > np.maximum(last, row0)
-            # a block that was cut inside a row ends with a word, so it leaves no tail there
-            end = np.sort(np.concatenate((end, stops[tails])))
-            start = np.concatenate(([0], end[:-1])) if len(end) else end
-        p, ip = _powers(len(d) + 1)
-        c = np.empty(len(d) + 1, np.uint64)
-        c[0] = 0
-        np.cumsum(table[d] * p[:len(d)], out=c[1:])
-        key = mix((c[end] - c[start]) * ip[start] + (end - start).astype(np.uint64))
-        parts.append((start + lo, end + lo, key))
-        lo = hi
-    if parts:
-        start, end, key = (np.concatenate(x) for x in zip(*parts))
-    else:
-        start = end = np.zeros(0, np.int64)
-        key = np.zeros(0, np.uint64)
+        t[1:] &= w[:-1]
+        s[0] &= not inside
+        t[0] &= inside
+        e = edges[np.searchsorted(edges, lo):np.searchsorted(edges, lo + len(w))] - lo
+        if len(e):
+            s[e] = w[e]
+            t[e] = np.where(e > 0, w[e - 1], inside)
+        starts.append(np.flatnonzero(s) + lo)
+        ends.append(np.flatnonzero(t) + lo)
+        inside = bool(w[-1])
+    if inside:
+        ends.append(np.array([n]))
+    start, end = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (starts, ends))
+    if with_gap and n:
+        first, last = offs[:-1], offs[1:]
+        before = np.searchsorted(end, last, "right") - 1
+        done = np.where(before >= 0, end[np.maximum(before, 0)] if len(end) else 0, 0)
+        end = np.sort(np.concatenate((end, last[last > np.maximum(done, first)])))
+        start = np.concatenate(([0], end[:-1]))
     doc = np.searchsorted(offs, start, "right") - 1
-    return Words(doc, start, end, key, offs, data)
+    return Words(doc, start, end, byte_keys(data, start, end, lower), offs, data)
 
 
 def keys_of(texts: list[str], words: np.ndarray = SPACED, lower: bool = False) -> list[np.ndarray]:
@@ -207,7 +220,7 @@ def spans(lengths: np.ndarray) -> np.ndarray:
 
 
 class KeyMap:
-    """64-bit keys -> numbers, in sorted arrays: 16 bytes an entry instead of a dict's hundred.
+    """64-bit keys -> numbers, in sorted arrays: 12 bytes an entry instead of a dict's hundred.
 
     New keys go to a small sorted run that is merged into the large one when it has grown.
     """
@@ -215,7 +228,7 @@ class KeyMap:
     RUN = 1 << 17
 
     def __init__(self) -> None:
-        self.runs = [(np.zeros(0, np.uint64), np.zeros(0, np.int64)) for _ in range(2)]
+        self.runs = [(np.zeros(0, np.uint64), np.zeros(0, np.int32)) for _ in range(2)]
 
     def __len__(self) -> int:
         return sum(len(k) for k, _ in self.runs)
@@ -236,7 +249,7 @@ class KeyMap:
         self.runs[1] = self._merged(self.runs[1], (key, number))
         if len(self.runs[1][0]) > self.RUN:
             self.runs[0] = self._merged(*self.runs)
-            self.runs[1] = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            self.runs[1] = (np.zeros(0, np.uint64), np.zeros(0, np.int32))
 
     @staticmethod
     def _merged(a, b):

@@ -63,3 +63,17 @@ def test_plan_respects_every_capacity():
                 items.sort()
                 assert [o for o, _ in items] == list(np.cumsum([0] + [n for _, n in items])[:-1])
                 assert sum(n for _, n in items) <= cap.tokens and len(items) <= cap.documents and sum(n * n for _, n in items) <= cap.attention
+
+
+def test_words_that_only_a_sound_key_tells_apart(spark):
+    """Doubling words (ab ba -> abba baab ...) have equal polynomial sums modulo 2^64 from 1,024 bytes on."""
+    a, b = "ab", "ba"
+    while len(a) < 2048:
+        a, b = a + b, b + a
+    rows = [(1, a), (2, b), (3, "x " + a), (4, "x " + b)]
+    count = {r.id: r.n_tokens for r in op1_tokens.count_tokens(documents(spark, rows), P.path("word_bpe_49k.json")).collect()}
+    tok = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    assert count == {i: len(tok.encode(t, add_special_tokens=False).ids) for i, t in rows}
+    ids = {r.id: r.ids for r in op10_pack.pack(documents(spark, rows), P.path("byte_bpe_50k.json"), with_ids=True).collect()}
+    tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    assert ids == {i: tok.encode(t, add_special_tokens=False).ids + [0] for i, t in rows}

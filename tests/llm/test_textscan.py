@@ -46,3 +46,34 @@ def test_key_map():
         seen.update(zip(k.tolist(), range(len(seen), len(seen) + len(k))))
     ask = np.arange(5000, dtype=np.uint64)
     assert m.get(ask).tolist() == [seen.get(int(k), -1) for k in ask]
+
+
+def test_keys_of_doubling_words_and_lanes():
+    a, b = "ab", "ba"
+    while len(a) < 4096:
+        a, b = a + b, b + a
+    pad = "x" * 7
+    texts = [a[:n] for n in (7, 8, 9, 63, 64, 65, 1024, 2048, 4096)] + [b[:n] for n in (7, 8, 9, 63, 64, 65, 1024, 2048, 4096)]
+    keys = [int(k[0]) for k in T.keys_of(texts)]
+    assert len(set(keys)) == len(texts)
+    again = [int(k[-1]) for k in T.keys_of([pad + " " + t for t in texts])]  # the same wherever the word stands
+    assert again == keys
+    upper = [int(k[0]) for k in T.keys_of([t.upper() for t in texts], lower=True)]
+    assert upper == keys
+    every = bytes(range(1, 128)).decode() + "ÀÉÿ漢"
+    low = every.translate({c: c + 32 for c in range(65, 91)})
+    assert [k.tolist() for k in T.keys_of([every], T.ALNUM, lower=True)] == [k.tolist() for k in T.keys_of([low], T.ALNUM)]
+
+
+def test_long_unbroken_text_stays_small():
+    import subprocess
+    import sys
+    code = ("import resource, numpy as np, pyarrow as pa\n"
+            "from geoqa.llm import textscan as T\n"
+            "base = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss\n"
+            "data = np.full(64 << 20, 97, np.uint8); offs = np.array([0, len(data)])\n"
+            "w = T.scan(data, offs, lower=True)\n"
+            "assert len(w) == 1\n"
+            "print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - base) >> 10)")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True)
+    assert int(out.stdout) < 150, out.stdout  # MB, the text's own 64 included
