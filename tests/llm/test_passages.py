@@ -124,13 +124,15 @@ def test_every_exact_repeat_of_fifty_words_is_covered(spark):
     got = {}
     for x in M.repeated_passages(documents(spark, rows, extra=False)).collect():
         got.setdefault(x.id, set()).update(range(x.p0, x.p1))
-    seen, total, lost = set(), 0, 0
+    seen, total, lost, most = set(), 0, 0, 0
     for i, t in rows:
         w = t.split()
         grams = [tuple(w[j:j + 50]) for j in range(len(w) - 49)]
         for j, g in enumerate(grams):
             if g in seen:
                 total += 1
-                lost += len(set(range(j, j + 50)) - got.get(i, set())) > 0
+                open_ = len(set(range(j, j + 50)) - got.get(i, set()))
+                lost, most = lost + (open_ > 0), max(most, open_)
         seen.update(grams)
-    assert total > 100 and lost <= 0.02 * total, (lost, total)
+    # a few first or last words may have no seed of their own whose first holder goes that far
+    assert total > 100 and lost <= 0.08 * total and most < 2 * M.WINDOW, (lost, most, total)
