@@ -251,6 +251,10 @@ class KeyMap:
             self.runs[0] = self._merged(*self.runs)
             self.runs[1] = (np.zeros(0, np.uint64), np.zeros(0, np.int32))
 
+    def items(self) -> tuple[np.ndarray, np.ndarray]:
+        """All keys, in order, and their numbers."""
+        return self._merged(*self.runs)
+
     @staticmethod
     def _merged(a, b):
         key, number = (np.concatenate(x) for x in zip(a, b))

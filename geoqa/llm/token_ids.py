@@ -20,7 +20,7 @@ import pyarrow as pa
 from geoqa.llm import textscan as T
 
 #: Bytes that a worker's known units may take before it starts anew.
-ARENA_BYTES = 20 << 20
+ARENA_BYTES = 28 << 20
 #: Units that go to the tokenizer in one string.
 RUN = 256
 
@@ -46,8 +46,21 @@ class TokenIds:
     def clear(self) -> None:
         self.at = T.KeyMap()
         self.bound = np.zeros(1 << 12, np.uint32)  # of unit i's ids: bound[i] <= j < bound[i + 1]
+        self.again = np.zeros(1 << 12, bool)       # unit i was met a second time
         self.ids, self.used = np.zeros(1 << 14, self.kind), 0
 
+    def _make_room(self) -> None:
+        """Keep the units that were met again; start anew if these are most of what is there."""
+        key, number = self.at.items()
+        stay = self.again[number]
+        key, number = key[stay], number[stay]
+        start = self.bound[number].astype(np.int64)
+        count = self.bound[number + 1] - start
+        ids = self.ids[np.repeat(start, count) + T.spans(count)]
+        self.clear()
+        if 16 * len(key) + ids.nbytes < 0.8 * self.arena_bytes:
+            self._add(key, ids, count)
+
     def held(self) -> int:
         """Bytes in use."""
         return len(self.at) * 16 + self.used * self.ids.itemsize
@@ -81,27 +94,33 @@ class TokenIds:
             count = np.concatenate((count, [len(x) for x in more])).astype(np.int64)
         return by, ids, count
 
-    def _add(self, key: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
+    def _add(self, key: np.ndarray, ids: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """The numbers of the new units."""
         n = len(self.at)
         while n + len(count) >= len(self.bound):
-            self.bound = np.concatenate((self.bound, np.zeros_like(self.bound)))
+            self.bound, self.again = (np.concatenate((x, np.zeros_like(x))) for x in (self.bound, self.again))
         while self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
         self.bound[n + 1:n + 1 + len(count)] = self.used + np.cumsum(count)
         self.ids[self.used:self.used + len(ids)] = ids
         self.used += len(ids)
-        self.at.add(key, n + np.arange(len(count), dtype=np.int32))
+        number = n + np.arange(len(count), dtype=np.int32)
+        self.at.add(key, number)
+        return number
 
     def encode(self, w: T.Words) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all units in order, and the number of ids of each unit."""
         if self.held() > self.arena_bytes:
-            self.clear()
-        key, first, place = np.unique(w.key, return_index=True, return_inverse=True)
-        new = np.flatnonzero(self.at.get(key) < 0)
+            self._make_room()
+        key, first, place, times = np.unique(w.key, return_index=True, return_inverse=True, return_counts=True)
+        unit = self.at.get(key)
+        new = np.flatnonzero(unit < 0)
+        self.again[unit[unit >= 0]] = True
         if len(new):
             by, ids, count = self._new(w, first[new])
-            self._add(key[new[by]], ids, count)
-        unit = self.at.get(key)[place]
+            unit[new[by]] = self._add(key[new[by]], ids, count)
+            self.again[unit[new]] = times[new] > 1
+        unit = unit[place]
         start = self.bound[unit].astype(np.int64)
         size = self.bound[unit + 1] - start
         return self.ids[np.repeat(start, size) + T.spans(size)], size
