@@ -169,8 +169,8 @@ def id_counts(rows: DataFrame, n_ids: int, kind) -> np.ndarray:
     def run(batches):
         counts = np.zeros(n_ids, np.int64)
         for b in batches:
-            for ids in _unpacked(b, kind):
-                counts += np.bincount(ids, minlength=n_ids)
+            if b.num_rows:
+                counts += np.bincount(np.concatenate(list(_unpacked(b, kind))), minlength=n_ids)
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(counts[used])], ["symbol", "n"])
 
