@@ -13,7 +13,8 @@ from geoqa.llm.op9_minhash import op9_minhash_near_dedup
 from geoqa.llm.op10_pack import op10_best_fit_packing
 from geoqa.llm.op11_binary import op11_token_files
 from geoqa.llm.op12_alignment import op12_tokenizer_alignment
+from geoqa.llm.op13_whitening import op13_embedding_whitening
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_main_text, op3_lm_scores, op4_substring_dedup, op5_quality_rules, op6_toxicity, op7_benchmark_decontamination,
-                                   op8_license_scan, op9_minhash_near_dedup, op10_best_fit_packing, op11_token_files, op12_tokenizer_alignment)}
+                                   op8_license_scan, op9_minhash_near_dedup, op10_best_fit_packing, op11_token_files, op12_tokenizer_alignment, op13_embedding_whitening)}
 ORACLES: dict[str, str] = {"op7_benchmark_decontamination": op7_decontaminate.ORACLE, "op9_minhash_near_dedup": op9_minhash.ORACLE}
