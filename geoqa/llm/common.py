@@ -16,6 +16,8 @@ from geoqa.session import ensure_checkpoint_dir, ship_package
 #: Bits of the filter that keeps texts nobody asks for out of a shuffle (1 MB, whatever the data).
 FILTER_BITS = 1 << 23
 BATCH_ROWS = 1000
+#: Bytes of batches after which a worker gives freed memory back.
+TRIM_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,21 +62,34 @@ def drop_caches(owner: str | None) -> None:
 
 
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str,
-              owner: str | None = None) -> DataFrame:
-    """``mapInArrow`` with the package shipped to the workers, which give memory back after each batch
-    and task: an executor keeps idle workers, and what they hold on to adds up.  Rows hold whole texts,
-    so batches have ``BATCH_ROWS`` rows where the session keeps Spark's default of 10,000.  Worker caches
-    of operators other than ``owner`` are dropped."""
+              owner: str | None = None, rows: int = 0) -> DataFrame:
+    """``mapInArrow`` with the package shipped to the workers, which give memory back now and then and after
+    each task: an executor keeps idle workers, and what they hold on to adds up.  Rows hold whole texts,
+    so batches have ``BATCH_ROWS`` rows where the session keeps Spark's default of 10,000; ``rows`` puts
+    batches of short rows together to about so many.  Worker caches of operators other than ``owner`` are
+    dropped."""
     ship_package(df.sparkSession)
     conf = df.sparkSession.conf
     if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
     def fed(batches):
+        done, held, n = 0, [], 0
         for b in batches:
+            done += b.nbytes
+            if n + b.num_rows < rows:
+                held.append(b)
+                n += b.num_rows
+                continue
+            b = joined([*held, b])
+            held, n = [], 0
             yield b
             del b
-            give_back()
+            if done > TRIM_BYTES:
+                give_back()
+                done = 0
+        if held:
+            yield joined(held)
 
     def run(batches):
         drop_caches(owner)

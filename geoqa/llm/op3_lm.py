@@ -14,9 +14,13 @@ filter in steps of 1 / ``SHARES``.
 
 The filter grows with the corpus: ``ENTRY_BITS`` bits for each (n-gram, level), in as
 many parts of at most ``FILTER_BITS`` bits as that takes.  An n-gram's key names its
-part; each part is a broadcast of its own, and a worker holds one of them at a time:
-it scans a group of texts (more text for more parts, up to ``GROUP``) and probes part
-after part.
+part.  Tasks fill segments of the parts and write them to the shared folder; nothing of
+the filter passes through the driver, and a worker reads and holds one part at a time:
+it scans a group of texts (more text for more parts, up to ``GROUP``) and probes the
+distinct n-grams of the group part after part.
+
+A level stands for a mean count, so the probabilities after a history need not add up to
+exactly one (tests hold their sum against it).
 
 The exact unigram sum (base score) uses a broadcast table of at most ``TABLE``
 frequent words and a shuffled join for all other words.
@@ -29,19 +33,24 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast, TaskContext
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoqa.llm import textscan as T
-from geoqa.llm.common import arrow_map, crc32_of_id, only, stored, table
+from geoqa.llm.common import arrow_map, crc32_of_id, only, stored, table, worker_cache
+from geoqa.llm.files import opened, shared_folder
 
 FILTER_BITS, PROBES, SEGMENTS = 1 << 28, 6, 64
 ENTRY_BITS = 16
-#: Parts of the filter from which on the group of texts grows no more (1 MB of text a part).
+#: MB of text in the largest group (four for each part of the filter up to there).
 GROUP = 16
 BASE, DISCOUNT, SHARES = 1.5, 0.75, 20
 TABLE = 1 << 20
+#: Distinct n-grams that a counting task adds up before it hands them on.
+HELD = 1 << 21
+#: Rows of n-grams in a batch.
+SHORT = 1 << 16
 #: Least weight of the unigram model after any history.
 FLOOR = 0.02
 #: Key of the end token (no word has it but by chance, 2^-64) - it also stands before the first word.
@@ -85,17 +94,52 @@ def tokens(w: T.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row, key, before
 
 
-def ngram_counts(docs: DataFrame, order: int) -> DataFrame:
-    """``key, n`` of the unigrams or bigrams of (text)."""
+class _Counts:
+    """Sums of counts by key, in sorted arrays, handed on when there are many."""
+
+    def __init__(self, held: int):
+        self.most, self.new, self.n_new = held, [], 0
+        self.key, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def add(self, key: np.ndarray) -> None:
+        self.new.append(np.unique(key, return_counts=True))
+        self.n_new += len(self.new[-1][0])
+        if self.n_new > self.most // 2:
+            self._merge()
+
+    def _merge(self) -> None:
+        key = np.concatenate([self.key, *(k for k, _ in self.new)])
+        n = np.concatenate([self.n, *(c for _, c in self.new)])
+        self.new, self.n_new = [], 0
+        by = np.argsort(key, kind="stable")
+        key, n = key[by], n[by]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+        self.key, self.n = key[first], np.add.reduceat(n, first) if len(first) else n
+
+    def batch(self, order: int, least: int = 0):
+        """What there is, if it is more than ``least``."""
+        if len(self.key) + self.n_new > least:
+            self._merge()
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(self.key), order, np.int8)), pa.array(T.signed(self.key)), pa.array(self.n)], ["order", "key", "n"])
+            self.key, self.n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+
+def ngram_counts(docs: DataFrame, held: int = HELD) -> DataFrame:
+    """``order, key, n`` of the unigrams (1) and bigrams (2) of (text), in one pass."""
 
     def run(batches):
+        ones, twos = _Counts(held), _Counts(held)
         for b in batches:
-            for _, _, data, offs in T.chunks(b.column(0), 4 * T.CHUNK):
+            for _, _, data, offs in T.chunks(b.column(0)):
                 _, key, before = tokens(T.scan(data, offs, T.SPACED, lower=True))
-                key, n = np.unique(key if order == 1 else pair_key(before, key), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(T.signed(key)), pa.array(n, pa.int64())], ["key", "n"])
+                ones.add(key)
+                twos.add(pair_key(before, key))
+                yield from ones.batch(1, held)
+                yield from twos.batch(2, held)
+        yield from ones.batch(1)
+        yield from twos.batch(2)
 
-    return arrow_map(docs.select("text"), run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return arrow_map(docs.select("text"), run, "order byte, key long, n long").groupBy("order", "key").agg(F.sum("n").alias("n"))
 
 
 class Filter:
@@ -143,10 +187,60 @@ def part_of(key: np.ndarray, parts: int) -> np.ndarray:
     return (T.mix(key) // np.uint64(SEGMENTS) % np.uint64(parts)).astype(np.int64)
 
 
-def build_filter(entries: DataFrame, room: int, bits: int = FILTER_BITS) -> list[Broadcast]:
-    """Parts of the filter that holds (key, level), ``room`` of them in all, each a broadcast; each segment is filled by one task."""
+@dataclass
+class Parts:
+    """The filter in the shared folder: a file for each segment of each part (none: no n-gram has it)."""
+
+    folder: str
+    parts: int
+    blocks: int  # of a segment
+
+    def name(self, segment: int) -> str:
+        return f"{self.folder}/segment-{segment}"
+
+    def write(self, segment: int, words: np.ndarray) -> None:
+        """A whole file at once; a task that runs again writes the same."""
+        import uuid
+        system, path = opened(self.name(segment))
+        part = f"{path}.{uuid.uuid4().hex}"
+        with system.open_output_stream(part) as f:
+            f.write(words.tobytes())
+        system.move(part, path)
+
+    def read(self, part: int) -> Filter:
+        """The worker's part; it holds one."""
+        mine = worker_cache("op3")
+        if mine.get("part") != (self.folder, part):
+            mine.clear()
+            words = np.zeros(SEGMENTS * self.blocks * 8, np.uint64)
+            system, folder = opened(self.folder)
+            for s in range(SEGMENTS):
+                try:
+                    with system.open_input_file(f"{folder}/segment-{part * SEGMENTS + s}") as f:
+                        words[s * self.blocks * 8:(s + 1) * self.blocks * 8] = np.frombuffer(f.read(), np.uint64)
+                except FileNotFoundError:
+                    pass
+            mine.update(part=(self.folder, part), filter=Filter(words))
+        return mine["filter"]
+
+    def levels(self, key: np.ndarray) -> np.ndarray:
+        """The level of each key, part by part."""
+        out = np.zeros(len(key), np.int64)
+        part = part_of(key, self.parts)
+        by = np.argsort(part, kind="stable")
+        ends = np.searchsorted(part[by], np.arange(self.parts + 1))
+        for p in range(self.parts):
+            at = by[ends[p]:ends[p + 1]]
+            if len(at):
+                out[at] = self.read(p).levels(key[at])
+        return out
+
+
+def build_filter(entries: DataFrame, room: int, bits: int = FILTER_BITS) -> Parts:
+    """The filter that holds (key, level), ``room`` of them in all; each segment is filled by one task."""
     parts = max(1, -(-room * ENTRY_BITS // bits))
-    blocks = max(1, -(-room * ENTRY_BITS // (parts * SEGMENTS * 512)))  # of a segment
+    blocks = max(1, -(-room * ENTRY_BITS // (parts * SEGMENTS * 512)))
+    out = Parts(shared_folder(entries.sparkSession, "filter"), parts, blocks)
 
     def mark(batches):
         for b in batches:
@@ -160,43 +254,19 @@ def build_filter(entries: DataFrame, room: int, bits: int = FILTER_BITS) -> list
             key = key.view(np.uint64)
             by = np.argsort(seg, kind="stable")
             for part in np.split(by, np.flatnonzero(np.diff(seg[by])) + 1) if len(by) else ():
-                words = segments.setdefault(int(seg[part[0]]), np.zeros(blocks * 8, np.uint64))
+                marks = segments.setdefault(int(seg[part[0]]), np.zeros(blocks * 512, bool))
                 k = np.repeat(key[part], level[part])
                 block, places = Filter.places(k, T.spans(level[part]) + 1, blocks)
+                block *= 64
                 for p in places:
-                    np.bitwise_or.at(words, block + (p >> np.uint64(6)).astype(np.int64), np.uint64(1) << (p & np.uint64(63)))
-        for s, words in segments.items():
-            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int64()), pa.array([words.tobytes()], pa.binary())], ["segment", "words"])
+                    marks[block + p.view(np.int64)] = True
+        for s, marks in segments.items():
+            out.write(s, np.packbits(marks, bitorder="little").view(np.uint64))
+        yield pa.RecordBatch.from_arrays([pa.array([len(segments)], pa.int64())], ["segments"])
 
     # a task has few segments, however many there are
-    marked = arrow_map(entries.select("key", "level"), mark, "segment long, key long, level long").repartition(SEGMENTS * -(-parts // 4), "segment")
-    rows = stored(arrow_map(marked, fill, "segment long, words binary"), "segments").sort("segment").toLocalIterator()
-    out, words, sc = [], np.zeros(SEGMENTS * blocks * 8, np.uint64), entries.sparkSession.sparkContext
-    for r in rows:  # the driver has one part at a time
-        while r.segment // SEGMENTS > len(out):
-            out.append(sc.broadcast(words))
-            words = np.zeros_like(words)
-        at = r.segment % SEGMENTS * blocks * 8
-        words[at:at + blocks * 8] = np.frombuffer(r.words, np.uint64)
-    while len(out) < parts:
-        out.append(sc.broadcast(words))
-        words = np.zeros_like(words)
-    return out
-
-
-def levels_in(parts: list[Broadcast], key: np.ndarray) -> np.ndarray:
-    """The level of each key; of many parts, the worker keeps none."""
-    if len(parts) == 1:
-        return Filter(parts[0].value).levels(key)
-    out = np.zeros(len(key), np.int64)
-    part = part_of(key, len(parts))
-    by = np.argsort(part, kind="stable")
-    ends = np.searchsorted(part[by], np.arange(len(parts) + 1))
-    for p, b in enumerate(parts):
-        at = by[ends[p]:ends[p + 1]]
-        out[at] = Filter(b.value).levels(key[at])
-        if hasattr(b, "_path"):  # the worker's file of the broadcast, from which it is read again
-            del b._value
+    marked = arrow_map(entries.select("key", "level"), mark, "segment long, key long, level long", rows=SHORT).repartition(SEGMENTS * -(-parts // 4), "segment")
+    arrow_map(marked, fill, "segments long", owner="op3", rows=SHORT).agg(F.sum("segments")).first()
     return out
 
 
@@ -232,14 +302,15 @@ def history_shares(one: DataFrame, two: DataFrame) -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array(T.signed(share_key(b.column(0).to_numpy().view(np.uint64)))), b.column(1)], ["key", "level"])
 
-    return arrow_map(rows, rekey, "key long, level long")
+    return arrow_map(rows, rekey, "key long, level long", rows=SHORT)
 
 
 def model_of(train: DataFrame, bits: int = FILTER_BITS, entries: int = TABLE):
-    """(model, parts of the filter, unigram counts, least count of the frequent words) of the rows of (text)."""
-    one = stored(ngram_counts(train, 1), "unigrams")
+    """(model, filter, unigram counts, least count of the frequent words) of the rows of (text)."""
+    grams = stored(ngram_counts(train), "n-grams")
+    one, two = (grams.where(F.col("order") == k).select("key", "n") for k in (1, 2))
+    one = stored(one, "unigrams")  # read several times
     n, v = one.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    two = stored(ngram_counts(train, 2), "bigrams")
     shares = stored(history_shares(one, two), "shares")
     total = lambda df, level: df.agg(F.coalesce(F.sum(level), F.lit(0))).first()[0]
     room = total(one, level_of("n")) + total(two, level_of("n")) + total(shares, F.col("level"))
@@ -291,7 +362,7 @@ def score_texts(df: DataFrame, train: DataFrame, id_col: str = "doc_id", text_co
     def run(batches):
         m = shared.value
         uid = TaskContext.get().partitionId() << 40
-        for ids, rows, row, key, before in grouped(batches, min(len(parts), GROUP) * T.CHUNK):
+        for ids, rows, row, key, before in grouped(batches, min(4 * parts.parts, GROUP) * T.CHUNK):
             word, place = np.unique(key, return_inverse=True)
             at = np.searchsorted(m.known, word)
             at[at == len(m.known)] = 0
@@ -304,12 +375,13 @@ def score_texts(df: DataFrame, train: DataFrame, id_col: str = "doc_id", text_co
             lists = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(np.bincount(row[miss], minlength=rows)))).astype(np.int32),
                                              pa.array(T.signed(key[miss])))
             ones, twos = m.means
-            level = levels_in(parts, np.concatenate((word, share_key(word), pair_key(before, key))))
+            pairs, pair_place = np.unique(pair_key(before, key), return_inverse=True)
+            level = parts.levels(np.concatenate((word, share_key(word), pairs)))
             level_one, share, level_two = np.split(level, [len(word), 2 * len(word)])
             count = ones[np.minimum(level_one, len(ones) - 1)]
             beta = 1 - np.minimum(share, SHARES) / SHARES
             last = np.roll(place, 1)  # the history is the token before; the first one's is the end, like the last token
-            pair = twos[np.minimum(level_two, len(twos) - 1)]
+            pair = twos[np.minimum(level_two, len(twos) - 1)][pair_place]
             seen = np.maximum(pair - DISCOUNT, 0) / np.maximum(count[last], np.maximum(pair, 1))
             p = np.minimum(seen + np.maximum(beta[last], FLOOR) * ((count + 1) / (m.n + m.v + 1))[place], 1.0)
             score = np.bincount(row, np.log10(p), rows)
@@ -317,9 +389,7 @@ def score_texts(df: DataFrame, train: DataFrame, id_col: str = "doc_id", text_co
                                               pa.array(base), pa.array(score), lists], ["id", "uid", "n_tokens", "known", "logs", "score", "rare"])
             uid += rows
 
-    out = stored(arrow_map(docs, run, f"id {id_type}, uid long, n_tokens long, known long, logs double, score double, rare array<long>"), "scores")
-    for b in parts:
-        b.destroy()
+    out = stored(arrow_map(docs, run, f"id {id_type}, uid long, n_tokens long, known long, logs double, score double, rare array<long>", owner="op3"), "scores")
     rare = out.select("uid", F.explode("rare").alias("key")).join(one.where(F.col("n") < low), "key")
     more = rare.groupBy("uid").agg(F.sum(F.log10(F.col("n") + 1)).alias("more"), F.count("*").alias("found"))
     rows = out.drop("rare").join(more, "uid", "left")

@@ -81,7 +81,39 @@ def test_filter_grows_with_the_counts(spark):
     for bits in (1 << 28, 1 << 16):  # one part, many parts
         got = [r.score for r in sorted(op3_lm.score_texts(df, df, bits=bits).collect(), key=lambda r: r.id)]
         assert all(abs(a - b) < 0.1 * abs(b) for a, b in zip(got, want))  # levels are counts within a step of 1.5
-    assert len(op3_lm.model_of(df.select("text"), 1 << 16)[1]) > 4
+    assert op3_lm.model_of(df.select("text"), 1 << 16)[1].parts > 4
+
+
+def test_filter_in_files_false_positives_and_total(spark):
+    """Against exact counts: what the filter reads back, how often it is wrong, and what probabilities add up to."""
+    r = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{min(int(x), 900)}" for x in r.zipf(1.4, 120))) for i in range(150)]
+    docs = documents(spark, rows).select("text")
+    for held in (op3_lm.HELD, 50):  # counts that a task hands on early add up to the same
+        got = {(x.order, x.key): x.n for x in op3_lm.ngram_counts(docs, held).collect()}
+        assert sum(n for (o, _), n in got.items() if o == 1) == 150 * 121 and len(got) > 1000
+        counts = got if held == op3_lm.HELD else counts
+        assert got == counts
+    model, parts, _, _ = op3_lm.model_of(docs, 1 << 14)
+    assert parts.parts > 4
+    known = {o: np.array([k for (x, k) in counts if x == o], np.int64).view(np.uint64) for o in (1, 2)}
+    true = {o: np.array([counts[o, int(k)] for k in known[o].view(np.int64)]) for o in (1, 2)}
+    for o in (1, 2):
+        level = parts.levels(known[o])
+        want = 1 + np.floor(np.log(true[o]) / np.log(op3_lm.BASE) + 1e-9).astype(int)
+        assert (level >= want).all() and (level > want).mean() < 0.03
+        unseen = parts.levels(r.integers(0, 2 ** 63, 20000).astype(np.uint64))
+        assert (unseen > 0).mean() < 0.02
+    text = " ".join(sorted({w for _, t in rows for w in t.split()}))
+    vocabulary = np.unique(op3_lm.tokens(op3_lm.T.scan(*op3_lm.T.buffer_of(op3_lm.pa.array([text]))))[1])
+    ones, twos = model.means
+    p1 = (ones[np.minimum(parts.levels(vocabulary), len(ones) - 1)] + 1) / (model.n + model.v + 1)
+    for h in vocabulary[::40]:
+        pair = twos[np.minimum(parts.levels(op3_lm.pair_key(np.full(len(vocabulary), h), vocabulary)), len(twos) - 1)]
+        count = ones[np.minimum(parts.levels(np.array([h])), len(ones) - 1)][0]
+        beta = 1 - min(int(parts.levels(op3_lm.share_key(np.array([h])))[0]), op3_lm.SHARES) / op3_lm.SHARES
+        total = (np.maximum(pair - op3_lm.DISCOUNT, 0) / np.maximum(count, np.maximum(pair, 1)) + max(beta, op3_lm.FLOOR) * p1).sum()
+        assert 0.75 < total < 1.3, total
 
 
 # operator 5
