@@ -49,7 +49,8 @@ def normal_radius(phi_rad: str) -> str:
 def geo_distance(lon1: str, lat1: str, lon2: str, lat2: str) -> str:
     """Geodesic distance in metres, local tangent metric on the WGS84 ellipsoid.
 
-    Accurate for the short ranges the checks test (metres to a few km).
+    For the short ranges the checks test (metres to a few km): against the exact inverse
+    (``functions.geodesic``) it is off by less than 1 mm up to 1 km at any latitude below 85 degrees.
     """
     phi = f"radians((cast({lat1} AS double) + cast({lat2} AS double)) / 2)"
     dn = f"({meridional_radius(phi)} * radians(cast({lat2} AS double) - cast({lat1} AS double)))"
@@ -69,29 +70,37 @@ def scale_n(y: str) -> str:
     return f"({meridional_radius(phi)} * cos({phi}) / {R_MERCATOR})"
 
 
-def geohash(lon: str, lat: str, precision: int = 20) -> str:
-    """Geohash text of a WGS84 point (``precision`` characters, <= 20).
+def _geohash_codes(lon: str, lat: str, lon_bits: int, lat_bits: int) -> tuple[str, str]:
+    """Longitude and latitude as whole numbers of so many bits, by ``floor``."""
+    return (f"least(cast(floor((cast({lon} AS double) + 180.0) / 360.0 * {float(2 ** lon_bits)}) AS bigint), {2 ** lon_bits - 1})",
+            f"least(cast(floor((cast({lat} AS double) + 90.0) / 180.0 * {float(2 ** lat_bits)}) AS bigint), {2 ** lat_bits - 1})")
 
-    Longitude and latitude are quantised to 5*precision/2 bits each by
-    ``floor``; bits are interleaved (longitude first) and read 5 at a time.
-    """
-    nbits = 5 * precision
-    lon_bits = (nbits + 1) // 2
-    lat_bits = nbits // 2
-    lon_code = (f"least(cast(floor((cast({lon} AS double) + 180.0) / 360.0 * {float(2 ** lon_bits)}) AS bigint), "
-                f"{2 ** lon_bits - 1})")
-    lat_code = (f"least(cast(floor((cast({lat} AS double) + 90.0) / 180.0 * {float(2 ** lat_bits)}) AS bigint), "
-                f"{2 ** lat_bits - 1})")
 
+def _geohash_text(code, precision: int, lon_bits: int, lat_bits: int) -> str:
+    """The letters: bits interleaved (longitude first), five at a time; ``code(k, at)`` is the bit at a place from the top."""
     def bit(k: int) -> str:
-        if k % 2 == 0:
-            code, width, idx = lon_code, lon_bits, k // 2
-        else:
-            code, width, idx = lat_code, lat_bits, k // 2
-        return f"(cast(floor(cast({code} AS double) / {float(2 ** (width - 1 - idx))}) AS bigint) % 2)"
+        return code("lon", lon_bits - 1 - k // 2) if k % 2 == 0 else code("lat", lat_bits - 1 - k // 2)
 
     chars = []
     for i in range(precision):
         v = " + ".join(f"{bit(5 * i + j)} * {2 ** (4 - j)}" for j in range(5))
         chars.append(f"substr('{GEOHASH_ALPHABET}', cast({v} AS int) + 1, 1)")
     return "concat(" + ", ".join(chars) + ")"
+
+
+def geohash(lon: str, lat: str, precision: int = 20) -> str:
+    """Geohash text of a WGS84 point (``precision`` characters, <= 20), as Spark SQL.
+
+    The two numbers are computed once and bound; each letter takes its bits from them by shifts.
+    """
+    lon_bits, lat_bits = (5 * precision + 1) // 2, 5 * precision // 2
+    a, b = _geohash_codes(lon, lat, lon_bits, lat_bits)
+    text = _geohash_text(lambda k, at: f"(shiftright(g_.{k}, {at}) & 1)", precision, lon_bits, lat_bits)
+    return f"element_at(transform(array(named_struct('lon', {a}, 'lat', {b})), g_ -> {text}), 1)"
+
+
+def geohash_ansi(lon: str, lat: str, precision: int = 20) -> str:
+    """The same in plain SQL, bit by bit with divisions (for oracles)."""
+    lon_bits, lat_bits = (5 * precision + 1) // 2, 5 * precision // 2
+    codes = dict(zip(("lon", "lat"), _geohash_codes(lon, lat, lon_bits, lat_bits)))
+    return _geohash_text(lambda k, at: f"(cast(floor(cast({codes[k]} AS double) / {float(2 ** at)}) AS bigint) % 2)", precision, lon_bits, lat_bits)

@@ -51,7 +51,7 @@ def _len2(x1, y1, x2, y2) -> str:
     return pt_pt_d2(x1, y1, x2, y2)
 
 
-def _cross(px, py, x1, y1, x2, y2) -> str:
+def cross(px, py, x1, y1, x2, y2) -> str:
     """(b-a) x (p-a): >0 when p is left of a->b."""
     return f"((({x2})-({x1}))*(({py})-({y1}))-(({y2})-({y1}))*(({px})-({x1})))"
 
@@ -60,7 +60,7 @@ def pt_seg_d2(px, py, x1, y1, x2, y2) -> str:
     """Squared distance point-segment (double)."""
     dot = _dot(px, py, x1, y1, x2, y2)
     l2 = _len2(x1, y1, x2, y2)
-    cr = _cross(px, py, x1, y1, x2, y2)
+    cr = cross(px, py, x1, y1, x2, y2)
     return (f"(CASE WHEN {dot} <= 0 THEN {pt_pt_d2(px, py, x1, y1)} "
             f"WHEN {dot} >= {l2} THEN {pt_pt_d2(px, py, x2, y2)} "
             f"ELSE {_sq(cr)} / ({l2}) END)")
@@ -70,7 +70,7 @@ def pt_seg_within(px, py, x1, y1, x2, y2, d, op: str = "<=") -> str:
     """Exact test distance(point, segment) <op> d (no division)."""
     dot = _dot(px, py, x1, y1, x2, y2)
     l2 = _len2(x1, y1, x2, y2)
-    cr = _cross(px, py, x1, y1, x2, y2)
+    cr = cross(px, py, x1, y1, x2, y2)
     return (f"(CASE WHEN {dot} <= 0 THEN {pt_pt_d2(px, py, x1, y1)} {op} {_sq(d)} "
             f"WHEN {dot} >= {l2} THEN {pt_pt_d2(px, py, x2, y2)} {op} {_sq(d)} "
             f"ELSE {_sq(cr)} {op} {_sq(d)} * ({l2}) END)")
@@ -121,10 +121,10 @@ def box_overlap(a: tuple, b: tuple, margin: str = "0") -> str:
 def seg_intersects(a: tuple, b: tuple) -> str:
     ax1, ay1, ax2, ay2 = a
     bx1, by1, bx2, by2 = b
-    o1 = f"sign({_cross(bx1, by1, ax1, ay1, ax2, ay2)})"
-    o2 = f"sign({_cross(bx2, by2, ax1, ay1, ax2, ay2)})"
-    o3 = f"sign({_cross(ax1, ay1, bx1, by1, bx2, by2)})"
-    o4 = f"sign({_cross(ax2, ay2, bx1, by1, bx2, by2)})"
+    o1 = f"sign({cross(bx1, by1, ax1, ay1, ax2, ay2)})"
+    o2 = f"sign({cross(bx2, by2, ax1, ay1, ax2, ay2)})"
+    o3 = f"sign({cross(ax1, ay1, bx1, by1, bx2, by2)})"
+    o4 = f"sign({cross(ax2, ay2, bx1, by1, bx2, by2)})"
     bb = box_overlap(seg_bbox(*a), seg_bbox(*b))
     return f"({bb} AND {o1}*{o2} <= 0 AND {o3}*{o4} <= 0)"
 
@@ -161,7 +161,7 @@ def _corners(box: tuple) -> list:
 def seg_intersects_box(s: tuple, box: tuple) -> str:
     """Separating-axis test: bbox overlap and corners not all strictly on one side."""
     x1, y1, x2, y2 = s
-    signs = [f"sign({_cross(cx, cy, x1, y1, x2, y2)})" for cx, cy in _corners(box)]
+    signs = [f"sign({cross(cx, cy, x1, y1, x2, y2)})" for cx, cy in _corners(box)]
     allpos = " AND ".join(f"{g} > 0" for g in signs)
     allneg = " AND ".join(f"{g} < 0" for g in signs)
     return f"({box_overlap(seg_bbox(*s), box)} AND NOT (({allpos}) OR ({allneg})))"
@@ -194,7 +194,7 @@ def box_rings(xmin, ymin, xmax, ymax) -> str:
 def pt_on_boundary(px, py, rings: str) -> str:
     """Point lies on an edge of any ring (exact for integer coordinates)."""
     a, b = "rg_[i_-1]", "rg_[i_]"
-    on = (f"({_cross(px, py, a + '.x', a + '.y', b + '.x', b + '.y')} = 0 AND "
+    on = (f"({cross(px, py, a + '.x', a + '.y', b + '.x', b + '.y')} = 0 AND "
           f"least({a}.x,{b}.x) <= ({px}) AND ({px}) <= greatest({a}.x,{b}.x) AND "
           f"least({a}.y,{b}.y) <= ({py}) AND ({py}) <= greatest({a}.y,{b}.y))")
     return f"exists({rings}, rg_ -> exists(filter(sequence(1, greatest(size(rg_) - 1, 1)), i_ -> i_ < size(rg_)), i_ -> {on}))"

@@ -148,7 +148,29 @@ def convex_hull(points: DataFrame, group_by: tuple[str, ...], x: str = "x", y: s
     return out.select(*gcols, F.concat("_r", F.slice("_r", 1, 1)).alias("hull"), "nverts")
 
 
+def calipers(hull: str, length: str | None = None) -> str:
+    """SQL: the largest squared distance between vertices of a closed convex ring, as a walk of rotating calipers.
+
+    One end walks along the edges, the other one goes on while it gets further from the edge; at most three
+    times round, so the cost is linear.  With ``length`` (SQL over vertices ``p_`` and ``q_``), the largest length
+    of the pairs at that distance instead.
+    """
+    d2 = lambda a, b: f"(({a}.x - {b}.x) * ({a}.x - {b}.x) + ({a}.y - {b}.y) * ({a}.y - {b}.y))"
+    area = lambda c: f"((s_.b.x - s_.a.x) * ({c}.y - s_.a.y) - (s_.b.y - s_.a.y) * ({c}.x - s_.a.x))"
+    measure = (lambda a, b: "0D") if length is None else (lambda a, b: f"element_at(transform(array(named_struct('p_', {a}, 'q_', {b})), z_ -> {length.replace('p_.', 'z_.p_.').replace('q_.', 'z_.q_.')}), 1)")
+    # a, b: the edge; c, e: the far vertex and the next one; pairs are compared by (distance, length)
+    pair = lambda a, b: f"named_struct('d', cast({d2(a, b)} AS double), 'l', cast({measure(a, b)} AS double))"
+    state = lambda i, j, best: (f"named_struct('i', {i}, 'j', {j}, 'a', h_[({i}) % n_], 'b', h_[({i} + 1) % n_], "
+                                f"'c', h_[({j}) % n_], 'e', h_[({j} + 1) % n_], 'best', {best})")
+    best = f"greatest(s_.best, {pair('s_.a', 's_.c')}, {pair('s_.b', 's_.c')}, {pair('s_.a', 's_.e')}, {pair('s_.b', 's_.e')})"
+    step = (f"CASE WHEN s_.i >= n_ THEN s_ WHEN {area('s_.e')} > {area('s_.c')} THEN {state('s_.i', 's_.j + 1', best)} "
+            f"ELSE {state('s_.i + 1', 's_.j', best)} END")
+    none = "named_struct('d', 0D, 'l', 0D)"
+    walk = f"aggregate(sequence(1, 3 * n_ + 1), {state('0', '1', none)}, (s_, k_) -> {step}).best"
+    return (f"element_at(transform(array(named_struct('h', {hull}, 'n', greatest(size({hull}) - 1, 1))), t_ -> "
+            f"{walk.replace('h_[', 't_.h[').replace('n_', 't_.n')}), 1).{'d' if length is None else 'l'}")
+
+
 def hull_diameter(hulls: DataFrame, hull: str = "hull") -> F.Column:
     """Longest distance between two vertices of each hull (planar)."""
-    return F.expr(f"sqrt(aggregate({hull}, 0D, (m, p) -> greatest(m, aggregate({hull}, 0D, "
-                  f"(m2, q) -> greatest(m2, (p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y))))))")
+    return F.expr(f"sqrt({calipers(hull)})")

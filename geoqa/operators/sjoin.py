@@ -21,10 +21,12 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from geoqa.functions import crs
 from geoqa.functions import geom as G
 from geoqa.operators import grid
+from geoqa.session import ensure_checkpoint_dir
 
 
 # ------------------------------------------------------------ geometry specs
@@ -346,29 +348,114 @@ def _edges(rings: str) -> str:
             f"'x2', er_[ei_].x, 'y2', er_[ei_].y))))")
 
 
-def polygons_intersect_sql(a_rings: str, b_rings: str) -> str:
-    """Two even-odd polygons share a point: an edge pair meets, or a vertex
-    of one lies in the other (covers the nested cases)."""
-    e, f = ("e.x1", "e.y1", "e.x2", "e.y2"), ("f.x1", "f.y1", "f.x2", "f.y2")
-    cross = f"exists({_edges(a_rings)}, e -> exists({_edges(b_rings)}, f -> {G.seg_intersects(e, f)}))"
-    return f"({cross} OR {_some_vertex_in(a_rings, b_rings)} OR {_some_vertex_in(b_rings, a_rings)})"
+def _ring_edges(rings: str) -> str:
+    """Edges of all rings; ``s`` marks the first of each ring."""
+    return (f"flatten(transform({rings}, er_ -> transform(filter(sequence(1, greatest(size(er_) - 1, 1)), "
+            f"ei_ -> ei_ < size(er_)), ei_ -> named_struct('x1', cast(er_[ei_-1].x AS double), 'y1', cast(er_[ei_-1].y AS double), "
+            f"'x2', cast(er_[ei_].x AS double), 'y2', cast(er_[ei_].y AS double), 's', ei_ = 1))))")
+
+
+# ------------------------------------------------------- polygons cut by cells
+#: Height in a cell, as a share of its side, at which its reference point lies.
+LEVEL = 0.4271
+
+
+def polygon_pieces(polygons: DataFrame, key: list, polygon=Polygon(), cell: float = 1000.0) -> DataFrame:
+    """Polygons cut into the pieces that lie in single cells.
 
+    One row for each polygon (``key``: its unique columns) and cell ``_cx, _cy``
+    that it touches: ``_full`` (the cell lies inside as a whole), or the edges that
+    meet the cell (``_edges``) and a point of the cell (``_xr, _yr``) of which
+    ``_in`` says whether it is inside.  Nothing else of a ring is needed to decide
+    about any point of the cell, so no row carries more than one cell's edges.
+    ``_a`` holds the other columns, without the rings.
 
-def polygons_intersect_join(ldf: DataFrame, rdf: DataFrame, *, left_geom=Polygon(), right_geom=Polygon(),
-                            cell: float = 1000.0, right_prefix: str = "r_") -> DataFrame:
-    """Pairs of intersecting polygons.  Both sides are covered by their
-    bbox cells; a pair is tested only in the lowest cell both covers share,
-    after a bbox pre-test."""
+    Every edge is dealt to its cells and, at the height of a row's reference
+    points, crosses that row in one cell at most.  The parity of a point is the
+    number of crossings to its right: those of its own cell and a running sum over
+    the polygon's cells of that row.  Cells between two touched ones are all inside
+    or all outside, by the same sum.  The work is linear in edges and cells.
+    """
+    size = float(cell)
+    attrs = [c for c in polygons.columns if c not in key and c != polygon.rings]
+    other = F.struct(*[F.col(f"`{c}`") for c in attrs]) if attrs else F.struct(F.lit(True).alias("_"))
+    edges = polygons.select(*key, other.alias("_a"), F.explode(F.expr(_ring_edges(f"`{polygon.rings}`"))).alias("_e"))
+    cells = edges.select(*key, "_a", "_e", F.explode(F.expr(
+        grid.segment_cover("_e.x1", "_e.y1", "_e.x2", "_e.y2", size, size * 1e-6))).alias("_c"))
+    y = f"((_c.cy + {LEVEL}) * {size})"
+    x = f"(_e.x1 + ({y} - _e.y1) * (_e.x2 - _e.x1) / nullif(_e.y2 - _e.y1, 0D))"
+    crossing = f"CASE WHEN (_e.y1 > {y}) <> (_e.y2 > {y}) THEN CASE WHEN cast(floor({x} / {size}) AS bigint) = _c.cx THEN {x} END END"
+    cells = cells.select(*key, "_a", "_e", F.col("_c.cx").alias("_cx"), F.col("_c.cy").alias("_cy"), F.expr(crossing).alias("_x"))
+    own = cells.groupBy(*key, "_cx", "_cy").agg(F.first("_a").alias("_a"), F.collect_list("_e").alias("_edges"),
+                                                F.array_sort(F.collect_list("_x")).alias("_xs"))
+    w = Window.partitionBy(*key, "_cy").orderBy(F.desc("_cx"))
+    own = (own.withColumn("_right", F.coalesce(F.sum(F.size("_xs")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+              .withColumn("_next", F.lag("_cx").over(w)))
+    # the reference point: the middle of the widest gap between crossings, so no edge is near it
+    stops = f"concat(array(_cx * {size}), _xs, array((_cx + 1) * {size}))"
+    own = own.withColumn("_xr", F.expr(
+        f"element_at(transform(array({stops}), ps_ -> array_max(transform(sequence(1, size(ps_) - 1), "
+        f"i_ -> named_struct('g', ps_[i_] - ps_[i_-1], 'm', (ps_[i_] + ps_[i_-1]) / 2))).m), 1)"))
+    inside = "(_right + size(filter(_xs, x_ -> x_ > _xr))) % 2 = 1"
+    between = ("CASE WHEN _next > _cx + 1 AND _right % 2 = 1 THEN transform(sequence(_cx + 1, _next - 1), "
+               "c_ -> named_struct('cx', c_, 'full', true)) ELSE array() END")
+    out = own.select(*key, "_a", "_cy", "_edges", "_xr", F.expr(inside).alias("_in"),
+                     F.explode(F.expr(f"concat(array(named_struct('cx', _cx, 'full', false)), {between})")).alias("_i"))
+    touched = ~F.col("_i.full")
+    return out.select(*key, "_a", F.col("_i.cx").alias("_cx"), "_cy", F.col("_i.full").alias("_full"),
+                      F.when(touched, F.col("_edges")).alias("_edges"), F.when(touched, F.col("_xr")).alias("_xr"),
+                      F.expr(f"(_cy + {LEVEL}) * {size}").alias("_yr"), F.when(touched, F.col("_in")).alias("_in"))
+
+
+def in_piece_sql(px: str, py: str, p: str = "r", boundary: bool = True) -> str:
+    """A point of the piece's cell lies in the polygon: the parity of the reference point, changed by every edge
+    between the two.  A vertex on the line between them counts to one side, so it never counts twice or not at all."""
+    e = ("e_.x1", "e_.y1", "e_.x2", "e_.y2")
+    xr, yr = f"{p}._xr", f"{p}._yr"
+    on = (f"exists({p}._edges, e_ -> {G.cross(px, py, *e)} = 0 AND least(e_.x1, e_.x2) <= ({px}) AND ({px}) <= greatest(e_.x1, e_.x2) "
+          f"AND least(e_.y1, e_.y2) <= ({py}) AND ({py}) <= greatest(e_.y1, e_.y2))")
+    side = lambda vx, vy: f"({G.cross(vx, vy, xr, yr, px, py)} > 0)"
+    meets = (f"({side('e_.x1', 'e_.y1')} <> {side('e_.x2', 'e_.y2')} AND "
+             f"sign({G.cross(xr, yr, *e)}) * sign({G.cross(px, py, *e)}) < 0)")
+    odd = f"((aggregate({p}._edges, CASE WHEN {p}._in THEN 1 ELSE 0 END, (n_, e_) -> n_ + CASE WHEN {meets} THEN 1 ELSE 0 END)) % 2 = 1)"
+    return f"({p}._full OR {on} OR {odd})" if boundary else f"({p}._full OR (NOT {on} AND {odd}))"
+
+
+def _cell_box(p: str, size: float) -> tuple:
+    return (f"({p}._cx * {size})", f"({p}._cy * {size})", f"(({p}._cx + 1) * {size})", f"(({p}._cy + 1) * {size})")
+
+
+def polygons_intersect_join(ldf: DataFrame, rdf: DataFrame, *, left_key: tuple[str, ...], right_key: tuple[str, ...],
+                            left_geom=Polygon(), right_geom=Polygon(), cell: float = 1000.0, right_prefix: str = "r_") -> DataFrame:
+    """Pairs of polygons (``left_key``, ``right_key``: their unique columns) that share a point, each pair once,
+    with all columns but the rings.
+
+    Pieces meet by cell, and a cell stops at the first thing found: both fill it, an edge runs through a
+    cell that the other fills, two edges meet, or - for rings that lie in the other polygon without meeting
+    an edge - the first vertex of a ring lies in the other's piece.  So a pair costs the edges that it has
+    in common cells, not edges times edges.
+    """
     size = float(cell)
-    l = _with_cells(ldf, left_geom, size, 0.0, keep_min=True).alias("l")
-    r = _with_cells(rdf, right_geom, size, 0.0, keep_min=True).alias("r")
-    cond = ((F.col("l._cx") == F.col("r._cx")) & (F.col("l._cy") == F.col("r._cy"))
-            & (F.col("l._cx") == F.greatest("l._x0", "r._x0")) & (F.col("l._cy") == F.greatest("l._y0", "r._y0"))
-            & F.expr(G.box_overlap(bbox_of(left_geom, "l"), bbox_of(right_geom, "r")))
-            & F.expr(polygons_intersect_sql(f"l.`{left_geom.rings}`", f"r.`{right_geom.rings}`")))
+    lk, rk = [f"_l{i}" for i in range(len(left_key))], [f"_r{i}" for i in range(len(right_key))]
+    side = lambda df, g, key, names: polygon_pieces(df, list(key), g, cell).select(
+        *[F.col(f"`{k}`").alias(n) for k, n in zip(key, names)], "_cx", "_cy", "_full", "_edges", "_xr", "_yr", "_in")
+    l, r = side(ldf, left_geom, left_key, lk).alias("l"), side(rdf, right_geom, right_key, rk).alias("r")
+    box = _cell_box("l", size)
+    e, f = ("e_.x1", "e_.y1", "e_.x2", "e_.y2"), ("f_.x1", "f_.y1", "f_.x2", "f_.y2")
+    through = lambda p: f"exists({p}._edges, e_ -> {G.seg_intersects_box(e, box)})"
+    here = f"floor(v_.x / {size}) = l._cx AND floor(v_.y / {size}) = l._cy"
+    starts = lambda p: f"transform(filter({p}._edges, e_ -> e_.s), e_ -> named_struct('x', e_.x1, 'y', e_.y1))"
+    nested = lambda a, b: f"exists({starts(a)}, v_ -> {here} AND {in_piece_sql('v_.x', 'v_.y', b)})"
+    meet = (f"CASE WHEN l._full AND r._full THEN true WHEN l._full THEN {through('r')} WHEN r._full THEN {through('l')} "
+            f"ELSE exists(l._edges, e_ -> exists(r._edges, f_ -> {G.seg_intersects(e, f)})) OR {nested('l', 'r')} OR {nested('r', 'l')} END")
+    cond = (F.col("l._cx") == F.col("r._cx")) & (F.col("l._cy") == F.col("r._cy")) & F.expr(meet)
+    pairs = l.join(r, cond).select(*lk, *rk).distinct()
     _, mapping = _rename_right(ldf, rdf, right_prefix)
-    sel = [F.col(f"l.`{c}`") for c in ldf.columns] + [F.col(f"r.`{c}`").alias(mapping[c]) for c in rdf.columns]
-    return l.join(r, cond, "inner").select(sel)
+    left = ldf.drop(left_geom.rings)
+    right = rdf.drop(right_geom.rings)
+    right = right.select([F.col(f"`{c}`").alias(mapping[c]) for c in right.columns])
+    out = pairs.join(left, [pairs[n] == left[k] for k, n in zip(left_key, lk)]).drop(*lk)
+    return out.join(right, [out[n] == right[mapping[k]] for k, n in zip(right_key, rk)]).drop(*rk)
 
 
 # ------------------------------------------------------------ geodesic tests
@@ -436,64 +523,66 @@ def geo_len_to_closest(px: str, py: str, seg: tuple, scales: tuple[str, str] | N
     return f"sqrt(power(({cx} - ({px})) * {sx}, 2) + power(({cy} - ({py})) * {sy}, 2))"
 
 
-def polygon_cover(polygons: DataFrame, key: list, polygon=Polygon(), cell: float = 1000.0) -> DataFrame:
-    """Classified cell cover of polygons, ``key..., _cx, _cy, _full``.
+def contains_join(points: DataFrame, polygons: DataFrame, polygon_key: tuple[str, ...], *, point=Point(), polygon=Polygon(),
+                  boundary: bool = True, how: str = "inner", cell: float = 1000.0, right_prefix: str = "r_") -> DataFrame:
+    """Point-in-polygon join (A1 ``boundary=True``: covers/intersects; A2 ``False``: strict contains).
 
-    Cells crossed by an edge are kept with ``_full = false`` (points there
-    need the exact test); cells of the bounding box not crossed by any edge
-    are wholly inside or wholly outside, decided once by their centre:
-    inside ones are kept with ``_full = true`` (no per-point test), outside
-    ones are dropped.  A large commune costs its boundary cells plus one
-    test per interior cell instead of a full ring scan per point.
+    Points meet the pieces of the polygons (:func:`polygon_pieces`) by cell; each point lives in one cell, so
+    no pair repeats.  The result has the columns of both sides but the rings; join them back by
+    ``polygon_key`` (the polygons' unique columns) where a check needs the shape.
     """
-    size = float(cell)
-    rings = f"`{polygon.rings}`"
-    edges = polygons.select(*key, F.explode(F.expr(_edges(rings))).alias("_e"))
-    edge_cells = (edges.select(*key, F.explode(F.expr(grid.segment_cover("_e.x1", "_e.y1", "_e.x2", "_e.y2", size)))
-                               .alias("_c"))
-                  .select(*key, F.col("_c.cx").alias("_cx"), F.col("_c.cy").alias("_cy")).distinct())
-    xmin, ymin, xmax, ymax = (c.replace("_.", "") for c in bbox_of(polygon, "_"))
-    box_cells = (polygons.select(*key, F.explode(F.expr(grid.box_cover(xmin, ymin, xmax, ymax, size))).alias("_c"))
-                 .select(*key, F.col("_c.cx").alias("_cx"), F.col("_c.cy").alias("_cy")))
-    inner = box_cells.join(edge_cells, [*key, "_cx", "_cy"], "left_anti").join(polygons.select(*key, polygon.rings), key)
-    centre_x, centre_y = f"((_cx + 0.5) * {size})", f"((_cy + 0.5) * {size})"
-    full = (inner.where(F.expr(G.pt_in_polygon(centre_x, centre_y, rings)))
-            .select(*key, "_cx", "_cy", F.lit(True).alias("_full")))
-    return edge_cells.withColumn("_full", F.lit(False)).unionByName(full)
-
-
-def contains_join(points: DataFrame, polygons: DataFrame, *, point=Point(), polygon=Polygon(),
-                  boundary: bool = True, how: str = "inner", cell: float = 1000.0,
-                  right_prefix: str = "r_", polygon_key: tuple[str, ...] | None = None) -> DataFrame:
-    """Point-in-polygon join (A1 ``boundary=True``: covers/intersects; A2
-    ``False``: strict contains).  Each point lives in one cell, so no pair
-    repeats.  With ``polygon_key`` the polygons use the classified cover of
-    :func:`polygon_cover` (points in interior cells skip the ring test);
-    otherwise all cells of their bounding box with the exact test."""
-    size = float(cell)
-    pc = _with_cells(points, point, size, 0.0, keep_min=False)
-    if polygon_key:
-        key = list(polygon_key)
-        qc = polygon_cover(polygons, key, polygon, size).join(polygons, key)
-        full = "r._full OR "
-    else:
-        xmin, ymin, xmax, ymax = (c.replace("_.", "") for c in bbox_of(polygon, "_"))
-        qc = (polygons.withColumn("_c", F.explode(F.expr(grid.box_cover(xmin, ymin, xmax, ymax, size))))
-                      .withColumn("_cx", F.col("_c.cx")).withColumn("_cy", F.col("_c.cy")).drop("_c"))
-        full = ""
-    l, r = pc.alias("l"), qc.alias("r")
+    key = list(polygon_key)
+    l = _with_cells(points, point, float(cell), 0.0, keep_min=False).alias("l")
+    r = polygon_pieces(polygons, key, polygon, cell).alias("r")
     px, py = _q("l", point.cols())
-    bx = bbox_of(polygon, "r")
-    pred = f"{full}({G.pt_in_box(px, py, *bx)} AND {G.pt_in_polygon(px, py, f'r.`{polygon.rings}`', boundary)})"
-    cond = (F.col("l._cx") == F.col("r._cx")) & (F.col("l._cy") == F.col("r._cy")) & F.expr(pred)
+    cond = (F.col("l._cx") == F.col("r._cx")) & (F.col("l._cy") == F.col("r._cy")) & F.expr(in_piece_sql(px, py, "r", boundary))
     if how in ("left_semi", "left_anti"):
         return l.join(r, cond, how).select([F.col(f"l.`{c}`") for c in points.columns])
     _, mapping = _rename_right(points, polygons, right_prefix)
     sel = [F.col(f"l.`{c}`") for c in points.columns]
-    sel += [F.col(f"r.`{c}`").alias(mapping[c]) for c in polygons.columns]
+    sel += [(F.col(f"r.`{c}`") if c in key else F.col(f"r._a.`{c}`")).alias(mapping[c]) for c in polygons.columns if c != polygon.rings]
     return l.join(r, cond, how).select(sel)
 
 
+# ------------------------------------------------------------------- nearest
+def nearest_join(points: DataFrame, lines: DataFrame, *, key: tuple[str, ...], by: tuple[tuple[str, str], ...] = (), start: float,
+                 distance: str | None = None, scale: str = "1D", left_geom=Point(), right_geom=Segment(), distance_col: str = "d",
+                 factor: float = 2.0) -> DataFrame:
+    """A4 without a radius: each point with the distance to its nearest line, whatever that is.
+
+    ``key``: columns that identify a point; ``by``: (point column, line column) that must be equal.
+    ``distance``: SQL of the distance over the columns of both sides (planar if none), at least ``scale`` (SQL over the
+    point's columns) times the planar one.  Points without a line of their group, or without a place, have no row.
+
+    Rings that grow: points look within ``start`` planar units, by cells of that size; what was found nearer than
+    the ring is proven, and only the other points go on with a ring ``factor`` times as wide.  So a point
+    meets the lines about as far away as its nearest one, not all lines of its group.  Rounds are as many as
+    powers of ``factor`` up to the largest distance; each is checkpointed.
+    """
+    placed = lambda df, g: df.where(" AND ".join(f"`{c}` IS NOT NULL" for c in g.cols()))
+    lines = placed(lines, right_geom)
+    rest = placed(points, left_geom)
+    if by:
+        groups = lines.select(*[F.col(r).alias(f"_b{i}") for i, (_, r) in enumerate(by)]).distinct()
+        rest = rest.join(groups, [F.col(l) == F.col(f"_b{i}") for i, (l, _) in enumerate(by)], "left_semi")
+    ensure_checkpoint_dir(points.sparkSession)
+    rest, lines = rest.checkpoint(), lines.checkpoint()
+    d = F.expr(distance) if distance else F.col("_planar")
+    residual = " AND ".join(f"l.`{l}` = r.`{r}`" for l, r in by) or None
+    done, radius = None, float(start)
+    while not rest.isEmpty():
+        pairs = dwithin_join(rest, lines, radius, left_geom=left_geom, right_geom=right_geom, residual=residual, distance_col="_planar")
+        best = pairs.groupBy(*key).agg(F.min(d).alias(distance_col), F.first(F.expr(scale)).alias("_scale"))
+        best = best.where(F.col(distance_col) <= radius * F.col("_scale")).drop("_scale").checkpoint()
+        found = rest.join(best, list(key))
+        done = found if done is None else done.unionByName(found)
+        rest = rest.join(best, list(key), "left_anti").checkpoint()
+        if radius > 1e9:
+            raise ValueError("points or lines beyond any distance")
+        radius *= factor
+    return done if done is not None else rest.withColumn(distance_col, F.lit(None).cast("double"))
+
+
 def bbox_join(left: DataFrame, right: DataFrame, margin: float = 0.0, *, left_geom=Point(),
               right_geom=Box(), how: str = "inner", cell: float | None = None,
               residual: str | None = None, left_key: str | None = None,

@@ -45,7 +45,7 @@ def name_equals_ref(ways: DataFrame, areas: DataFrame) -> DataFrame:
     w = ways.where(F.col("highway").isNotNull() & F.col("ref").rlike(T.REF_PREFIX_PATTERN)
                    & (T.strip_spaces("ref") == T.strip_spaces("name")))
     m = with_midpoint(w).drop("pts", "tags")
-    j = SJ.contains_join(m, areas, point=Point("mx", "my"), polygon=DEPT_POLY, boundary=False)
+    j = SJ.contains_join(m, areas, ("dept",), point=Point("mx", "my"), polygon=DEPT_POLY, boundary=False)
     return j.select("osm_id", "ref", "name", *lonlat_cols("mx", "my"), F.lit("delete name").alias("fix"))
 
 

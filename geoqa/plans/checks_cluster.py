@@ -19,6 +19,7 @@ from geoqa.plans.fixtures import fx, register
 from geoqa.plans.ops_cluster import components_ctes
 from geoqa.plans.ops_joins import COMMUNE_POLY, SEG_S, _communes_poly, band
 from geoqa.plans.registry import query
+from geoqa.session import ensure_checkpoint_dir
 
 
 def geo_seg_rings_within(rings: str, seg: tuple, metres, centre: tuple, scales: tuple) -> str:
@@ -34,7 +35,7 @@ def address_without_road(addresses: DataFrame, communes: DataFrame, highway_segs
     """7170/12: addresses in a commune with no highway within ``planar``
     units and closer than ``fine_m`` m, clustered at ``cluster_d`` per
     department; one row per cluster at its centroid (mean lon/lat)."""
-    a = SJ.contains_join(addresses, communes, polygon=COMMUNE_POLY, polygon_key=("insee",)).select(
+    a = SJ.contains_join(addresses, communes, ("insee",), polygon=COMMUNE_POLY).select(
         "id", "x", "y", "dept")
     a = SJ.with_geo_scales(a, "y")
     geo = SJ.geo_pt_seg_within("l.x", "l.y", ("r.x1", "r.y1", "r.x2", "r.y2"), str(fine_m), "<", scales=SJ.L_SCALES)
@@ -77,8 +78,8 @@ def building_cluster_without_road(buildings: DataFrame, communes: DataFrame, hig
     shape, box = Polygon("rings", ("xmin", "ymin", "xmax", "ymax")), ("xmin", "ymin", "xmax", "ymax")
     b = buildings.withColumn("a", F.expr(LN.area("rings"))).where(F.col("a") > min_area)
     b = b.withColumn("_c0", F.expr(LN.polygon_centroid("rings"))).select("osm_id", "rings", *box, "a", F.col("_c0.x").alias("cx"), F.col("_c0.y").alias("cy"))
-    j = SJ.polygons_intersect_join(b, communes.withColumnRenamed("rings", "crings"), left_geom=shape,
-                                   right_geom=Polygon("crings", COMMUNE_POLY.bbox)).select(*b.columns, "dept")
+    j = SJ.polygons_intersect_join(b.select("osm_id", "rings"), communes.select("insee", "dept", "rings"), left_key=("osm_id",), right_key=("insee",))
+    j = b.join(j.select("osm_id", "dept"), "osm_id").select(*b.columns, "dept")
     j = SJ.with_geo_scales(j, "cy").withColumn("_k", F.struct("osm_id", "dept"))
     geo = geo_seg_rings_within("l.rings", ("r.x1", "r.y1", "r.x2", "r.y2"), fine_m, ("l.cx", "l.cy"), SJ.L_SCALES)
     # the metric is that of the centroid: the radius leaves room for the footprint's extent
@@ -173,7 +174,7 @@ where rn = 1""",
        + (("cent", _C24_CENT), ("hnom", "select distinct o.cleabs, concat('Sentier ', v.name) as nom from fx_official o join fx_vertex v on v.osm_id = o.cleabs and v.k = 0")))
 def c24(spark: SparkSession, sf: str) -> DataFrame:
     register(spark, sf)
-    routes = (inputs.official_lines(spark, sf).select("cleabs", "pts").where("cleabs % 5 in (0, 1)")
+    routes = (inputs.official_lines(spark, sf).where("itineraire IS NOT NULL").select("cleabs", "pts")
               .join(fx(spark, sf, "fx_vertex").where("k = 0").select(
                   F.col("osm_id").alias("cleabs"), F.concat(F.lit("Sentier "), "name").alias("nom")), "cleabs"))
     hk = inputs.osm_way_segments(spark, sf).where("tags['route'] = 'hiking'").select("x1", "y1", "x2", "y2")
@@ -191,8 +192,10 @@ def shifted_boundary_clusters(official_pts: DataFrame, osm_boundaries: DataFrame
     geo = SJ.geo_pt_seg_within("l.x", "l.y", ("r.x1", "r.y1", "r.x2", "r.y2"), str(min_m), scales=SJ.L_SCALES)
     far = SJ.dwithin_join(v, osm_boundaries.withColumnRenamed("insee", "b_insee"), SJ.Ground(min_m),
                           residual=f"l.insee = r.b_insee AND {geo}", how="left_anti")
-    d = F.expr(SJ.geo_pt_seg_d("x", "y", ("x1", "y1", "x2", "y2"), scales=("_sx", "_sy")))
-    dist = far.join(osm_boundaries, "insee").groupBy("insee", "vid").agg(F.min(d).alias("d"))
+    ensure_checkpoint_dir(far.sparkSession)
+    far = far.checkpoint()  # measured and clustered
+    dist = SJ.nearest_join(far, osm_boundaries.withColumnRenamed("insee", "b_insee"), key=("insee", "vid"), by=(("insee", "b_insee"),),
+                           start=4 * min_m, distance=SJ.geo_pt_seg_d("x", "y", ("x1", "y1", "x2", "y2"), scales=("_sx", "_sy")), scale="least(_sx, _sy)")
     worst = dist.groupBy("insee").agg(F.max("d").alias("dmax"))
     c = CL.cluster_within(far, cluster_d, id_col="vid", group_by=("insee",))
     m = CL.cluster_centroid(c, keys=("insee", "nom"))

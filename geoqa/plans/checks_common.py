@@ -31,7 +31,7 @@ def geohash_col(x: str, y: str) -> F.Column:
 
 
 def geohash_sql(x: str, y: str) -> str:
-    return f"{crs.geohash(crs.lon_of(x), crs.lat_of(y), 20)} AS geohash"
+    return f"{crs.geohash_ansi(crs.lon_of(x), crs.lat_of(y), 20)} AS geohash"
 
 
 def with_midpoint(lines: DataFrame, pts: str = "pts", frac: str = "0.5", x: str = "mx", y: str = "my") -> DataFrame:

@@ -93,7 +93,7 @@ def missing_road(lines: DataFrame, areas: DataFrame, highway_segs: DataFrame, co
     'Route a...') with the midpoint in an area and no highway near them."""
     sel = lines.where((F.col("importance") < "3") | (F.col("nature").like("Route à%") & (F.col("nom") != "")))
     m = with_midpoint(sel)
-    inside = SJ.contains_join(m.select("cleabs", "mx", "my"), areas, point=Point("mx", "my"), polygon=DEPT_POLY)
+    inside = SJ.contains_join(m.select("cleabs", "mx", "my"), areas, ("dept",), point=Point("mx", "my"), polygon=DEPT_POLY)
     sel = sel.join(inside.select("cleabs").distinct(), "cleabs", "left_semi")  # one row per road
     pairs = two_stage_pairs(sel, highway_segs, line_id="cleabs", way_id="osm_id", coarse=coarse, fine_m=fine_m)
     lonely = with_midpoint(sel.join(pairs.select("cleabs").distinct(), "cleabs", "left_anti"))
@@ -113,7 +113,7 @@ def c18(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- C22
 WATER_SQL = """
-select distinct o.cleabs, case when o.nature = 'Route' then 'En service' else 'En projet' end as etat,
+select distinct o.cleabs, case when o.nature like 'Route%' then 'En service' else 'En projet' end as etat,
        case when o.cleabs % 2 = 0 then concat('W', cast(o.cleabs as string)) end as code, v.name as toponyme
 from fx_official o join fx_vertex v on v.osm_id = o.cleabs and v.k = 0"""
 
@@ -147,7 +147,7 @@ def cadastre_name_without_road(cad: DataFrame, communes: DataFrame, ways: DataFr
     bx = LN.bbox("pts")
     m = with_midpoint(c).select("cleabs", "nom", "mx", "my", *[F.expr(e).alias(n) for e, n in
                                                               zip(bx, ("lx0", "ly0", "lx1", "ly1"))])
-    m = SJ.contains_join(m, communes, point=Point("mx", "my"), polygon=COMMUNE_POLY).select(*m.columns)
+    m = SJ.contains_join(m, communes, ("insee",), point=Point("mx", "my"), polygon=COMMUNE_POLY).select(*m.columns)
     m = SJ.with_geo_scales(m, "my")
     h = ways.where("highway IS NOT NULL")
     wb = h.select("osm_id", *[F.expr(e).alias(n) for e, n in zip(bx, ("wx0", "wy0", "wx1", "wy1"))])
@@ -208,6 +208,7 @@ def cadastre_street_without_road(centres: DataFrame, register_: DataFrame, way_l
     by_cen = by_cen.join(segs.select("osm_id", "x1", "y1", "x2", "y2"), "osm_id").where(
         F.expr(G.pt_seg_within("x", "y", "x1", "y1", "x2", "y2", str(line_coarse)))).select("fantoir")
     geo_area = (f"({G.pt_in_polygon('l.x', 'l.y', 'r.rings')} OR {SJ.geo_pt_rings_d('l.x', 'l.y', 'r.rings', scales=SJ.L_SCALES)} < {dist_m})")
+    areas = areas.where("highway IS NOT NULL").select("rings", "xmin", "ymin", "xmax", "ymax")
     by_area = SJ.dwithin_join(v, areas, SJ.Ground(dist_m, ("ymin", "ymax"), planar=area_coarse),
                               right_geom=Polygon("rings", ("xmin", "ymin", "xmax", "ymax")), residual=geo_area)
     matched = by_line.unionByName(by_cen).unionByName(by_area.select("fantoir"))
@@ -223,8 +224,8 @@ _C12_CEN = SJ.geo_pt_pt_within("v.x", "v.y", "g.gx", "g.gy", "20.0", "<")
 _C12_EDGE = f"""
 select v.fantoir, e.osm_id, (e.x1 - v.x) * {crs.scale_e('v.y')} as x1, (e.y1 - v.y) * {crs.scale_n('v.y')} as y1,
        (e.x2 - v.x) * {crs.scale_e('v.y')} as x2, (e.y2 - v.y) * {crs.scale_n('v.y')} as y2
-from vo v join hb b on b.osm_id % 20 = 0 and v.x between b.bx0 - 25 and b.bx1 + 25 and v.y between b.by0 - 25 and b.by1 + 25
-join fx_house_e e on e.osm_id = b.osm_id"""
+from vo v join hb b on v.x between b.bx0 - 25 and b.bx1 + 25 and v.y between b.by0 - 25 and b.by1 + 25
+join fx_building a on a.osm_id = b.osm_id and a.highway is not null join fx_house_e e on e.osm_id = b.osm_id"""
 
 
 @query("c12_cadastre_street_without_road", f"""
@@ -236,7 +237,8 @@ and not exists (select 1 from g_cen g where g.highway is not null
                 and g.gx between v.x - 25 and v.x + 25 and g.gy between v.y - 25 and v.y + 25 and {_C12_CEN}
                 and exists (select 1 from fx_segment s where s.osm_id = g.osm_id and {G.pt_seg_within('v.x', 'v.y', *SEG_S, '100.0')}))
 and v.fantoir not in (select fantoir from ae where {inputs.clamp_d2_sql('0.0', '0.0', 'ae')} < 400.0)
-and not exists (select 1 from hb b where b.osm_id % 20 = 0 and v.x between b.bx0 and b.bx1 and v.y between b.by0 and b.by1
+and not exists (select 1 from hb b join fx_building a on a.osm_id = b.osm_id and a.highway is not null
+                where v.x between b.bx0 and b.bx1 and v.y between b.by0 and b.by1
                 and {inputs.in_house_sql('v.x', 'v.y', 'b.osm_id')})""",
        inputs.HOUSE_CTES + (("vo", VOIRIE_SQL), ("fa", FANTOIR_SQL), ("ae", _C12_EDGE), ("g_cen", """
 select s.osm_id, max(s.highway) as highway, sum(len * (x1 + x2) / 2) / sum(len) as gx, sum(len * (y1 + y2) / 2) / sum(len) as gy
@@ -244,12 +246,12 @@ from (select *, sqrt(cast((x2-x1)*(x2-x1)+(y2-y1)*(y2-y1) as double)) as len fro
 def c12(spark: SparkSession, sf: str) -> DataFrame:
     register(spark, sf)
     ways = inputs.osm_ways(spark, sf).where("highway IS NOT NULL").select("osm_id", "pts")
-    areas = inputs.house_footprints(spark, sf).where("osm_id % 20 = 0").select("rings", "xmin", "ymin", "xmax", "ymax")
+    areas = inputs.house_footprints(spark, sf)
     return cadastre_street_without_road(spark.sql(VOIRIE_SQL), spark.sql(FANTOIR_SQL), ways, areas)
 
 
 # ---------------------------------------------------------------- C25
-HIKE_SQL = "select cleabs, k, x, y from fx_official where cleabs % 5 in (0, 1)"
+HIKE_SQL = "select cleabs, k, x, y from fx_official where itineraire is not null"
 
 
 def missing_path_vertex(vertices: DataFrame, highway_segs: DataFrame, planar: float = 200.0, fine_m: float = 25.0) -> DataFrame:
@@ -279,7 +281,7 @@ def poi_near_building(pois: DataFrame, communes: DataFrame, buildings: DataFrame
     """7170/60: shops in a commune, outside every building, but within
     ``dist`` of one; reports the smallest ground distance (m, 2 decimals)."""
     p = pois.where(F.col("shop").isNotNull() & ~F.col("shop").isin(*T.EXCLUDED_SHOPS))
-    p = SJ.contains_join(p, communes, polygon=COMMUNE_POLY).select(*p.columns).distinct()
+    p = SJ.contains_join(p, communes, ("insee",), polygon=COMMUNE_POLY).select(*p.columns).distinct()
     b = buildings.select("rings", "xmin", "ymin", "xmax", "ymax")
     shape = Polygon("rings", ("xmin", "ymin", "xmax", "ymax"))
     p = SJ.dwithin_join(p, b, 0, right_geom=shape, how="left_anti")
@@ -323,18 +325,19 @@ select osm_id as id, x, y, 'Enedis' as operator from fx_poi
 union all select 10000000 + osm_id as id, x0 + 4 as x, y0 + 2 as y, 'Enedis' as operator from fx_building where osm_id % 3 = 0"""
 
 
-def substation_to_import(stations: DataFrame, communes: DataFrame, buildings: DataFrame, underground: DataFrame,
+def substation_to_import(stations: DataFrame, communes: DataFrame, buildings: DataFrame, way_segs: DataFrame,
                          area_max: float = 50.0, near: float = 50.0) -> DataFrame:
     """8280/94: distribution stations inside a small, not yet tagged
     building; the suggested fix depends on an underground line within
     ``near`` (flag, no row multiplication) and on the ground area."""
-    s = SJ.contains_join(stations, communes, polygon=COMMUNE_POLY).select(*stations.columns).distinct()
+    s = SJ.contains_join(stations, communes, ("insee",), polygon=COMMUNE_POLY).select(*stations.columns).distinct()
     b = buildings.where(F.col("building").isNotNull() & (F.coalesce("wall", F.lit("")) != "no")
                         & (F.col("power").isNull() | (F.col("power") != "substation")
                            | (F.col("substation") != "minor_distribution"))
                         & (F.expr(LN.area("rings")) < area_max))
-    sb = SJ.contains_join(s, b.select(F.col("osm_id").alias("bid"), F.col("rings").alias("footprint"), "xmin", "ymin", "xmax", "ymax"),
-                          polygon=Polygon("footprint", ("xmin", "ymin", "xmax", "ymax")))
+    shapes = b.select(F.col("osm_id").alias("bid"), F.col("rings").alias("footprint"))
+    sb = SJ.contains_join(s, shapes, ("bid",), polygon=Polygon("footprint")).join(shapes, "bid")
+    underground = way_segs.where("tags['location'] = 'underground'").select("x1", "y1", "x2", "y2")
     flag = SJ.dwithin_join(s, underground, near, how="left_semi").select("id", F.lit(True).alias("underground"))
     sb = sb.join(flag, "id", "left")
     sb = sb.withColumn("c", F.expr(LN.polygon_centroid("footprint")))
@@ -358,7 +361,7 @@ from st p join hb b on p.x between b.bx0 and b.bx1 and p.y between b.by0 and b.b
 join hs on hs.osm_id = b.osm_id
 join bt t on t.osm_id = b.osm_id
 left join (select distinct p2.id, true as flag from st p2 join fx_segment s on {G.pt_seg_within('p2.x', 'p2.y', *SEG_S, '50')}
-           where s.osm_id % 4 = 1) u on u.id = p.id
+           join fx_way w on w.osm_id = s.osm_id where w.location = 'underground') u on u.id = p.id
 where t.building is not null and coalesce(t.wall, '') <> 'no'
 and (t.power is null or t.power <> 'substation' or t.substation <> 'minor_distribution') and hs.area < 50
 and exists (select 1 from fx_commune c where p.x between c.xmin and c.xmax and p.y between c.ymin and c.ymax)""",
@@ -367,29 +370,24 @@ def c06(spark: SparkSession, sf: str) -> DataFrame:
     register(spark, sf)
     st = spark.sql(STATION_SQL)
     b = inputs.house_footprints(spark, sf).drop("building").join(spark.sql(BLD_TAGS_SQL), "osm_id")
-    ug = inputs.segments(spark, sf).where("osm_id % 4 = 1").select("x1", "y1", "x2", "y2")
-    return substation_to_import(st, _communes_poly(spark, sf), b, ug)
+    return substation_to_import(st, _communes_poly(spark, sf), b, inputs.osm_way_segments(spark, sf))
 
 
 # ---------------------------------------------------------------- C13
 def unimported_buildings(squares: DataFrame, communes: DataFrame, size: float = 500.0) -> DataFrame:
     """7170/50: communes with a vector cadastre where the squares with no
     building outnumber half (integer division) of all squares they cover."""
-    q = squares.select("buildings", (F.col("cx") * size).alias("sx0"), (F.col("cy") * size).alias("sy0"),
-                       (F.col("cx") * size + size).alias("sx1"), (F.col("cy") * size + size).alias("sy1"))
-    j = SJ.contains_join(q, communes, point=Point("sx0", "sy0"), polygon=COMMUNE_POLY)
-    rings = "rings"
-    corners = " AND ".join(G.pt_in_polygon(x, y, rings) for x, y in
-                           (("sx1", "sy0"), ("sx1", "sy1"), ("sx0", "sy1")))
-    no_vertex_inside = (f"NOT exists(flatten({rings}), v -> v.x > sx0 AND v.x < sx1 AND v.y > sy0 AND v.y < sy1)")
-    # a ring edge that runs through the square's inside cuts it, also without a vertex there
-    inner = ("(sx0 + 1e-9)", "(sy0 + 1e-9)", "(sx1 - 1e-9)", "(sy1 - 1e-9)")
-    no_edge_through = f"NOT exists({SJ._edges(rings)}, e -> {G.seg_intersects_box(('e.x1', 'e.y1', 'e.x2', 'e.y2'), inner)})"
-    j = j.where(F.expr(f"{corners} AND {no_vertex_inside} AND {no_edge_through}"))
-    agg = j.groupBy("insee", "osm_id", "name", "rings").agg(
-        F.sum(F.when(F.col("buildings") == 0, 1).otherwise(0)).alias("nb"), F.count("*").alias("total"))
+    communes = communes.where("cadastre = 'VECT'")
+    # the communes cut at the squares' own borders: a square is covered if its piece is full, or no edge runs
+    # through its inside (edges on its border do not) and its reference point lies in the commune
+    pieces = SJ.polygon_pieces(communes.select("insee", "rings"), ["insee"], cell=size).alias("r")
+    inner = (f"(q.cx * {size} + 1e-9)", f"(q.cy * {size} + 1e-9)", f"((q.cx + 1) * {size} - 1e-9)", f"((q.cy + 1) * {size} - 1e-9)")
+    whole = f"(r._full OR (r._in AND NOT exists(r._edges, e -> {G.seg_intersects_box(('e.x1', 'e.y1', 'e.x2', 'e.y2'), inner)})))"
+    q = squares.select("cx", "cy", "buildings").alias("q")
+    j = q.join(pieces, (F.col("q.cx") == F.col("r._cx")) & (F.col("q.cy") == F.col("r._cy")) & F.expr(whole))
+    agg = j.groupBy("insee").agg(F.sum(F.when(F.col("buildings") == 0, 1).otherwise(0)).alias("nb"), F.count("*").alias("total"))
     agg = agg.where((F.col("nb") > 0) & (F.col("nb") > F.floor(F.col("total") / 2)))
-    pos = agg.withColumn("p", F.expr(LN.point_on_surface("rings")))
+    pos = agg.join(communes.select("insee", "osm_id", "name", "rings"), "insee").withColumn("p", F.expr(LN.point_on_surface("rings")))
     return pos.select((-F.col("osm_id")).alias("relation"), "insee", "name", F.col("nb").cast("bigint").alias("nb"),
                       "total", *lonlat_cols("p.x", "p.y"))
 
@@ -400,11 +398,11 @@ select -(c.insee + 1000) as relation, c.insee, n.n_name as name, cast(m.nb as bi
 from (select c.insee, sum(case when q.buildings = 0 then 1 else 0 end) as nb, count(*) as total
       from fx_square q join fx_commune c on q.cx * 500 >= c.xmin and q.cx * 500 + 500 <= c.xmax
                                       and q.cy * 500 >= c.ymin and q.cy * 500 + 500 <= c.ymax
-      where c.insee % 3 <> 0 group by c.insee) m
+      where c.cadastre = 'VECT' group by c.insee) m
 join fx_commune c on c.insee = m.insee join nation n on n.n_nationkey = c.insee
 where m.nb > 0 and m.nb > cast(floor(m.total / 2) as bigint)""")
 def c13(spark: SparkSession, sf: str) -> DataFrame:
-    c = _communes_poly(spark, sf).where("insee % 3 <> 0")  # communes with a vector cadastre
+    c = inputs.communes(spark, sf).select("insee", "cadastre", "rings")
     nat = fx(spark, sf, "nation").select(F.col("n_nationkey").alias("insee"), F.col("n_name").alias("name"))
     c = c.join(nat, "insee").withColumn("osm_id", F.col("insee") + 1000)
     return unimported_buildings(fx(spark, sf, "fx_square"), c)

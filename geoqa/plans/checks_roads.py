@@ -38,8 +38,8 @@ def building_without_road(buildings: DataFrame, communes: DataFrame, highways: D
     inside = contains_join(b, communes.select("insee", "rings", "xmin", "ymin", "xmax", "ymax")
                            .withColumnRenamed("xmin", "cxmin").withColumnRenamed("ymin", "cymin")
                            .withColumnRenamed("xmax", "cxmax").withColumnRenamed("ymax", "cymax"),
-                           point=Point("cx", "cy"),
-                           polygon=Polygon("rings", ("cxmin", "cymin", "cxmax", "cymax")), polygon_key=("insee",))
+                           ("insee",), point=Point("cx", "cy"),
+                           polygon=Polygon("rings", ("cxmin", "cymin", "cxmax", "cymax")))
     inside = inside.select("osm_id", "insee", "footprint", "xmin", "ymin", "xmax", "ymax", "cx", "cy")
     lonely = dwithin_join(inside, highways.select("x1", "y1", "x2", "y2"), dist,
                           left_geom=Polygon("footprint", ("xmin", "ymin", "xmax", "ymax")), right_geom=Segment(), how="left_anti",

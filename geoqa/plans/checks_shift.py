@@ -44,7 +44,7 @@ def shifted_admin_vertices(official: DataFrame, osm_boundaries: DataFrame, min_m
 
     official: insee, nom, rings; osm_boundaries: insee, x1, y1, x2, y2.
     Vertices with a boundary segment within ``min_m`` are removed by a grid
-    anti-join; only the (few) remaining ones measure their exact distance.
+    anti-join; the remaining ones look for their nearest segment in growing rings.
     """
     v = official.select("insee", "nom", F.explode(F.flatten("rings")).alias("p")).select(
         "insee", "nom", F.col("p.x").alias("x"), F.col("p.y").alias("y")).distinct()
@@ -52,8 +52,8 @@ def shifted_admin_vertices(official: DataFrame, osm_boundaries: DataFrame, min_m
     geo = SJ.geo_pt_seg_within("l.x", "l.y", ("r.x1", "r.y1", "r.x2", "r.y2"), str(min_m), scales=SJ.L_SCALES)
     far = SJ.dwithin_join(v, osm_boundaries.withColumnRenamed("insee", "b_insee"), SJ.Ground(min_m),
                           residual=f"l.insee = r.b_insee AND {geo}", how="left_anti")
-    d = F.expr(SJ.geo_pt_seg_d("x", "y", ("x1", "y1", "x2", "y2"), scales=("_sx", "_sy")))
-    dist = far.join(osm_boundaries, "insee").groupBy("insee", "nom", "x", "y").agg(F.min(d).alias("d"))
+    dist = SJ.nearest_join(far, osm_boundaries.withColumnRenamed("insee", "b_insee"), key=("insee", "x", "y"), by=(("insee", "b_insee"),),
+                           start=2 * min_m, distance=SJ.geo_pt_seg_d("x", "y", ("x1", "y1", "x2", "y2"), scales=("_sx", "_sy")), scale="least(_sx, _sy)")
     g = dist.groupBy("x", "y").agg(
         F.max(F.round("d", 1)).alias("dist_m"),
         F.array_join(F.array_sort(F.collect_set(F.format_string("%s (%s)", "nom", F.col("insee").cast("string")))),
@@ -85,7 +85,7 @@ def road_ref_or_shift(lines: DataFrame, areas: DataFrame, way_segs: DataFrame, m
     sel = lines.where(F.col("num_route").isNotNull() & ~F.col("nature").isin("Rond-point", "Bretelle")
                       & (F.size("pts") > min_points))
     m = with_midpoint(sel)
-    inside = SJ.contains_join(m.select("cleabs", "mx", "my"), areas, point=Point("mx", "my"), polygon=DEPT_POLY)
+    inside = SJ.contains_join(m.select("cleabs", "mx", "my"), areas, ("dept",), point=Point("mx", "my"), polygon=DEPT_POLY)
     m = m.join(inside.select("cleabs").distinct(), "cleabs", "left_semi")
     sub = m.select("cleabs", "num_route", "precision", "mx", "my",
                    F.explode(F.expr(LN.substring("pts", "0.1", "0.9"))).alias("v"))
@@ -117,18 +117,18 @@ select distinct {geohash_sql('m.x', 'm.y')}, {lonlat_sql('m.x', 'm.y', 7)},
 from (select distinct o.cleabs, o.num_route, o.nature from fx_official o) b
 join o_mid m on m.id = b.cleabs join sv v on v.id = b.cleabs
 where b.num_route is not null and b.nature not in ('Rond-point', 'Bretelle')
-and (select count(*) from fx_official z where z.cleabs = b.cleabs) > 3
+and (select count(*) from fx_dense z where z.cleabs = b.cleabs) > 10
 and exists (select 1 from dep d where m.x between d.xmin and d.xmax and m.y between d.ymin and d.ymax)
 and not exists (select 1 from fx_segment s join fx_way w on w.osm_id = s.osm_id
                 where s.highway is not null and {band('v.x', 'v.y', SEG_S, 12)}
                 and {G.pt_seg_within('v.x', 'v.y', *SEG_S, '50.0')} and {_C19_GEO}
                 and (b.num_route = upper(replace(s.ref, ' ', '')) or w.hw_class like '%_link' or w.junction is not null))""",
-       O_CTES + (("s01", interp_sql("o_cum", "0.1")), ("s09", interp_sql("o_cum", "0.9")), ("sv", _C19_VERTS),
+       line_ctes("o", "fx_dense", "cleabs") + (("s01", interp_sql("o_cum", "0.1")), ("s09", interp_sql("o_cum", "0.9")), ("sv", _C19_VERTS),
                  ("dep", DEPT_SQL)))
 def c19(spark: SparkSession, sf: str) -> DataFrame:
-    lines = _lines_with(spark, sf, BDTOPO_SQL).join(
+    lines = inputs.dense_lines(spark, sf).join(_lines_with(spark, sf, BDTOPO_SQL).drop("pts"), "cleabs").join(
         inputs.official_lines(spark, sf).select("cleabs", "num_route"), "cleabs").withColumn("precision", F.lit("2.5"))
-    return road_ref_or_shift(lines, departments(spark, sf), inputs.osm_way_segments(spark, sf), min_points=3)
+    return road_ref_or_shift(lines, departments(spark, sf), inputs.osm_way_segments(spark, sf))
 
 
 # ---------------------------------------------------------------- C20
@@ -140,7 +140,7 @@ def most_shifted_vertex(ways: DataFrame, areas: DataFrame, official_segs: DataFr
     w = ways.where((F.col("osm_id") > 0) & F.col("highway").rlike(T.MAJOR_HIGHWAY_PATTERN)
                    & ~F.coalesce(F.element_at("tags", "access"), F.lit("")).isin("private", "no"))
     m = with_midpoint(w)
-    inside = SJ.contains_join(m.select("osm_id", "mx", "my"), areas, point=Point("mx", "my"), polygon=DEPT_POLY)
+    inside = SJ.contains_join(m.select("osm_id", "mx", "my"), areas, ("dept",), point=Point("mx", "my"), polygon=DEPT_POLY)
     w = w.join(inside.select("osm_id").distinct(), "osm_id", "left_semi")
     v = (w.select("osm_id", "name", "ref", "highway", F.size("pts").alias("n"), F.posexplode("pts").alias("pos", "p"))
           .where((F.col("pos") > 0) & (F.col("pos") < F.col("n") - 1))

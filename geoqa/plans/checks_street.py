@@ -106,6 +106,24 @@ def _longest_geo(pts: str) -> str:
             f"CASE WHEN cast({d2} AS double) = m_ THEN greatest(t, {g}) ELSE t END))), 1)")
 
 
+#: Vertices up to which all pairs of a way are compared in place; longer ways take their hull first.
+FEW = 32
+
+
+def _ground(p: str, q: str) -> str:
+    my = f"(({p}.y + {q}.y) / 2.0)"
+    return f"sqrt(power(({q}.x - {p}.x) * {crs.scale_e(my)}, 2) + power(({q}.y - {p}.y) * {crs.scale_n(my)}, 2))"
+
+
+def longest_lines(ways: DataFrame) -> DataFrame:
+    """``osm_id, wl``: ground length of the longest vertex-to-vertex line of each way (osm_id, pts).  The ends of the
+    longest line are vertices of the hull, where calipers find them in linear time."""
+    few = ways.where(F.size("pts") <= FEW).select("osm_id", F.expr(_longest_geo("pts")).alias("wl"))
+    many = ways.where(F.size("pts") > FEW).select("osm_id", F.explode("pts").alias("p")).select("osm_id", "p.x", "p.y")
+    hulls = H.convex_hull(many, ("osm_id",))
+    return few.unionByName(hulls.select("osm_id", F.expr(H.calipers("hull", _ground("p_", "q_"))).alias("wl")))
+
+
 def street_name_check(groups: DataFrame, status: DataFrame, ways: DataFrame, dist: float = 20.0,
                       extent_m: float = 100.0) -> DataFrame:
     """7170/30-33: :func:`street_measures`, then :func:`classify_streets`; streets without a nearby
@@ -138,18 +156,20 @@ def street_measures(groups: DataFrame, status: DataFrame, ways: DataFrame, dist:
                              segs.select("osm_id", "x1", "y1", "x2", "y2"), dist,
                              left_geom=Polygon("hrings", ("hx0", "hy0", "hx1", "hy1")), right_geom=Segment())
              .select("fantoir", "voie", "osm_id").distinct())
-    # the extent of a way counts only where it is a group's one way (or one nameless way): once per matched way
-    extent = pairs.select("osm_id").distinct().join(hw.select("osm_id", "name", "pts"), "osm_id").select(
-        "osm_id", "name", F.expr(_longest_geo("pts")).alias("wl"))
-    named = pairs.join(extent, "osm_id").persist(StorageLevel.MEMORY_AND_DISK)
+    named = pairs.join(hw.select("osm_id", "name"), "osm_id").persist(StorageLevel.MEMORY_AND_DISK)
     sid = F.col("osm_id").cast("string")
     agg = named.groupBy("fantoir", "voie").agg(
         F.array_join(F.array_sort(F.collect_list(sid)), ",").alias("id"),
         F.array_join(F.array_sort(F.collect_list(F.when(F.col("name").isNull(), sid))), ",").alias("id_noname"),
         F.max("name").alias("name"),
         F.array_join(F.array_sort(F.collect_list("name")), ";").alias("names"),
-        F.when(F.count("*") == 1, F.max("wl")).alias("l_ways"),
-        F.when(F.count(F.when(F.col("name").isNull(), 1)) == 1, F.max(F.when(F.col("name").isNull(), F.col("wl")))).alias("l_ways_noname"))
+        F.when(F.count("*") == 1, F.max("osm_id")).alias("one"),
+        F.when(F.count(F.when(F.col("name").isNull(), 1)) == 1, F.max(F.when(F.col("name").isNull(), F.col("osm_id")))).alias("one_noname"))
+    # the extent of a way counts only where it is a group's one way, or its one nameless way
+    asked = agg.select(F.explode(F.array("one", "one_noname")).alias("osm_id")).where("osm_id IS NOT NULL").distinct()
+    extent = longest_lines(asked.join(hw.select("osm_id", "pts"), "osm_id"))
+    agg = (agg.join(extent.select(F.col("osm_id").alias("one"), F.col("wl").alias("l_ways")), "one", "left")
+              .join(extent.select(F.col("osm_id").alias("one_noname"), F.col("wl").alias("l_ways_noname")), "one_noname", "left"))
     agg = (agg.withColumn("id_noname", F.when(F.col("id_noname") != "", F.col("id_noname")))
               .withColumn("names", F.when(F.col("names") != "", F.col("names"))))
 
@@ -178,7 +198,7 @@ def street_measures(groups: DataFrame, status: DataFrame, ways: DataFrame, dist:
           .withColumn("c", cen)
           .withColumn("l", F.col("slb") / F.col("sl")).withColumn("l2", F.col("sg") - F.col("sgh"))
           .withColumn("l_noname", F.col("nslb") / F.col("nsl")).withColumn("l2_noname", F.col("nsg") - F.col("nsgh"))
-          .withColumn("l_geom", F.expr(_longest_geo("hull")))
+          .withColumn("l_geom", F.expr(H.calipers("hull", _ground("p_", "q_"))))
           .withColumn("voie_c", F.replace("voie", F.lit('"'), F.lit("")))
           .withColumn("names_c", F.replace("names", F.lit('"'), F.lit(""))))
 
@@ -205,7 +225,7 @@ def classify_streets(j: DataFrame, extent_m: float = 100.0) -> DataFrame:
     return out.select("fantoir", F.col("voie_c").alias("voie"), "class", "way", *lonlat_cols("c.x", "c.y"), "l", "l_noname")
 
 
-_C2_STATUS = f"select distinct ({_FANTOIR_TXT.format(k='osm_id')}) as fantoir from fx_vertex where osm_id % 10 = 3"
+_C2_STATUS = f"select distinct ({_FANTOIR_TXT.format(k='fantoir')}) as fantoir from fx_status where statut = 5"
 _C2_WAYS = ("select osm_id, case when osm_id % 10 = 7 then null else name end as name, hw_class as highway "
             "from fx_way where hw_class is not null")
 

@@ -22,7 +22,8 @@ FIXTURE_SQL: dict[str, str] = {
     # buildings: rectangles x0,y0 (lower-left), width w, height h
     "fx_building": """
 select c_custkey as osm_id, (c_custkey*7919)%19997 as x0, (c_custkey*104729)%20011 as y0,
-       6+c_custkey%17 as w, 5+c_custkey%13 as h from customer""",
+       6+c_custkey%17 as w, 5+c_custkey%13 as h,
+       case when c_custkey%20=0 then 'pedestrian' end as highway from customer""",
     # 4-vertex ways; highway is null for one in five
     "fx_vertex": """
 select p_partkey as osm_id, k, (p_partkey*6101)%19997 + k*(20+p_partkey%31) as x,
@@ -38,7 +39,8 @@ from fx_vertex a join fx_vertex b on a.osm_id=b.osm_id and b.k=a.k+1""",
     "fx_commune": """
 select n_nationkey as insee, n_nationkey%5 as dept, (n_nationkey%5)*4003 as xmin,
        cast(floor(n_nationkey/5) as bigint)*4003 as ymin, (n_nationkey%5)*4003+4003 as xmax,
-       cast(floor(n_nationkey/5) as bigint)*4003+4003 as ymax from nation""",
+       cast(floor(n_nationkey/5) as bigint)*4003+4003 as ymax,
+       case when n_nationkey%3=0 then 'IMAG' else 'VECT' end as cadastre from nation""",
     # address points with a street key
     "fx_address": """
 select o_orderkey as id, (o_orderkey*7919)%19997 as x, (o_orderkey*15485863)%20011 as y,
@@ -48,9 +50,18 @@ select o_orderkey as id, (o_orderkey*7919)%19997 as x, (o_orderkey*15485863)%200
 select osm_id as cleabs, k, x+(osm_id*13+k*7)%31-15 as x, y+(osm_id*17+k*11)%29-14 as y,
        cast(1+osm_id%12 as varchar(2)) as nb_voies, replace(ref,' ','') as num_route,
        cast(1+osm_id%6 as varchar(1)) as importance,
-       case when osm_id%11=0 then 'Rond-point' else 'Route' end as nature,
-       case when osm_id%10=7 then 'En projet' when osm_id%37=4 then null else 'En service' end as etat
+       case when osm_id%11=0 then 'Rond-point' when osm_id%29=3 then 'Bretelle' when osm_id%4=1 then 'Route à 1 chaussée'
+            else 'Route' end as nature,
+       case when osm_id%10=7 then 'En projet' when osm_id%37=4 then null else 'En service' end as etat,
+       case when osm_id%5 in (0, 1) then 'PDIPR' end as itineraire
 from fx_vertex where osm_id%3<>0""",
+    # half of the official lines with four times as many vertices
+    "fx_dense": """
+select a.cleabs, a.k*4+t.j as k, a.x+(b.x-a.x)*t.j/4.0 as x, a.y+(b.y-a.y)*t.j/4.0 as y
+from fx_official a join fx_official b on a.cleabs=b.cleabs and b.k=a.k+1 cross join (values (0),(1),(2),(3)) as t(j)
+where a.cleabs%2=0
+union all select cleabs, case when cleabs%2=0 then 12 else k end as k, cast(x as double) as x, cast(y as double) as y
+from fx_official where cleabs%2=1 or k=3""",
     # shops in or just right of the building with the same number
     "fx_poi": """
 select s_suppkey as osm_id, (s_suppkey*7919)%19997+6+s_suppkey%17+s_suppkey%40-10 as x,
@@ -75,6 +86,9 @@ select osm_id as fantoir,
        case when osm_id%13=0 then upper(name) when osm_id%4=0 then name else concat('Rue ',name) end as voie,
        case when osm_id%7=0 then 'CADASTRE' else 'BAN' end as source,
        x+(k*7+osm_id)%19-9 as x, y+(k*5+osm_id)%17-8 as y from fx_vertex""",
+    # what contributors said about a street; 5: handled
+    "fx_status": """
+select p_partkey as fantoir, case when p_partkey%10=3 then 5 else p_partkey%5 end as statut from part""",
     # one row per OSM way with the tags the checks read (NULL = tag absent)
     "fx_way": """
 select osm_id, highway,
@@ -89,7 +103,8 @@ select osm_id, highway,
        case when osm_id%3=1 then 'stream' end as waterway,
        case when osm_id%4=2 then 'hiking' end as route,
        case when osm_id%13=5 then 'roundabout' end as junction,
-       case when osm_id%17=4 then 'private' when osm_id%17=8 then 'no' end as access
+       case when osm_id%17=4 then 'private' when osm_id%17=8 then 'no' end as access,
+       case when osm_id%4=1 then 'underground' when osm_id%4=3 then 'overhead' end as location
 from (select distinct osm_id, highway, name, ref from fx_vertex) v""",
 }
 

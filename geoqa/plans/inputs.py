@@ -24,7 +24,7 @@ def buildings(spark: SparkSession, sf: str) -> DataFrame:
 def communes(spark: SparkSession, sf: str) -> DataFrame:
     """insee, dept, rings (polygon) and its bbox."""
     return fx(spark, sf, "fx_commune").select(
-        "insee", "dept", "xmin", "ymin", "xmax", "ymax",
+        "insee", "dept", "cadastre", "xmin", "ymin", "xmax", "ymax",
         F.expr(G.box_rings("xmin", "ymin", "xmax", "ymax")).alias("rings"))
 
 
@@ -63,9 +63,16 @@ def official_lines(spark: SparkSession, sf: str) -> DataFrame:
     return (v.groupBy("cleabs")
              .agg(F.sort_array(F.collect_list(F.struct("k", "x", "y"))).alias("_p"),
                   F.first("nb_voies").alias("nb_voies"), F.first("num_route").alias("num_route"),
-                  F.first("importance").alias("importance"), F.first("nature").alias("nature"), F.first("etat").alias("etat"))
+                  F.first("importance").alias("importance"), F.first("nature").alias("nature"), F.first("etat").alias("etat"),
+                  F.first("itineraire").alias("itineraire"))
              .select("cleabs", F.expr("transform(_p, p -> named_struct('x', p.x, 'y', p.y))").alias("pts"),
-                     "nb_voies", "num_route", "importance", "nature", "etat"))
+                     "nb_voies", "num_route", "importance", "nature", "etat", "itineraire"))
+
+
+def dense_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Official roads as lines, half of them with more than ten vertices: cleabs, pts."""
+    v = fx(spark, sf, "fx_dense").groupBy("cleabs").agg(F.sort_array(F.collect_list(F.struct("k", "x", "y"))).alias("_p"))
+    return v.select("cleabs", F.expr("transform(_p, p -> named_struct('x', p.x, 'y', p.y))").alias("pts"))
 
 
 def osm_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -114,7 +121,7 @@ from fx_house_v a join fx_house_v b on a.osm_id = b.osm_id and a.ring = b.ring a
 
 
 def houses(spark: SparkSession, sf: str) -> DataFrame:
-    return fx(spark, sf, "fx_building").select("osm_id", F.expr(HOUSE_RINGS).alias("rings"))
+    return fx(spark, sf, "fx_building").select("osm_id", "highway", F.expr(HOUSE_RINGS).alias("rings"))
 
 
 def house_footprints(spark: SparkSession, sf: str) -> DataFrame:
@@ -154,7 +161,7 @@ def clamp_d2_sql(px: str, py: str, e: str) -> str:
     return (f"(power({px} - {e}.x1 - {t} * ({e}.x2 - {e}.x1), 2) + power({py} - {e}.y1 - {t} * ({e}.y2 - {e}.y1), 2))")
 
 
-TAG_KEYS = ("lanes", "old_ref", "nat_ref", "power", "waterway", "route", "junction", "access")
+TAG_KEYS = ("lanes", "old_ref", "nat_ref", "power", "waterway", "route", "junction", "access", "location")
 
 
 def osm_ways(spark: SparkSession, sf: str) -> DataFrame:

@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 from geoqa.functions import crs
 from geoqa.functions import lines as LN
+from geoqa.functions.geodesic import geodesic_distance as geodesic_distance_exact
 from geoqa.plans import inputs
-from geoqa.plans.fixtures import fx
+from geoqa.plans.fixtures import fx, register
 from geoqa.plans.registry import query
+from geoqa.session import ship_package
 
 E = F.expr
 
@@ -66,8 +68,40 @@ def geodesic_distance(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("id", F.round(E(_GEO_D), 3).alias("meters"))
 
 
+# every address to a place up to 11,000 km away, on both hemispheres; the oracle iterates in SQL
+_FAR_SQL = "select id, lon as lon1, lat as lat1, lon + id % 120 - 60 as lon2, lat - id % 97 as lat2 from fx_lonlat"
+_FLAT = f"(1 - {crs.WGS84_F!r})"
+_GI_START = f"""
+select id, radians(abs(lon2 - lon1)) as l, radians(abs(lon2 - lon1)) as lam,
+       sin(atan({_FLAT} * tan(radians(lat1)))) as s1, cos(atan({_FLAT} * tan(radians(lat1)))) as c1,
+       sin(atan({_FLAT} * tan(radians(lat2)))) as s2, cos(atan({_FLAT} * tan(radians(lat2)))) as c2 from gi_far"""
+
+
+def _gi_step(before: str) -> str:
+    return f"""
+select id, l, s1, c1, s2, c2, ss, cs, sg, ca2, c2m, l + (1 - cc) * {crs.WGS84_F!r} * sa * (sg + cc * ss * (c2m + cc * cs * (2 * c2m * c2m - 1))) as lam
+from (select *, {crs.WGS84_F!r} / 16 * ca2 * (4 + {crs.WGS84_F!r} * (4 - 3 * ca2)) as cc, case when ca2 > 1e-15 then cs - 2 * s1 * s2 / ca2 else 0 end as c2m
+  from (select *, 1 - sa * sa as ca2 from (select *, case when ss > 0 then c1 * c2 * sin(lam) / ss else 0 end as sa, atan2(ss, cs) as sg
+    from (select id, l, lam, s1, c1, s2, c2, sqrt(power(c2 * sin(lam), 2) + power(c1 * s2 - s1 * c2 * cos(lam), 2)) as ss, s1 * s2 + c1 * c2 * cos(lam) as cs from {before}) a) b) c) d"""
+
+
+_GI_CTES = (("gi_far", _FAR_SQL), ("gi0", _GI_START), *((f"gi{i}", _gi_step(f"gi{i - 1}")) for i in range(1, 13)), ("gi_u", f"""
+select *, ca2 * {crs.WGS84_F * (2 - crs.WGS84_F) / (1 - crs.WGS84_F) ** 2!r} as u from gi12"""))
+
+
+@query("geodesic_inverse", f"""
+select id, round({crs.WGS84_A} * {_FLAT} * (1 + u / 16384 * (4096 + u * (-768 + u * (320 - 175 * u)))) * (sg - b * ss * (c2m + b / 4 * (
+         cs * (2 * c2m * c2m - 1) - b / 6 * c2m * (4 * ss * ss - 3) * (4 * c2m * c2m - 3)))), 2) as meters
+from (select *, u / 1024 * (256 + u * (-128 + u * (74 - 47 * u))) as b from gi_u) z""", _GI_CTES)
+def geodesic_inverse(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact distances for any range (Arrow batches of numpy)."""
+    register(spark, sf)
+    ship_package(spark)
+    return spark.sql(_FAR_SQL).select("id", F.round(geodesic_distance_exact("lon1", "lat1", "lon2", "lat2"), 2).alias("meters"))
+
+
 # ------------------------------------------------------------------ G15
-@query("geohash", f"select id, {crs.geohash('lon', 'lat', 20)} as geohash from fx_lonlat")
+@query("geohash", f"select id, {crs.geohash_ansi('lon', 'lat', 20)} as geohash from fx_lonlat")
 def geohash(spark: SparkSession, sf: str) -> DataFrame:
     p = fx(spark, sf, "fx_lonlat")
     return p.select("id", E(crs.geohash("lon", "lat", 20)).alias("geohash"))

@@ -45,7 +45,7 @@ select a.id, c.insee from fx_address a join fx_commune c
 on a.x between c.xmin and c.xmax and a.y between c.ymin and c.ymax""")
 def point_in_polygon(spark: SparkSession, sf: str) -> DataFrame:
     a = inputs.addresses(spark, sf).select("id", "x", "y")
-    j = SJ.contains_join(a, _communes_poly(spark, sf), polygon=COMMUNE_POLY, boundary=True, polygon_key=("insee",))
+    j = SJ.contains_join(a, _communes_poly(spark, sf), ("insee",), polygon=COMMUNE_POLY, boundary=True)
     return j.select("id", "insee")
 
 
@@ -54,7 +54,7 @@ select a.id, c.insee from fx_address a join fx_commune c
 on a.x > c.xmin and a.x < c.xmax and a.y > c.ymin and a.y < c.ymax""")
 def strict_contains(spark: SparkSession, sf: str) -> DataFrame:
     a = inputs.addresses(spark, sf).select("id", "x", "y")
-    j = SJ.contains_join(a, _communes_poly(spark, sf), polygon=COMMUNE_POLY, boundary=False, polygon_key=("insee",))
+    j = SJ.contains_join(a, _communes_poly(spark, sf), ("insee",), polygon=COMMUNE_POLY, boundary=False)
     return j.select("id", "insee")
 
 
@@ -91,6 +91,16 @@ def nearest_vertex(spark: SparkSession, sf: str) -> DataFrame:
     return best.select("cleabs", "k", "osm_id", F.round("d", 6).alias("dist"))
 
 
+@query("nearest_any", f"""
+select p.osm_id, round(sqrt(min({G.pt_seg_d2('p.x', 'p.y', *SEG_S)})), 6) as dist
+from fx_poi p cross join fx_segment s where s.highway is not null group by p.osm_id""")
+def nearest_any(spark: SparkSession, sf: str) -> DataFrame:
+    """Distance of every shop to its nearest highway, however far (rings of cells that grow)."""
+    p = fx(spark, sf, "fx_poi").select("osm_id", "x", "y")
+    s = inputs.highways(spark, sf).select("x1", "y1", "x2", "y2")
+    return SJ.nearest_join(p, s, key=("osm_id",), start=50.0).select("osm_id", F.round("d", 6).alias("dist"))
+
+
 # ------------------------------------------------------------------ A5
 @query("dwithin_anti", f"""
 select a.id from fx_address a where not exists (
@@ -155,17 +165,17 @@ where exists (select 1 from fx_house_e e where e.osm_id = h.osm_id
        (("fx_house_v", inputs.HOUSE_VERTEX_SQL), ("fx_house_e", inputs.HOUSE_EDGE_SQL)))
 def polygon_intersects(spark: SparkSession, sf: str) -> DataFrame:
     h = inputs.houses(spark, sf)
-    return SJ.polygons_intersect_join(h, _communes_poly(spark, sf), left_geom=Polygon("rings"),
+    return SJ.polygons_intersect_join(h, _communes_poly(spark, sf), left_key=("osm_id",), right_key=("insee",),
                                       right_geom=COMMUNE_POLY).select("osm_id", "insee")
 
 
 # ------------------------------------------------------------------ L1
 @query("anti_key", """
 select distinct a.fantoir, a.voie from fx_street_address a
-where a.fantoir not in (select osm_id from fx_vertex where osm_id % 10 = 3)""")
+where a.fantoir not in (select fantoir from fx_status where statut = 5)""")
 def anti_key(spark: SparkSession, sf: str) -> DataFrame:
     a = fx(spark, sf, "fx_street_address").select("fantoir", "voie")
-    status = fx(spark, sf, "fx_vertex").where("osm_id % 10 = 3").select(F.col("osm_id").alias("fantoir"))
+    status = fx(spark, sf, "fx_status").where("statut = 5").select("fantoir")
     return a.join(status, "fantoir", "left_anti").distinct()
 
 
@@ -225,13 +235,13 @@ def ref_distance_join(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ L8
 @query("exists_flag", f"""
-select a.id, exists (select 1 from fx_segment s where s.highway is not null and s.osm_id % 4 = 1
+select a.id, exists (select 1 from fx_segment s join fx_way w on w.osm_id = s.osm_id and w.location = 'underground' where s.highway is not null
                      and {G.pt_seg_within('a.x', 'a.y', *SEG_S, '50')}) as near_underground
 from fx_address a""")
 def exists_flag(spark: SparkSession, sf: str) -> DataFrame:
     """Flag each address near (<= 50) an 'underground' line, without
     multiplying rows: semi-join the key set, then a left join adds the flag."""
     a = inputs.addresses(spark, sf).select("id", "x", "y")
-    s = inputs.highways(spark, sf).where("osm_id % 4 = 1").select("x1", "y1", "x2", "y2")
+    s = inputs.osm_way_segments(spark, sf).where("highway IS NOT NULL AND tags['location'] = 'underground'").select("x1", "y1", "x2", "y2")
     near = SJ.dwithin_join(a, s, 50, how="left_semi").select("id", F.lit(True).alias("near_underground"))
     return a.join(near, "id", "left").select("id", F.coalesce("near_underground", F.lit(False)).alias("near_underground"))

@@ -105,7 +105,7 @@ def half_share_having(spark: SparkSession, sf: str) -> DataFrame:
     squares (integer division), two aggregations over one containment join."""
     q = fx(spark, sf, "fx_square").select((F.col("cx") * 500 + 250).alias("x"), (F.col("cy") * 500 + 250).alias("y"),
                                           "buildings")
-    j = SJ.contains_join(q, _communes_poly(spark, sf), polygon=COMMUNE_POLY)
+    j = SJ.contains_join(q, _communes_poly(spark, sf), ("insee",), polygon=COMMUNE_POLY)
     agg = j.groupBy("insee").agg(F.sum(F.when(F.col("buildings") == 0, 1).otherwise(0)).alias("nb"),
                                  F.count("*").alias("total"))
     return agg.where((F.col("nb") > 0) & (F.col("nb") > F.floor(F.col("total") / 2))).select(
@@ -153,7 +153,7 @@ where o.k = 0 and o.num_route like 'D%' group by c.insee""")
 def agg_names_distinct(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct pretty road numbers per commune (``string_agg(distinct ...)``)."""
     o = inputs.official_vertices(spark, sf).where("k = 0 AND num_route LIKE 'D%'").select("num_route", "x", "y")
-    j = SJ.contains_join(o, _communes_poly(spark, sf), polygon=COMMUNE_POLY)
+    j = SJ.contains_join(o, _communes_poly(spark, sf), ("insee",), polygon=COMMUNE_POLY)
     return j.groupBy("insee").agg(
         F.array_join(F.array_sort(F.collect_set(T.pretty_ref("num_route"))), ",").alias("refs"))
 

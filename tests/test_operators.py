@@ -1,6 +1,7 @@
 """Property tests: grid joins against brute force, anti/semi partition the
 input, clustering labels do not depend on partitioning or cell layout."""
 
+import math
 import random
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from geoqa.functions import geom as G
 from geoqa.operators import cluster as CL
+from geoqa.operators import hull as HU
 from geoqa.operators import sjoin as SJ
 from geoqa.operators.sjoin import Box, Point, Segment
 
@@ -109,7 +111,6 @@ def test_classified_cover_equals_bbox_cover(spark):
     """Joining through edge/full cells gives the same pairs as testing
     every point of the bounding box (star-shaped, non-convex polygons with
     a hole, boundary points included)."""
-    import math
     rows = []
     for pid in range(6):
         cx, cy, n = pid * 3000, (pid % 2) * 2500, 10 + pid
@@ -128,7 +129,103 @@ def test_classified_cover_equals_bbox_cover(spark):
     pts += [(10_000 + i, r[1][0][0]["x"], r[1][0][0]["y"]) for i, r in enumerate(rows)]  # vertices
     p = spark.createDataFrame(pts, "id long, x double, y double")
     for boundary in (True, False):
-        plain = {tuple(r) for r in SJ.contains_join(p, polys, boundary=boundary, cell=300.0).select("id", "pid").collect()}
-        classed = {tuple(r) for r in SJ.contains_join(p, polys, boundary=boundary, cell=300.0,
-                                                      polygon_key=("pid",)).select("id", "pid").collect()}
-        assert plain == classed and len(plain) > 100
+        test = G.pt_in_polygon("x", "y", "rings", boundary)  # every pair, whole rings
+        want = {tuple(r) for r in p.crossJoin(polys).where(F.expr(test)).select("id", "pid").collect()}
+        for cell in (300.0, 77.0, 20_000.0):
+            j = SJ.contains_join(p, polys, ("pid",), boundary=boundary, cell=cell)
+            assert "rings" not in j.columns
+            assert {tuple(r) for r in j.select("id", "pid").collect()} == want and len(want) > 100
+        anti = {r.id for r in SJ.contains_join(p, polys, ("pid",), boundary=boundary, how="left_anti", cell=300.0).collect()}
+        assert anti == {r.id for r in p.collect()} - {i for i, _ in want}
+
+
+def test_polygon_of_many_vertices(spark):
+    """50,000 vertices: no piece carries more than its cell's edges, and points near the edge are decided as by the whole ring."""
+    n, r0 = 50_000, 20_000.0
+    angle = [2 * math.pi * i / n for i in range(n)]
+    radius = [r0 + 300 * math.sin(40 * a) + 20 * math.sin(997 * a) for a in angle]
+    pts = [(r * math.cos(a), r * math.sin(a)) for r, a in zip(radius, angle)]
+    ring = [{"x": x, "y": y} for x, y in pts + pts[:1]]
+    poly = spark.createDataFrame([(1, "big", [ring])], "pid long, name string, rings array<array<struct<x:double,y:double>>>")
+    pieces = SJ.polygon_pieces(poly, ["pid"], cell=500.0)
+    sizes = [r[0] for r in pieces.select(F.size("_edges")).where("not _full").collect()]
+    assert max(sizes) < 1000 and pieces.where("_full").count() > 4000
+    rnd = random.Random(4)
+    asked = []
+    for i in range(3000):
+        k = rnd.randrange(n)
+        off = rnd.choice([-400, -5, -0.01, 0.01, 5, 400]) if i % 3 else rnd.uniform(-19_000, 3000)
+        a = angle[k] + math.pi / n  # between two vertices
+        r = (radius[k] + radius[(k + 1) % n]) / 2 + off
+        asked.append((i, r * math.cos(a), r * math.sin(a), off < 0))
+    p = spark.createDataFrame(asked, "id long, x double, y double, inside boolean")
+    got = {r.id for r in SJ.contains_join(p, poly, ("pid",), cell=500.0).select("id", "name").collect()}
+    wrong = [a for a in asked if (a[0] in got) != a[3] and abs(math.hypot(a[1], a[2]) - r0) > 0]
+    # 0.01 units from an edge's middle the curve itself bends by less
+    assert len(wrong) == 0
+
+
+def test_polygons_intersect_as_all_pairs(spark):
+    rnd = random.Random(12)
+
+    def star(cx, cy, r, k):
+        pts = [{"x": round(cx + (r if i % 2 else r * 0.4) * math.cos(math.pi * i / k)) * 1.0, "y": round(cy + (r if i % 2 else r * 0.4) * math.sin(math.pi * i / k)) * 1.0}
+               for i in range(2 * k)]
+        return pts + pts[:1]
+
+    def some(n, size):
+        return [(i, [star(rnd.randint(-3000, 3000), rnd.randint(-3000, 3000), rnd.randint(5, size), rnd.randint(3, 9))]) for i in range(n)]
+
+    schema = "id long, rings array<array<struct<x:double,y:double>>>"
+    a, b = some(60, 900), some(60, 300)
+    square = lambda x0, y0, x1, y1: [{"x": x, "y": y} for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))]
+    a += [(100, [square(0.0, 0.0, 1000.0, 1000.0), square(200.0, 200.0, 800.0, 800.0)])]  # with a hole
+    b += [(100, [square(300.0, 300.0, 700.0, 700.0)]), (101, [square(1000.0, 500.0, 1100.0, 600.0)]), (102, [square(5000.0, 5000.0, 5001.0, 5001.0), square(50.0, 50.0, 60.0, 60.0)])]
+    A, B = spark.createDataFrame(a, schema), spark.createDataFrame(b, schema)
+    edges = f"exists({SJ._edges('l.rings')}, e -> exists({SJ._edges('r.rings')}, f -> {G.seg_intersects(('e.x1', 'e.y1', 'e.x2', 'e.y2'), ('f.x1', 'f.y1', 'f.x2', 'f.y2'))}))"
+    inside = f"{SJ._some_vertex_in('l.rings', 'r.rings')} OR {SJ._some_vertex_in('r.rings', 'l.rings')}"
+    all_ = A.alias("l").crossJoin(B.alias("r")).where(F.expr(f"{edges} OR {inside}")).select("l.id", "r.id")
+    want = {tuple(r) for r in all_.collect()}
+    assert (100, 100) not in want and {(100, 101), (100, 102)} <= want and len(want) > 50
+    for cell in (1000.0, 130.0):
+        got = [tuple(r) for r in SJ.polygons_intersect_join(A, B, left_key=("id",), right_key=("id",), cell=cell).select("id", "r_id").collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_nearest_without_a_radius(spark):
+    p, s = _points(spark, 200, 21, span=20_000), _segments(spark, 60, 22)
+    p = p.withColumn("g", F.expr("case when id % 7 = 0 then 'none' else cast(id % 2 as string) end"))
+    s = s.withColumn("sg", F.expr("cast(sid % 2 as string)"))
+    best = p.join(s, F.expr("g = sg")).groupBy("id").agg(F.min(F.expr(G.pt_seg_d2("x", "y", "x1", "y1", "x2", "y2"))).alias("d2"))
+    want = {r.id: r.d2 for r in best.collect()}
+    p = p.unionByName(spark.createDataFrame([(999, None, 3, "0")], p.schema))  # no place: no row
+    got = {r.id: r.d for r in SJ.nearest_join(p, s, key=("id",), by=(("g", "sg"),), start=40.0).collect()}
+    assert set(got) == set(want) and all(abs(got[i] ** 2 - want[i]) <= 1e-6 * max(1.0, want[i]) for i in want)
+    assert SJ.nearest_join(p.limit(0), s, key=("id",), start=1.0).count() == 0
+    assert SJ.nearest_join(p, s.limit(0), key=("id",), by=(("g", "sg"),), start=1.0).count() == 0
+
+
+def test_commune_of_ten_thousand_shifted_vertices(spark):
+    """All vertices far from their boundary: rings of cells instead of vertices times segments."""
+    n = 10_000
+    circle = lambda r: [(r * math.cos(2 * math.pi * i / n), r * math.sin(2 * math.pi * i / n)) for i in range(n)]
+    outer, inner = circle(30_000.0), circle(29_500.0)
+    p = spark.createDataFrame([(i, x, y, 1) for i, (x, y) in enumerate(outer)], "id long, x double, y double, insee long")
+    s = spark.createDataFrame([(1, *inner[i], *inner[(i + 1) % n]) for i in range(n)], "b long, x1 double, y1 double, x2 double, y2 double")
+    got = SJ.nearest_join(p, s, key=("id",), by=(("insee", "b"),), start=200.0).agg(F.count("*"), F.min("d"), F.max("d")).first()
+    assert got[0] == n and abs(got[1] - 500) < 0.01 and abs(got[2] - 500) < 0.01
+
+
+def test_calipers_equal_all_pairs(spark):
+    rnd = random.Random(31)
+    sets = [(0, [(0, 0), (10, 0), (10, 10), (0, 10)]), (1, [(0, 0), (7, 0), (7, 1), (0, 1)]), (2, [(5, 5)]), (3, [(0, 0), (3, 4)])]
+    sets += [(i, [(rnd.randint(-50, 50), rnd.randint(-50, 50)) for _ in range(rnd.randint(3, 40))]) for i in range(4, 120)]
+    n = 20_000
+    sets.append((500, [(round(1e6 * math.cos(2 * math.pi * i / n)), round(7e5 * math.sin(2 * math.pi * i / n))) for i in range(n)]))
+    pts = spark.createDataFrame([(g, float(x), float(y)) for g, v in sets for x, y in v], "g long, x double, y double")
+    hulls = HU.convex_hull(pts, ("g",))
+    got = {r.g: r.d for r in hulls.select("g", HU.hull_diameter(hulls).alias("d")).collect()}
+    for g, v in sets[:-1]:
+        assert abs(got[g] - max(math.dist(a, b) for a in v for b in v)) < 1e-9
+    wide = [p for p in sets[-1][1] if abs(p[0]) > 999_900]
+    assert abs(got[500] - max(math.dist(a, b) for a in wide for b in wide if a[0] < 0 < b[0])) < 1e-6

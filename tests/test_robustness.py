@@ -38,7 +38,7 @@ def test_polygon_distances(spark):
     meet = lambda d: sorted(r.sid for r in SJ.dwithin_join(segs, p, d, left_geom=Segment(), right_geom=shape).collect())
     assert meet(0) == [2] and meet(1) == [2, 3] and meet(60) == [1, 2, 3]
     other = boxed(spark.createDataFrame([(7, [ring((500, 500), (600, 500), (600, 600)), ring((30, 5), (35, 5), (35, 8))])], RINGS))
-    j = SJ.polygons_intersect_join(p, other.select("id", "rings", "xmin", "ymin", "xmax", "ymax"), left_geom=shape, right_geom=shape)
+    j = SJ.polygons_intersect_join(p, other.select("id", "rings", "xmin", "ymin", "xmax", "ymax"), left_key=("id",), right_key=("id",), left_geom=shape, right_geom=shape)
     assert j.count() == 1  # a later part lies wholly inside
 
 
