@@ -183,6 +183,17 @@ def seg_box_d2(s: tuple, box: tuple) -> str:
     return f"(CASE WHEN {seg_intersects_box(s, box)} THEN 0.0 ELSE least({', '.join(terms)}) END)"
 
 
+# ---------------------------------------------------------------- space-filling order
+def zorder(x: str, y: str, unit: float = 1.0) -> str:
+    """Spark SQL: place of a point on the Z-shaped curve through a grid of ``unit`` (31 bits each, from -2^30 units on).
+    Near places are mostly near on the curve, so files sorted by it have small bounding boxes."""
+    masks = ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555))
+    steps = ", ".join(f"named_struct('k', {k}, 'm', {m}L)" for k, m in masks)
+    number = lambda v: f"(least(greatest(cast(floor(cast({v} AS double) / {float(unit)}) AS bigint) + {1 << 30}L, 0L), {(1 << 31) - 1}L))"
+    spread = lambda v: f"aggregate(array({steps}), {number(v)}, (z_, s_) -> (z_ | shiftleft(z_, s_.k)) & s_.m)"
+    return f"({spread(x)} | shiftleft({spread(y)}, 1))"
+
+
 # ------------------------------------------------------------------ polygons
 def box_rings(xmin, ymin, xmax, ymax) -> str:
     """Rectangle as a one-ring polygon (counter-clockwise, closed)."""

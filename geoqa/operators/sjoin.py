@@ -18,7 +18,6 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -205,21 +204,10 @@ def _extent(g) -> str:
     return f"greatest(({xmax}) - ({xmin}), ({ymax}) - ({ymin}))"
 
 
-def _anchor_cells(df: DataFrame, g, size: float) -> DataFrame:
-    """One cell per row: the cell of the lower-left bbox corner."""
-    xmin, ymin, _, _ = (c.replace("_.", "") for c in bbox_of(g, "_"))
-    return (df.withColumn("_cx", F.expr(grid.cell_of(xmin, size)))
-              .withColumn("_cy", F.expr(grid.cell_of(ymin, size))))
-
-
-def _pairs(l: DataFrame, r: DataFrame, cond, how: str, left: DataFrame, right: DataFrame,
-           single: bool, left_key: str | None, right_prefix: str, dist_sql: str | None,
-           distance_col: str | None) -> DataFrame:
+def _pairs(l: DataFrame, r: DataFrame, cond, how: str, left: DataFrame, right: DataFrame, right_prefix: str,
+           dist_sql: str | None, distance_col: str | None) -> DataFrame:
     if how in ("left_semi", "left_anti"):
-        if single:
-            return l.join(r, cond, how).select([F.col(f"l.`{c}`") for c in left.columns])
-        matched = l.join(r, cond, "inner").select(F.col(f"l.`{left_key}`").alias(left_key)).distinct()
-        return left.join(matched, left_key, how)
+        return l.join(r, cond, how).select([F.col(f"l.`{c}`") for c in left.columns])
     if how != "inner":
         raise ValueError(how)
     _, mapping = _rename_right(left, right, right_prefix)
@@ -269,9 +257,9 @@ def dwithin_join(left: DataFrame, right: DataFrame, dist: float | Ground, *,
 
     Non-point left geometries: rows whose bbox extent is ``<= left_reach``
     are pinned to the cell of their lower-left corner and the right cover is
-    widened by ``left_reach`` (one cell per left row: semi/anti joins stay a
-    single shuffle).  Larger rows use their full bbox cover; their semi/anti
-    result goes through ``left_key``.
+    widened by ``left_reach`` (one cell per left row).  Larger rows use their
+    full bbox cover.  It is one join for all of them; semi and anti joins bring
+    the cells of a row together by ``left_key`` (unique, not null) afterwards.
     """
     size = float(cell or default_cell(dist.typical() if isinstance(dist, Ground) else dist))
     if isinstance(dist, Ground):  # the radius is a column of the right side; the residual decides on the ground
@@ -300,46 +288,33 @@ def dwithin_cells(left: DataFrame, right: DataFrame, dist: float | str, size: fl
     if isinstance(left_geom, Point):
         l = _with_cells(left, left_geom, size, 0.0, keep_min=False).alias("l")
         r = _with_cells(right, right_geom, size, dist, keep_min=False).alias("r")
-        return _pairs(l, r, same_cell & F.expr(pred), how, left, right, True, None,
-                      right_prefix, dsql, distance_col)
+        return _pairs(l, r, same_cell & F.expr(pred), how, left, right, right_prefix, dsql, distance_col)
 
     if how in ("left_semi", "left_anti") and not left_key:
         raise ValueError("semi/anti join of non-point geometries needs left_key")
-    # keep each pair only in the lowest cell the two covers share
-    lowest = (F.col("l._cx") == F.greatest("l._x0", "r._x0")) & (F.col("l._cy") == F.greatest("l._y0", "r._y0"))
-    if left_reach is not None and how == "inner":
-        # one join: small rows pinned to their anchor cell, large rows on their full bbox cover
-        xmin, ymin, xmax, ymax = (c.replace("_.", "") for c in bbox_of(left_geom, "_"))
-        small_cond = F.coalesce(F.expr(f"{_extent(left_geom)} <= {float(left_reach)}"), F.lit(False))
-        anchor = f"array(named_struct('cx', {grid.cell_of(xmin, size)}, 'cy', {grid.cell_of(ymin, size)}))"
-        cells = F.when(F.col("_small"), F.expr(anchor)).otherwise(F.expr(grid.box_cover(xmin, ymin, xmax, ymax, size)))
-        lc = (left.withColumn("_small", small_cond)
-                  .withColumn("_x0", F.expr(grid.cell_of(xmin, size))).withColumn("_y0", F.expr(grid.cell_of(ymin, size)))
-                  .withColumn("_c", F.explode(cells))
-                  .withColumn("_cx", F.col("_c.cx")).withColumn("_cy", F.col("_c.cy")).drop("_c")).alias("l")
-        rc = _with_cells(right, right_geom, size, wider(left_reach), keep_min=True).alias("r")
-        return _pairs(lc, rc, same_cell & (F.col("l._small") | lowest) & F.expr(pred), how, left, right, True,
-                      None, right_prefix, dsql, distance_col)
-    parts = []
-    big = left
-    if left_reach is not None:
-        # semi / anti: the two branches read the left input; compute it once
-        left = left.persist(StorageLevel.MEMORY_AND_DISK)
-        small_cond = F.expr(f"{_extent(left_geom)} <= {float(left_reach)}")
-        small = left.where(small_cond)
-        big = left.where(~small_cond | small_cond.isNull())
-        l = _anchor_cells(small, left_geom, size).alias("l")
-        r = _with_cells(right, right_geom, size, wider(left_reach), keep_min=False).alias("r")
-        parts.append(_pairs(l, r, same_cell & F.expr(pred), how, small, right, True, None,
-                            right_prefix, dsql, distance_col))
-    l = _with_cells(big, left_geom, size, 0.0, keep_min=True).alias("l")
-    r = _with_cells(right, right_geom, size, dist, keep_min=True).alias("r")
-    parts.append(_pairs(l, r, same_cell & lowest & F.expr(pred), how, big, right, False, left_key,
-                        right_prefix, dsql, distance_col))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    # small rows are pinned to their anchor cell (the right cover is wider by their reach), large ones take their bbox cover
+    xmin, ymin, xmax, ymax = (c.replace("_.", "") for c in bbox_of(left_geom, "_"))
+    reach = 0.0 if left_reach is None else float(left_reach)
+    small = F.lit(False) if left_reach is None else F.coalesce(F.expr(f"{_extent(left_geom)} <= {reach}"), F.lit(False))
+    anchor = f"array(named_struct('cx', {grid.cell_of(xmin, size)}, 'cy', {grid.cell_of(ymin, size)}))"
+    cells = F.when(F.col("_small"), F.expr(anchor)).otherwise(F.expr(grid.box_cover(xmin, ymin, xmax, ymax, size)))
+    lc = (left.withColumn("_small", small)
+              .withColumn("_x0", F.expr(grid.cell_of(xmin, size))).withColumn("_y0", F.expr(grid.cell_of(ymin, size)))
+              .withColumn("_cells", cells).withColumn("_n", F.greatest(F.size("_cells"), F.lit(1))))
+    # a row without a place has no cell and no partner: semi and anti joins still see it
+    lc = lc.withColumn("_c", F.explode("_cells") if how == "inner" else F.explode_outer("_cells"))
+    lc = lc.withColumn("_cx", F.col("_c.cx")).withColumn("_cy", F.col("_c.cy")).drop("_c", "_cells").alias("l")
+    rc = _with_cells(right, right_geom, size, wider(reach), keep_min=how == "inner").alias("r")
+    if how == "inner":  # a pair of large rows counts in the lowest cell that their covers share
+        lowest = (F.col("l._cx") == F.greatest("l._x0", "r._x0")) & (F.col("l._cy") == F.greatest("l._y0", "r._y0"))
+        return _pairs(lc, rc, same_cell & (F.col("l._small") | lowest) & F.expr(pred), how, left, right, right_prefix, dsql, distance_col)
+    # a row of several cells has a partner if one of them has, and none if all of them have none
+    got = lc.join(rc, same_cell & F.expr(pred), how)
+    if how == "left_semi":
+        got = got.withColumn("_n", F.lit(1))
+    own = F.struct(*[F.col(f"`{c}`") for c in left.columns])
+    rows = got.groupBy(F.col(f"`{left_key}`").alias("_key")).agg(F.first(own).alias("_row"), F.count("*").alias("_c"), F.max("_n").alias("_n"))
+    return rows.where("_c >= _n").select([F.col(f"_row.`{c}`").alias(c) for c in left.columns])
 
 
 def _edges(rings: str) -> str:

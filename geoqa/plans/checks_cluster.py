@@ -79,8 +79,8 @@ def building_cluster_without_road(buildings: DataFrame, communes: DataFrame, hig
     b = buildings.withColumn("a", F.expr(LN.area("rings"))).where(F.col("a") > min_area)
     b = b.withColumn("_c0", F.expr(LN.polygon_centroid("rings"))).select("osm_id", "rings", *box, "a", F.col("_c0.x").alias("cx"), F.col("_c0.y").alias("cy"))
     j = SJ.polygons_intersect_join(b.select("osm_id", "rings"), communes.select("insee", "dept", "rings"), left_key=("osm_id",), right_key=("insee",))
-    j = b.join(j.select("osm_id", "dept"), "osm_id").select(*b.columns, "dept")
-    j = SJ.with_geo_scales(j, "cy").withColumn("_k", F.struct("osm_id", "dept"))
+    j = b.join(j.select("osm_id", "insee", "dept"), "osm_id").select(*b.columns, "insee", "dept")
+    j = SJ.with_geo_scales(j, "cy").withColumn("_k", F.struct("osm_id", "insee"))
     geo = geo_seg_rings_within("l.rings", ("r.x1", "r.y1", "r.x2", "r.y2"), fine_m, ("l.cx", "l.cy"), SJ.L_SCALES)
     # the metric is that of the centroid: the radius leaves room for the footprint's extent
     lonely = SJ.dwithin_join(j, highway_segs, SJ.Ground(fine_m, planar=coarse, slack=0.01), left_geom=shape, residual=geo, how="left_anti",

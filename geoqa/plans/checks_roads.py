@@ -5,24 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoqa.functions import crs
 from geoqa.functions import geom as G
 from geoqa.functions import lines as LN
 from geoqa.operators.sjoin import Point, Polygon, Segment, contains_join, dwithin_join
 from geoqa.plans import inputs
+from geoqa.plans.checks_common import lonlat_cols, lonlat_sql
 from geoqa.plans.registry import query
 
 
-def lonlat_cols(x: str, y: str, digits: int = 6) -> list:
-    """Mercator point -> rounded ``lon, lat`` report columns."""
-    return [F.round(F.expr(crs.lon_of(x)), digits).alias("lon"),
-            F.round(F.expr(crs.lat_of(y)), digits).alias("lat")]
-
-
-def lonlat_sql(x: str, y: str, digits: int = 6) -> str:
-    return f"round({crs.lon_of(x)}, {digits}) AS lon, round({crs.lat_of(y)}, {digits}) AS lat"
-
-
 # ---------------------------------------------------------------- C9
 def building_without_road(buildings: DataFrame, communes: DataFrame, highways: DataFrame,
                           dist: float = 300.0, building_reach: float = 100.0,

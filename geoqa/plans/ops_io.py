@@ -77,6 +77,13 @@ def materialise_table(spark: SparkSession, sf: str) -> DataFrame:
         .select("osm_id", F.col("insee").cast("int").alias("insee"), "lon", "lat")
 
 
+@query("scan_bbox", "select id, x, y from fx_address where x between 4000 and 6500 and y between 8000 and 10500")
+def scan_bbox(spark: SparkSession, sf: str) -> DataFrame:
+    """A feature table laid out along a space-filling curve, scanned with a bounding box."""
+    t = R.materialise_spatial(fx(spark, sf, "fx_address").select("id", "x", "y"), R.scratch_path(spark, "address-z"), unit=50.0, files=16)
+    return t.where("x between 4000 and 6500 and y between 8000 and 10500")
+
+
 # ---------------------------------------------------------------- S6
 _FRACS = (0.0, 0.25, 0.5, 0.75, 1.0)
 _S6_SQL = " union all ".join(
@@ -126,6 +133,23 @@ def report_xml_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
                     F.col("infos._id").cast("string").alias("anomaly_id"))
 
 
+@query("report_document", f"""
+select k.tag, k.level, k.title, k.resource, r.class, r.n from (
+  select class, count(*) as n from c14r group by class union all select 11, count(*) from ({_C9_SQL}) a) r
+join (values {", ".join(f"({k}, '{t}', {lv}, '{fr.replace(chr(39), chr(39) * 2)}', {'null' if not REP.class_notes(c, k, 'fr')[1] else chr(39) + REP.class_notes(c, k, 'fr')[1] + chr(39)})"
+                        for c, i, k, t, lv, fr, _en in REP.CATALOGUE if c.startswith(("c09", "c14")))}) as k(class, tag, level, title, resource)
+on k.class = r.class""", inputs.HOUSE_CTES + (("c14r", _C14_SQL),))
+def report_document(spark: SparkSession, sf: str) -> DataFrame:
+    """Reports as whole documents (root, class blocks, rows); classes and rows read back from the same files."""
+    path = R.scratch_path(spark, "report-doc")
+    checks = ("c09_building_without_road", "c14_populated_square_no_road")
+    report = c09_report(spark, sf).unionByName(c14_report(spark, sf))
+    REP.write_document(report, REP.class_catalogue(spark), path, checks=checks, timestamp="2026-01-02T03:04:05Z")
+    rows = REP.read_report(spark, path, schema="_class INT").groupBy(F.col("_class").alias("class")).agg(F.count("*").alias("n"))
+    blocks = REP.read_classes(spark, path).distinct()  # every file has the blocks
+    return blocks.join(rows, "class").select("tag", "level", F.col("title_fr").alias("title"), F.col("resource_fr").alias("resource"), "class", "n")
+
+
 # ---------------------------------------------------------------- S8
 @query("report_split", f"""
 select 11 as class, cast(insee % 5 as string) as dept, count(*) as n from ({_C9_SQL}) q group by insee % 5""", inputs.HOUSE_CTES)

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from geoqa.session import ship_package
+
 # The class header of every check (check, item, class, tag,
 # level, French title, English title), as the source checks publish them.
 # Titles with a distance take it from the check's parameter.
@@ -73,6 +75,15 @@ CATALOGUE = [
 DEFAULT_DISTANCES = {"c10_address_without_road": 200, "c11_building_cluster_without_road": 200,
                      "c12_cadastre_street_without_road": 20}
 
+# Fixed values: (example, resource) of a class text where one is published, by (check, class, language).
+CLASS_NOTES = {("c20_most_shifted_vertex", 4, "fr"): (None, "https://geoservices.ign.fr/bdtopo")}
+
+
+def class_notes(check: str, cls: int, lang: str) -> tuple[str | None, str | None]:
+    """(example, resource) of a class text, where it has them."""
+    return CLASS_NOTES.get((check, cls, lang), (None, None))
+
+
 CATALOGUE_SCHEMA = ("check STRING, item INT, class INT, tag STRING, level INT, title_fr STRING, title_en STRING")
 
 REPORT_SCHEMA = T.StructType([
@@ -181,6 +192,66 @@ def write_catalogue(catalogue: DataFrame, path: str, checks: tuple[str, ...] | N
         .save(path))
 
 
+def _class_block(rows: list, notes) -> str:
+    """The ``class`` elements of a document, of (check, item, class, tag, level, French title, English title)."""
+    from xml.sax.saxutils import quoteattr
+    out = []
+    for r in rows:
+        texts = []
+        for lang, title in (("fr", r.title_fr), ("en", r.title_en)):
+            more = "".join(f" {k}={quoteattr(v)}" for k, v in zip(("example", "resource"), notes(r.check, r["class"], lang)) if v)
+            texts.append(f"      <classtext lang={quoteattr(lang)} title={quoteattr(title)}{more}/>")
+        head = f'    <class item="{r["item"]}" tag={quoteattr(r.tag)} id="{r["class"]}" level="{r.level}">'
+        out.append("\n".join([head, *texts, "    </class>"]))
+    return "\n".join(out)
+
+
+def write_document(report: DataFrame, catalogue: DataFrame, path: str, checks: tuple[str, ...], timestamp: str | None = None,
+                   compression: str = "gzip", notes=class_notes) -> None:
+    """S7 + S10: a report as whole documents: root, the class blocks of ``checks``, then the rows.
+
+    Every part file is a document of its own, so they are written in parallel and committed together by
+    Spark's writer, and each can be published alone; the first one exists without rows, too.  The class blocks
+    come from the catalogue (fixed size), with the example and the resource of a class where ``notes`` has them."""
+    classes = catalogue.where(F.col("check").isin(*checks)).orderBy("item", "class", "check").collect()
+    root = f' timestamp="{timestamp}"' if timestamp else ""
+    head = f'<?xml version="1.0" encoding="UTF-8"?>\n<analysers{root}>\n  <analyser{root}>\n{_class_block(classes, notes)}'
+    tail = "  </analyser>\n</analysers>"
+    xml = _xml_rows(report)
+    rows = xml.select(F.to_xml(F.struct(*[F.col(c) for c in xml.columns]), {"rowTag": "error"}).alias("value"))
+    first = report.sparkSession.createDataFrame([(None,)], "value string").coalesce(1)  # a first part, also without rows
+
+    def document(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+        line = lambda t: pa.RecordBatch.from_arrays([pa.array([t], pa.string())], ["value"])
+        begun = TaskContext.get().partitionId() == 0
+        if begun:
+            yield line(head)
+        for b in batches:
+            b = b.filter(b.column(0).is_valid())
+            if not begun and b.num_rows:
+                begun = True
+                yield line(head)
+            yield b
+        if begun:
+            yield line(tail)
+
+    ship_package(report.sparkSession)
+    first.union(rows).mapInArrow(document, "value string").write.mode("overwrite").option("compression", compression).text(path)
+
+
+_CLASS_SCHEMA = ("_item INT, _tag STRING, _id INT, _level INT, classtext ARRAY<STRUCT<_lang: STRING, _title: STRING, _example: STRING, _resource: STRING>>")
+
+
+def read_classes(spark: SparkSession, path: str) -> DataFrame:
+    """The class blocks of documents: item, class, tag, level and by language title, example, resource."""
+    c = spark.read.format("xml").option("rowTag", "class").schema(_CLASS_SCHEMA).load(path)
+    text = lambda lang, k: F.expr(f"element_at(filter(classtext, t -> t._lang = '{lang}'), 1)._{k}").alias(f"{k}_{lang}")
+    return c.select(F.col("_item").alias("item"), F.col("_id").alias("class"), F.col("_tag").alias("tag"), F.col("_level").alias("level"),
+                    *[text(lang, k) for lang in ("fr", "en") for k in ("title", "example", "resource")])
+
+
 def read_report(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Read an XML report back (attributes keep their ``_`` prefix).  Pass
     ``schema`` when the report may be empty (nothing to infer from)."""

@@ -229,3 +229,24 @@ def test_calipers_equal_all_pairs(spark):
         assert abs(got[g] - max(math.dist(a, b) for a in v for b in v)) < 1e-9
     wide = [p for p in sets[-1][1] if abs(p[0]) > 999_900]
     assert abs(got[500] - max(math.dist(a, b) for a in wide for b in wide if a[0] < 0 < b[0])) < 1e-6
+
+
+def test_space_filling_layout_prunes_files(spark, tmp_path):
+    """A box of 1/64 of the area meets few files by their minima and maxima; the same rows come back."""
+    import glob
+    import pyarrow.parquet as pq
+    from geoqa.sources import readers as R
+    rnd = random.Random(8)
+    rows = [(i, rnd.uniform(-50_000, 50_000), rnd.uniform(-50_000, 50_000)) for i in range(20_000)] + [(20_000, None, 1.0), (20_001, 1e12, -1e12)]
+    df = spark.createDataFrame(rows, "id long, x double, y double")
+    t = R.materialise_spatial(df, str(tmp_path / "z"), unit=10.0, files=32)
+    box = (10_000, 22_500, -30_000, -17_500)
+    got = {r.id for r in t.where(f"x between {box[0]} and {box[1]} and y between {box[2]} and {box[3]}").select("id").collect()}
+    assert got == {i for i, x, y in rows if x is not None and box[0] <= x <= box[1] and box[2] <= y <= box[3]} and len(got) > 100
+    assert t.count() == len(rows)
+    met, files = 0, glob.glob(str(tmp_path / "z" / "*.parquet"))
+    for f in files:
+        g = pq.ParquetFile(f).metadata.row_group(0)
+        x, y = g.column(1).statistics, g.column(2).statistics
+        met += x.has_min_max and x.min <= box[1] and x.max >= box[0] and y.min <= box[3] and y.max >= box[2]
+    assert len(files) >= 30 and met <= len(files) // 5, met

@@ -46,3 +46,38 @@ def test_street_name_fixes_and_nested_xml(spark):
     assert flat.count('<infos id=') == 2
     published = {c for c, *_ in REP.CATALOGUE}
     assert set(REPORTS) == published
+
+
+def test_documents_of_all_checks(spark):
+    """Root, class blocks with resource, rows: each part file is a whole document, read back with its classes."""
+    import xml.etree.ElementTree as ET
+    checks = tuple(dict.fromkeys(c for c, *_ in REP.CATALOGUE))
+    frames = []
+    for i, (c, item, cls, *_rest) in enumerate(REP.CATALOGUE):
+        df = spark.createDataFrame([(k, 48.5, 2.25, f'{c} "{k}" & <b>') for k in range(i % 3 + 1)], "id long, lat double, lon double, t string")
+        frames.append(REP.to_report(df, c, item, cls, text_fr=F.col("t"), osm=[("way", F.col("id"))],
+                                    fixes=[("way", F.col("id"), [("create", "name", F.col("t"))])]))
+    report = frames[0]
+    for f in frames[1:]:
+        report = report.unionByName(f)
+    path = scratch_path(spark, "documents")
+    REP.write_document(report.repartition(3), REP.class_catalogue(spark), path, checks, timestamp="2026-01-02T03:04:05Z")
+    seen = 0
+    for name in glob.glob(os.path.join(path.replace("file:", ""), "part-*")):
+        root = ET.fromstring(gzip.open(name, "rb").read())
+        assert root.tag == "analysers" and root.get("timestamp") == "2026-01-02T03:04:05Z"
+        body = [e.tag for e in root.find("analyser")]
+        n = len(REP.CATALOGUE)
+        assert body[:n] == ["class"] * n and set(body[n:]) <= {"error"}
+        seen += len(body) - n
+    assert seen == report.count()
+    back = REP.read_report(spark, path, schema="_class INT, text ARRAY<STRUCT<_lang: STRING, _value: STRING>>")
+    got = sorted((r[0], r[1][0]["_value"]) for r in back.collect())
+    assert got == sorted((r["class"], r["text"][0]["value"]) for r in report.collect())
+    classes = REP.read_classes(spark, path).distinct().collect()
+    assert len(classes) == len({(i, k, t, lv, fr, en) for _, i, k, t, lv, fr, en in REP.CATALOGUE})
+    noted = [c for c in classes if c.resource_fr]
+    assert [(c["class"], c.title_en[:10]) for c in noted] == [(4, "Misaligned")] and noted[0].resource_fr.startswith("https://")
+    empty = scratch_path(spark, "documents-empty")
+    REP.write_document(report.limit(0).repartition(1), REP.class_catalogue(spark), empty, checks[:1])
+    assert REP.read_report(spark, empty, schema="_class INT").count() == 0 and REP.read_classes(spark, empty).count() == 4
