@@ -97,19 +97,36 @@ def upper_bound(k: int, n: int, level: float) -> float:
     if n == 0 or k >= n:
         return 1.0
     lo, hi = k / n, 1.0
-    lg = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) for i in range(k + 1)]
     for _ in range(60):
         p = (lo + hi) / 2
         if p >= 1:
             break
-        a, b = math.log(p) if p > 0 else -math.inf, math.log1p(-p)
-        terms = [c + (i * a if i else 0.0) + (n - i) * b for i, c in enumerate(lg)]
-        top = max(terms)
-        cdf = math.exp(top) * sum(math.exp(t - top) for t in terms)
-        lo, hi = (p, hi) if cdf > level else (lo, p)
+        lo, hi = (p, hi) if beta_share(n - k, k + 1, 1 - p) > level else (lo, p)
     return hi
 
 
+def beta_share(a: float, b: float, x: float) -> float:
+    """Regularised incomplete beta function I_x(a, b): the chance of at least ``a`` hits in a + b - 1 trials at
+    rate ``x``, by its continued fraction (some steps for each root of a + b, not one a trial)."""
+    if x <= 0 or x >= 1:
+        return float(x >= 1)
+    if x > (a + 1) / (a + b + 2):
+        return 1 - beta_share(b, a, 1 - x)
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
+    tiny = 1e-300
+    c, d = 1.0, 1 - (a + b) * x / (a + 1)
+    d = 1 / (d if abs(d) > tiny else tiny)
+    out = d
+    for m in range(1, 1_000_000):
+        for term in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d, c = 1 + term * d, 1 + term / c
+            d, c = 1 / (d if abs(d) > tiny else tiny), c if abs(c) > tiny else tiny
+            out *= d * c
+        if abs(d * c - 1) < 1e-14:
+            break
+    return front * out
+
+
 def _stratum() -> F.Column:
     return F.expr("case " + " ".join(f"when n_words <= {m} then {i}" for i, m in enumerate(LENGTHS)) + f" else {len(LENGTHS)} end")
 

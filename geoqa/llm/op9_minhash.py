@@ -17,7 +17,8 @@
    shingles that whole groups share bring no pairs.
 
 With 40 bands of 4 rows a pair at similarity 0.75 shares no bucket with
-probability 2.5e-7, and less above.
+probability 2.5e-7, and less above: such a pair is lost, because the exact rest
+reaches only documents that share a bucket with another component.
 """
 
 from __future__ import annotations
@@ -206,9 +207,15 @@ def rare_pairs(docs: DataFrame, among: DataFrame, percent: int = PERCENT) -> Dat
               .where(f"at <= n - ceil({percent} * n / 100)").join(among, "id"))
     placed = stored(placed, "prefixes")
     sizes = placed.groupBy("key", "comp").agg(F.count("*").alias("m")).groupBy("key").agg(F.max(F.struct("m", "comp")).alias("big"), F.count("*").alias("c"))
-    ask = placed.join(sizes.where("c > 1"), "key").where("comp <> big.comp").select("key", *[F.col(c).alias(f"{c}_2") for c in ("id", "n", "at", "comp")])
-    pairs = placed.join(ask, "key").where("comp <> comp_2 and id <> id_2").where(
-        f"{100 + percent} * least(n - at, n_2 - at_2) >= {percent} * (n + n_2)").where(_alike("n", "n_2", percent))
+    open_ = stored(placed.join(sizes.where("c > 1"), "key").select("key", "id", "n", "at", "comp", (F.col("comp") != F.col("big.comp")).alias("asks")), "open-prefixes")
+    # whether two places of a shingle can link depends on (n, at) alone: rows meet only where their kinds can, so
+    # a shingle that a whole template shares at hopeless places brings no row of it to another
+    kinds = open_.select("key", "n", "at").distinct()
+    other = kinds.toDF("key", "n_2", "at_2")
+    fits = kinds.join(other, "key").where(f"{100 + percent} * least(n - at, n_2 - at_2) >= {percent} * (n + n_2)").where(_alike("n", "n_2", percent))
+    ask = open_.where("asks").select("key", *[F.col(c).alias(f"{c}_2") for c in ("id", "n", "at", "comp")])
+    met = ask.join(fits, ["key", "n_2", "at_2"]).select("key", "n", "at", "id_2", "comp_2")
+    pairs = open_.join(met, ["key", "n", "at"]).where("comp <> comp_2 and id <> id_2")
     return pairs.select(F.greatest("id", "id_2").alias("a"), F.least("id", "id_2").alias("hub")).distinct()
 
 
@@ -265,7 +272,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that stay: of each group of near duplicates the document with the smallest id,
-    and of rows that share that id one.  Rows without an id all stay."""
+    and of rows that share that id the one with the smallest text.  Rows without an id all stay."""
     found = stored(near_duplicates(df, id_col, text_col).select("id", "kept"), "kept")
     gone = found.where("not kept").select("id").distinct()
     several = found.where("kept and id is not null").groupBy("id").agg(F.count("*").alias("m")).where("m > 1").select("id")
@@ -273,7 +280,11 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     if several.isEmpty():
         return rest
     again, single = split_by_ids(rest, id_col, several)
-    return single.unionByName(again.where(f"`{id_col}` is not null").dropDuplicates([id_col])).unionByName(again.where(f"`{id_col}` is null"))
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    one = again.where(f"`{id_col}` is not null").groupBy(F.col(f"`{id_col}`").alias("id of the group")).agg(
+        F.min_by(row, F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("row that stays"))
+    one = one.select([F.col(f"`row that stays`.`{c}`").alias(c) for c in df.columns])
+    return single.unionByName(one).unionByName(again.where(f"`{id_col}` is null"))
 
 
 def op9_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:

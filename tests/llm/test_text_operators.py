@@ -147,6 +147,10 @@ def test_binomial_bound():
         u = op5_quality.upper_bound(k, n, 0.05)
         cdf = sum(math.comb(n, i) * u ** i * (1 - u) ** (n - i) for i in range(k + 1))
         assert abs(cdf - 0.05) < 1e-6
+    import time
+    begun = time.perf_counter()
+    u = op5_quality.upper_bound(2_000_000, 100_000_000, 0.05)
+    assert time.perf_counter() - begun < 2 and 0.02 < u < 0.0201
     assert op5_quality.upper_bound(0, 0, 0.05) == 1.0 and op5_quality.upper_bound(4, 4, 0.05) == 1.0
 
 
