@@ -72,7 +72,7 @@ def test_run_gives_the_last_stage(spark, folder):
 
 
 def test_registration():
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in QUERIES}
     q = __spark_entry__.queries()
     assert set(QUERIES) | {"pipeline"} <= set(q) and set(ORACLES) <= set(__spark_entry__.oracle_sql())
 
