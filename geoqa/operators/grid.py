@@ -5,6 +5,11 @@ A geometry is *covered* by the cells its (expanded) bounding box touches.
 Long segments are cut into pieces no longer than one cell before their cover
 is taken, so a diagonal road costs O(length / cell) cells instead of
 O((length / cell)^2).
+
+Shapes of mixed sizes live on grids of several levels, each ``FACTOR`` times
+as wide as the one below: a shape stands on the lowest level whose cells are
+as wide as itself, so it covers four cells at most, however large it is (those
+wider than a cell of the top level cover more there).
 """
 
 from __future__ import annotations
@@ -39,3 +44,17 @@ def segment_cover(x1: str, y1: str, x2: str, y2: str, size: float, margin: float
                       f"greatest({px0}, {px1})", f"greatest({py0}, {py1})", size, m)
     return (f"element_at(transform(array({n}), "
             f"n -> array_distinct(flatten(transform(sequence(0, n - 1), i -> {piece})))), 1)")
+
+
+#: How many times wider the cells of a level are than those of the level below.
+FACTOR = 8
+
+
+def level_sizes(size: float, levels: int) -> list[float]:
+    return [float(size) * FACTOR ** i for i in range(levels)]
+
+
+def level_of(extent: str, sizes: list[float]) -> str:
+    """The lowest level whose cells are at least ``extent`` (SQL) wide, else the top one."""
+    steps = " ".join(f"WHEN ({extent}) <= {s} THEN {i}" for i, s in enumerate(sizes[:-1]))
+    return f"CASE {steps} ELSE {len(sizes) - 1} END" if steps else "0"

@@ -9,8 +9,9 @@ Plan shape (for every variant)::
 Catalyst plans a sort-merge (or, when AQE measures a small side, broadcast
 hash) join on the cell key; AQE splits skewed cells.  The left side is never
 replicated when it is made of points, so point anti/semi joins need no
-de-duplication.  For multi-cell left geometries a pair is kept only in the
-lowest cell both covers share, so no ``distinct`` shuffle is needed either.
+de-duplication.  Other shapes stand on grids of several levels, each on the one
+of its size; a pair is kept only in the lowest cell both covers share, so no
+``distinct`` shuffle is needed either.
 """
 
 from __future__ import annotations
@@ -175,23 +176,63 @@ def default_cell(dist: float) -> float:
     return max(2.0 * float(dist), 250.0)
 
 
-def _with_cells(df: DataFrame, g, size: float, margin: float | str, keep_min: bool) -> DataFrame:
+def _with_cells(df: DataFrame, g, size: float, margin: float | str, cut: bool = True) -> DataFrame:
     """Explode the cells of ``g`` (expanded by margin) into ``_cx, _cy``."""
     if isinstance(g, Point) and margin == 0:
         return (df.withColumn("_cx", F.expr(grid.cell_of(f"`{g.x}`", size)))
                   .withColumn("_cy", F.expr(grid.cell_of(f"`{g.y}`", size))))
-    if isinstance(g, Segment) and not keep_min:
-        cover = grid.segment_cover(*(f"`{c}`" for c in g.cols()), size, margin)
-    else:
-        xmin, ymin, xmax, ymax = (c.replace("_.", "") for c in bbox_of(g, "_"))
-        cover = grid.box_cover(xmin, ymin, xmax, ymax, size, margin)
-        if keep_min:
-            df = (df.withColumn("_x0", F.expr(grid.cell_of(f"({xmin}) - ({margin})", size)))
-                    .withColumn("_y0", F.expr(grid.cell_of(f"({ymin}) - ({margin})", size))))
-    return (df.withColumn("_c", F.explode(F.expr(cover)))
+    return (df.withColumn("_c", F.explode(F.expr(_cover(g, size, margin, cut))))
               .withColumn("_cx", F.col("_c.cx")).withColumn("_cy", F.col("_c.cy")).drop("_c"))
 
 
+def _cover(g, size: float, margin: float | str, cut: bool) -> str:
+    """Cells of ``g`` expanded by margin; ``cut``: a segment piece by piece, not by its bounding box."""
+    if isinstance(g, Segment) and cut:
+        return grid.segment_cover(*(f"`{c}`" for c in g.cols()), size, margin)
+    return grid.box_cover(*_own_bbox(g), size, margin)
+
+
+def _own_bbox(g) -> tuple:
+    return tuple(c.replace("_.", "") for c in bbox_of(g, "_"))
+
+
+def _on_levels(df: DataFrame, g, sizes: list, margin: float | str, role: str, split: bool, outer: bool) -> DataFrame:
+    """Explode the places of ``g`` on the grids of several levels into ``_place, _cx, _cy`` and, for the lowest cell
+    of its cover there, ``_x0, _y0``; ``_n`` is how many places a row has.
+
+    Two shapes meet once, on the level of the larger one.  Key ``2 * level`` holds left rows of that level and
+    right rows up to it, ``2 * level + 1`` right rows of that level and smaller left ones; so two small shapes
+    never meet under a large cell.  ``split``: the right side is on levels by its size, too; if not (points, or
+    segments that are cut) all of it counts as lowest.
+    """
+    m = f"({margin})" if isinstance(margin, str) else repr(float(margin))
+    xmin, ymin, xmax, ymax = _own_bbox(g)
+    by_size = role == "left" or split
+    df = df.withColumn("_level", F.expr(grid.level_of(f"greatest(({xmax}) - ({xmin}), ({ymax}) - ({ymin})) + 2 * {m}", sizes) if by_size else "0"))
+
+    def place(k: int, size: float) -> str:
+        low = f"'x0', {grid.cell_of(f'({xmin}) - {m}', size)}, 'y0', {grid.cell_of(f'({ymin}) - {m}', size)}"
+        return f"transform({_cover(g, size, margin, cut=not split)}, k_ -> named_struct('k', {k}, 'cx', k_.cx, 'cy', k_.cy, {low}))"
+
+    places = []
+    for i, size in enumerate(sizes):
+        own, lower = f"_level = {i}", f"_level < {i}"
+        if role == "left":
+            places.append((own, place(2 * i, size)))
+            if split and i:
+                places.append((lower, place(2 * i + 1, size)))
+        else:
+            places.append((f"_level <= {i}", place(2 * i, size)))
+            if split and i:
+                places.append((own, place(2 * i + 1, size)))
+    none = "cast(array() AS array<struct<k:int,cx:bigint,cy:bigint,x0:bigint,y0:bigint>>)"
+    cells = "concat(" + ", ".join(f"CASE WHEN {when} THEN {what} ELSE {none} END" for when, what in places) + ")"
+    df = df.withColumn("_cells", F.expr(cells)).withColumn("_n", F.greatest(F.size("_cells"), F.lit(1)))
+    df = df.withColumn("_c", F.explode_outer("_cells") if outer else F.explode("_cells"))
+    return df.select("*", F.col("_c.k").alias("_place"), F.col("_c.cx").alias("_cx"), F.col("_c.cy").alias("_cy"),
+                     F.col("_c.x0").alias("_x0"), F.col("_c.y0").alias("_y0")).drop("_c", "_cells", "_level")
+
+
 def _rename_right(left: DataFrame, right: DataFrame, prefix: str) -> tuple[DataFrame, dict]:
     clash = set(left.columns) & set(right.columns)
     mapping = {c: (prefix + c if c in clash else c) for c in right.columns}
@@ -199,11 +240,6 @@ def _rename_right(left: DataFrame, right: DataFrame, prefix: str) -> tuple[DataF
 
 
 # ------------------------------------------------------------- the operator
-def _extent(g) -> str:
-    xmin, ymin, xmax, ymax = (c.replace("_.", "") for c in bbox_of(g, "_"))
-    return f"greatest(({xmax}) - ({xmin}), ({ymax}) - ({ymin}))"
-
-
 def _pairs(l: DataFrame, r: DataFrame, cond, how: str, left: DataFrame, right: DataFrame, right_prefix: str,
            dist_sql: str | None, distance_col: str | None) -> DataFrame:
     if how in ("left_semi", "left_anti"):
@@ -245,7 +281,7 @@ class Ground:
 def dwithin_join(left: DataFrame, right: DataFrame, dist: float | Ground, *,
                  left_geom=Point(), right_geom=Segment(), how: str = "inner",
                  cell: float | None = None, op: str = "<=", residual: str | None = None,
-                 left_key: str | None = None, left_reach: float | None = None,
+                 left_key: str | None = None, levels: int | None = None,
                  distance_col: str | None = None, right_prefix: str = "r_") -> DataFrame:
     """Pairs (left, right) whose planar distance is ``<= dist`` (``op='<'``: strict).
 
@@ -255,11 +291,11 @@ def dwithin_join(left: DataFrame, right: DataFrame, dist: float | Ground, *,
     partner must also satisfy (attribute OR distance conditions, geodesic
     refinement...).
 
-    Non-point left geometries: rows whose bbox extent is ``<= left_reach``
-    are pinned to the cell of their lower-left corner and the right cover is
-    widened by ``left_reach`` (one cell per left row).  Larger rows use their
-    full bbox cover.  It is one join for all of them; semi and anti joins bring
-    the cells of a row together by ``left_key`` (unique, not null) afterwards.
+    Points on the left stand in one cell, and the right side is dealt to the cells in reach.  Other
+    shapes stand on grids of several ``levels`` (three unless the caller says otherwise), each on the one of its own
+    size (:func:`_on_levels`), so houses and whole regions take one join and neither costs cells by its area.
+    With ``levels`` points take it, too: for right sides of mixed sizes.  Semi and anti joins on levels
+    bring the places of a row together by ``left_key`` (unique, not null) afterwards.
     """
     size = float(cell or default_cell(dist.typical() if isinstance(dist, Ground) else dist))
     if isinstance(dist, Ground):  # the radius is a column of the right side; the residual decides on the ground
@@ -267,48 +303,48 @@ def dwithin_join(left: DataFrame, right: DataFrame, dist: float | Ground, *,
         right = right.withColumn(reach, F.expr(dist.sql()))
         pred = within_sql(left_geom, right_geom, f"r.{reach}", "<=")
         if how == "inner":
-            out = dwithin_cells(left, right, reach, size, pred, residual, left_geom, right_geom, how, left_key, left_reach,
+            out = dwithin_cells(left, right, reach, size, pred, residual, left_geom, right_geom, how, left_key, levels,
                                 dist2_sql(left_geom, right_geom) if distance_col else None, distance_col, right_prefix)
             return out.drop(reach if reach not in left.columns else right_prefix + reach)
-        return dwithin_cells(left, right, reach, size, pred, residual, left_geom, right_geom, how, left_key, left_reach, None, None, right_prefix)
+        return dwithin_cells(left, right, reach, size, pred, residual, left_geom, right_geom, how, left_key, levels, None, None, right_prefix)
     pred = within_sql(left_geom, right_geom, dist, op)
     dsql = dist2_sql(left_geom, right_geom) if distance_col else None
-    return dwithin_cells(left, right, float(dist), size, pred, residual, left_geom, right_geom, how, left_key, left_reach, dsql,
+    return dwithin_cells(left, right, float(dist), size, pred, residual, left_geom, right_geom, how, left_key, levels, dsql,
                          distance_col, right_prefix)
 
 
 def dwithin_cells(left: DataFrame, right: DataFrame, dist: float | str, size: float, pred: str, residual, left_geom, right_geom,
-                  how: str, left_key, left_reach, dsql, distance_col, right_prefix: str) -> DataFrame:
+                  how: str, left_key, levels, dsql, distance_col, right_prefix: str) -> DataFrame:
     """The cell join of :func:`dwithin_join` for a radius that is a number or a column of the right side."""
     if residual:
         pred = f"({pred}) AND ({residual})"
-    wider = lambda by: f"{dist} + {float(by)}" if isinstance(dist, str) else float(dist) + float(by)
-    same_cell = (F.col("l._cx") == F.col("r._cx")) & (F.col("l._cy") == F.col("r._cy"))
-
-    if isinstance(left_geom, Point):
-        l = _with_cells(left, left_geom, size, 0.0, keep_min=False).alias("l")
-        r = _with_cells(right, right_geom, size, dist, keep_min=False).alias("r")
+    if isinstance(left_geom, Point) and levels is None:
+        same_cell = (F.col("l._cx") == F.col("r._cx")) & (F.col("l._cy") == F.col("r._cy"))
+        l = _with_cells(left, left_geom, size, 0.0).alias("l")
+        r = _with_cells(right, right_geom, size, dist).alias("r")
         return _pairs(l, r, same_cell & F.expr(pred), how, left, right, right_prefix, dsql, distance_col)
+    return _level_join(left, right, dist, grid.level_sizes(size, levels or 3), pred, left_geom, right_geom, how, left_key, dsql,
+                       distance_col, right_prefix)
+
 
+def _level_join(left: DataFrame, right: DataFrame, margin: float | str, sizes: list, pred: str, left_geom, right_geom, how: str,
+                left_key: str | None, dsql, distance_col, right_prefix: str, boxes: bool = False) -> DataFrame:
+    """Join of shapes of any size on the grids of :func:`_on_levels`; the right side is expanded by ``margin``.
+    ``boxes``: the bounding box of a segment counts, so it is never cut."""
     if how in ("left_semi", "left_anti") and not left_key:
-        raise ValueError("semi/anti join of non-point geometries needs left_key")
-    # small rows are pinned to their anchor cell (the right cover is wider by their reach), large ones take their bbox cover
-    xmin, ymin, xmax, ymax = (c.replace("_.", "") for c in bbox_of(left_geom, "_"))
-    reach = 0.0 if left_reach is None else float(left_reach)
-    small = F.lit(False) if left_reach is None else F.coalesce(F.expr(f"{_extent(left_geom)} <= {reach}"), F.lit(False))
-    anchor = f"array(named_struct('cx', {grid.cell_of(xmin, size)}, 'cy', {grid.cell_of(ymin, size)}))"
-    cells = F.when(F.col("_small"), F.expr(anchor)).otherwise(F.expr(grid.box_cover(xmin, ymin, xmax, ymax, size)))
-    lc = (left.withColumn("_small", small)
-              .withColumn("_x0", F.expr(grid.cell_of(xmin, size))).withColumn("_y0", F.expr(grid.cell_of(ymin, size)))
-              .withColumn("_cells", cells).withColumn("_n", F.greatest(F.size("_cells"), F.lit(1))))
-    # a row without a place has no cell and no partner: semi and anti joins still see it
-    lc = lc.withColumn("_c", F.explode("_cells") if how == "inner" else F.explode_outer("_cells"))
-    lc = lc.withColumn("_cx", F.col("_c.cx")).withColumn("_cy", F.col("_c.cy")).drop("_c", "_cells").alias("l")
-    rc = _with_cells(right, right_geom, size, wider(reach), keep_min=how == "inner").alias("r")
-    if how == "inner":  # a pair of large rows counts in the lowest cell that their covers share
+        raise ValueError("semi/anti join on levels needs left_key")
+    # each pair is wanted once in an inner join: then segments take the cells of their box, of which there are four at most
+    split = boxes or isinstance(right_geom, (Box, Polygon)) or (how == "inner" and isinstance(right_geom, Segment) and not isinstance(left_geom, Point))
+    if isinstance(left_geom, Point) and not split:
+        sizes = sizes[:1]
+    lc = _on_levels(left, left_geom, sizes, 0.0, "left", split, outer=how != "inner").alias("l")
+    rc = _on_levels(right, right_geom, sizes, margin, "right", split, outer=False).alias("r")
+    same_cell = (F.col("l._place") == F.col("r._place")) & (F.col("l._cx") == F.col("r._cx")) & (F.col("l._cy") == F.col("r._cy"))
+    if how == "inner":  # a pair counts in the lowest cell that both covers share
         lowest = (F.col("l._cx") == F.greatest("l._x0", "r._x0")) & (F.col("l._cy") == F.greatest("l._y0", "r._y0"))
-        return _pairs(lc, rc, same_cell & (F.col("l._small") | lowest) & F.expr(pred), how, left, right, right_prefix, dsql, distance_col)
-    # a row of several cells has a partner if one of them has, and none if all of them have none
+        cond = same_cell & F.expr(pred) if isinstance(left_geom, Point) else same_cell & lowest & F.expr(pred)
+        return _pairs(lc, rc, cond, how, left, right, right_prefix, dsql, distance_col)
+    # a row of several places has a partner if one of them has, and none if all of them have none
     got = lc.join(rc, same_cell & F.expr(pred), how)
     if how == "left_semi":
         got = got.withColumn("_n", F.lit(1))
@@ -507,7 +543,7 @@ def contains_join(points: DataFrame, polygons: DataFrame, polygon_key: tuple[str
     ``polygon_key`` (the polygons' unique columns) where a check needs the shape.
     """
     key = list(polygon_key)
-    l = _with_cells(points, point, float(cell), 0.0, keep_min=False).alias("l")
+    l = _with_cells(points, point, float(cell), 0.0).alias("l")
     r = polygon_pieces(polygons, key, polygon, cell).alias("r")
     px, py = _q("l", point.cols())
     cond = (F.col("l._cx") == F.col("r._cx")) & (F.col("l._cy") == F.col("r._cy")) & F.expr(in_piece_sql(px, py, "r", boundary))
@@ -563,25 +599,18 @@ def bbox_join(left: DataFrame, right: DataFrame, margin: float = 0.0, *, left_ge
               residual: str | None = None, left_key: str | None = None,
               right_prefix: str = "r_") -> DataFrame:
     """Bounding boxes meet after expanding the left one by ``margin``
-    (``a && st_expand(b, m)``), as a cell join."""
+    (``a && st_expand(b, m)``), as a cell join; on levels where a row may have several places
+    (inner joins, and all with ``left_key``)."""
     size = float(cell or default_cell(max(margin, 1.0)))
-    single = isinstance(left_geom, Point)
-    lc = _with_cells(left, left_geom, size, 0.0, keep_min=not single)
-    rc = _with_cells(right, right_geom, size, float(margin), keep_min=not single)
-    l, r = lc.alias("l"), rc.alias("r")
     pred = G.box_overlap(bbox_of(left_geom, "l"), bbox_of(right_geom, "r"), str(margin))
     if residual:
         pred = f"({pred}) AND ({residual})"
+    if how == "inner" or left_key:
+        return _level_join(left, right, float(margin), grid.level_sizes(size, 3), pred, left_geom, right_geom, how, left_key, None, None,
+                           right_prefix, boxes=True)
+    if not isinstance(left_geom, Point):
+        raise ValueError("semi/anti join of non-point geometries needs left_key")
+    l = _with_cells(left, left_geom, size, 0.0).alias("l")
+    r = _with_cells(right, right_geom, size, float(margin), cut=False).alias("r")
     cond = (F.col("l._cx") == F.col("r._cx")) & (F.col("l._cy") == F.col("r._cy")) & F.expr(pred)
-    if not single:
-        cond = cond & (F.col("l._cx") == F.greatest("l._x0", "r._x0")) & \
-            (F.col("l._cy") == F.greatest("l._y0", "r._y0"))
-    if how in ("left_semi", "left_anti"):
-        if single:
-            return l.join(r, cond, how).select([F.col(f"l.`{c}`") for c in left.columns])
-        matched = l.join(r, cond, "inner").select(F.col(f"l.`{left_key}`").alias(left_key)).distinct()
-        return left.join(matched, left_key, how)
-    _, mapping = _rename_right(left, right, right_prefix)
-    sel = [F.col(f"l.`{c}`") for c in left.columns]
-    sel += [F.col(f"r.`{c}`").alias(mapping[c]) for c in right.columns]
-    return l.join(r, cond, "inner").select(sel)
+    return _pairs(l, r, cond, how, left, right, right_prefix, None, None)

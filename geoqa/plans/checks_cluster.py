@@ -84,7 +84,7 @@ def building_cluster_without_road(buildings: DataFrame, communes: DataFrame, hig
     geo = geo_seg_rings_within("l.rings", ("r.x1", "r.y1", "r.x2", "r.y2"), fine_m, ("l.cx", "l.cy"), SJ.L_SCALES)
     # the metric is that of the centroid: the radius leaves room for the footprint's extent
     lonely = SJ.dwithin_join(j, highway_segs, SJ.Ground(fine_m, planar=coarse, slack=0.01), left_geom=shape, residual=geo, how="left_anti",
-                             left_key="_k", left_reach=100.0)
+                             left_key="_k")
     v = lonely.withColumn("vx", F.expr("rings[0][0].x")).withColumn("vy", F.expr("rings[0][0].y"))
     c = CL.cluster_within(v, cluster_d, id_col="osm_id", x="vx", y="vy", group_by=("dept",), box=box, rings="rings")
     m = c.groupBy("dept", "cluster_id").agg((F.sum(F.col("a") * F.col("cx")) / F.sum("a")).alias("mx"),

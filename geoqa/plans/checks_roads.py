@@ -15,8 +15,7 @@ from geoqa.plans.registry import query
 
 # ---------------------------------------------------------------- C9
 def building_without_road(buildings: DataFrame, communes: DataFrame, highways: DataFrame,
-                          dist: float = 300.0, building_reach: float = 100.0,
-                          cell: float | None = None) -> DataFrame:
+                          dist: float = 300.0, cell: float | None = None) -> DataFrame:
     """7170/11: buildings (centroid in a commune, positive id) with no highway
     within ``dist`` Mercator units of the building's footprint.
 
@@ -33,7 +32,7 @@ def building_without_road(buildings: DataFrame, communes: DataFrame, highways: D
     inside = inside.select("osm_id", "insee", "footprint", "xmin", "ymin", "xmax", "ymax", "cx", "cy")
     lonely = dwithin_join(inside, highways.select("x1", "y1", "x2", "y2"), dist,
                           left_geom=Polygon("footprint", ("xmin", "ymin", "xmax", "ymax")), right_geom=Segment(), how="left_anti",
-                          left_key="osm_id", left_reach=building_reach, cell=cell)
+                          left_key="osm_id", cell=cell)
     return lonely.select("osm_id", "insee", *lonlat_cols("cx", "cy"))
 
 

@@ -62,16 +62,74 @@ def test_box_left_multi_cell_dedup(spark):
     s = _segments(spark, 100, 6)
     want = {(r.bid, r.sid) for r in boxes.crossJoin(s).where(F.expr(
         G.seg_box_within(("x1", "y1", "x2", "y2"), ("xmin", "ymin", "xmax", "ymax"), "50"))).collect()}
-    for reach in (None, 300.0):
-        got = SJ.dwithin_join(boxes, s, 50, left_geom=Box(), right_geom=Segment(), left_reach=reach).select(
+    for levels, cell in ((None, None), (1, 300.0), (4, 60.0)):
+        got = SJ.dwithin_join(boxes, s, 50, left_geom=Box(), right_geom=Segment(), levels=levels, cell=cell).select(
             "bid", "sid").collect()
         assert len(got) == len(set(map(tuple, got)))
         assert {tuple(r) for r in got} == want
         anti = {r.bid for r in SJ.dwithin_join(boxes, s, 50, left_geom=Box(), how="left_anti", left_key="bid",
-                                               left_reach=reach).collect()}
+                                               levels=levels, cell=cell).collect()}
         assert anti == {r.bid for r in boxes.collect()} - {b for b, _ in want}
 
 
+def _mixed_boxes(spark, n, seed, key):
+    """Boxes with sides of 1 to 100,000, a box without a place and two equal ones."""
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        x, y, side = rnd.randint(-60_000, 60_000), rnd.randint(-60_000, 60_000), int(10 ** rnd.uniform(0, 5))
+        rows.append((i, x, y, x + rnd.randint(0, side), y + side))
+    rows += [(n, None, None, None, None), (n + 1, *rows[0][1:])]
+    return spark.createDataFrame(rows, f"{key} long, xmin long, ymin long, xmax long, ymax long")
+
+
+@pytest.mark.parametrize("levels", [None, 5])
+def test_shapes_of_all_sizes_in_one_join(spark, levels):
+    a, b = _mixed_boxes(spark, 200, 21, "aid"), _mixed_boxes(spark, 200, 22, "bid")
+    s = _segments(spark, 150, 23, span=60_000)
+    p = _points(spark, 300, 24, span=60_000)
+    box, seg = ("xmin", "ymin", "xmax", "ymax"), ("x1", "y1", "x2", "y2")
+    c, placed = b.toDF("bid", "c0", "c1", "c2", "c3").where("c0 is not null"), a.where("xmin is not null")
+    pairs = {(r.aid, r.bid) for r in placed.crossJoin(c).where(f"{G.box_box_d2(box, ('c0', 'c1', 'c2', 'c3'))} <= 8100").select("aid", "bid").collect()}
+    cases = [(a, Box(), "aid", b, Box(), "bid", pairs)]
+    lines = {(r.aid, r.sid) for r in placed.crossJoin(s).where(G.seg_box_within(seg, box, "90")).select("aid", "sid").collect()}
+    cases.append((a, Box(), "aid", s, Segment(), "sid", lines))
+    cases.append((s, Segment(), "sid", a, Box(), "aid", {(y, x) for x, y in lines}))
+    inside = {(r.id, r.aid) for r in p.crossJoin(placed).where(G.pt_box_within("x", "y", *box, "90")).select("id", "aid").collect()}
+    cases.append((p, Point(), "id", a, Box(), "aid", inside))
+    for left, lg, lk, right, rg, rk, want in cases:
+        assert len(want) > 50
+        got = [tuple(r) for r in SJ.dwithin_join(left, right, 90, left_geom=lg, right_geom=rg, levels=levels).select(lk, rk).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+        ids = {r[0] for r in left.select(lk).collect()}
+        for how, rows in (("left_semi", {x for x, _ in want}), ("left_anti", ids - {x for x, _ in want})):
+            got = [r[0] for r in SJ.dwithin_join(left, right, 90, left_geom=lg, right_geom=rg, how=how, left_key=lk, levels=levels).select(lk).collect()]
+            assert len(got) == len(set(got)) and set(got) == rows
+
+
+def test_a_large_shape_has_few_places(spark):
+    """A region of 100,000 units stands on at most 16 cells, not on the 160,000 of the lowest grid, and small shapes
+    share no key with other small ones above it."""
+    sizes = SJ.grid.level_sizes(250.0, 3)
+    big = spark.createDataFrame([(1, 17, 23, 100_017, 100_023), (2, 5, 5, 9, 9)], "k long, xmin long, ymin long, xmax long, ymax long")
+    n = {r.k: r["count"] for r in SJ._on_levels(big, Box(), sizes, 0.0, "left", False, False).groupBy("k").count().collect()}
+    assert n[1] <= 64 and n[2] == 1
+    both = SJ._on_levels(big, Box(), sizes, 0.0, "left", True, False).select("k", "_place").collect()
+    right = SJ._on_levels(big, Box(), sizes, 0.0, "right", True, False).select("k", "_place").collect()
+    assert {r["_place"] for r in both if r.k == 2} & {r["_place"] for r in right if r.k == 2} == {0}
+
+
+def test_bbox_join_of_long_segments(spark):
+    """The box of a long diagonal counts, not the line: far from the line, but in its box, is a match."""
+    p, s = _points(spark, 200, 31), _segments(spark, 60, 32, long_every=2)
+    want = {(r.id, r.sid) for r in p.crossJoin(s).where(
+        "x between least(x1, x2) - 40 and greatest(x1, x2) + 40 and y between least(y1, y2) - 40 and greatest(y1, y2) + 40").select("id", "sid").collect()}
+    got = [tuple(r) for r in SJ.bbox_join(p, s, 40, right_geom=Segment()).select("id", "sid").collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    anti = {r.id for r in SJ.bbox_join(p, s, 40, right_geom=Segment(), how="left_anti").collect()}
+    assert anti == {r.id for r in p.collect()} - {i for i, _ in want}
+
+
 def _union_find(rows, d):
     parent = {i: i for i, _, _ in rows}
 
