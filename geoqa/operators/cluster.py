@@ -6,18 +6,20 @@ Plan
 1. Grid of side ``d / sqrt(2)``: two points in one cell are always within
    ``d``, so a cell is a clique and is represented by its smallest id.  A
    dense cell costs one partial aggregate, never all pairs inside it.
-2. Cell-to-cell edges: each point probes the 12 "forward" neighbour cells
-   of the 5x5 block around it with a left-semi join (stops at the first
-   partner); ``distinct`` keeps one edge per cell pair.  Output is linear in
-   the number of points.
+2. Cell-to-cell edges: the 12 "forward" neighbour cells of the 5x5 block
+   around a cell meet it as boxes around their points.  Boxes that are wholly
+   within or beyond ``d`` are decided without looking at a point; few points
+   are compared; two dense boxes are split in four and meet again, part by part,
+   until they are decided (:func:`_near_cells`).  So the points of two dense
+   cells whose gap is just over ``d`` are never all compared with each other.
 3. Connected components of the cell graph: tiles of 64 x 64 cells are
-   contracted independently with a vectorised pandas union-find (bounded
-   groups, whatever the density), then min-label propagation with pointer
-   jumping runs in Spark on the tile-crossing edges only; the label table is
-   cached each round and reliably checkpointed to the session's checkpoint
-   folder every third round, so lineage stays short and a lost executor only
-   recomputes a few rounds.  The input points are checkpointed once so the
-   rounds never recompute the upstream joins.
+   contracted independently with a vectorised pandas union-find (a tile of one
+   group at a time, whatever the density and the number of groups), then min-label
+   propagation with pointer jumping runs in Spark on the tile-crossing edges
+   only; the label table is cached each round and reliably checkpointed to the
+   session's checkpoint folder every third round, so lineage stays short and a
+   lost executor only recomputes a few rounds.  The input points are checkpointed
+   once so the rounds never recompute the upstream joins.
 4. Each point takes its cell's component label; the cluster id is the
    smallest member id, so results do not depend on partitioning.
 """
@@ -73,7 +75,9 @@ def connected_components(edges: DataFrame, nodes: DataFrame, src: str = "src", d
         labels.unpersist()
         labels = new
         if changed == 0:
-            return labels
+            out = labels.checkpoint(eager=True)
+            labels.unpersist()
+            return out
 
 
 def _offsets(d: float, reach: float, size: float) -> list:
@@ -120,40 +124,122 @@ def cluster_within(points: DataFrame, dist: float, *, id_col: str = "id", x: str
     ensure_checkpoint_dir(points.sparkSession)
     p = p.checkpoint(eager=True)
     cells = p.groupBy(*gcols, "_gx", "_gy").agg(F.min("_id").alias("_rep"))
+    hits = _near_shapes(p, geom, shape, d, size, gcols) if box else _near_cells(p.select(*gcols, "_gx", "_gy", "_x", "_y"), d, size, gcols)
+    cell_label = _label_cells(cells, hits.checkpoint(eager=True), gcols).withColumnRenamed("_label", out)
+    # rows come back from the checkpointed input (original columns kept in it)
+    return p.join(cell_label, [*gcols, "_gx", "_gy"]).select(*[F.col("_orig." + c).alias(c) for c in points.columns],
+                                                             F.col(out))
+
+
+#: Points of two boxes are compared one by one up to so many pairs; boxes with more are split.
+SPLIT = 4096
+
+
+def _neighbours(d: float, reach: float, size: float):
+    return F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _offsets(d, reach, size)])
+
+
+def _near_cells(points: DataFrame, d: float, size: float, gcols: list, split: int = SPLIT) -> DataFrame:
+    """Pairs of neighbouring cells (``_gx, _gy``; ``_tx, _ty``) with two points (``_x, _y``) within ``d``, each once.
+
+    A dual descent of quarters: a pair of boxes (the extent of their points) is near if even its farthest corners are,
+    and not if its nearest sides are not; what is left is compared point by point if it is at most ``split`` pairs, else
+    by its quarters in the next round, unless the cells are already known to be near.  Rounds end when no such pair is
+    left, at the first one for cells of up to 64 points; equal points need none.
+    """
+    cell_pair = [*gcols, "_gx", "_gy", "_tx", "_ty"]
+    extent = [F.count("*").alias("n"), F.min("_x").alias("x0"), F.max("_x").alias("x1"), F.min("_y").alias("y0"), F.max("_y").alias("y1")]
+    gap = lambda c: f"greatest(0, b.{c}0 - a.{c}1, a.{c}0 - b.{c}1)"
+    span = lambda c: f"greatest(b.{c}1 - a.{c}0, a.{c}1 - b.{c}0)"
+    square = lambda f: f"({f('x')} * {f('x')} + {f('y')} * {f('y')})"
+    limit = f"({d!r}) * ({d!r})"
 
-    small = p.where("greatest(_b2 - _b0, _b3 - _b1) <= " + repr(d)) if box else p
-    offs = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _offsets(d, d if box else 0.0, size)])
-    probe = (small.select(*gcols, "_gx", "_gy", *shape, F.explode(offs).alias("_o"))
+    def state(deepest: bool) -> str:
+        few = "true" if deepest else f"a.n * b.n <= {split}"
+        return (f"CASE WHEN {square(gap)} > {limit} THEN NULL WHEN {square(span)} <= {limit} THEN 'near' "
+                f"WHEN {few} THEN 'compare' ELSE 'split' END")
+
+    def boxes(df: DataFrame, name: str, *keys) -> DataFrame:
+        """Extents of the points by ``_ix, _iy`` as struct ``name``, beside ``keys``."""
+        e = df.groupBy(*gcols, "_ix", "_iy").agg(*extent)
+        return e.select(*gcols, *keys, F.struct(F.col("_ix").alias("ix"), F.col("_iy").alias("iy"), "n", "x0", "x1", "y0", "y1").alias(name))
+
+    def on_side(name: str, df: DataFrame) -> DataFrame:
+        return df.select(*gcols, F.col(f"{name}.ix").alias("_ix"), F.col(f"{name}.iy").alias("_iy"))
+
+    pts = points.withColumn("_ix", F.col("_gx")).withColumn("_iy", F.col("_gy"))
+    a = boxes(pts, "a", F.col("_ix").alias("_gx"), F.col("_iy").alias("_gy")).withColumn("_o", F.explode(_neighbours(d, 0.0, size)))
+    a = a.select(*gcols, "_gx", "_gy", (F.col("_gx") + F.col("_o.dx")).alias("_tx"), (F.col("_gy") + F.col("_o.dy")).alias("_ty"), "a")
+    pairs = a.join(boxes(pts, "b", F.col("_ix").alias("_tx"), F.col("_iy").alias("_ty")), [*gcols, "_tx", "_ty"])
+    hits = None
+    for depth in itertools.count():
+        pairs = pairs.withColumn("_state", F.expr(state(depth >= 48))).where("_state IS NOT NULL").checkpoint(eager=True)
+        few = pairs.where("_state = 'compare'").select(*cell_pair, F.col("a.ix").alias("_ix"), F.col("a.iy").alias("_iy"), F.struct("b.ix", "b.iy").alias("_b"))
+        few = few.join(pts.select(*gcols, "_ix", "_iy", "_x", "_y"), [*gcols, "_ix", "_iy"]).alias("l")
+        near = [f"l.`{g}` = r.`{g}`" for g in gcols] + ["l._b.ix = r._ix", "l._b.iy = r._iy", SJ.within_sql(SJ.Point("_x", "_y"), SJ.Point("_x", "_y"), repr(d))]
+        found = few.join(pts.alias("r"), F.expr(" AND ".join(near)), "left_semi").select(*cell_pair)
+        found = pairs.where("_state = 'near'").select(*cell_pair).unionByName(found).distinct()
+        hits = found if hits is None else hits.unionByName(found).distinct()
+        dense = pairs.where("_state = 'split'")
+        if dense.isEmpty():
+            return hits
+        hits = hits.checkpoint(eager=True)
+        dense = dense.join(hits, cell_pair, "left_anti").checkpoint(eager=True)
+        wanted = on_side("a", dense).unionByName(on_side("b", dense)).distinct()
+        side = size / 2.0 ** (depth + 1)
+        pts = (pts.join(wanted, [*gcols, "_ix", "_iy"], "left_semi")
+                  .withColumn("_ix", F.floor(F.col("_x").cast("double") / side)).withColumn("_iy", F.floor(F.col("_y").cast("double") / side))
+                  .checkpoint(eager=True))
+        for name in ("a", "b"):
+            up = [F.floor(F.col(i) / 2).alias(f"_{name}{i}") for i in ("_ix", "_iy")]
+            dense = (dense.withColumn(f"_{name}_ix", F.col(f"{name}.ix")).withColumn(f"_{name}_iy", F.col(f"{name}.iy")).drop(name)
+                     .join(boxes(pts, name, *up), [*gcols, f"_{name}_ix", f"_{name}_iy"]))
+        pairs = dense.select(*cell_pair, "a", "b")
+
+
+def _near_shapes(p: DataFrame, geom, shape: list, d: float, size: float, gcols: list) -> DataFrame:
+    """Pairs of different cells with two shapes within ``d``: small ones by neighbour cells, wider ones by a distance join."""
+    small = p.where("greatest(_b2 - _b0, _b3 - _b1) <= " + repr(d))
+    probe = (small.select(*gcols, "_gx", "_gy", *shape, F.explode(_neighbours(d, d, size)).alias("_o"))
              .select(*gcols, "_gx", "_gy", *shape,
                      (F.col("_gx") + F.col("_o.dx")).alias("_tx"), (F.col("_gy") + F.col("_o.dy")).alias("_ty")))
     target = small.select(*gcols, F.col("_gx").alias("_tx"), F.col("_gy").alias("_ty"), *shape)
     cond = F.expr(" AND ".join([f"l.`{c}` = r.`{c}`" for c in [*gcols, "_tx", "_ty"]] + [SJ.within_sql(geom, geom, repr(d))]))
-    hits = probe.alias("l").join(target.alias("r"), cond, "left_semi").select(*gcols, "_gx", "_gy", "_tx", "_ty").distinct()
-    if box:
-        large = p.where("greatest(_b2 - _b0, _b3 - _b1) > " + repr(d)).select(*gcols, "_gx", "_gy", *shape)
-        others = p.select(*gcols, F.col("_gx").alias("_tx"), F.col("_gy").alias("_ty"), *shape)
-        far = SJ.dwithin_join(large, others, d, left_geom=geom, right_geom=geom, cell=2 * d, right_prefix="q",
-                              residual=" AND ".join([f"l.`{g}` = r.`{g}`" for g in gcols]) or None)
-        far = far.where("_gx <> _tx or _gy <> _ty").select(*gcols, "_gx", "_gy", "_tx", "_ty")
-        hits = hits.unionByName(far).distinct()
-    hits = hits.checkpoint(eager=True)
-
-    cell_label = _label_cells(cells, hits, gcols).withColumnRenamed("_label", out)
-    # rows come back from the checkpointed input (original columns kept in it)
-    return p.join(cell_label, [*gcols, "_gx", "_gy"]).select(*[F.col("_orig." + c).alias(c) for c in points.columns],
-                                                             F.col(out))
+    hits = probe.alias("l").join(target.alias("r"), cond, "left_semi").select(*gcols, "_gx", "_gy", "_tx", "_ty")
+    large = p.where("greatest(_b2 - _b0, _b3 - _b1) > " + repr(d)).select(*gcols, "_gx", "_gy", *shape)
+    others = p.select(*gcols, F.col("_gx").alias("_tx"), F.col("_gy").alias("_ty"), *shape)
+    far = SJ.dwithin_join(large, others, d, left_geom=geom, right_geom=geom, cell=2 * d, right_prefix="q",
+                          residual=" AND ".join([f"l.`{g}` = r.`{g}`" for g in gcols]) or None)
+    far = far.where("_gx <> _tx or _gy <> _ty").select(*gcols, "_gx", "_gy", "_tx", "_ty")
+    return hits.unionByName(far).distinct()
 
 
 TILE = 64  # cells per tile side: a tile holds at most TILE**2 nodes, whatever the data
 
 
 def _tile_components(gcols: list):
-    """Pandas function: connected components of the cells of one tile over
-    the edges inside it (vectorised min-label propagation with pointer
-    jumping).  Returns each cell with the smallest representative id of its
-    tile-local component."""
+    """Pandas function over rows sorted by group and tile: connected
+    components of the cells of each tile over the edges inside it (vectorised
+    min-label propagation with pointer jumping).  Returns each cell with the
+    smallest representative id of its tile-local component.  Whole tiles of a
+    batch are labelled together; only the last one waits for the next batch."""
+
+    def run(batches):
+        held = None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            last = np.ones(len(pdf), dtype=bool)
+            for c in [*gcols, "_ux", "_uy"]:
+                last &= (pdf[c] == pdf[c].iat[-1]).to_numpy()
+            held = pdf[last]
+            if not last.all():
+                yield label(pdf[~last])
+        if held is not None:
+            yield label(held)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def label(pdf: pd.DataFrame) -> pd.DataFrame:
         nodes = pdf[pdf["_kind"] == 0].sort_values("_rep")
         edges = pdf[pdf["_kind"] == 1]
         lab = np.arange(len(nodes))
@@ -186,15 +272,13 @@ def _tile_components(gcols: list):
 def _label_cells(cells: DataFrame, hits: DataFrame, gcols: list) -> DataFrame:
     """Component label (smallest member id) of every cell.
 
-    1. Tiles of TILE x TILE cells are contracted independently with
-       ``applyInPandas`` (bounded groups: a dense city is many tiles).
+    1. Tiles of TILE x TILE cells of one group are contracted independently, tile after
+       tile (bounded: a dense city is many tiles, and many groups in one place are, too).
     2. Only edges that cross tiles enter the iterative Spark job, on the
        contracted graph, so it needs far fewer rounds.
     """
     def tile(cx, cy):
-        # tile of the cell, split 16 ways by group so many small groups share a few pandas calls
-        hb = F.pmod(F.xxhash64(*[F.col(g) for g in gcols]), F.lit(16)) if gcols else F.lit(0).cast("long")
-        return [F.floor(F.col(cx) / TILE).alias("_ux"), F.floor(F.col(cy) / TILE).alias("_uy"), hb.alias("_hb")]
+        return [F.floor(F.col(cx) / TILE).alias("_ux"), F.floor(F.col(cy) / TILE).alias("_uy")]
 
     cells = cells.withColumn("_rep", F.col("_rep").cast("long"))
 
@@ -208,8 +292,9 @@ def _label_cells(cells: DataFrame, hits: DataFrame, gcols: list) -> DataFrame:
     schema = T.StructType([cells.schema[g] for g in gcols] + [
         T.StructField("_gx", T.LongType()), T.StructField("_gy", T.LongType()), T.StructField("_lrep", T.LongType())])
     ship_package(cells.sparkSession)  # the pandas function lives in this package
-    local = (node_rows.unionByName(edge_rows).groupBy("_ux", "_uy", "_hb")
-             .applyInPandas(_tile_components(gcols), schema)).persist(StorageLevel.MEMORY_AND_DISK)
+    tiles = [*gcols, "_ux", "_uy"]
+    local = (node_rows.unionByName(edge_rows).repartition(*tiles).sortWithinPartitions(*tiles)
+             .mapInPandas(_tile_components(gcols), schema)).checkpoint(eager=True)
 
     # graph nodes are (group, representative id): ids only need to be unique within a group
     def key(rep: str):

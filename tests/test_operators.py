@@ -158,6 +158,56 @@ def test_cluster_matches_union_find(spark, parts):
     assert got == _union_find(rows, 150)
 
 
+@pytest.mark.parametrize("split", [1, 40, 4096])
+def test_near_cells_equal_brute_force(spark, split):
+    """Dense and sparse cells, equal points, negative and fractional places: the same cell pairs whatever is split."""
+    rnd = random.Random(12)
+    pts = [(float(rnd.randint(-400, 400)), float(rnd.randint(-400, 400))) for _ in range(250)]
+    pts += [(rnd.gauss(120, 6), rnd.gauss(-80, 6)) for _ in range(120)] + [(70.0, 70.0)] * 90 + [(170.0, 70.0)] * 90 + [(170.01, 70.0)] * 5
+    d = 100.0
+    size = d / math.sqrt(2) * (1 - 1e-12)
+    rows = [(math.floor(x / size), math.floor(y / size), x, y) for x, y in pts]
+    want = {(a[0], a[1], b[0], b[1]) for a in rows for b in rows if (b[0], b[1]) > (a[0], a[1])
+            and (a[2] - b[2]) * (a[2] - b[2]) + (a[3] - b[3]) * (a[3] - b[3]) <= d * d}
+    df = spark.createDataFrame(rows, "_gx long, _gy long, _x double, _y double")
+    CL.ensure_checkpoint_dir(spark)
+    got = [tuple(r) for r in CL._near_cells(df, d, size, [], split).select("_gx", "_gy", "_tx", "_ty").collect()]
+    assert len(got) == len(set(got)) and set(got) == want and want
+
+
+def test_two_dense_cells_just_out_of_reach(spark):
+    """100,000 points in each of two cells that face each other along a slanted gap of little more than d: the boxes overlap
+    in reach, so they are split; 10^10 pairs are not compared.  One point more joins them."""
+    d, n = 100.0, 100_000
+    along, deep = F.rand(7) * 60, F.rand(8) * 20
+    slant = spark.range(n).select("id", along.alias("t"), deep.alias("s"))  # two bands along the direction (0.6, 0.8), d + 0.01 apart
+    band = lambda base, sign, by: slant.select((F.col("id") + by).alias("id"), (base[0] + F.col("t") * 0.8 + sign * F.col("s") * 0.6).alias("x"),
+                                               (base[1] - F.col("t") * 0.6 + sign * F.col("s") * 0.8).alias("y"))
+    gap = d + 0.01
+    p = band((500.0, 500.0), -1, 0).unionByName(band((500.0 + 0.6 * gap, 500.0 + 0.8 * gap), 1, n))
+    got = {r.cluster_id: r["count"] for r in CL.cluster_within(p, d).groupBy("cluster_id").count().collect()}
+    assert sorted(got.values()) == [n, n]
+    more = p.unionByName(spark.createDataFrame([(2 * n, 500.0 + 0.3 * gap, 500.0 + 0.4 * gap)], "id long, x double, y double"))
+    got = {r.cluster_id: r["count"] for r in CL.cluster_within(more, d).groupBy("cluster_id").count().collect()}
+    assert got == {0: 2 * n + 1}
+
+
+def test_many_groups_share_a_tile(spark):
+    """Groups in one place: tiles are taken one after the other, also when a batch ends within one."""
+    rnd = random.Random(13)
+    rows = [(i, rnd.randint(0, 3000), rnd.randint(0, 3000), f"g{rnd.randint(0, 40)}") for i in range(1500)]
+    p = spark.createDataFrame(rows, "id long, x long, y long, g string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        got = {r.id: r.cluster_id for r in CL.cluster_within(p, 150, group_by=("g",)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {}
+    for g in {r[3] for r in rows}:
+        want |= _union_find([r[:3] for r in rows if r[3] == g], 150)
+    assert got == want
+
+
 def test_cluster_groups_are_separate(spark):
     rows = [(1, 0, 0, "a"), (2, 10, 0, "b"), (3, 20, 0, "a"), (1, 0, 0, "b")]
     p = spark.createDataFrame(rows, "id long, x long, y long, g string")
