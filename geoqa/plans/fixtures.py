@@ -68,10 +68,10 @@ select s_suppkey as osm_id, (s_suppkey*7919)%19997+6+s_suppkey%17+s_suppkey%40-1
        (s_suppkey*104729)%20011+2 as y,
        case when s_suppkey%7=0 then 'kiosk' when s_suppkey%9=0 then null else 'bakery' end as shop
 from supplier""",
-    # 500-unit census squares with population, buildings, highways
+    # 500-unit census squares with population (three quarters of a person an address: fractions), buildings, highways
     "fx_square": """
 select a.cx, a.cy, a.pop, coalesce(b.n,0) as buildings, coalesce(h.n,0) as highways
-from (select cast(floor(x/500) as bigint) as cx, cast(floor(y/500) as bigint) as cy, count(*) as pop
+from (select cast(floor(x/500) as bigint) as cx, cast(floor(y/500) as bigint) as cy, cast(count(*) as double)*0.75 as pop
       from fx_address group by 1,2) a
 left join (select cast(floor(x0/500) as bigint) as cx, cast(floor(y0/500) as bigint) as cy, count(*) as n
            from fx_building group by 1,2) b on a.cx=b.cx and a.cy=b.cy

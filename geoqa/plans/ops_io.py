@@ -60,6 +60,35 @@ def ingest_geojson(spark: SparkSession, sf: str) -> DataFrame:
                     F.round(F.col("pts")[0]["x"], 3).alias("x0"))
 
 
+@query("ingest_geojson_collection", """
+select cleabs, count(*) as npoints, cast(cleabs % 5 as string) as dept,
+       cast(min(case when k = 0 then x end) as double) as x0
+from fx_official group by cleabs""")
+def ingest_geojson_collection(spark: SparkSession, sf: str) -> DataFrame:
+    """A FeatureCollection document per department, read in splits -> Mercator lines."""
+    path = R.scratch_path(spark, "geojson-collection")
+    lines = inputs.official_lines(spark, sf).withColumn("dept", (F.col("cleabs") % 5).cast("string"))
+    R.to_geojson_collections(lines, "dept", "cleabs").write.partitionBy("dept").text(path)
+    g = R.load_geojson(spark, path, multiline=True)
+    return g.select(F.col("properties")["cleabs"].cast("bigint").alias("cleabs"),
+                    F.size("pts").cast("bigint").alias("npoints"), "dept",
+                    F.round(F.col("pts")[0]["x"], 3).alias("x0"))
+
+
+# ---------------------------------------------------------------- G18
+@query("drop_third_coordinate", """
+select cleabs, count(*) as npoints, cast(min(case when k = 0 then x end) as double) as x0, cast(max(case when k = 0 then y end) as double) as y0
+from fx_official group by cleabs""")
+def drop_third_coordinate(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines whose coordinates carry a height, read as plane lines."""
+    path = R.scratch_path(spark, "geojson-z")
+    flat = R.to_geojson_lines(inputs.official_lines(spark, sf), "cleabs")
+    flat.select(F.regexp_replace("value", r"\[(-?[0-9.]+(?:E-?[0-9]+)?),(-?[0-9.]+(?:E-?[0-9]+)?)\]", "[$1,$2,431.5]").alias("value")).write.text(path)
+    g = R.load_geojson(spark, path, dept_from_path=False)
+    return g.select(F.col("properties")["cleabs"].cast("bigint").alias("cleabs"), F.size("pts").cast("bigint").alias("npoints"),
+                    F.round(F.col("pts")[0]["x"], 3).alias("x0"), F.round(F.col("pts")[0]["y"], 3).alias("y0"))
+
+
 # ---------------------------------------------------------------- S4
 @query("ingest_csv_points", f"select id, {_MERC} from fx_lonlat")
 def ingest_csv_points(spark: SparkSession, sf: str) -> DataFrame:
@@ -133,6 +162,20 @@ def report_xml_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
                     F.col("infos._id").cast("string").alias("anomaly_id"))
 
 
+# ---------------------------------------------------------------- F15
+@query("escape_text", """
+select class, square_id as anomaly_id, concat('<', square_id, '> & "', pop_c, '" ''hab'' &amp; ]]>') as text_fr from c14r""", (("c14r", _C14_SQL),))
+def escape_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts full of markup characters survive the XML report as they are."""
+    path = R.scratch_path(spark, "report-escape")
+    said = F.regexp_extract(F.col("text")[0]["value"], "^([0-9]+)", 1)
+    text = F.concat(F.lit("<"), "anomaly_id", F.lit('> & "'), said, F.lit("\" 'hab' &amp; ]]>"))
+    REP.write_report(c14_report(spark, sf).withColumn("text", F.transform("text", lambda t: F.struct(t["lang"].alias("lang"), text.alias("value")))), path)
+    x = REP.read_report(spark, path)
+    return x.select(F.col("_class").cast("int").alias("class"), F.col("infos._id").cast("string").alias("anomaly_id"),
+                    F.expr("filter(text, t -> t._lang = 'fr')[0]._value").cast("string").alias("text_fr"))
+
+
 @query("report_document", f"""
 select k.tag, k.level, k.title, k.resource, r.class, r.n from (
   select class, count(*) as n from c14r group by class union all select 11, count(*) from ({_C9_SQL}) a) r

@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from geoqa.functions import crs
 from geoqa.functions import geom as G
@@ -82,25 +83,49 @@ GEOJSON_COLLECTION = T.StructType([T.StructField("type", T.StringType()),
                                    T.StructField("features", T.ArrayType(GEOJSON_FEATURE))])
 
 
+def _features_of_collections(spark: SparkSession, path: str) -> DataFrame:
+    """The features of FeatureCollection documents, each document read in parallel splits.
+
+    The text source splits records at ``"Feature"``, the value of ``type`` that every feature begins with, so a task
+    holds a feature at a time, wherever the lines break (a gz file is one task, bz2 and plain files are many).  A record
+    is the rest of one feature and the opening of the next; the parser stops where the feature ends.  Each opening is
+    looked at: a document in which other members stand before a feature's type, or that has this very text as the value
+    of something else, or that is cut off, fails the job; such documents can be read as a whole.
+    """
+    raw = spark.read.option("lineSep", '"Feature"').text(path).select(
+        F.input_file_name().alias("_file"), F.regexp_replace("value", "^[\\s\ufeff]+", "").alias("_v"))
+    opening = r'\{\s*"type"\s*:\s*$'
+    head = F.col("_v").startswith("{")  # what stands before the first feature; the other records go on after a type
+    ends = F.col("_v").rlike(r"\}\s*$")
+    goes_on = F.when(head, F.col("_v").rlike(r"\[\s*" + opening)).otherwise(F.col("_v").rlike(r"\}\s*,\s*" + opening))
+    said = F.raise_error(F.concat(F.lit("features that do not begin with their type, read with whole=True: "), F.col("_file")))
+    parsed = F.from_json(F.concat(F.lit('{"type":"Feature"'), F.col("_v")), GEOJSON_FEATURE, {"mode": "FAILFAST"})
+    feats = raw.select("_file", F.when(~(ends | goes_on), said).when(~head, parsed).alias("f"))
+    return feats.where("f IS NOT NULL").select("f.*", "_file")
+
+
 def load_geojson(spark: SparkSession, path: str, multiline: bool = False,
-                 dept_from_path: bool = True) -> DataFrame:
+                 dept_from_path: bool = True, whole: bool = False) -> DataFrame:
     """S3: GeoJSON from WGS84 to Mercator.
 
-    ``multiline=True`` reads FeatureCollection files (one per department,
-    each file parsed by one task); otherwise one Feature per line (splittable).
+    ``multiline=True`` reads FeatureCollection documents, large ones by many tasks
+    (:func:`_features_of_collections`; ``whole``: each by one, for any order of
+    members); otherwise one Feature per line (splittable).
     Returns props (map), geometry type, ``part``, ``pts`` (LineString / Point)
     or ``rings`` (Polygon) in Mercator, and ``dept`` taken from a ``dept=``
     path segment when present.  Multi-geometries and collections give a row
     for each part; a third coordinate is dropped; a feature without geometry
     keeps its row, and an unknown geometry type fails the job.
     """
-    if multiline:
+    if multiline and whole:
         fc = spark.read.option("multiLine", True).schema(GEOJSON_COLLECTION).json(path)
-        feats = fc.select(F.explode("features").alias("f")).select("f.*")
+        feats = fc.select(F.explode("features").alias("f"), F.input_file_name().alias("_file")).select("f.*", "_file")
+    elif multiline:
+        feats = _features_of_collections(spark, path)
     else:
-        feats = spark.read.schema(GEOJSON_FEATURE).json(path)
+        feats = spark.read.schema(GEOJSON_FEATURE).json(path).withColumn("_file", F.input_file_name())
     if dept_from_path:
-        feats = feats.withColumn("dept", F.regexp_extract(F.input_file_name(), r"dept=([^/]+)", 1))
+        feats = feats.withColumn("dept", F.regexp_extract("_file", r"dept=([^/]+)", 1))
     def singles(g: str) -> str:
         """The simple geometries of a geometry, as array of (type, coordinates)."""
         return (f"CASE WHEN {g}.type LIKE 'Multi%' THEN transform(from_json({g}.coordinates, 'ARRAY<STRING>'), "
@@ -137,6 +162,18 @@ def to_geojson_lines(df: DataFrame, id_col: str, pts: str = "pts", props: tuple[
     return df.select(*keep, F.to_json(feat).alias("value"))
 
 
+def to_geojson_collections(df: DataFrame, by: str, id_col: str, pts: str = "pts") -> DataFrame:
+    """One FeatureCollection document for each ``by`` as lines of text in order, for ``write.partitionBy(by).text``:
+    opening, a Feature a line, closing."""
+    first = F.min(id_col).over(Window.partitionBy(by))
+    lines = to_geojson_lines(df.withColumn("_first", F.col(id_col) == first), id_col, pts, keep=(by, id_col, "_first"))
+    body = lines.select(by, F.lit(1).alias("_o"), F.col(id_col).alias("_i"),
+                        F.concat(F.when(F.col("_first"), "").otherwise(","), "value").alias("value"))
+    edge = lambda o, text: df.select(by).distinct().select(by, F.lit(o).alias("_o"), F.lit(None).alias("_i"), F.lit(text).alias("value"))
+    rows = body.unionByName(edge(0, '{"type":"FeatureCollection","features":[')).unionByName(edge(2, "]}"))
+    return rows.repartition(by).sortWithinPartitions(by, "_o", "_i").select(by, "value")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's checkpoint folder (shared storage
     on a cluster) for tables written and read back by a job."""

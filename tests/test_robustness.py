@@ -1,7 +1,9 @@
 """Inputs that used to be refused, lost or to end a job."""
 
+import gzip
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from geoqa.functions import crs
@@ -103,3 +105,52 @@ def test_every_geojson_geometry(spark, tmp_path):
         assert shape == [("0", 0, 1, None), ("1", 0, 1, None), ("1", 1, 1, None), ("2", 0, 2, None), ("3", 0, 2, None), ("3", 1, 3, None), ("4", 0, None, [4]),
                          ("5", 0, None, [4]), ("5", 1, None, [4, 4]), ("6", 0, 1, None), ("6", 1, None, [4])]
         assert [r.pts for r in got if not r.gtype] == [None]
+
+
+def test_large_collection_is_read_by_many_tasks(spark, tmp_path):
+    """One document of 4,000 features, on one line or printed over many: the rows of the whole parser, from many splits; gz is one."""
+    feats = [{"type": "Feature", "properties": {"id": str(i), "note": 'a "Feature\\" },{"type":' if i % 7 == 0 else "é{[", "n": "x" * (i % 50)},
+              "geometry": None if i % 11 == 0 else {"type": "Point", "coordinates": [2.0 + i / 10_000, 48.0]}} for i in range(4000)]
+    doc = {"type": "FeatureCollection", "name": "Feature list", "features": feats, "bbox": [2, 48, 3, 49]}
+    for name, text in (("one", json.dumps(doc)), ("lines", "\ufeff" + json.dumps(doc, indent=1, ensure_ascii=False) + "\n"),
+                       ("bare", json.dumps({"type": "FeatureCollection", "features": []})),
+                       ("single", json.dumps({"type": "FeatureCollection", "features": feats[:1]}))):
+        path = tmp_path / f"{name}.json"
+        path.write_text(text, encoding="utf-8")
+        old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+        try:
+            split = R.load_geojson(spark, str(path), multiline=True, dept_from_path=False)
+            got = sorted(split.collect(), key=lambda r: int(r.properties["id"]))
+            tasks = split.rdd.getNumPartitions()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        want = text if name != "lines" else text[1:]
+        plain = tmp_path / f"{name}-plain.json"
+        plain.write_text(want, encoding="utf-8")
+        whole = sorted(R.load_geojson(spark, str(plain), multiline=True, dept_from_path=False, whole=True).collect(), key=lambda r: int(r.properties["id"]))
+        assert got == whole and len(got) == {"bare": 0, "single": 1}.get(name, 4000)
+        assert name not in ("one", "lines") or tasks > 4
+    with gzip.open(tmp_path / "packed.json.gz", "wt", encoding="utf-8") as f:
+        json.dump(doc, f)
+    assert R.load_geojson(spark, str(tmp_path / "packed.json.gz"), multiline=True, dept_from_path=False).count() == 4000
+
+
+@pytest.mark.parametrize("feats", [
+    '{"id": 1, "type": "Feature", "properties": {}, "geometry": null}',                                   # the type is not first
+    '{"type": "Feature", "properties": {"kind": "Feature"}, "geometry": null}',                           # the text stands for something else
+    '{"type": "Feature", "properties": {}, "geometry": null}, {"id": 2, "type": "Feature", "properties": {}, "geometry": null}',
+])
+def test_collections_in_another_order_are_read_whole(spark, tmp_path, feats):
+    path = tmp_path / "odd.json"
+    path.write_text('{"type": "FeatureCollection", "features": [' + feats + "]}")
+    with pytest.raises(Exception, match="whole=True"):
+        R.load_geojson(spark, str(path), multiline=True, dept_from_path=False).collect()
+    assert R.load_geojson(spark, str(path), multiline=True, dept_from_path=False, whole=True).count() == feats.count('"geometry"')
+
+
+def test_collection_that_is_cut_off_fails(spark, tmp_path):
+    path = tmp_path / "cut.json"
+    path.write_text('{"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"a": "b"}, "geom')
+    with pytest.raises(Exception):
+        R.load_geojson(spark, str(path), multiline=True, dept_from_path=False).collect()
