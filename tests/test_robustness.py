@@ -154,3 +154,24 @@ def test_collection_that_is_cut_off_fails(spark, tmp_path):
     path.write_text('{"type": "FeatureCollection", "features": [{"type": "Feature", "properties": {"a": "b"}, "geom')
     with pytest.raises(Exception):
         R.load_geojson(spark, str(path), multiline=True, dept_from_path=False).collect()
+
+
+def test_collection_is_written_as_one_document_each(spark, tmp_path):
+    """Opening, features in order and closing stay in one file, however the shuffle's partitions are put together."""
+    df = spark.range(4000).selectExpr("id", "cast(id % 3 as string) as dept", "array(named_struct('x', id * 1.0D, 'y', 2D), named_struct('x', 3D, 'y', 4D)) as pts")
+    df = df.repartition(5).groupBy("id").agg(F.first("dept").alias("dept"), F.first("pts").alias("pts"))
+    conf = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100kb"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        R.to_geojson_collections(df, "dept", "id").write.partitionBy("dept").text(str(tmp_path / "c"))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    for d in range(3):
+        files = list((tmp_path / "c" / f"dept={d}").glob("part-*"))
+        assert len(files) == 1
+        doc = json.loads(files[0].read_text())
+        assert [int(f["properties"]["id"]) for f in doc["features"]] == list(range(d, 4000, 3))
+    assert R.load_geojson(spark, str(tmp_path / "c"), multiline=True).count() == 4000
