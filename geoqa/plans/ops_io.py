@@ -141,6 +141,10 @@ def c09_report(spark: SparkSession, sf: str) -> DataFrame:
                          osm=[("way", F.col("osm_id"))])
 
 
+#: The part of a report that is read back; declared, since a report without rows has nothing to infer it from.
+_ERROR = ("_class INT, infos STRUCT<_id: STRING>, location STRUCT<_lat: DOUBLE, _lon: DOUBLE>, "
+          "text ARRAY<STRUCT<_lang: STRING, _value: STRING>>")
+
 _C14_SQL = """select concat_ws('_', cx, cy) as square_id, case when ceil(pop) > 5 then 1 else 10 end as class,
        cast(ceil(pop) as bigint) as pop_c, round(degrees(cast(cx * 500 + 250.0 AS double) / 6378137.0), 6) as lon,
        round(degrees(2 * atan(exp(cast(cy * 500 + 250.0 AS double) / 6378137.0)) - pi() / 2), 6) as lat
@@ -155,7 +159,7 @@ def report_xml_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Report -> gzip XML (``analyser`` / ``error`` elements) -> read back."""
     path = R.scratch_path(spark, "report-xml")
     REP.write_report(c14_report(spark, sf), path)
-    x = REP.read_report(spark, path)
+    x = REP.read_report(spark, path, schema=_ERROR)
     return x.select(F.col("_class").cast("int").alias("class"), F.col("location._lat").cast("double").alias("lat"),
                     F.col("location._lon").cast("double").alias("lon"),
                     F.expr("filter(text, t -> t._lang = 'fr')[0]._value").cast("string").alias("text_fr"),
@@ -171,7 +175,7 @@ def escape_text(spark: SparkSession, sf: str) -> DataFrame:
     said = F.regexp_extract(F.col("text")[0]["value"], "^([0-9]+)", 1)
     text = F.concat(F.lit("<"), "anomaly_id", F.lit('> & "'), said, F.lit("\" 'hab' &amp; ]]>"))
     REP.write_report(c14_report(spark, sf).withColumn("text", F.transform("text", lambda t: F.struct(t["lang"].alias("lang"), text.alias("value")))), path)
-    x = REP.read_report(spark, path)
+    x = REP.read_report(spark, path, schema=_ERROR)
     return x.select(F.col("_class").cast("int").alias("class"), F.col("infos._id").cast("string").alias("anomaly_id"),
                     F.expr("filter(text, t -> t._lang = 'fr')[0]._value").cast("string").alias("text_fr"))
 

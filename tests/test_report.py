@@ -81,3 +81,15 @@ def test_documents_of_all_checks(spark):
     empty = scratch_path(spark, "documents-empty")
     REP.write_document(report.limit(0).repartition(1), REP.class_catalogue(spark), empty, checks[:1])
     assert REP.read_report(spark, empty, schema="_class INT").count() == 0 and REP.read_classes(spark, empty).count() == 4
+
+
+def test_report_queries_without_anomalies(spark, monkeypatch):
+    """No square without a road: the reports are empty, and so are the results."""
+    from geoqa.plans import ops_io
+    row = spark.createDataFrame([("1_2", 1, 7, 46.0, 2.0)], "square_id string, class int, pop_c long, lat double, lon double")
+    for rows in (row.where("false"), row):
+        monkeypatch.setattr(ops_io, "c14", lambda spark, sf, rows=rows: rows)
+        whole, escaped = ops_io.report_xml_roundtrip(spark, ""), ops_io.escape_text(spark, "")
+        n = rows.count()
+        assert [tuple(r) for r in whole.collect()] == [(1, 46.0, 2.0, "7 hab. carreau 1_2", "1_2")] * n
+        assert [tuple(r) for r in escaped.collect()] == [(1, "1_2", "<1_2> & \"7\" 'hab' &amp; ]]>")] * n
