@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from geoqa.functions import crs
 from geoqa.functions import lines as LN
 from geoqa.functions import text as T
 from geoqa.operators import hull as H
 from geoqa.operators import sjoin as SJ
-from geoqa.operators.sjoin import Polygon, Segment
+from geoqa.operators.sjoin import Box, Polygon, Segment
 from geoqa.plans import inputs
 from geoqa.functions import geom as G
-from geoqa.plans.checks_common import line_segments, lonlat_cols
+from geoqa.plans.checks_common import lonlat_cols
 from geoqa.plans.checks_common import lonlat_sql as _lonlat_sql
 from geoqa.plans.fixtures import register
 from geoqa.plans.registry import query
@@ -149,22 +150,48 @@ def street_measures(groups: DataFrame, status: DataFrame, ways: DataFrame, dist:
                .withColumn("hy0", F.expr("array_min(transform(hull, p -> p.y))"))
                .withColumn("hx1", F.expr("array_max(transform(hull, p -> p.x))"))
                .withColumn("hy1", F.expr("array_max(transform(hull, p -> p.y))"))
-               .persist(StorageLevel.MEMORY_AND_DISK))  # read by three branches; hulls are Python-built
+               .persist(StorageLevel.MEMORY_AND_DISK))  # read by two branches; hulls are Python-built
     hw = ways.where(F.col("highway").isNotNull())
-    segs = line_segments(hw.select("osm_id", "pts"))
-    pairs = (SJ.dwithin_join(g.select("fantoir", "voie", "hrings", "hx0", "hy0", "hx1", "hy1"),
-                             segs.select("osm_id", "x1", "y1", "x2", "y2"), dist,
-                             left_geom=Polygon("hrings", ("hx0", "hy0", "hx1", "hy1")), right_geom=Segment())
-             .select("fantoir", "voie", "osm_id").distinct())
-    named = pairs.join(hw.select("osm_id", "name"), "osm_id").persist(StorageLevel.MEMORY_AND_DISK)
+    # a way comes whole, so each pair of a group and a way is one row, met once and measured where it stands
+    bx = ("wx0", "wy0", "wx1", "wy1")
+    ym = "((w_.y1 + w_.y2) / 2.0)"
+    wsegs = (f"transform({LN.line_to_segments('pts')}, w_ -> named_struct('x1', w_.x1, 'y1', w_.y1, 'x2', w_.x2, 'y2', w_.y2, "
+             f"'len', sqrt(cast((w_.x2 - w_.x1) * (w_.x2 - w_.x1) + (w_.y2 - w_.y1) * (w_.y2 - w_.y1) AS double)), "
+             f"'glen', sqrt(power((w_.x2 - w_.x1) * {crs.scale_e(ym)}, 2) + power((w_.y2 - w_.y1) * {crs.scale_n(ym)}, 2))))")
+    whole = hw.where("osm_id IS NOT NULL").select(
+        "osm_id", "name", F.expr(wsegs).alias("wsegs"),
+        F.count("*").over(Window.partitionBy("osm_id")).alias("_copies"), *[F.expr(e).alias(n) for e, n in zip(LN.bbox("pts"), bx)])
+    hull, seg = ("l.hx0", "l.hy0", "l.hx1", "l.hy1"), ("w_.x1", "w_.y1", "w_.x2", "w_.y2")
+    shape, d = Polygon("hrings", ("hx0", "hy0", "hx1", "hy1")), str(float(dist))
+    near = f"exists(l.wsegs, w_ -> {SJ.within_sql(shape, Segment(), d, rp='w_')})"
+    meet = G.box_overlap(hull, tuple(f"r.{c}" for c in bx), d)
+    # lengths of the way inside the hull and inside the hull buffered by dist; segments out of reach are not clipped
+    own = ("hx0", "hy0", "hx1", "hy1")
+    cut = (f"transform(wsegs, w_ -> named_struct('len', w_.len, 'glen', w_.glen, "
+           f"'b', CASE WHEN {G.box_overlap(own, G.seg_bbox(*seg), d)} THEN {LN.clip_buffer(*seg, 'hull', float(dist), 'nverts >= 3')} END, "
+           f"'h', CASE WHEN nverts >= 3 AND {G.box_overlap(own, G.seg_bbox(*seg), '0')} THEN {LN.clip_convex(*seg, 'hull')} END))")
+    share = lambda p: f"coalesce(greatest(c_.{p}.hi - c_.{p}.lo, 0D), 0D)"
+    total = lambda e: f"aggregate(_cut, 0D, (t_, c_) -> t_ + {e}) * _copies"
+    named = (SJ.dwithin_cells(g.select("fantoir", "voie", "hrings", "hull", "nverts", "hx0", "hy0", "hx1", "hy1"), whole, float(dist),
+                              SJ.default_cell(dist), meet, None, shape, Box(*bx), "inner", None, None, None, None, "r_")
+             .withColumn("_cut", F.explode(F.array(F.expr(cut)))).alias("l")  # exploded, so that it is worked out once
+             # a clear overlap is near enough; the distance decides the other pairs
+             .where(f"exists(_cut, c_ -> c_.b.hi - c_.b.lo > 1e-6) OR {near}")
+             .select("fantoir", "voie", "osm_id", "name", *[F.expr(total(e)).alias(n) for n, e in (
+                 ("len", "c_.len"), ("lenb", f"c_.len * {share('b')}"), ("glen", "c_.glen"), ("glenh", f"c_.glen * {share('h')}"))]))
     sid = F.col("osm_id").cast("string")
+    nn = F.col("name").isNull()
     agg = named.groupBy("fantoir", "voie").agg(
         F.array_join(F.array_sort(F.collect_list(sid)), ",").alias("id"),
         F.array_join(F.array_sort(F.collect_list(F.when(F.col("name").isNull(), sid))), ",").alias("id_noname"),
         F.max("name").alias("name"),
         F.array_join(F.array_sort(F.collect_list("name")), ";").alias("names"),
         F.when(F.count("*") == 1, F.max("osm_id")).alias("one"),
-        F.when(F.count(F.when(F.col("name").isNull(), 1)) == 1, F.max(F.when(F.col("name").isNull(), F.col("osm_id")))).alias("one_noname"))
+        F.when(F.count(F.when(F.col("name").isNull(), 1)) == 1, F.max(F.when(F.col("name").isNull(), F.col("osm_id")))).alias("one_noname"),
+        F.sum("len").alias("sl"), F.sum("lenb").alias("slb"), F.sum("glen").alias("sg"), F.sum("glenh").alias("sgh"),
+        F.sum(F.when(nn, F.col("len"))).alias("nsl"), F.sum(F.when(nn, F.col("lenb"))).alias("nslb"),
+        F.sum(F.when(nn, F.col("glen"))).alias("nsg"), F.sum(F.when(nn, F.col("glenh"))).alias("nsgh"))
+    agg = agg.persist(StorageLevel.MEMORY_AND_DISK)  # read for the extents, too
     # the extent of a way counts only where it is a group's one way, or its one nameless way
     asked = agg.select(F.explode(F.array("one", "one_noname")).alias("osm_id")).where("osm_id IS NOT NULL").distinct()
     extent = longest_lines(asked.join(hw.select("osm_id", "pts"), "osm_id"))
@@ -173,27 +200,9 @@ def street_measures(groups: DataFrame, status: DataFrame, ways: DataFrame, dist:
     agg = (agg.withColumn("id_noname", F.when(F.col("id_noname") != "", F.col("id_noname")))
               .withColumn("names", F.when(F.col("names") != "", F.col("names"))))
 
-    # lengths of the matched ways inside the hull and inside the hull buffered by dist
-    s = named.select("fantoir", "voie", "osm_id", F.col("name").isNull().alias("noname")).join(segs, "osm_id")
-    s = s.join(g.select("fantoir", "voie", "hull", "nverts"), ["fantoir", "voie"])
-    ym = "((y1 + y2) / 2.0)"
-    s = s.select("fantoir", "voie", "noname",
-                 F.expr("sqrt(cast((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1) AS double))").alias("len"),
-                 F.expr(f"sqrt(power((x2 - x1) * {crs.scale_e(ym)}, 2) + power((y2 - y1) * {crs.scale_n(ym)}, 2))").alias("glen"),
-                 F.expr(LN.clip_buffer("x1", "y1", "x2", "y2", "hull", float(dist), "nverts >= 3")).alias("b"),
-                 F.expr(f"CASE WHEN nverts >= 3 THEN {LN.clip_convex('x1', 'y1', 'x2', 'y2', 'hull')} END").alias("h"))
-    fb = F.greatest(F.col("b.hi") - F.col("b.lo"), F.lit(0.0))
-    fh = F.coalesce(F.greatest(F.col("h.hi") - F.col("h.lo"), F.lit(0.0)), F.lit(0.0))
-    nn = F.col("noname")
-    meas = s.groupBy("fantoir", "voie").agg(
-        F.sum("len").alias("sl"), F.sum(F.col("len") * fb).alias("slb"),
-        F.sum("glen").alias("sg"), F.sum(F.col("glen") * fh).alias("sgh"),
-        F.sum(F.when(nn, F.col("len"))).alias("nsl"), F.sum(F.when(nn, F.col("len") * fb)).alias("nslb"),
-        F.sum(F.when(nn, F.col("glen"))).alias("nsg"), F.sum(F.when(nn, F.col("glen") * fh)).alias("nsgh"))
-
     cen = F.expr(f"CASE WHEN nverts >= 3 THEN {LN.polygon_centroid('array(hull)')} "
                  f"ELSE named_struct('x', (hull[0].x + hull[1].x) / 2.0, 'y', (hull[0].y + hull[1].y) / 2.0) END")
-    return (g.join(agg, ["fantoir", "voie"], "left").join(meas, ["fantoir", "voie"], "left")
+    return (g.join(agg, ["fantoir", "voie"], "left")
           .where(F.coalesce("name", F.lit("")) != F.col("voie"))
           .withColumn("c", cen)
           .withColumn("l", F.col("slb") / F.col("sl")).withColumn("l2", F.col("sg") - F.col("sgh"))
