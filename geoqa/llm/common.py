@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -101,6 +102,19 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(run, schema)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What runs (not: is planned) inside hands Python stages up to ``rows`` rows a batch: for rows of a few numbers,
+    of which batches of ``BATCH_ROWS`` are so many that handing them over costs more than the work on them."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def give_back() -> None:
     """Return freed memory to the system, where the C library can."""
     pa.default_memory_pool().release_unused()

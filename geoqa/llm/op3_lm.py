@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoqa.llm import textscan as T
-from geoqa.llm.common import arrow_map, crc32_of_id, only, stored, table, worker_cache
+from geoqa.llm.common import arrow_map, batches_of, crc32_of_id, only, stored, table, worker_cache
 from geoqa.llm.files import opened, shared_folder
 
 FILTER_BITS, PROBES, SEGMENTS = 1 << 28, 6, 64
@@ -49,6 +49,8 @@ BASE, DISCOUNT, SHARES = 1.5, 0.75, 20
 TABLE = 1 << 20
 #: Distinct n-grams that a counting task adds up before it hands them on.
 HELD = 1 << 21
+#: Keys that a look into the filter takes at once.
+AT_ONCE = 1 << 14
 #: Rows of n-grams in a batch.
 SHORT = 1 << 16
 #: Least weight of the unigram model after any history.
@@ -161,24 +163,45 @@ class Filter:
     def segment(key: np.ndarray) -> np.ndarray:
         return (T.mix(key) % np.uint64(SEGMENTS)).astype(np.int64)
 
+    def has(self, key: np.ndarray, base: np.ndarray, level: int) -> np.ndarray:
+        """Which of the keys, whose segments begin at the words ``base``, are there at a level (their indexes)."""
+        h = T.mix(key ^ np.uint64(0xC2B2AE3D27D4EB4F * level & (1 << 64) - 1))
+        block = (((h >> np.uint64(32)) * np.uint64(self.blocks) >> np.uint64(32)) << np.uint64(3)) + base
+        g = T.mix(h + np.uint64(0x165667B19E3779F9))
+        left = None
+        for some in (range(2), range(2, PROBES)):  # most keys that are not there fail at the first two
+            ok = np.uint64(1)
+            for i in some:
+                bit = g >> np.uint64(9 * i)
+                ok = ok & (self.words[(block + ((bit >> np.uint64(6)) & np.uint64(7))).view(np.int64)] >> (bit & np.uint64(63)))
+            hit = np.flatnonzero(ok)
+            left = hit if left is None else left[hit]
+            block, g = block[hit], g[hit]
+        return left
+
     def levels(self, key: np.ndarray) -> np.ndarray:
-        """The level of each key, by probes from level 1 on until one is missing."""
-        out = np.zeros(len(key), np.int64)
-        base = self.segment(key) * (self.blocks * 8)
-        left, level = np.arange(len(key)), 0
+        """The level of each key, by probes from level 1 on until one is missing.
+
+        Keys are taken in the order of their segments, some at a time: then a segment and all that is
+        made on the way stay in the processor's cache."""
+        segment = self.segment(key)
+        by = np.argsort(segment.astype(np.uint8), kind="stable")
+        key, base = key[by], segment[by].view(np.uint64) * np.uint64(self.blocks * 8)
+        found, rest = np.zeros(len(key), np.int64), []
+        for lo in range(0, len(key), AT_ONCE):
+            k, at = key[lo:lo + AT_ONCE], base[lo:lo + AT_ONCE]
+            left = np.arange(len(k))
+            for level in range(1, 4):
+                left = left[self.has(k[left], at[left], level)]
+                found[lo + left] = level
+            rest.append(lo + left)
+        left, level = np.concatenate(rest) if rest else np.zeros(0, np.int64), 3
         while len(left):
             level += 1
-            block, bits = self.places(key[left], level, self.blocks)
-            block += base[left]
-            for i, b in enumerate(bits):
-                hit = (self.words[block + (b >> np.uint64(6)).astype(np.int64)] >> (b & np.uint64(63))) & np.uint64(1) != 0
-                if i < 2:  # most keys that are not there fail at once
-                    left, block, ok = left[hit], block[hit], np.ones(int(hit.sum()), bool)
-                    bits[i + 1:] = [x[hit] for x in bits[i + 1:]]
-                else:
-                    ok &= hit
-            left = left[ok]
-            out[left] = level
+            left = left[self.has(key[left], base[left], level)]
+            found[left] = level
+        out = np.empty(len(key), np.int64)
+        out[by] = found
         return out
 
 
@@ -227,7 +250,7 @@ class Parts:
         """The level of each key, part by part."""
         out = np.zeros(len(key), np.int64)
         part = part_of(key, self.parts)
-        by = np.argsort(part, kind="stable")
+        by = np.argsort(part.astype(np.uint16) if self.parts <= 1 << 16 else part, kind="stable")  # short numbers are sorted by digits
         ends = np.searchsorted(part[by], np.arange(self.parts + 1))
         for p in range(self.parts):
             at = by[ends[p]:ends[p + 1]]
@@ -252,9 +275,12 @@ def build_filter(entries: DataFrame, room: int, bits: int = FILTER_BITS) -> Part
         for b in batches:
             seg, key, level = (b.column(i).to_numpy() for i in range(3))
             key = key.view(np.uint64)
-            by = np.argsort(seg, kind="stable")
+            by = np.argsort(seg.astype(np.uint16), kind="stable")  # short numbers are sorted by digits; equal ones stay runs
             for part in np.split(by, np.flatnonzero(np.diff(seg[by])) + 1) if len(by) else ():
-                marks = segments.setdefault(int(seg[part[0]]), np.zeros(blocks * 512, bool))
+                own = int(seg[part[0]])
+                if own not in segments:
+                    segments[own] = np.zeros(blocks * 512, bool)
+                marks = segments[own]
                 k = np.repeat(key[part], level[part])
                 block, places = Filter.places(k, T.spans(level[part]) + 1, blocks)
                 block *= 64
@@ -266,7 +292,8 @@ def build_filter(entries: DataFrame, room: int, bits: int = FILTER_BITS) -> Part
 
     # a task has few segments, however many there are
     marked = arrow_map(entries.select("key", "level"), mark, "segment long, key long, level long", rows=SHORT).repartition(SEGMENTS * -(-parts // 4), "segment")
-    arrow_map(marked, fill, "segments long", owner="op3", rows=SHORT).agg(F.sum("segments")).first()
+    with batches_of(entries.sparkSession, SHORT):
+        arrow_map(marked, fill, "segments long", owner="op3", rows=SHORT).agg(F.sum("segments")).first()
     return out
 
 
@@ -311,7 +338,8 @@ def model_of(train: DataFrame, bits: int = FILTER_BITS, entries: int = TABLE):
     one, two = (grams.where(F.col("order") == k).select("key", "n") for k in (1, 2))
     one = stored(one, "unigrams")  # read several times
     n, v = one.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    shares = stored(history_shares(one, two), "shares")
+    with batches_of(train.sparkSession, SHORT):
+        shares = stored(history_shares(one, two), "shares")
     total = lambda df, level: df.agg(F.coalesce(F.sum(level), F.lit(0))).first()[0]
     room = total(one, level_of("n")) + total(two, level_of("n")) + total(shares, F.col("level"))
     levels = one.select("key", level_of("n").alias("level")).unionAll(two.select("key", level_of("n").alias("level")))
@@ -325,12 +353,17 @@ def model_of(train: DataFrame, bits: int = FILTER_BITS, entries: int = TABLE):
 
 
 def grouped(batches, size: int):
-    """(ids, their number, row, key, key before) of the tokens of about ``size`` bytes of (id, text) at a time."""
+    """(ids, their number, row, distinct words, place of each token's word among them, key, key before) of the tokens of
+    about ``size`` bytes of (id, text) at a time.  Each chunk's distinct words are found first, then those of all chunks."""
     held, total, rows = [], 0, 0
 
     def group():
-        ids, row, key, before = zip(*held)
-        return pa.concat_arrays(ids), rows, np.concatenate(row), np.concatenate(key), np.concatenate(before)
+        ids, row, key, before, words, places = zip(*held)
+        held.clear()  # not kept beside the group
+        word, place = np.unique(np.concatenate(words), return_inverse=True)
+        of_chunk = np.split(place, np.cumsum([len(w) for w in words])[:-1])
+        place = np.concatenate([all_[own] for all_, own in zip(of_chunk, places)])
+        return pa.concat_arrays(ids), rows, np.concatenate(row), word, place, np.concatenate(key), np.concatenate(before)
 
     for b in batches:
         at = 0
@@ -338,9 +371,9 @@ def grouped(batches, size: int):
             new = int(offs[-1] - offs[0])
             if held and total + new > size:
                 yield group()
-                held, total, rows = [], 0, 0
+                total, rows = 0, 0
             row, key, before = tokens(T.scan(data, offs, T.SPACED, lower=True))
-            held.append((b.column(0).slice(at, hi - lo), row + rows, key, before))
+            held.append((b.column(0).slice(at, hi - lo), row + rows, key, before, *np.unique(key, return_inverse=True)))
             total, rows, at = total + new, rows + hi - lo, at + hi - lo
     if held:
         yield group()
@@ -362,8 +395,7 @@ def score_texts(df: DataFrame, train: DataFrame, id_col: str = "doc_id", text_co
     def run(batches):
         m = shared.value
         uid = TaskContext.get().partitionId() << 40
-        for ids, rows, row, key, before in grouped(batches, min(4 * parts.parts, GROUP) * T.CHUNK):
-            word, place = np.unique(key, return_inverse=True)
+        for ids, rows, row, word, place, key, before in grouped(batches, min(4 * parts.parts, GROUP) * T.CHUNK):
             at = np.searchsorted(m.known, word)
             at[at == len(m.known)] = 0
             hit = m.known[at] == word if len(m.known) else np.zeros(len(word), bool)

@@ -55,6 +55,36 @@ def test_filter_reads_back_levels():
     assert (f.levels(r.integers(0, 2 ** 63, 20000).astype(np.uint64)) == 0).mean() > 0.97
 
 
+def test_a_look_into_the_filter_takes_few_keys_at_once():
+    """Levels of many keys: right for each, without arrays of all keys for every probe."""
+    import tracemalloc
+    r = np.random.default_rng(1)
+    k, n = r.integers(0, 2 ** 63, 10 * op3_lm.SHORT).astype(np.uint64), 8
+    f = op3_lm.Filter(np.full(op3_lm.SEGMENTS * 8 * n, (1 << 64) - 1, np.uint64))
+    f.words.reshape(op3_lm.SEGMENTS, n, 8)[1::2] = 0  # odd segments are empty; even ones have all up to any level
+    odd = op3_lm.Filter.segment(k) % 2 == 1
+    has = f.has
+    f.has = lambda key, base, level: has(key, base, level) if level < 6 else np.zeros(0, np.int64)
+    tracemalloc.start()
+    got = f.levels(k)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (got[odd] == 0).all() and (got[~odd] == 5).all()
+    assert peak < 100 * len(k), peak / len(k)
+
+
+def test_fill_gets_large_batches(spark, monkeypatch):
+    """Rows of two numbers are handed over in batches far larger than those of texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    seen, before = [], spark.conf.get(key)
+    first = type(spark.range(1)).first
+    monkeypatch.setattr(type(spark.range(1)), "first", lambda df: (seen.append(int(spark.conf.get(key))), first(df))[1])
+    entries = spark.range(5000).selectExpr("id * 7919 key", "1L + id % 3 level")
+    parts = op3_lm.build_filter(entries, 10000, 1 << 16)
+    assert max(seen) >= op3_lm.SHORT and spark.conf.get(key) in (before, "1000")
+    assert (parts.levels(np.arange(5000, dtype=np.uint64) * np.uint64(7919)) >= 1 + np.arange(5000) % 3).all()
+
+
 def test_model_beats_unigrams_on_held_out_text(spark):
     rows = [(i, " ".join(f"w{(i * 7 + 3 * j) % 50}" for j in range(80))) for i in range(200)]
     df = documents(spark, rows)
