@@ -119,6 +119,29 @@ def test_a_large_shape_has_few_places(spark):
     assert {r["_place"] for r in both if r.k == 2} & {r["_place"] for r in right if r.k == 2} == {0}
 
 
+def test_bbox_key_pairs(spark):
+    """Each pair of keys once, as by brute force: keys with several points or none, null keys, ways of mixed sizes."""
+    r = random.Random(5)
+    pts = [(r.choice([None, *range(60)]), r.choice([None, r.randint(-900, 900)]), r.randint(-900, 900)) for _ in range(90)]
+    pts += [(100 + i, r.randint(-900, 900), r.randint(-900, 900)) for i in range(60)] + [(200, 5, 5)] * 3
+    ways = []
+    for w in [None, *range(80)]:
+        for _ in range(r.randint(1, 4)):
+            x, y, reach = r.randint(-900, 900), r.randint(-900, 900), r.choice([3, 30, 300, 3000])
+            ways.append((w, x, y, x + r.randint(-reach, reach), y + r.randint(-reach, reach)))
+    want = {(p, w) for p, x, y in pts for w, x1, y1, x2, y2 in ways if x is not None
+            and min(x1, x2) - 20 <= x <= max(x1, x2) + 20 and min(y1, y2) - 20 <= y <= max(y1, y2) + 20}
+    left = spark.createDataFrame(pts, "poi long, x long, y long")
+    right = spark.createDataFrame(ways, "way long, x1 long, y1 long, x2 long, y2 long")
+    for cell in (None, 7.0, 5000.0):
+        got = [tuple(x) for x in SJ.bbox_key_pairs(left, right, "poi", "way", 20, cell=cell).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    # pairs are counted right where they meet: no aggregate or exchange above the join of keys with one point
+    plan = SJ.bbox_key_pairs(left, right, "poi", "way", 20)._jdf.queryExecution().optimizedPlan().toString()
+    first = plan[:plan.index("Aggregate")]
+    assert "Union" in first and "Join Inner" in first
+
+
 def test_bbox_join_of_long_segments(spark):
     """The box of a long diagonal counts, not the line: far from the line, but in its box, is a match."""
     p, s = _points(spark, 200, 31), _segments(spark, 60, 32, long_every=2)
