@@ -12,6 +12,7 @@ from geoqa.operators import cluster as CL
 from geoqa.operators import hull as HU
 from geoqa.operators import sjoin as SJ
 from geoqa.operators.sjoin import Box, Point, Segment
+from geoqa.plans import ops_joins as OJ
 
 
 def _points(spark, n, seed, span=2000, neg=True):
@@ -119,6 +120,24 @@ def test_a_large_shape_has_few_places(spark):
     assert {r["_place"] for r in both if r.k == 2} & {r["_place"] for r in right if r.k == 2} == {0}
 
 
+def test_pairs_by_key(spark, tmp_path):
+    """The rows of a plain join (null keys and values, equal rows, keys of more than a run), written in few bytes."""
+    r = random.Random(6)
+    a = [(r.choice([None, "A 1", "B 2", "C"]), r.choice([None, *range(300)])) for _ in range(900)] + [("only here", 1)]
+    b = [(r.choice([None, "A 1", "B 2", "C"]), r.choice([None, "x", "y", "z"])) for _ in range(40)] + [("only there", "x")]
+    left, right = spark.createDataFrame(a, "k string, i long"), spark.createDataFrame(b, "k string, v string")
+    key = lambda rows: sorted(rows, key=str)
+    got = OJ.pairs_by_key(left, right, "k").select("k", "i", "v")
+    assert key(map(tuple, got.collect())) == key((k, i, v) for k, i in a for h, v in b if k == h and k is not None)
+    assert got.columns == ["k", "i", "v"] and dict(got.dtypes) == {"k": "string", "i": "bigint", "v": "string"}
+    # 40 keys of 160 x 160 pairs: 1,024,000
+    many = spark.range(6400).selectExpr("cast(id % 40 as string) k", "id * 7919 i")
+    other = spark.range(6400).selectExpr("cast(id % 40 as string) k", "id * 104729 j")
+    OJ.pairs_by_key(many, other, "k").select("i", "j").write.parquet(f"{tmp_path}/pairs")
+    size = sum(f.stat().st_size for f in (tmp_path / "pairs").glob("*.parquet"))
+    assert spark.read.parquet(f"{tmp_path}/pairs").count() == 1024000 and size < 1024000, size
+
+
 def test_bbox_key_pairs(spark):
     """Each pair of keys once, as by brute force: keys with several points or none, null keys, ways of mixed sizes."""
     r = random.Random(5)
