@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +13,7 @@ from geoqa.functions import crs
 from geoqa.functions import lines as LN
 from geoqa.functions import text as T
 from geoqa.operators import hull as H
-from geoqa.operators import sjoin as SJ
-from geoqa.operators.sjoin import Box, Polygon, Segment
+from geoqa.operators.hullways import hull_way_sums
 from geoqa.plans import inputs
 from geoqa.functions import geom as G
 from geoqa.plans.checks_common import lonlat_cols
@@ -152,7 +153,7 @@ def street_measures(groups: DataFrame, status: DataFrame, ways: DataFrame, dist:
                .withColumn("hy1", F.expr("array_max(transform(hull, p -> p.y))"))
                .persist(StorageLevel.MEMORY_AND_DISK))  # read by two branches; hulls are Python-built
     hw = ways.where(F.col("highway").isNotNull())
-    # a way comes whole, so each pair of a group and a way is one row, met once and measured where it stands
+    # a way comes whole: what groups and ways have in common is summed up cell by cell, not pair by pair
     bx = ("wx0", "wy0", "wx1", "wy1")
     ym = "((w_.y1 + w_.y2) / 2.0)"
     wsegs = (f"transform({LN.line_to_segments('pts')}, w_ -> named_struct('x1', w_.x1, 'y1', w_.y1, 'x2', w_.x2, 'y2', w_.y2, "
@@ -161,55 +162,32 @@ def street_measures(groups: DataFrame, status: DataFrame, ways: DataFrame, dist:
     whole = hw.where("osm_id IS NOT NULL").select(
         "osm_id", "name", F.expr(wsegs).alias("wsegs"),
         F.count("*").over(Window.partitionBy("osm_id")).alias("_copies"), *[F.expr(e).alias(n) for e, n in zip(LN.bbox("pts"), bx)])
-    hull, seg = ("l.hx0", "l.hy0", "l.hx1", "l.hy1"), ("w_.x1", "w_.y1", "w_.x2", "w_.y2")
-    shape, d = Polygon("hrings", ("hx0", "hy0", "hx1", "hy1")), str(float(dist))
-    near = f"exists(l.wsegs, w_ -> {SJ.within_sql(shape, Segment(), d, rp='w_')})"
-    meet = G.box_overlap(hull, tuple(f"r.{c}" for c in bx), d)
-    # lengths of the way inside the hull and inside the hull buffered by dist; segments out of reach are not clipped
-    own = ("hx0", "hy0", "hx1", "hy1")
-    cut = (f"transform(wsegs, w_ -> named_struct('len', w_.len, 'glen', w_.glen, "
-           f"'b', CASE WHEN {G.box_overlap(own, G.seg_bbox(*seg), d)} THEN {LN.clip_buffer(*seg, 'hull', float(dist), 'nverts >= 3')} END, "
-           f"'h', CASE WHEN nverts >= 3 AND {G.box_overlap(own, G.seg_bbox(*seg), '0')} THEN {LN.clip_convex(*seg, 'hull')} END))")
-    share = lambda p: f"coalesce(greatest(c_.{p}.hi - c_.{p}.lo, 0D), 0D)"
-    total = lambda e: f"aggregate(_cut, 0D, (t_, c_) -> t_ + {e}) * _copies"
-    named = (SJ.dwithin_cells(g.select("fantoir", "voie", "hrings", "hull", "nverts", "hx0", "hy0", "hx1", "hy1"), whole, float(dist),
-                              SJ.default_cell(dist), meet, None, shape, Box(*bx), "inner", None, None, None, None, "r_")
-             .withColumn("_cut", F.explode(F.array(F.expr(cut)))).alias("l")  # exploded, so that it is worked out once
-             # a clear overlap is near enough; the distance decides the other pairs
-             .where(f"exists(_cut, c_ -> c_.b.hi - c_.b.lo > 1e-6) OR {near}")
-             .select("fantoir", "voie", "osm_id", "name", *[F.expr(total(e)).alias(n) for n, e in (
-                 ("len", "c_.len"), ("lenb", f"c_.len * {share('b')}"), ("glen", "c_.glen"), ("glenh", f"c_.glen * {share('h')}"))]))
-    sid = F.col("osm_id").cast("string")
-    nn = F.col("name").isNull()
-    agg = named.groupBy("fantoir", "voie").agg(
-        F.array_join(F.array_sort(F.collect_list(sid)), ",").alias("id"),
-        F.array_join(F.array_sort(F.collect_list(F.when(F.col("name").isNull(), sid))), ",").alias("id_noname"),
-        F.max("name").alias("name"),
-        F.array_join(F.array_sort(F.collect_list("name")), ";").alias("names"),
-        F.when(F.count("*") == 1, F.max("osm_id")).alias("one"),
-        F.when(F.count(F.when(F.col("name").isNull(), 1)) == 1, F.max(F.when(F.col("name").isNull(), F.col("osm_id")))).alias("one_noname"),
-        F.sum("len").alias("sl"), F.sum("lenb").alias("slb"), F.sum("glen").alias("sg"), F.sum("glenh").alias("sgh"),
-        F.sum(F.when(nn, F.col("len"))).alias("nsl"), F.sum(F.when(nn, F.col("lenb"))).alias("nslb"),
-        F.sum(F.when(nn, F.col("glen"))).alias("nsg"), F.sum(F.when(nn, F.col("glenh"))).alias("nsgh"))
+    # a pattern without special signs stands in one name; the others are looked for in all names of a group (None)
+    voie_c = F.replace("voie", F.lit('"'), F.lit(""))
+    pattern = F.translate(T.unbracket(voie_c), string.ascii_uppercase, string.ascii_lowercase)
+    pattern = F.when((pattern != "") & ~pattern.rlike(r"[.^$|;*+?\[\]{}\\()]"), pattern)
+    hulls = g.where("voie IS NOT NULL").select("fantoir", "voie", "hrings", "hx0", "hy0", "hx1", "hy1", pattern.alias("_pattern"))
+    agg = hull_way_sums(hulls, whole, dist, ("fantoir", "voie"))
     agg = agg.persist(StorageLevel.MEMORY_AND_DISK)  # read for the extents, too
     # the extent of a way counts only where it is a group's one way, or its one nameless way
     asked = agg.select(F.explode(F.array("one", "one_noname")).alias("osm_id")).where("osm_id IS NOT NULL").distinct()
     extent = longest_lines(asked.join(hw.select("osm_id", "pts"), "osm_id"))
     agg = (agg.join(extent.select(F.col("osm_id").alias("one"), F.col("wl").alias("l_ways")), "one", "left")
               .join(extent.select(F.col("osm_id").alias("one_noname"), F.col("wl").alias("l_ways_noname")), "one_noname", "left"))
-    agg = (agg.withColumn("id_noname", F.when(F.col("id_noname") != "", F.col("id_noname")))
-              .withColumn("names", F.when(F.col("names") != "", F.col("names"))))
+    names = F.array_join(F.array_sort("names"), ";")
+    agg = agg.withColumn("unnamed", (F.col("n_named") == 0) | ((F.col("n_named") == 1) & (F.col("name") == "")))
 
     cen = F.expr(f"CASE WHEN nverts >= 3 THEN {LN.polygon_centroid('array(hull)')} "
                  f"ELSE named_struct('x', (hull[0].x + hull[1].x) / 2.0, 'y', (hull[0].y + hull[1].y) / 2.0) END")
     return (g.join(agg, ["fantoir", "voie"], "left")
           .where(F.coalesce("name", F.lit("")) != F.col("voie"))
           .withColumn("c", cen)
-          .withColumn("l", F.col("slb") / F.col("sl")).withColumn("l2", F.col("sg") - F.col("sgh"))
-          .withColumn("l_noname", F.col("nslb") / F.col("nsl")).withColumn("l2_noname", F.col("nsg") - F.col("nsgh"))
+          .withColumn("l", F.try_divide("slb", "sl")).withColumn("l2", F.col("sg") - F.col("sgh"))
+          .withColumn("l_noname", F.try_divide("nslb", "nsl")).withColumn("l2_noname", F.col("nsg") - F.col("nsgh"))
           .withColumn("l_geom", F.expr(H.calipers("hull", _ground("p_", "q_"))))
-          .withColumn("voie_c", F.replace("voie", F.lit('"'), F.lit("")))
-          .withColumn("names_c", F.replace("names", F.lit('"'), F.lit(""))))
+          .withColumn("voie_c", voie_c)
+          .withColumn("same", F.when(~F.col("unnamed"), F.when(pattern.isNotNull(), F.col("fits")).otherwise(
+              T.matches_ci(F.replace(names, F.lit('"'), F.lit("")), T.unbracket("voie_c"))))))
 
 
 def classify_streets(j: DataFrame, extent_m: float = 100.0) -> DataFrame:
@@ -219,17 +197,15 @@ def classify_streets(j: DataFrame, extent_m: float = 100.0) -> DataFrame:
                & (((F.col("l_noname") > 0.5) & (F.col("l2_noname") < extent_m)) | (F.col("l_noname") > 0.75)))
     fits = ((F.col("l_geom") - F.col("l_ways") < extent_m)
             & (((F.col("l") > 0.5) & (F.col("l2") < extent_m)) | (F.col("l") > 0.75)))
-    one_nn = F.col("id_noname").isNotNull() & ~F.col("id_noname").contains(",")
-    one = F.col("id").isNotNull() & ~F.col("id").contains(",")
-    same = T.matches_ci("names_c", T.unbracket("voie_c"))
-    cls = (F.when(F.col("id").isNull(), 33)
+    one_nn, one = F.col("one_noname").isNotNull(), F.col("one").isNotNull()
+    cls = (F.when(F.col("n").isNull(), 33)
             .when(one_nn & fits_nn & up, 32)
-            .when(one & fits & F.col("names_c").isNull() & up, 32)
-            .when(one & fits & F.col("names_c").isNotNull() & up, 31)
-            .when(same, None).otherwise(30))
-    way = (F.when(F.col("id").isNull(), None)
-            .when(one_nn & fits_nn & up, F.col("id_noname"))
-            .when(one & fits & up, F.col("id")))
+            .when(one & fits & F.col("unnamed") & up, 32)
+            .when(one & fits & ~F.col("unnamed") & up, 31)
+            .when(F.col("same"), None).otherwise(30))
+    way = (F.when(F.col("n").isNull(), None)
+            .when(one_nn & fits_nn & up, F.col("one_noname"))
+            .when(one & fits & up, F.col("one")))
     out = j.withColumn("class", cls).withColumn("way", way.cast("bigint")).where(F.col("class").isNotNull())
     return out.select("fantoir", F.col("voie_c").alias("voie"), "class", "way", *lonlat_cols("c.x", "c.y"), "l", "l_noname")
 
@@ -377,7 +353,7 @@ select fantoir, voie, round(slb / sl, 6) as l, round(sg - sgh, 4) as l2, round(n
 from ms where exists (select 1 from ag where ag.fantoir = ms.fantoir and ag.voie = ms.voie and coalesce(ag.name, '') <> ms.voie)""", _C2_CTES)
 def overlap_ratio(spark: SparkSession, sf: str) -> DataFrame:
     """For each street with matched ways, the share of their length near its hull and the ground length outside it."""
-    m = street_measures(*c02_inputs(spark, sf)).where("id is not null")
+    m = street_measures(*c02_inputs(spark, sf)).where("n is not null")
     return m.select("fantoir", "voie", F.round("l", 6).alias("l"), F.round("l2", 4).alias("l2"), F.round("l_noname", 6).alias("l_noname"),
                     F.round("l2_noname", 4).alias("l2_noname"))
 
