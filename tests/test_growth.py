@@ -56,3 +56,9 @@ def test_street_with_two_centres_goes_as_a_whole(spark):
 def test_ways_keep_one_row_each(spark):
     w = inputs.osm_ways(spark, SF)
     assert w.count() == w.select("osm_id").distinct().count() == inputs.osm_lines(spark, SF).count()
+
+
+def test_most_shifted_vertex_sorts_no_pairs(spark):
+    """Rows are compared for the worst vertex of a way only; the nearest road comes by a number a vertex."""
+    plan = logical(checks_shift.c20(spark, SF))
+    assert plan.count("min_by(") == 1 and "AS _least" in plan

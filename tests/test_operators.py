@@ -400,3 +400,16 @@ def test_space_filling_layout_prunes_files(spark, tmp_path):
         x, y = g.column(1).statistics, g.column(2).statistics
         met += x.has_min_max and x.min <= box[1] and x.max >= box[0] and y.min <= box[3] and y.max >= box[2]
     assert len(files) >= 30 and met <= len(files) // 5, met
+
+
+def test_nearest_within_equals_brute_force(spark):
+    """Near and far points, ties between lines, places that repeat, nothing within the distance."""
+    more = spark.createDataFrame([(7, 3, 3), (7, 3, 3), (8, 5000, 5000), (9, None, 3)], "id long, x long, y long")
+    p, s = _points(spark, 300, 21, 700).unionByName(more), _segments(spark, 150, 22, 700, long_every=20)
+    s = s.unionByName(s.where("sid % 3 = 0").withColumn("sid", F.col("sid") + 1000))  # the same lines again
+    got = SJ.nearest_within(p, s, 90.0, key=("id",), pick=("sid", "x1")).collect()
+    pairs = p.distinct().crossJoin(s).withColumn("d2", F.expr(G.pt_seg_d2("x", "y", "x1", "y1", "x2", "y2"))).where(
+        F.expr(G.pt_seg_within("x", "y", "x1", "y1", "x2", "y2", "90")))
+    want = pairs.groupBy("id", "x", "y").agg(F.min(F.struct("d2", "sid", "x1")).alias("r")).select("id", "x", "y", "r.*").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and 100 < len(want) < 304
+    assert len({r.d2 > 12 * 12 for r in want}) == 2
